@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, quality_rules, sharding, url_filters, warc
+from . import decontaminate, license_scan, near_dedup, quality_rules, sharding, url_filters, warc
 from .common import table
 
 #: Rules of op5: host, path, verdict.
@@ -26,6 +26,10 @@ def op3_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+def op4_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_url_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -44,4 +48,8 @@ def op8_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_jump_shards, op3_risk_rules, op5_url_ranges, op7_warc_revisits, op8_license_diagonals)}
+def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept", "class_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_jump_shards, op3_risk_rules, op4_leaks, op5_url_ranges, op7_warc_revisits, op8_license_diagonals, op10_setsketch)}
