@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, license_scan, near_dedup, quality_rules, sharding, url_filters, warc
+from . import decontaminate, language_model, license_scan, near_dedup, packing, quality_rules, rans, sharding, url_filters, warc
 from .common import table
 
 #: Rules of op5: host, path, verdict.
@@ -20,6 +21,10 @@ def op1_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op2_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op3_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     out = quality_rules.judge(docs, labels)
@@ -36,6 +41,11 @@ def op5_url_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.captures_of(table(spark, sf_dir, "pages"))
     out = warc.resolve_revisits(records)
@@ -48,8 +58,14 @@ def op8_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op9_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = rans.scratch_path(spark)
+    rans.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return rans.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept", "class_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_jump_shards, op3_risk_rules, op4_leaks, op5_url_ranges, op7_warc_revisits, op8_license_diagonals, op10_setsketch)}
+QUERIES = {f.__name__: f for f in (op1_jump_shards, op2_log_bilinear, op3_risk_rules, op4_leaks, op5_url_ranges, op6_sum_of_squares, op7_warc_revisits, op8_license_diagonals, op9_rans, op10_setsketch)}
