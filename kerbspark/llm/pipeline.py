@@ -15,7 +15,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no base rule and no fitted rule rejects."""
     judged = quality_rules.judge(docs, table(spark, sf_dir, "labels"), keep_text=True)
-    return judged.where("kept").select(*COLUMNS)
+    return quality_rules.keep(judged).select(*COLUMNS)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -178,9 +178,9 @@ def judge(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
     With probability 1 - ``delta`` over the labels, less than ``risk`` of the
     good documents of any stratum are rejected by the fitted rules together;
     each rule has an equal share of that. Base failures are rejected besides.
-    Without ``keep_text`` the counts are made once and kept in reliable storage
-    for both the fit and the verdict; with it they are made twice, so that
-    texts are not shuffled or stored.
+    The counts go to reliable storage for the fit. Without ``keep_text`` the
+    verdict uses them too; with it they are made again beside the texts, so
+    that texts are neither shuffled nor stored.
 
     Cases: a null or empty text has no words and fails the base rule; a
     stratum that is null, or not among the ``strata`` largest, is judged by the
@@ -190,9 +190,12 @@ def judge(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
     computed one are replaced; an empty table gives an empty table.
     """
     rules = default_rules()
-    fitted = dict(risk=risk, delta=delta, strata=strata, key=key, stratum=stratum)
-    scored = features(docs, text)
-    if keep_text:
-        return verdict(scored, fit_cutoffs(scored, labels, rules, **fitted), rules, stratum=stratum)
-    scored = cut(scored.drop(text))
-    return verdict(scored, fit_cutoffs(scored, labels, rules, **fitted), rules, stratum=stratum)
+    scored = cut(features(docs, text).drop(text))
+    cutoffs = fit_cutoffs(scored, labels, rules, key=key, stratum=stratum, risk=risk, delta=delta, strata=strata)
+    return verdict(features(docs, text) if keep_text else scored, cutoffs, rules, stratum=stratum)
+
+
+def keep(judged: DataFrame) -> DataFrame:
+    """The kept rows. The number of a row is part of the condition, so the optimizer leaves the filter above the
+    columns it reads, which are then made once for each row and not once for each mention."""
+    return judged.withColumn("__row", F.monotonically_increasing_id()).where(F.col("kept") & (F.col("__row") >= 0)).drop("__row")
