@@ -69,3 +69,6 @@ def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_jump_shards, op2_log_bilinear, op3_risk_rules, op4_leaks, op5_url_ranges, op6_sum_of_squares, op7_warc_revisits, op8_license_diagonals, op9_rans, op10_setsketch)}
+
+#: SQL for the same rows, where SQL can express the query.
+SQL: dict[str, str] = {}
