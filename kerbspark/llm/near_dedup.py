@@ -7,11 +7,12 @@ Registers of a union are the maxima of its parts' registers, and two sets agree
 in a register with about the probability of their Jaccard similarity.
 
 Sets that are equal form a class, of which only the smallest id goes on. Bands
-of registers put classes into buckets; each class is compared to the smallest
-id of its buckets, and then those classes of a bucket that this left in
-different components are compared with each other. A likelihood estimate from
-all registers drops pairs far below the threshold; the others are verified on
-their full sets.
+of registers put classes into buckets, and each class is compared to one class
+of each of its buckets, drawn by a hash, which joins nearly all of a group of
+copies by few pairs. Of what this left in different components, the classes
+outside a bucket's largest component are compared with all of the bucket, in
+blocks of bounded size. A likelihood estimate from all registers drops pairs
+far below the threshold; the others are verified on their full sets.
 """
 
 from __future__ import annotations
@@ -29,8 +30,10 @@ from .graph import components
 BANDS, ROWS = 72, 6
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.1, 10.0, 255
-#: Pairs estimated below this are not verified: the threshold less six standard errors of 432 registers.
-LEAST_ESTIMATE = 0.62
+#: Pairs estimated below this are not verified: the threshold less more than four standard errors of 432 registers.
+LEAST_ESTIMATE = 0.66
+#: Rows on either side of a block of comparisons.
+BLOCK = 512
 
 
 def set_sketch(sets: np.ndarray, offsets: np.ndarray, m: int = REGISTERS) -> np.ndarray:
@@ -107,7 +110,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             registers = _bytes_of(batch.column("registers"), REGISTERS).reshape(-1, BANDS, ROWS).astype(np.int64)
             keys = (registers << (np.arange(ROWS, dtype=np.int64) * 8)).sum(axis=2) + (np.arange(BANDS, dtype=np.int64) << 48)
             rows = np.repeat(np.arange(batch.num_rows), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), batch.column("doc").take(pa.array(rows)), batch.column("n").take(pa.array(rows)).cast(pa.int64())], ["bucket", "doc", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), batch.column("doc").take(pa.array(rows))], ["bucket", "doc"])
 
 
 def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,11 +149,39 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(inter, pa.int64()), pa.array([t - i for t, i in found], pa.int64())], ["a", "b", "inter", "both"])
 
 
-def _linked(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose similarity is at least ``percent`` hundredths on their full sets."""
+def _blocks(key: tuple, block: pa.Table) -> pa.Table:
+    """Pairs of a bucket's block, one row of the left side and one of the right, that may be similar enough.
+
+    A pair that meets in several buckets counts in that of its first common band.
+    """
+    band = key[0].as_py() >> 48
+    columns = {c: block.column(c).to_numpy() for c in ("doc", "n", "part", "left")}
+    registers = _bytes_of(block.column("registers").combine_chunks(), REGISTERS)
+    right = np.flatnonzero(~columns["left"])
+    found = []
+    for i in np.flatnonzero(columns["left"]):
+        least, most = np.minimum(columns["n"][i], columns["n"][right]), np.maximum(columns["n"][i], columns["n"][right])
+        other = right[(columns["part"][right] != columns["part"][i]) & (100 * least >= LEAST_ESTIMATE * 100 * most)]
+        bands = (registers[other] == registers[i]).reshape(len(other), BANDS, ROWS).all(axis=2)
+        other = other[bands.argmax(axis=1) == band] if len(other) else other
+        if len(other):
+            size = columns["n"].astype(float)
+            estimate = estimate_jaccard(np.broadcast_to(registers[i], (len(other), REGISTERS)), registers[other], np.full(len(other), size[i]), size[other])
+            mates = columns["doc"][other[estimate >= LEAST_ESTIMATE]]
+            found.append(np.stack([np.minimum(mates, columns["doc"][i]), np.maximum(mates, columns["doc"][i])]))
+    pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
+    return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
+
+
+def _estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) that may be similar enough."""
     side = lambda x: sketches.select(F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("registers").alias(f"r{x}"))
     near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ra", "rb")
-    near = cut(near.mapInArrow(_estimate, "a long, b long").distinct())
+    return cut(near.mapInArrow(_estimate, "a long, b long").distinct())
+
+
+def _linked(near: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Those of ``near`` (a, b) whose similarity is at least ``percent`` hundredths on their full sets."""
     ids = near.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     sets = texts.join(ids, "doc", "left_semi").mapInArrow(_sets, "doc long, set binary")
     full = near.join(sets.select(F.col("doc").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("doc").alias("b"), F.col("set").alias("sb")), "b")
@@ -158,6 +189,28 @@ def _linked(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, percent: in
     return cut(checked.where(100 * F.col("inter") >= percent * F.col("both")).select("a", "b").distinct())
 
 
+def _rest(inside: DataFrame, part: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(a, b) of a bucket's classes in different components that may be similar enough.
+
+    The class drawn for a bucket was compared with all others already. The largest component of a bucket is not compared with itself. Its other
+    classes, the left side, are cut into chunks, and so are all its classes,
+    the right side; a block is a chunk of each.
+    """
+    others = inside.where(F.col("doc") != F.col("hub"))
+    placed = others.join(part, others["doc"] == part["node"], "left").select("bucket", "doc", F.coalesce("component", "doc").alias("part"))
+    sizes = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("size"))
+    main = sizes.groupBy("bucket").agg(F.max_by("part", "size").alias("main"), F.sum("size").alias("all"), F.max("size").alias("most"), F.count(F.lit(1)).alias("parts")).where(F.col("parts") > 1)
+    chunks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    main = main.select("bucket", "main", chunks(F.col("all")).alias("rights"), chunks(F.col("all") - F.col("most")).alias("lefts"))
+    mixed = placed.join(main, "bucket").withColumn("h", F.xxhash64("doc", "bucket"))
+    one = lambda n: F.pmod(F.col("h"), n).cast("int")
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    right = mixed.select("bucket", "doc", "part", F.lit(False).alias("left"), F.explode(every(F.col("lefts"))).alias("i"), one(F.col("rights")).alias("j"))
+    left = mixed.where(F.col("part") != F.col("main")).select("bucket", "doc", "part", F.lit(True).alias("left"), one(F.col("lefts")).alias("i"), F.explode(every(F.col("rights"))).alias("j"))
+    rows = left.unionByName(right).join(sketches.select("doc", "n", "registers"), "doc")
+    return cut(rows.select("bucket", "i", "j", "doc", "n", "part", "left", "registers").groupBy("bucket", "i", "j").applyInArrow(_blocks, "a long, b long").distinct())
+
+
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
     """One row for each row of ``docs``: key, ``n_shingles``, ``class_id``, ``component_id`` and ``kept``.
 
@@ -183,22 +236,16 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     first = sketched.join(classes.withColumnRenamed("class_id", "doc"), ["doc", *same], "left_semi")
     first = cut(first.dropDuplicates(["doc", *same]).select("doc", "n", "registers"))
 
-    banded = first.mapInArrow(_bands, "bucket long, doc long, n long")
-    buckets = banded.groupBy("bucket").agg(F.min("doc").alias("hub"), F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
-    inside = cut(banded.join(buckets, "bucket").select("bucket", "hub", "doc", "n"))
-    stars = inside.where(F.col("doc") != F.col("hub")).select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
-    links = _linked(stars, first, texts, percent)
+    banded = first.mapInArrow(_bands, "bucket long, doc long")
+    drawn = F.xxhash64("bucket", "doc")
+    buckets = banded.groupBy("bucket").agg(F.min_by("doc", drawn).alias("hub"), F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+    inside = cut(banded.join(buckets, "bucket").select("bucket", "hub", "doc"))
+    stars = inside.where(F.col("doc") != F.col("hub")).select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
+    links = _linked(_estimated(stars, first), texts, percent)
 
     # classes of a bucket that are still apart
-    part = components(links)
-    placed = inside.join(part, inside["doc"] == part["node"], "left").select("bucket", "hub", "doc", "n", F.coalesce("component", "doc").alias("part"))
-    mixed = placed.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where(F.col("lo") != F.col("hi")).select("bucket")
-    left = placed.join(mixed, "bucket", "left_semi")
-    x, y = left.alias("x"), left.alias("y")
-    sizes = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
-    apart = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.part") < F.col("y.part")) & (F.col("x.doc") != F.col("x.hub")) & (F.col("y.doc") != F.col("y.hub")) & sizes
-    rest = x.join(y, apart).select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
-    more = _linked(rest, first, texts, percent)
+    part = cut(components(links))
+    more = _linked(_rest(inside, part, first), texts, percent)
 
     member = rows.join(classes, same, "left").withColumn("class_id", F.when((F.col("n") > 0) & F.col("doc").isNotNull(), F.col("class_id")).otherwise(F.col("doc")))
     member = member.select("doc", "n", "class_id")
