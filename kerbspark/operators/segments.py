@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import intervals
+from .lineage import cut
 
 FEATURES = ("FH", "BS")
 
@@ -60,7 +61,7 @@ def merge_tiny(segments: DataFrame, threshold: float, key: str = "blockface_id",
     """
     alone = F.count(F.lit(1)).over(Window.partitionBy(key)) == 1
     df = merge_groups(segments, threshold, key, order)
-    df = df.where(~(alone & F.col("tiny") & F.col("upstream_location").isNull() & F.col("downstream_location").isNull()))
+    df = df.withColumn("__alone", alone).where(~(F.col("__alone") & F.col("tiny") & F.col("upstream_location").isNull() & F.col("downstream_location").isNull()))
     rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("seq"), F.col("upstream_location").alias("up"), F.col("downstream_location").alias("down"), "tiny", "segment_id")))
     g = df.groupBy(key, "merge_group").agg(rows.alias("rows"), F.sum("seg_length").alias("seg_length"), (F.min("tiny") != F.max("tiny")).alias("mixed"))
     first_long = F.aggregate("rows", F.lit(None).cast("int"), lambda acc, r: F.coalesce(acc, F.when(~r["tiny"], r["seq"].cast("int"))))
@@ -84,7 +85,7 @@ def split_by_buffers(lines: DataFrame, points: DataFrame, feet: float, least_fee
     """
     on = points.join(lines, "line_id").withColumns({"length_ft": F.col("hi") - F.col("lo")})
     on = on.withColumn("fraction", (F.col("at") - F.col("lo")) / F.col("length_ft"))
-    cuts = intervals.boundaries(intervals.buffers(on, feet), "line_id")
+    cuts = cut(intervals.boundaries(intervals.buffers(on, feet), "line_id"))
     parts = intervals.pieces(cuts, "line_id").join(lines, "line_id")
     parts = parts.where((F.col("end_fraction") - F.col("start_fraction")) * (F.col("hi") - F.col("lo")) >= least_feet)
     owners = intervals.assign_points(on.select("line_id", "fraction", "point_id"), parts.select("line_id", "no", "start_fraction", "end_fraction"), "line_id").groupBy("line_id", "no").agg(F.min("point_id").alias("point_id"))
@@ -124,9 +125,10 @@ def segment_curbs(curbs: DataFrame, hydrants: DataFrame, signs: DataFrame, meter
     them. Without assets of a kind its stage passes pieces through.
     """
     lines = curbs.select("blockface_id", F.col("blockface_id").cast("string").alias("line_id"), "lo", "hi", "lo", "hi").toDF("blockface_id", "line_id", "lo", "hi", "c0", "c1").drop("c0", "c1")
-    lines = split_by_buffers(lines, place(lines, hydrants), buffer_feet, least_feet)
-    lines = split_by_points(lines, place(lines, signs), suffix="PS")
-    lines = split_by_points(lines, place(lines, meters), suffix="PM")
+    # a stage reads its pieces several times, so each is made once
+    lines = cut(split_by_buffers(lines, place(lines, hydrants), buffer_feet, least_feet))
+    lines = cut(split_by_points(lines, place(lines, signs), suffix="PS"))
+    lines = cut(split_by_points(lines, place(lines, meters), suffix="PM"))
     w = Window.partitionBy("blockface_id").orderBy("lo", "hi", "line_id")
     seq = F.row_number().over(w) - 1
     up, down = F.coalesce("pm_start", "ps_start"), F.coalesce("pm_end", "ps_end")
