@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate, language_model, license_scan, near_dedup, packing, quality_rules, rans, sharding, url_filters, warc
 from .common import table
+from .oracles import SQL
 
 #: Rules of op5: host, path, verdict.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -32,7 +33,8 @@ def op3_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    leaks = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", "item_id", "n_item", "n_shared", "containment")
 
 
 def op5_url_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,10 +67,9 @@ def op9_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept", "class_id")
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 QUERIES = {f.__name__: f for f in (op1_jump_shards, op2_log_bilinear, op3_risk_rules, op4_leaks, op5_url_ranges, op6_sum_of_squares, op7_warc_revisits, op8_license_diagonals, op9_rans, op10_setsketch)}
 
-#: SQL for the same rows, where SQL can express the query.
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
