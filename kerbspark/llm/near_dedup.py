@@ -32,6 +32,8 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.1, 10.0, 255
 #: Pairs estimated below this are not verified: the threshold less more than four standard errors of 432 registers.
 LEAST_ESTIMATE = 0.66
+#: A class is compared with about this many drawn classes of a large group.
+LOTS = 6
 #: Rows on either side of a block of comparisons.
 BLOCK = 512
 
@@ -237,7 +239,8 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     first = cut(first.dropDuplicates(["doc", *same]).select("doc", "n", "registers"))
 
     banded = first.mapInArrow(_bands, "bucket long, doc long")
-    drawn = F.xxhash64("bucket", "doc")
+    # bands share few drawing lots, so that the buckets of one group draw the same few classes
+    drawn = F.xxhash64(F.shiftright("bucket", 48) % LOTS, "doc")
     buckets = banded.groupBy("bucket").agg(F.min_by("doc", drawn).alias("hub"), F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
     inside = cut(banded.join(buckets, "bucket").select("bucket", "hub", "doc"))
     stars = inside.where(F.col("doc") != F.col("hub")).select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
