@@ -1,0 +1 @@
+"""No streams: the inventory has none, so jobs here are batches over a job's rows."""
