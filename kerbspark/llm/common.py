@@ -110,3 +110,25 @@ def shingle_sets(texts: pa.Array, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
             sets.append(_rolled(hashes[a:b], b - a) if b > a else hashes[:0])
     offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets], dtype=np.int64)])
     return (np.concatenate(sets) if sets else np.empty(0, np.uint64)), offsets
+
+
+def bit_table(hashes: DataFrame, column: str, bits: int) -> bytes:
+    """A table of 2^bits bits with a one at the top bits of each 64-bit hash; its size is fixed, whatever the number of hashes."""
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(0, np.int64)
+        for batch in batches:
+            seen = np.union1d(seen, batch.column("slot").to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(seen >> 3), pa.array(np.int64(1) << (seen & 7))], ["byte", "bit"])
+
+    slots = hashes.select(F.shiftrightunsigned(column, 64 - bits).alias("slot")).distinct()
+    got = slots.mapInArrow(fill, "byte long, bit long").groupBy("byte").agg(F.bit_or("bit").alias("bits")).toPandas()
+    table = np.zeros(1 << (bits - 3), np.uint8)
+    table[got["byte"].to_numpy().astype(np.int64)] = got["bits"].to_numpy().astype(np.uint8)
+    return table.tobytes()
+
+
+def in_bit_table(table: bytes, bits: int, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes may be in a :func:`bit_table`; those that are in it always are."""
+    slot = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+    return ((np.frombuffer(table, np.uint8)[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1).astype(bool)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shingle_sets, slices
+from .common import bit_table, in_bit_table, shingle_sets, slices
 
 #: Bits of the membership table that goes to every task, whatever the number of items: 2 MB.
 FILTER_BITS = 24
@@ -50,23 +50,6 @@ def item_sketches(items: DataFrame, *, key: str = "item_id", text: str = "text",
     return one.select(F.col("id").alias("item_id"), "shingle", "n", "size_class", (rank <= k).alias("in_sketch"))
 
 
-def membership(sketches: DataFrame, bits: int = FILTER_BITS) -> bytes:
-    """A table of 2^bits bits with a one at each item shingle; made on the executors, of one fixed size."""
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, np.int64)
-        for batch in batches:
-            seen = np.union1d(seen, batch.column("slot").to_numpy())
-        yield pa.RecordBatch.from_arrays([pa.array(seen >> 3), pa.array(np.int64(1) << (seen & 7))], ["byte", "bit"])
-
-    slots = sketches.select(F.shiftrightunsigned("shingle", 64 - bits).alias("slot")).distinct()
-    ones = slots.mapInArrow(fill, "byte long, bit long").groupBy("byte").agg(F.bit_or("bit").alias("bits"))
-    got = ones.toPandas()
-    table = np.zeros(1 << (bits - 3), np.uint8)
-    table[got["byte"].to_numpy().astype(np.int64)] = got["bits"].to_numpy().astype(np.uint8)
-    return table.tobytes()
-
-
 def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text: str = "text", item_key: str = "item_id", percent: int = 75) -> DataFrame:
     """(doc_id, item_id, n_item, n_shared, sketch_hits, containment) of every document that holds ``percent`` of an item's shingles.
 
@@ -81,16 +64,14 @@ def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text
     empty tables give an empty table.
     """
     sketches = item_sketches(items, key=item_key, percent=percent)
-    known = membership(sketches)
+    known = bit_table(sketches, "shingle", FILTER_BITS)
     spread = docs.sparkSession.sparkContext.broadcast(known)
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(spread.value, np.uint8)
         for whole in batches:
             for batch in slices(whole, "text"):
                 sets, offsets = shingle_sets(batch.column("text"))
-                slot = (sets >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-                on = np.flatnonzero((table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
+                on = np.flatnonzero(in_bit_table(spread.value, FILTER_BITS, sets))
                 row = np.searchsorted(offsets, on, side="right") - 1
                 yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), pa.array(sets[on].view(np.int64))], ["id", "shingle"])
 

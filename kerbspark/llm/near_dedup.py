@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, mix64, shingle_sets, slices
+from .common import bit_table, cut, in_bit_table, mix64, shingle_sets, slices
 from .graph import components
 
 BANDS, ROWS = 72, 6
@@ -32,6 +32,8 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.1, 10.0, 255
 #: Pairs estimated below this are not verified: the threshold less more than four standard errors of 432 registers.
 LEAST_ESTIMATE = 0.66
+#: Bits of the table that keeps texts which no candidate names out of the shuffle.
+FILTER_BITS = 22
 #: A class is compared with about this many drawn classes of a large group.
 LOTS = 6
 #: Rows on either side of a block of comparisons.
@@ -184,8 +186,16 @@ def _estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
 def _linked(near: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Those of ``near`` (a, b) whose similarity is at least ``percent`` hundredths on their full sets."""
-    ids = near.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    sets = texts.join(ids, "doc", "left_semi").mapInArrow(_sets, "doc long, set binary")
+    ids = cut(near.select(F.explode(F.array("a", "b")).alias("doc")).distinct())
+    named = texts.sparkSession.sparkContext.broadcast(bit_table(ids.select(F.xxhash64("doc").alias("h")), "h", FILTER_BITS))
+
+    def may_be_named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            on = in_bit_table(named.value, FILTER_BITS, batch.column("h").to_numpy().view(np.uint64))
+            yield batch.filter(pa.array(on)).select(["doc", "text"])
+
+    few = texts.select("doc", "text", F.xxhash64("doc").alias("h")).mapInArrow(may_be_named, "doc long, text string")
+    sets = few.join(ids, "doc", "left_semi").mapInArrow(_sets, "doc long, set binary")
     full = near.join(sets.select(F.col("doc").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("doc").alias("b"), F.col("set").alias("sb")), "b")
     checked = full.select("a", "b", "sa", "sb").mapInArrow(_verify, "a long, b long, inter long, both long")
     return cut(checked.where(100 * F.col("inter") >= percent * F.col("both")).select("a", "b").distinct())
