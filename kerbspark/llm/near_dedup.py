@@ -11,7 +11,8 @@ of registers put classes into buckets, and each class is compared to one class
 of each of its buckets, drawn by a hash, which joins nearly all of a group of
 copies by few pairs. Of what this left in different components, the classes
 outside a bucket's largest component are compared with all of the bucket, in
-blocks of bounded size. A likelihood estimate from all registers drops pairs
+blocks of bounded size: first only the likeliest pair of a class and another
+component is verified, then all pairs that are still apart. A likelihood estimate from all registers drops pairs
 far below the threshold; the others are verified on their full sets.
 """
 
@@ -153,10 +154,16 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(inter, pa.int64()), pa.array([t - i for t, i in found], pa.int64())], ["a", "b", "inter", "both"])
 
 
-def _blocks(key: tuple, block: pa.Table) -> pa.Table:
+def _best_of(parts: np.ndarray, estimate: np.ndarray) -> np.ndarray:
+    """The places of the largest estimate of each part."""
+    order = np.lexsort((-estimate, parts))
+    return order[np.concatenate([[True], parts[order][1:] != parts[order][:-1]])] if len(order) else order
+
+
+def _blocks(key: tuple, block: pa.Table, best: bool) -> pa.Table:
     """Pairs of a bucket's block, one row of the left side and one of the right, that may be similar enough.
 
-    A pair that meets in several buckets counts in that of its first common band.
+    If ``best``, only the likeliest pair of each left row with each component. A pair that meets in several buckets counts in that of its first common band.
     """
     band = key[0].as_py() >> 48
     columns = {c: block.column(c).to_numpy() for c in ("doc", "n", "part", "left")}
@@ -171,7 +178,8 @@ def _blocks(key: tuple, block: pa.Table) -> pa.Table:
         if len(other):
             size = columns["n"].astype(float)
             estimate = estimate_jaccard(np.broadcast_to(registers[i], (len(other), REGISTERS)), registers[other], np.full(len(other), size[i]), size[other])
-            mates = columns["doc"][other[estimate >= LEAST_ESTIMATE]]
+            other, estimate = other[estimate >= LEAST_ESTIMATE], estimate[estimate >= LEAST_ESTIMATE]
+            mates = columns["doc"][other[_best_of(columns["part"][other], estimate)] if best else other]
             found.append(np.stack([np.minimum(mates, columns["doc"][i]), np.maximum(mates, columns["doc"][i])]))
     pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
     return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
@@ -201,7 +209,7 @@ def _linked(near: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return cut(checked.where(100 * F.col("inter") >= percent * F.col("both")).select("a", "b").distinct())
 
 
-def _rest(inside: DataFrame, part: DataFrame, sketches: DataFrame) -> DataFrame:
+def _rest(inside: DataFrame, part: DataFrame, sketches: DataFrame, best: bool) -> DataFrame:
     """(a, b) of a bucket's classes in different components that may be similar enough.
 
     The class drawn for a bucket was compared with all others already. The largest component of a bucket is not compared with itself. Its other
@@ -220,7 +228,7 @@ def _rest(inside: DataFrame, part: DataFrame, sketches: DataFrame) -> DataFrame:
     right = mixed.select("bucket", "doc", "part", F.lit(False).alias("left"), F.explode(every(F.col("lefts"))).alias("i"), one(F.col("rights")).alias("j"))
     left = mixed.where(F.col("part") != F.col("main")).select("bucket", "doc", "part", F.lit(True).alias("left"), one(F.col("lefts")).alias("i"), F.explode(every(F.col("rights"))).alias("j"))
     rows = left.unionByName(right).join(sketches.select("doc", "n", "registers"), "doc")
-    return cut(rows.select("bucket", "i", "j", "doc", "n", "part", "left", "registers").groupBy("bucket", "i", "j").applyInArrow(_blocks, "a long, b long").distinct())
+    return cut(rows.select("bucket", "i", "j", "doc", "n", "part", "left", "registers").groupBy("bucket", "i", "j").applyInArrow(lambda key, block: _blocks(key, block, best), "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
@@ -258,7 +266,9 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
     # classes of a bucket that are still apart
     part = cut(components(links))
-    more = _linked(_rest(inside, part, first), texts, percent)
+    likely = _linked(_rest(inside, part, first, True), texts, percent)
+    part = cut(components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(likely)))
+    more = _linked(_rest(inside, part, first, False), texts, percent)
 
     member = rows.join(classes, same, "left").withColumn("class_id", F.when((F.col("n") > 0) & F.col("doc").isNotNull(), F.col("class_id")).otherwise(F.col("doc")))
     member = member.select("doc", "n", "class_id")
