@@ -16,7 +16,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -24,6 +24,8 @@ from .common import cut
 #: The inside of regular-expression classes.
 SPACE = "\\x20\\x09-\\x0D"
 SYMBOLS = "#*$%&|<>"
+#: Strata whose cutoffs go to every task, at most: some 10 MB.
+BROADCAST_STRATA = 65_536
 
 
 @dataclass(frozen=True)
@@ -112,19 +114,25 @@ def most_rejected(n: Column, risk: float, level: float) -> Column:
     return F.aggregate(steps, start, step, lambda s: s["k"])
 
 
-def fit_cutoffs(scored: DataFrame, labels: DataFrame, rules: Sequence[Rule], *, key: str = "doc_id", stratum: str = "lang", risk: float = 0.03, delta: float = 0.05, strata: int = 8, price: int = 50) -> DataFrame:
-    """The cutoffs in use: (stratum, rule, cutoff, n_good, n_rejected, n_allowed), at most (``strata`` + 1) x rules rows.
+def _named(stratum: str) -> Column:
+    """"=" and the value, or "" for a null one."""
+    return F.coalesce(F.concat(F.lit("="), F.col(stratum).cast("string")), F.lit(""))
 
-    The ``strata`` strata with most good labelled rows are tested for cutoffs of
-    their own, and "*" is tested on all labelled rows; others are named "=" and
-    their value. Cutoffs of a rule are tested from the mildest to the strictest
+
+def fit_cutoffs(scored: DataFrame, labels: DataFrame, rules: Sequence[Rule], *, key: str = "doc_id", stratum: str = "lang", risk: float = 0.03, delta: float = 0.05, price: int = 50) -> DataFrame:
+    """The cutoffs in use: (stratum, rule, cutoff, n_good, n_rejected, n_allowed), at most a row for each stratum and rule.
+
+    Every stratum with good labelled rows is tested for cutoffs of its own and
+    named "=" and its value; rows with a null stratum are one, named "". "*" is
+    fitted on all labelled rows for comparison; no document is judged by it.
+    Cutoffs of a rule are tested from the mildest to the strictest
     up to the first that fails, which needs no correction among them; the level
     is ``delta`` over the number of strata and rules. Of the cutoffs that pass,
     the one that rejects most bad labelled rows is used, a good one counting as
     ``price`` bad ones, and of equals the mildest. ``labels`` has (key,
     quality): 1 is good, 0 bad, others play no part; a document with several
     labels counts once, as good if any is. Strata with too few good rows for
-    any cutoff are left out, so "*" holds for them.
+    any cutoff are left out, so no fitted rule rejects their documents.
     """
     marked = labels.where(F.col(key).isNotNull() & F.col("quality").isin(0, 1)).groupBy(F.col(key).alias("__key")).agg((F.max("quality") == 1).alias("good"))
 
@@ -132,15 +140,15 @@ def fit_cutoffs(scored: DataFrame, labels: DataFrame, rules: Sequence[Rule], *,
         return F.size(F.filter(F.array(*[F.lit(float(c)) for c in rule.cutoffs]), lambda c: c < rule.value))
 
     passed = F.array(*map(above, rules))
-    held = scored.select(F.col(key).alias("__key"), F.concat(F.lit("="), F.col(stratum).cast("string")).alias("stratum"), passed.alias("__passed"))
+    held = scored.select(F.col(key).alias("__key"), _named(stratum).alias("stratum"), passed.alias("__passed"))
     held = held.join(marked, "__key")
-    both = held.select("good", F.explode(F.array_compact(F.array("stratum", F.lit("*")))).alias("stratum"), "__passed")
+    both = held.select("good", F.explode(F.array("stratum", F.lit("*"))).alias("stratum"), "__passed")
     both = both.select("good", "stratum", F.posexplode("__passed").alias("rule_no", "above"))
     counted = both.groupBy("stratum", "rule_no", "above").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
     per = counted.groupBy("stratum", "rule_no").agg(F.sum("good").alias("n_good"), F.collect_list(F.struct("above", "good", "bad")).alias("hist"))
-    place = F.row_number().over(Window.partitionBy("rule_no").orderBy(F.col("stratum") != "*", F.desc("n_good"), "stratum"))
-    per = per.withColumn("place", place).where(F.col("place") <= strata + 1)
-    level = delta / ((strata + 1) * len(rules))
+    per = cut(per.where("n_good > 0"))
+    strata = per.where("stratum != '*' AND rule_no = 0").count()
+    level = delta / (max(strata, 1) * len(rules))
     per = per.withColumn("n_allowed", most_rejected(F.col("n_good"), risk / len(rules), level)).where(F.col("n_allowed") >= 0)
     grid = F.array(*[F.struct(F.lit(i).alias("rule_no"), F.lit(j).alias("cutoff_no"), F.lit(r.name).alias("rule"), F.lit(float(c)).alias("cutoff")) for i, r in enumerate(rules) for j, c in enumerate(r.cutoffs)])
     per = per.select("stratum", "n_good", "n_allowed", "hist", F.explode(F.filter(grid, lambda g: g["rule_no"] == F.col("rule_no"))).alias("g"))
@@ -155,24 +163,20 @@ def fit_cutoffs(scored: DataFrame, labels: DataFrame, rules: Sequence[Rule], *,
 
 
 def verdict(scored: DataFrame, cutoffs: DataFrame, rules: Sequence[Rule], *, stratum: str = "lang") -> DataFrame:
-    """``scored`` with ``failed_rules`` and ``kept``; the cutoffs, a bounded table, become part of the expression."""
-    found: dict[str, dict[str, float]] = {}
-    for row in cutoffs.collect():
-        found.setdefault(row["stratum"], {})[row["rule"]] = row["cutoff"]
-    named = F.concat(F.lit("="), F.col(stratum).cast("string"))
-    own = F.when(named.isin([s for s in found if s != "*"]), named).otherwise(F.lit("*"))
-    over = []
-    for r in rules:
-        cutoff = F.lit(None).cast("double")
-        for s, by in found.items():
-            if by.get(r.name) is not None:
-                cutoff = F.when(own == s, F.lit(by[r.name])).otherwise(cutoff)
-        over.append(F.when(r.value > cutoff, F.lit(r.name)))
-    failed = F.array_compact(F.array(*over))
-    return scored.withColumn("failed_rules", failed).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
-
-
-def judge(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", stratum: str = "lang", risk: float = 0.03, delta: float = 0.05, strata: int = 8, keep_text: bool = False) -> DataFrame:
+    """``scored`` with ``failed_rules`` and ``kept``; each row takes its own stratum's cutoffs, one row of them for each stratum.
+
+    These are sent to every task up to BROADCAST_STRATA strata, and joined by stratum beyond.
+    """
+    found = F.map_from_entries(F.collect_list(F.when(F.col("cutoff").isNotNull(), F.struct("rule", "cutoff"))))
+    own = cut(cutoffs.where("stratum != '*'").groupBy(F.col("stratum").alias("__stratum")).agg(found.alias("__cutoffs")))
+    few = own.count() <= BROADCAST_STRATA
+    judged = scored.withColumn("__stratum", _named(stratum)).join(F.broadcast(own) if few else own, "__stratum", "left")
+    over = [F.when(r.value > F.col("__cutoffs")[r.name], F.lit(r.name)) for r in rules]
+    judged = judged.withColumn("failed_rules", F.array_compact(F.array(*over)))
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("__stratum", "__cutoffs")
+
+
+def judge(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", stratum: str = "lang", risk: float = 0.03, delta: float = 0.05, keep_text: bool = False) -> DataFrame:
     """``docs`` with the counts of :func:`features`, ``failed_rules`` and ``kept``.
 
     With probability 1 - ``delta`` over the labels, less than ``risk`` of the
@@ -182,16 +186,16 @@ def judge(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
     verdict uses them too; with it they are made again beside the texts, so
     that texts are neither shuffled nor stored.
 
-    Cases: a null or empty text has no words and fails the base rule; a
-    stratum that is null, or not among the ``strata`` largest, is judged by the
-    cutoffs of all labelled rows; without enough labels no cutoff is allowed,
-    and the base rule alone decides; rows may repeat, each is judged alone; a
+    Cases: a null or empty text has no words and fails the base rule; rows
+    with a null stratum are a stratum; where a stratum has not enough labels,
+    or none, no cutoff is allowed in it, whatever the others have, and the
+    base rule alone decides; rows may repeat, each is judged alone; a
     null key is judged but takes no part in the fit; input columns named like a
     computed one are replaced; an empty table gives an empty table.
     """
     rules = default_rules()
     scored = cut(features(docs, text).drop(text))
-    cutoffs = fit_cutoffs(scored, labels, rules, key=key, stratum=stratum, risk=risk, delta=delta, strata=strata)
+    cutoffs = fit_cutoffs(scored, labels, rules, key=key, stratum=stratum, risk=risk, delta=delta)
     return verdict(features(docs, text) if keep_text else scored, cutoffs, rules, stratum=stratum)
 
 

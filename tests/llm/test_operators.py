@@ -153,6 +153,21 @@ def test_cutoffs_separate_labelled_junk(spark):
     assert {(r["stratum"], r["cutoff"], r["n_rejected"]) for r in cutoffs.collect()} == {("*", 0.7, 0), ("=en", 0.7, 0), ("=de", 0.7, 0)}
 
 
+def test_strata_are_judged_by_their_own_tests_only(spark, monkeypatch):
+    # ten strata of 2,000 labels and a null one; small and unlabelled ones, whose good documents have high values
+    rows = [(i, f"l{i % 11}" if i % 11 < 10 else None, 0.9 if i % 4 == 0 else 0.1, int(i % 4 != 0)) for i in range(22_000)]
+    rows += [(30_000 + i, "small", 0.9, 1) for i in range(20)] + [(40_000 + i, "unlabelled", 0.9, None) for i in range(20)]
+    scored = spark.createDataFrame(rows, "doc_id long, lang string, v double, quality int").withColumn("base_failed", F.lit(False))
+    rules = [quality_rules.Rule("v", F.col("v"), [0.5])]
+    cutoffs = quality_rules.fit_cutoffs(scored, scored.select("doc_id", "quality"), rules, risk=0.01)
+    assert {r["stratum"] for r in cutoffs.collect()} == {"*", "", *(f"=l{i}" for i in range(10))}
+    for most in (quality_rules.BROADCAST_STRATA, 3):
+        monkeypatch.setattr(quality_rules, "BROADCAST_STRATA", most)
+        got = quality_rules.verdict(scored, cutoffs, rules).collect()
+        assert len(got) == len(rows)
+        assert all(r["kept"] == (r["v"] < 0.5 or r["lang"] in ("small", "unlabelled")) for r in got)
+
+
 # decontamination
 
 
