@@ -19,9 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bit_table, in_bit_table, shingle_sets, slices
+from .common import bit_table, cut, in_bit_table, shingle_sets, slices
 
-#: Bits of the membership table that goes to every task, whatever the number of items: 2 MB.
+#: Bits of each of the two membership tables that go to every task, whatever the number of items: 2 MB.
 FILTER_BITS = 24
 
 
@@ -50,12 +50,20 @@ def item_sketches(items: DataFrame, *, key: str = "item_id", text: str = "text",
     return one.select(F.col("id").alias("item_id"), "shingle", "n", "size_class", (rank <= k).alias("in_sketch"))
 
 
+def candidates(hits: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(id, item_id, sketch_hits) of the pairs that share a sketched shingle; ``hits`` has distinct (id, shingle, looked_up)."""
+    searched = sketches.where("in_sketch").select("item_id", "shingle")
+    return hits.where("looked_up").join(searched, "shingle").groupBy("id", "item_id").agg(F.count(F.lit(1)).alias("sketch_hits"))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text: str = "text", item_key: str = "item_id", percent: int = 75) -> DataFrame:
     """(doc_id, item_id, n_item, n_shared, sketch_hits, containment) of every document that holds ``percent`` of an item's shingles.
 
     Documents are read once; a shingle leaves its task only if the fixed-size
-    membership table knows it, so what is shuffled follows the leaks, and the
-    join is by shingle. Items are never broadcast as a list.
+    membership table of all items knows it, so what is stored follows the
+    leaks. Those that the table of sketches knows are looked up in the sketches;
+    shared shingles are counted for the pairs so found alone. Items are never
+    broadcast as a list.
 
     Cases: null texts are empty; items or documents without words match
     nothing; an item of fewer than five words has its whole sequence as its one
@@ -63,23 +71,26 @@ def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text
     one id are one document with the shingles of all; null ids match nothing;
     empty tables give an empty table.
     """
-    sketches = item_sketches(items, key=item_key, percent=percent)
-    known = bit_table(sketches, "shingle", FILTER_BITS)
-    spread = docs.sparkSession.sparkContext.broadcast(known)
+    sketches = cut(item_sketches(items, key=item_key, percent=percent))
+    tables = [bit_table(s, "shingle", FILTER_BITS) for s in (sketches, sketches.where("in_sketch"))]
+    spread = docs.sparkSession.sparkContext.broadcast(tables)
 
-    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every, sketched = spread.value
         for whole in batches:
             for batch in slices(whole, "text"):
                 sets, offsets = shingle_sets(batch.column("text"))
-                on = np.flatnonzero(in_bit_table(spread.value, FILTER_BITS, sets))
+                on = np.flatnonzero(in_bit_table(every, FILTER_BITS, sets))
                 row = np.searchsorted(offsets, on, side="right") - 1
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), pa.array(sets[on].view(np.int64))], ["id", "shingle"])
+                looked_up = in_bit_table(sketched, FILTER_BITS, sets[on])
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), pa.array(sets[on].view(np.int64)), pa.array(looked_up)], ["id", "shingle", "looked_up"])
 
     named = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull())
-    found = named.mapInArrow(hits, "id long, shingle long").join(sketches, "shingle")
     # the same shingle may come from several rows of one document
-    per = found.groupBy("id", "item_id", "n").agg(F.size(F.collect_set("shingle")).cast("long").alias("n_shared"), F.size(F.collect_set(F.when(F.col("in_sketch"), F.col("shingle")))).cast("long").alias("sketch_hits"))
-    leaks = per.where((F.col("sketch_hits") > 0) & (100 * F.col("n_shared") >= percent * F.col("n")))
+    hits = cut(named.mapInArrow(known, "id long, shingle long, looked_up boolean").distinct())
+    asked = candidates(hits, sketches).join(sketches.select("item_id", "shingle", "n"), "item_id")
+    per = asked.join(hits.select("id", "shingle"), ["id", "shingle"]).groupBy("id", "item_id", "n", "sketch_hits").agg(F.count(F.lit(1)).alias("n_shared"))
+    leaks = per.where(100 * F.col("n_shared") >= percent * F.col("n"))
     return leaks.select(F.col("id").alias(key), "item_id", F.col("n").alias("n_item"), "n_shared", "sketch_hits", (F.col("n_shared") / F.col("n")).alias("containment"))
 
 

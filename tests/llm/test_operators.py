@@ -192,6 +192,12 @@ def test_leaks(spark, docs, rows, empty):
     assert left.count() == sum(r[0] not in {d for d, _, _ in want} for r in rows)
 
 
+def test_only_sketched_shingles_are_searched(spark):
+    sketches = spark.createDataFrame([(1, 10, 3, 2, True), (1, 11, 3, 2, False), (1, 12, 3, 2, False), (2, 11, 1, 0, True)], "item_id long, shingle long, n long, size_class int, in_sketch boolean")
+    hits = spark.createDataFrame([(7, 11, True), (7, 12, False), (8, 10, True), (8, 11, True)], "id long, shingle long, looked_up boolean")
+    assert {tuple(r) for r in decontaminate.candidates(hits, sketches).collect()} == {(7, 2, 1), (8, 1, 1), (8, 2, 1)}
+
+
 # url filters
 
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/es/x/", "allow")]
