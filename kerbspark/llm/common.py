@@ -85,7 +85,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _rolled(hashes: np.ndarray, k: int) -> np.ndarray:
+def rolled(hashes: np.ndarray, k: int) -> np.ndarray:
     n = len(hashes) - k + 1
     out = np.full(n, k, np.uint64)
     for i in range(k):
@@ -100,14 +100,14 @@ def shingle_sets(texts: pa.Array, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
     Shingles are told apart by 64-bit hashes.
     """
     hashes, ends = word_hashes(texts)
-    rolled = _rolled(hashes, k) if len(hashes) >= k else np.empty(0, np.uint64)
+    runs = rolled(hashes, k) if len(hashes) >= k else np.empty(0, np.uint64)
     sets = []
     for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
         if b - a >= k:
-            s = np.sort(rolled[a : b - k + 1])
+            s = np.sort(runs[a : b - k + 1])
             sets.append(s[np.concatenate([[True], s[1:] != s[:-1]])])
         else:
-            sets.append(_rolled(hashes[a:b], b - a) if b > a else hashes[:0])
+            sets.append(rolled(hashes[a:b], b - a) if b > a else hashes[:0])
     offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets], dtype=np.int64)])
     return (np.concatenate(sets) if sets else np.empty(0, np.uint64)), offsets
 

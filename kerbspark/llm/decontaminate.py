@@ -19,35 +19,50 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bit_table, cut, in_bit_table, shingle_sets, slices
+from .common import bit_table, cut, in_bit_table, rolled, shingle_sets, slices, word_hashes
 
 #: Bits of each of the two membership tables that go to every task, whatever the number of items: 2 MB.
 FILTER_BITS = 24
 
 
+#: Words of a shingle; an item of fewer words is one shingle of its own length.
+WORDS = 5
+
+
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
-            sets, offsets = shingle_sets(batch.column("text"))
+            sets, offsets = shingle_sets(batch.column("text"), WORDS)
+            _, ends = word_hashes(batch.column("text"))
             row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), pa.array(sets.view(np.int64))], ["id", "shingle"])
+            words = np.minimum(np.diff(ends), WORDS).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), pa.array(sets.view(np.int64)), pa.array(words[row])], ["id", "shingle", "words"])
+
+
+def _runs(hashes: np.ndarray, ends: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every run of ``k`` words within one text, as :func:`shingle_sets` hashes a text of ``k`` words, and its text."""
+    if len(hashes) < k:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    text_of = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    inside = text_of[: len(hashes) - k + 1] == text_of[k - 1 :]
+    return rolled(hashes, k)[inside], text_of[k - 1 :][inside]
 
 
 def item_sketches(items: DataFrame, *, key: str = "item_id", text: str = "text", percent: int = 75) -> DataFrame:
-    """(item_id, shingle, n, size_class, in_sketch) for every shingle of every item.
+    """(item_id, shingle, words, n, size_class, in_sketch) for every shingle of every item; ``words`` is the shingle's number of words.
 
     ``size_class`` c holds items of 2^(c-1) + 1 to 2^c shingles. ``in_sketch``
     marks the k smallest hashes, k as the largest size of the class needs it.
     Rows with one id are one item with the shingles of all of them.
     """
     named = items.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull())
-    one = named.mapInArrow(_shingles, "id long, shingle long").distinct()
+    one = named.mapInArrow(_shingles, "id long, shingle long, words int").distinct()
     size = one.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     one = one.join(size, "id").withColumn("size_class", F.ceil(F.log2("n")).cast("int"))
     largest = F.pow(F.lit(2), F.col("size_class")).cast("long")
     k = largest - F.ceil(largest * percent / F.lit(100)) + 1
     rank = F.row_number().over(Window.partitionBy("id").orderBy("shingle"))
-    return one.select(F.col("id").alias("item_id"), "shingle", "n", "size_class", (rank <= k).alias("in_sketch"))
+    return one.select(F.col("id").alias("item_id"), "shingle", "words", "n", "size_class", (rank <= k).alias("in_sketch"))
 
 
 def candidates(hits: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -67,23 +82,31 @@ def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text
 
     Cases: null texts are empty; items or documents without words match
     nothing; an item of fewer than five words has its whole sequence as its one
-    shingle, and so matches only a document with exactly these words; rows with
-    one id are one document with the shingles of all; null ids match nothing;
-    empty tables give an empty table.
+    shingle, and is found wherever a document has these words one after the
+    other; rows with one id are one document with the shingles of all; null
+    ids match nothing; empty tables give an empty table.
     """
     sketches = cut(item_sketches(items, key=item_key, percent=percent))
     tables = [bit_table(s, "shingle", FILTER_BITS) for s in (sketches, sketches.where("in_sketch"))]
+    short = [r["words"] for r in sketches.where(F.col("words") < WORDS).select("words").distinct().collect()]
     spread = docs.sparkSession.sparkContext.broadcast(tables)
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every, sketched = spread.value
         for whole in batches:
             for batch in slices(whole, "text"):
-                sets, offsets = shingle_sets(batch.column("text"))
+                sets, offsets = shingle_sets(batch.column("text"), WORDS)
                 on = np.flatnonzero(in_bit_table(every, FILTER_BITS, sets))
-                row = np.searchsorted(offsets, on, side="right") - 1
-                looked_up = in_bit_table(sketched, FILTER_BITS, sets[on])
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), pa.array(sets[on].view(np.int64)), pa.array(looked_up)], ["id", "shingle", "looked_up"])
+                found = [(sets[on], np.searchsorted(offsets, on, side="right") - 1)]
+                if short:
+                    hashes, ends = word_hashes(batch.column("text"))
+                    for k in short:
+                        runs, text_of = _runs(hashes, ends, k)
+                        on = in_bit_table(every, FILTER_BITS, runs)
+                        found.append((runs[on], text_of[on]))
+                for some, row in found:
+                    looked_up = in_bit_table(sketched, FILTER_BITS, some)
+                    yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), pa.array(some.view(np.int64)), pa.array(looked_up)], ["id", "shingle", "looked_up"])
 
     named = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull())
     # the same shingle may come from several rows of one document

@@ -198,6 +198,13 @@ def test_only_sketched_shingles_are_searched(spark):
     assert {tuple(r) for r in decontaminate.candidates(hits, sketches).collect()} == {(7, 2, 1), (8, 1, 1), (8, 2, 1)}
 
 
+def test_short_items_are_found_inside_longer_documents(spark):
+    items = [(1, "Zebra"), (2, "two words"), (3, "four words in line"), (4, "in one in one"), (5, "absent here")]
+    texts = [(1, "a b c d zebra e f"), (2, "here are two words for you now"), (3, "now four words in line"), (4, "four words in"), (5, "two"), (6, "words and two more in one in one"), (7, None), (8, "absent"), (9, "here absent")]
+    got = decontaminate.contaminated(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"], r["n_shared"]) for r in got.collect()} == {(1, 1, 1), (2, 2, 1), (3, 3, 1), (6, 4, 1)}
+
+
 # url filters
 
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/es/x/", "allow")]
