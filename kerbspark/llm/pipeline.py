@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import decontaminate, near_dedup, packing, quality_rules
@@ -18,19 +18,30 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep(judged).select(*COLUMNS)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__row``, a 64-bit hash of id and text: the same whenever a row is read, and one for rows equal in both."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.withColumn("__row", F.xxhash64(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), F.col("text").isNull(), text))
+
+
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the one with the smallest id. Rows with a null id stay."""
-    found = near_dedup.near_duplicates(docs)
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    # rows that repeat a kept id are one document
-    named = left.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return named.unionByName(left.where(F.col("doc_id").isNull())).select(*COLUMNS)
+    """One document of each component: the one with the smallest id, a null one last.
+
+    Rows are linked by their texts alone: those that share an id stay apart
+    unless their texts are linked, and those with a null id are linked as the
+    others are. Of rows equal in id and text, one stays.
+    """
+    rows = _keyed(docs)
+    found = near_dedup.near_duplicates(rows, key="__row").select("__row", "component_id").distinct()
+    ids = rows.select("__row", "doc_id").distinct()
+    place = F.row_number().over(Window.partitionBy("component_id").orderBy(F.asc_nulls_last("doc_id"), "__row"))
+    gone = found.join(ids, "__row").withColumn("place", place).where("place > 1").select("__row")
+    return rows.join(gone, "__row", "left_anti").dropDuplicates(["__row"]).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+    """Documents that hold no benchmark item; each row is judged alone, also one with a null id."""
+    return decontaminate.drop_contaminated(_keyed(docs), table(spark, sf_dir, "benchmark"), key="__row").select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

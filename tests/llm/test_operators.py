@@ -454,3 +454,19 @@ def test_pipeline(spark, tmp_path, rows):
     got = corpus_pipeline.run(spark, where)
     assert {r["doc_id"] for r in got.collect()} == {1, 3}
     assert json.dumps([n for n, _ in corpus_pipeline.STAGES]) == '["quality", "near_dedup", "decontamination", "packing"]'
+
+
+def test_stages_keep_texts_that_share_an_id_and_filter_null_ids(spark, tmp_path):
+    from kerbspark.llm import pipeline
+
+    rng = random.Random(3)
+    prose = lambda n: " ".join(f"w{rng.randint(0, 5000)}" for _ in range(n))
+    a, b, c, d, leak = prose(90), prose(90), prose(90), prose(90), prose(30)
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    # ids 1 and 2 repeat with other texts; a text with a null id is a near copy, a copy of another one, or leaked
+    rows = [(1, a), (1, b), (2, c), (2, a + " more"), (None, c + " more"), (None, d), (None, d), (None, prose(40) + " " + leak)]
+    docs = spark.createDataFrame([(k, v, "en", "s", len(v)) for k, v in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    apart = pipeline.near_dedup_stage(spark, docs, str(tmp_path))
+    assert {(r["doc_id"], r["text"]) for r in apart.collect()} == {(1, a), (1, b), (2, c), (None, d), rows[-1]} and apart.count() == 5
+    clean = pipeline.decontamination(spark, apart, str(tmp_path))
+    assert {(r["doc_id"], r["text"]) for r in clean.collect()} == {(1, a), (1, b), (2, c), (None, d)}
