@@ -9,10 +9,9 @@ in a register with about the probability of their Jaccard similarity.
 Sets that are equal form a class, of which only the smallest id goes on. Bands
 of registers put classes into buckets, and each class is compared to one class
 of each of its buckets, drawn by a hash, which joins nearly all of a group of
-copies by few pairs. Of what this left in different components, the classes
-outside a bucket's largest component are compared with all of the bucket, in
-blocks of bounded size: first only the likeliest pair of a class and another
-component is verified, then all pairs that are still apart. A likelihood estimate from all registers drops pairs
+copies by few pairs. What this leaves apart is compared in blocks of bounded
+size, in which rows carry their full sets, so that no pair leaves its task
+before it is confirmed. A likelihood estimate from all registers drops pairs
 far below the threshold; the others are verified on their full sets.
 """
 
@@ -31,14 +30,14 @@ from .graph import components
 BANDS, ROWS = 72, 6
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.1, 10.0, 255
-#: Pairs estimated below this are not verified: the threshold less more than four standard errors of 432 registers.
-LEAST_ESTIMATE = 0.66
+#: Pairs estimated lower than the threshold by this are not verified: more than four standard errors of 432 registers.
+SLACK = 0.09
 #: Bits of the table that keeps texts which no candidate names out of the shuffle.
 FILTER_BITS = 22
 #: A class is compared with about this many drawn classes of a large group.
 LOTS = 6
-#: Rows on either side of a block of comparisons.
-BLOCK = 512
+#: Shingles on either side of a block of comparisons, or those of one text if it has more.
+BLOCK = 1 << 17
 
 
 def set_sketch(sets: np.ndarray, offsets: np.ndarray, m: int = REGISTERS) -> np.ndarray:
@@ -118,14 +117,13 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), batch.column("doc").take(pa.array(rows))], ["bucket", "doc"])
 
 
-def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for at in range(0, whole.num_rows, 2048):
-            batch = whole.slice(at, 2048)
-            ra, rb = (_bytes_of(batch.column(c), REGISTERS) for c in ("ra", "rb"))
-            na, nb = (batch.column(c).to_numpy().astype(float) for c in ("na", "nb"))
-            good = pa.array(estimate_jaccard(ra, rb, na, nb) >= LEAST_ESTIMATE)
-            yield batch.select(["a", "b"]).filter(good)
+def _likely(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the pairs that may be similar enough, by sizes, equal registers and then the estimate, and their estimates."""
+    at = np.flatnonzero(100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
+    at = at[(ra[at] == rb[at]).sum(axis=1) >= (percent / 100 - SLACK - 0.01) * REGISTERS]
+    estimate = estimate_jaccard(ra[at], rb[at], na[at].astype(float), nb[at].astype(float))
+    near = estimate >= percent / 100 - SLACK
+    return at[near], estimate[near]
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,47 +152,60 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(inter, pa.int64()), pa.array([t - i for t, i in found], pa.int64())], ["a", "b", "inter", "both"])
 
 
-def _best_of(parts: np.ndarray, estimate: np.ndarray) -> np.ndarray:
-    """The places of the largest estimate of each part."""
-    order = np.lexsort((-estimate, parts))
-    return order[np.concatenate([[True], parts[order][1:] != parts[order][:-1]])] if len(order) else order
+def _joined(leader: dict[int, int], x: int) -> int:
+    """The leader of ``x``'s group, with shorter ways on the way there."""
+    while leader.setdefault(x, x) != x:
+        leader[x] = leader[leader[x]]
+        x = leader[x]
+    return x
 
 
-def _blocks(key: tuple, block: pa.Table, best: bool) -> pa.Table:
-    """Pairs of a bucket's block, one row of the left side and one of the right, that may be similar enough.
+def _blocks(block: pa.Table, percent: int) -> pa.Table:
+    """Links that join different parts, of a left row and a right row of one block, confirmed on full sets.
 
-    If ``best``, only the likeliest pair of each left row with each component. A pair that meets in several buckets counts in that of its first common band.
+    Pairs of a left row are tried from the likeliest on; one whose parts are
+    joined by then needs no trial. A pair of two left rows is tried once.
     """
-    band = key[0].as_py() >> 48
-    columns = {c: block.column(c).to_numpy() for c in ("doc", "n", "part", "left")}
+    doc, n, part, left = (block.column(c).to_numpy() for c in ("doc", "n", "part", "left"))
     registers = _bytes_of(block.column("registers").combine_chunks(), REGISTERS)
-    right = np.flatnonzero(~columns["left"])
-    found = []
-    for i in np.flatnonzero(columns["left"]):
-        least, most = np.minimum(columns["n"][i], columns["n"][right]), np.maximum(columns["n"][i], columns["n"][right])
-        other = right[(columns["part"][right] != columns["part"][i]) & (100 * least >= LEAST_ESTIMATE * 100 * most)]
-        bands = (registers[other] == registers[i]).reshape(len(other), BANDS, ROWS).all(axis=2)
-        other = other[bands.argmax(axis=1) == band] if len(other) else other
-        if len(other):
-            size = columns["n"].astype(float)
-            estimate = estimate_jaccard(np.broadcast_to(registers[i], (len(other), REGISTERS)), registers[other], np.full(len(other), size[i]), size[other])
-            other, estimate = other[estimate >= LEAST_ESTIMATE], estimate[estimate >= LEAST_ESTIMATE]
-            mates = columns["doc"][other[_best_of(columns["part"][other], estimate)] if best else other]
-            found.append(np.stack([np.minimum(mates, columns["doc"][i]), np.maximum(mates, columns["doc"][i])]))
-    pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
-    return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
-
-
-def _estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in block.column("set")]
+    both_sides = np.isin(doc, doc[left])
+    right = np.flatnonzero(~left)
+    leader: dict[int, int] = {}
+    links: list[tuple[int, int]] = []
+    for i in np.flatnonzero(left):
+        other = right[(part[right] != part[i]) & (~both_sides[right] | (doc[right] > doc[i]))]
+        for at in range(0, len(other), 4096):
+            some = other[at : at + 4096]
+            near, estimate = _likely(np.broadcast_to(registers[i], (len(some), REGISTERS)), registers[some], np.full(len(some), n[i]), n[some], percent)
+            for o in some[near][np.argsort(-estimate, kind="stable")]:
+                a, b = _joined(leader, int(part[i])), _joined(leader, int(part[o]))
+                if a != b:
+                    inter = shared(sets[i], sets[o])
+                    if 100 * inter >= percent * (len(sets[i]) + len(sets[o]) - inter):
+                        leader[a] = b
+                        links.append((int(doc[i]), int(doc[o])))
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
+
+
+def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) that may be similar enough."""
     side = lambda x: sketches.select(F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("registers").alias(f"r{x}"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2048):
+                batch = whole.slice(at, 2048)
+                ra, rb = (_bytes_of(batch.column(c), REGISTERS) for c in ("ra", "rb"))
+                near, _ = _likely(ra, rb, batch.column("na").to_numpy(), batch.column("nb").to_numpy(), percent)
+                yield batch.select(["a", "b"]).take(pa.array(near))
+
     near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ra", "rb")
-    return cut(near.mapInArrow(_estimate, "a long, b long").distinct())
+    return cut(near.mapInArrow(run, "a long, b long"))
 
 
-def _linked(near: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Those of ``near`` (a, b) whose similarity is at least ``percent`` hundredths on their full sets."""
-    ids = cut(near.select(F.explode(F.array("a", "b")).alias("doc")).distinct())
+def _sets_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """(doc, set) of the texts that ``ids`` (doc) names; a table of fixed size keeps most others out of the shuffle."""
     named = texts.sparkSession.sparkContext.broadcast(bit_table(ids.select(F.xxhash64("doc").alias("h")), "h", FILTER_BITS))
 
     def may_be_named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,32 +214,42 @@ def _linked(near: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             yield batch.filter(pa.array(on)).select(["doc", "text"])
 
     few = texts.select("doc", "text", F.xxhash64("doc").alias("h")).mapInArrow(may_be_named, "doc long, text string")
-    sets = few.join(ids, "doc", "left_semi").mapInArrow(_sets, "doc long, set binary")
+    return few.join(ids, "doc", "left_semi").mapInArrow(_sets, "doc long, set binary")
+
+
+def _linked(near: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Those of ``near`` (a, b) whose similarity is at least ``percent`` hundredths on their full sets."""
+    ids = cut(near.select(F.col("a").alias("doc")).unionByName(near.select(F.col("b").alias("doc"))).distinct())
+    sets = _sets_of(ids, texts)
     full = near.join(sets.select(F.col("doc").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("doc").alias("b"), F.col("set").alias("sb")), "b")
     checked = full.select("a", "b", "sa", "sb").mapInArrow(_verify, "a long, b long, inter long, both long")
     return cut(checked.where(100 * F.col("inter") >= percent * F.col("both")).select("a", "b").distinct())
 
 
-def _rest(inside: DataFrame, part: DataFrame, sketches: DataFrame, best: bool) -> DataFrame:
-    """(a, b) of a bucket's classes in different components that may be similar enough.
+def _rest(balls: DataFrame, part: DataFrame, sketches: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of classes that share a bucket, but not with the class drawn for it.
 
-    The class drawn for a bucket was compared with all others already. The largest component of a bucket is not compared with itself. Its other
-    classes, the left side, are cut into chunks, and so are all its classes,
-    the right side; a block is a chunk of each.
+    ``balls`` has the distinct pairs (hub, doc) of a class drawn for a bucket
+    and a class in the bucket. A region is the part of a hub, with all that
+    share a bucket with any hub in it; so two classes of one bucket are in one
+    region. Those outside the part, the left side, are compared with the whole
+    region, the right side. Either is dealt by hash into chunks of about BLOCK
+    shingles, and a block is a chunk of each.
     """
-    others = inside.where(F.col("doc") != F.col("hub"))
-    placed = others.join(part, others["doc"] == part["node"], "left").select("bucket", "doc", F.coalesce("component", "doc").alias("part"))
-    sizes = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("size"))
-    main = sizes.groupBy("bucket").agg(F.max_by("part", "size").alias("main"), F.sum("size").alias("all"), F.max("size").alias("most"), F.count(F.lit(1)).alias("parts")).where(F.col("parts") > 1)
-    chunks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
-    main = main.select("bucket", "main", chunks(F.col("all")).alias("rights"), chunks(F.col("all") - F.col("most")).alias("lefts"))
-    mixed = placed.join(main, "bucket").withColumn("h", F.xxhash64("doc", "bucket"))
+    of = lambda df, x, name: df.join(part.select(F.col("node").alias(x), F.col("component").alias("found")), x, "left").withColumn(name, F.coalesce("found", x)).drop("found")
+    members = of(balls, "hub", "region").select("region", "doc").unionByName(of(balls.select("hub").distinct(), "hub", "region").select("region", F.col("hub").alias("doc"))).distinct()
+    placed = of(members, "doc", "part").join(sketches.select("doc", "n"), "doc")
+    outside = F.when(F.col("part") != F.col("region"), F.col("n")).otherwise(0)
+    chunks = lambda n: F.ceil(F.sum(n) / F.lit(BLOCK)).cast("int")
+    apart = cut(placed.groupBy("region").agg(chunks(outside).alias("lefts"), chunks(F.col("n")).alias("rights")).where("lefts > 0"))
+    mixed = cut(placed.join(apart, "region").withColumn("h", F.xxhash64("doc", "region")))
     one = lambda n: F.pmod(F.col("h"), n).cast("int")
     every = lambda n: F.sequence(F.lit(0), n - 1)
-    right = mixed.select("bucket", "doc", "part", F.lit(False).alias("left"), F.explode(every(F.col("lefts"))).alias("i"), one(F.col("rights")).alias("j"))
-    left = mixed.where(F.col("part") != F.col("main")).select("bucket", "doc", "part", F.lit(True).alias("left"), one(F.col("lefts")).alias("i"), F.explode(every(F.col("rights"))).alias("j"))
-    rows = left.unionByName(right).join(sketches.select("doc", "n", "registers"), "doc")
-    return cut(rows.select("bucket", "i", "j", "doc", "n", "part", "left", "registers").groupBy("bucket", "i", "j").applyInArrow(lambda key, block: _blocks(key, block, best), "a long, b long").distinct())
+    right = mixed.select("region", "doc", "n", "part", F.lit(False).alias("left"), F.explode(every(F.col("lefts"))).alias("i"), one(F.col("rights")).alias("j"))
+    left = mixed.where(F.col("part") != F.col("region")).select("region", "doc", "n", "part", F.lit(True).alias("left"), one(F.col("lefts")).alias("i"), F.explode(every(F.col("rights"))).alias("j"))
+    sets = _sets_of(cut(mixed.select("doc").distinct()), texts).join(sketches.select("doc", "registers"), "doc")
+    rows = left.unionByName(right).join(sets, "doc").select("region", "i", "j", "doc", "n", "part", "left", "registers", "set")
+    return cut(rows.groupBy("region", "i", "j").applyInArrow(lambda block: _blocks(block, percent), "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
@@ -251,8 +272,10 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     sketched = cut(texts.mapInArrow(_sketch, "doc long, n long, s1 long, s2 long, registers binary"))
     same = ["n", "s1", "s2"]
     rows = sketched.select("doc", *same)
-    real = rows.where((F.col("n") > 0) & F.col("doc").isNotNull())
-    classes = real.groupBy(*same).agg(F.min("doc").alias("class_id"))
+    with_words = (F.col("n") > 0) & F.col("doc").isNotNull()
+    real = rows.where(with_words)
+    # stored, so that the join below can split the rows of one text that has very many copies
+    classes = cut(real.groupBy(*same).agg(F.min("doc").alias("class_id")))
     first = sketched.join(classes.withColumnRenamed("class_id", "doc"), ["doc", *same], "left_semi")
     first = cut(first.dropDuplicates(["doc", *same]).select("doc", "n", "registers"))
 
@@ -260,18 +283,13 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     # bands share few drawing lots, so that the buckets of one group draw the same few classes
     drawn = F.xxhash64(F.shiftright("bucket", 48) % LOTS, "doc")
     buckets = banded.groupBy("bucket").agg(F.min_by("doc", drawn).alias("hub"), F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
-    inside = cut(banded.join(buckets, "bucket").select("bucket", "hub", "doc"))
-    stars = inside.where(F.col("doc") != F.col("hub")).select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
-    links = _linked(_estimated(stars, first), texts, percent)
-
-    # classes of a bucket that are still apart
+    balls = cut(banded.join(buckets, "bucket").where(F.col("doc") != F.col("hub")).select("hub", "doc").distinct())
+    stars = balls.select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
+    links = _linked(_estimated(stars, first, percent), texts, percent)
     part = cut(components(links))
-    likely = _linked(_rest(inside, part, first, True), texts, percent)
-    part = cut(components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(likely)))
-    more = _linked(_rest(inside, part, first, False), texts, percent)
+    more = _rest(balls, part, first, texts, percent)
 
-    member = rows.join(classes, same, "left").withColumn("class_id", F.when((F.col("n") > 0) & F.col("doc").isNotNull(), F.col("class_id")).otherwise(F.col("doc")))
-    member = member.select("doc", "n", "class_id")
+    member = real.join(classes, same).select("doc", "n", "class_id").unionByName(rows.where(~with_words).select("doc", "n", F.col("doc").alias("class_id")))
     twice = member.where(F.col("n") > 0).groupBy("doc").agg(F.min("class_id").alias("a"), F.max("class_id").alias("hi")).where(F.col("a") != F.col("hi"))
     shared_ids = member.where(F.col("n") > 0).join(twice, "doc").select("a", F.col("class_id").alias("b"))
     edges = part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more).unionByName(shared_ids)
