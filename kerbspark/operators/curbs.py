@@ -161,3 +161,34 @@ def along_flow(curbs: DataFrame, line: str = "line") -> DataFrame:
 def numbered(curbs: DataFrame, key: str, order: list[str]) -> DataFrame:
     """``curbs`` with ``seq`` from 0 within a key."""
     return curbs.withColumn("seq", F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1)
+
+
+def connect_parts(parts: DataFrame, key: str, *, order: str = "part", line: str = "line") -> DataFrame:
+    """(key, line): the parts of each feature as one line, from the longest on, each time by the nearest free end.
+
+    ``parts`` has one row for each part, a line as an array of points. A part is
+    turned round if that brings its nearer end to the join. Of equal distances
+    the earlier part wins, then the line's end before its start, then the
+    part's start before its end. A feature has few parts, so its row holds them.
+    """
+    length = F.aggregate(F.sequence(F.lit(1), F.size(line) - 1), F.lit(0.0), lambda a, i: a + F.hypot(F.col(line)[i]["x"] - F.col(line)[i - 1]["x"], F.col(line)[i]["y"] - F.col(line)[i - 1]["y"]))
+    whole = parts.where(F.size(line) >= 2).select(key, F.struct(F.col(order).alias("at"), length.alias("length"), F.col(line).alias("line")).alias("p"))
+    g = whole.groupBy(key).agg(F.array_sort(F.collect_list("p")).alias("ps"))
+    first = F.array_max(F.transform("ps", lambda p, i: F.struct(p["length"].alias("length"), (-i).alias("i"))))["i"]
+    g = g.withColumn("first", -first)
+    gap = lambda a, b: F.hypot(a["x"] - b["x"], a["y"] - b["y"])
+    end = lambda x: F.element_at(x, -1)
+
+    def step(state: Column, _: Column) -> Column:
+        now = state["line"]
+        ways = lambda p: [gap(end(now), p["line"][0]), gap(end(now), end(p["line"])), gap(now[0], p["line"][0]), gap(now[0], end(p["line"]))]
+        options = F.transform(state["rest"], lambda p, i: F.array_min(F.array(*[F.struct(d.alias("d"), i.alias("i"), F.lit(k).alias("way")) for k, d in enumerate(ways(p))])))
+        best = F.array_min(options)
+        taken = state["rest"][best["i"]]["line"]
+        taken = F.when(best["way"].isin(1, 2), F.reverse(taken)).otherwise(taken)
+        joined = F.when(best["way"] < 2, F.concat(now, taken)).otherwise(F.concat(taken, now))
+        return F.struct(joined.alias("line"), F.filter(state["rest"], lambda p, i: i != best["i"]).alias("rest"))
+
+    start = F.struct(F.col("ps")[F.col("first")]["line"].alias("line"), F.filter("ps", lambda p, i: i != F.col("first")).alias("rest"))
+    steps = F.slice(F.sequence(F.lit(0), F.size("ps")), 2, F.size("ps") - 1)
+    return g.select(key, F.aggregate(steps, start, step, lambda s: s["line"]).alias(line))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: How far a bus stop's zone reaches, in feet.
+#: How far a bus stop's zone reaches, in feet, and in which direction by the stop's type.
 BUS_STOP_FEET = 75.0
+BUS_STOP_SIGNS = {"near_side": -1.0, "far_side": 1.0, "mid_block": -1.0}
 
 
 def buffers(points: DataFrame, feet: float) -> DataFrame:
@@ -19,11 +22,14 @@ def bus_stop_type(fraction: Column) -> Column:
     return F.when((fraction >= 0.7) & (fraction <= 1.0), "near_side").when((fraction >= 0.0) & (fraction <= 0.3), "far_side").when((fraction > 0.3) & (fraction < 0.7), "mid_block")
 
 
-def bus_stop_buffers(stops: DataFrame) -> DataFrame:
-    """``stops`` with ``stop_type`` and its zone: after a far-side stop, before any other, within the curb."""
+def bus_stop_buffers(stops: DataFrame, multipliers: Mapping[str, float] = BUS_STOP_SIGNS) -> DataFrame:
+    """``stops`` with ``stop_type`` and its zone within the curb: BUS_STOP_FEET times the type's multiplier, before the stop if that is negative."""
     kind = bus_stop_type(F.col("fraction"))
     at = F.col("fraction") * F.col("length_ft")
-    other = F.least(F.greatest(F.lit(0.0), at + F.when(kind == "far_side", BUS_STOP_FEET).otherwise(-BUS_STOP_FEET)), F.col("length_ft"))
+    reach = F.lit(None).cast("double")
+    for name, times in multipliers.items():
+        reach = F.when(kind == name, BUS_STOP_FEET * times).otherwise(reach)
+    other = F.least(F.greatest(F.lit(0.0), at + reach), F.col("length_ft"))
     return stops.withColumns({"stop_type": kind, "start_fraction": F.least(at, other) / F.col("length_ft"), "end_fraction": F.greatest(at, other) / F.col("length_ft")})
 
 

@@ -33,8 +33,10 @@ def group_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def json_number_stats(df: DataFrame, column: str, path: str, section: str) -> DataFrame:
-    """Count, least, largest and mean of a number in JSON text; values of other types do not count."""
-    v = F.get_json_object(column, path).try_cast("double")
+    """Count, least, largest and mean of a number in JSON text; values of other types, also text that reads as a number, do not count."""
+    # a variant keeps the type that the JSON text has
+    v = F.try_variant_get(F.try_parse_json(column), path, "variant")
+    v = F.when(F.schema_of_variant(v).rlike("^(BIGINT|DECIMAL|DOUBLE)"), F.try_variant_get(F.try_parse_json(column), path, "double"))
     return metrics(df.select(v.alias("v")), section, {"numbers": F.count("v"), "min": F.min("v"), "max": F.max("v"), "mean": F.round(F.avg("v"), 6)})
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -110,6 +112,33 @@ def split_by_points(lines: DataFrame, points: DataFrame, *, suffix: str = "PS")
     return both.select(F.concat_ws(":", "line_id", F.concat(F.lit(suffix), n)).alias("line_id"), (F.col("lo") + F.col("start_fraction") * span).alias("lo"), (F.col("lo") + F.col("end_fraction") * span).alias("hi"), F.col("start_id").alias(f"{s}_start"), F.col("end_id").alias(f"{s}_end"), *kept)
 
 
+def split_by_bus_stops(lines: DataFrame, stops: DataFrame, least_feet: float, *, suffix: str = "BS", multipliers: Mapping[str, float] = intervals.BUS_STOP_SIGNS) -> DataFrame:
+    """``lines`` cut at both ends of each stop's zone; a piece knows the stop whose zone begins where it does, of several the smallest id.
+
+    Pieces shorter than ``least_feet`` are dropped and take no number; lines
+    without stops are one piece. Ends of zones are carried with their stop, so
+    no fractions are compared to find it.
+    """
+    span = F.col("hi") - F.col("lo")
+    on = stops.join(lines, "line_id").withColumn("length_ft", span).withColumn("fraction", (F.col("at") - F.col("lo")) / F.col("length_ft"))
+    zones = cut(intervals.bus_stop_buffers(on, multipliers).select("line_id", "start_fraction", "end_fraction", "point_id"))
+    none = F.lit(None).cast(zones.schema["point_id"].dataType).alias("point_id")
+    edges = zones.select("line_id", F.col("start_fraction").alias("pos"), "point_id").unionByName(zones.select("line_id", F.col("end_fraction").alias("pos"), none))
+    edges = edges.unionByName(lines.select("line_id", F.explode(F.array(F.lit(0.0), F.lit(1.0))).alias("pos"), none))
+    cuts = edges.groupBy("line_id", "pos").agg(F.min("point_id").alias("point_id"))
+    w = Window.partitionBy("line_id").orderBy("pos")
+    parts = cuts.withColumn("next", F.lead("pos").over(w)).where("next IS NOT NULL").join(lines, "line_id")
+    # a line of no length has no fractions; it stays whole
+    parts = parts.where(((F.col("next") - F.col("pos")) * span >= least_feet) | (F.col("pos").eqNullSafe(F.lit(0.0)) & F.col("next").eqNullSafe(F.lit(1.0))))
+    kept = [c for c in lines.columns if c not in ("line_id", "lo", "hi")]
+    return parts.select(F.concat_ws(":", "line_id", F.concat(F.lit(suffix), F.row_number().over(w))).alias("line_id"), (F.col("lo") + F.col("pos") * span).alias("lo"), (F.col("lo") + F.col("next") * span).alias("hi"), F.col("point_id").alias(f"{suffix.lower()}_id"), *kept)
+
+
+def id_order(line_id: Column, stages: int = 4) -> Column:
+    """The numbers of the last ``stages`` parts of a composite id, to sort by: ``b:BS1:FH10:PS2:PM1`` is (1, 10, 2, 1)."""
+    return F.transform(F.slice(F.split(line_id, ":"), -stages, stages), lambda x: F.regexp_extract(x, "([0-9]+)$", 1).try_cast("int"))
+
+
 def place(lines: DataFrame, assets: DataFrame) -> DataFrame:
     """(line_id, at, point_id): assets (blockface_id, at, point_id) on the piece of their blockface that is nearest, of equals the first."""
     gap = F.greatest(F.col("lo") - F.col("at"), F.col("at") - F.col("hi"), F.lit(0.0))
@@ -118,24 +147,28 @@ def place(lines: DataFrame, assets: DataFrame) -> DataFrame:
     return best.select("b.line_id", F.least(F.greatest("at", "b.lo"), F.col("b.hi")).alias("at"), "point_id")
 
 
-def segment_curbs(curbs: DataFrame, hydrants: DataFrame, signs: DataFrame, meters: DataFrame, *, buffer_feet: float = 10.0, least_feet: float = 0.5, tiny_feet: float = 3.0) -> DataFrame:
-    """Curbs (blockface_id, lo, hi, in feet along them) cut at hydrants' buffers, then at signs, then at meters; tiny pieces merged.
+def segment_curbs(curbs: DataFrame, hydrants: DataFrame, signs: DataFrame, meters: DataFrame, stops: DataFrame | None = None, *, buffer_feet: float = 10.0, least_feet: float = 0.5, tiny_feet: float = 3.0) -> DataFrame:
+    """Curbs (blockface_id, lo, hi, in feet along them) cut at bus stops' zones, hydrants' buffers, signs and meters in turn; tiny pieces merged.
 
     Assets have (blockface_id, at, point_id), as :func:`spatial.snap` gives
-    them. Without assets of a kind its stage passes pieces through.
+    them. Without assets of a kind its stage passes pieces through. A segment's
+    location is the first there is of its meter, sign, hydrant and bus stop.
     """
-    lines = curbs.select("blockface_id", F.col("blockface_id").cast("string").alias("line_id"), "lo", "hi", "lo", "hi").toDF("blockface_id", "line_id", "lo", "hi", "c0", "c1").drop("c0", "c1")
+    lines = curbs.select("blockface_id", F.col("blockface_id").cast("string").alias("line_id"), "lo", "hi")
+    if stops is None:
+        stops = hydrants.limit(0)
     # a stage reads its pieces several times, so each is made once
+    lines = cut(split_by_bus_stops(lines, place(lines, stops), least_feet))
     lines = cut(split_by_buffers(lines, place(lines, hydrants), buffer_feet, least_feet))
     lines = cut(split_by_points(lines, place(lines, signs), suffix="PS"))
     lines = cut(split_by_points(lines, place(lines, meters), suffix="PM"))
-    w = Window.partitionBy("blockface_id").orderBy("lo", "hi", "line_id")
+    w = Window.partitionBy("blockface_id").orderBy(id_order(F.col("line_id")))
     seq = F.row_number().over(w) - 1
     up, down = F.coalesce("pm_start", "ps_start"), F.coalesce("pm_end", "ps_end")
-    asset = F.when(F.coalesce("pm_start", "ps_start").isNotNull(), F.lit("S")).when(F.col("fh_id").isNotNull(), "FH")
-    table = lines.select("blockface_id", F.col("line_id").alias("segment_id"), seq.alias("segment_seq"), (F.col("hi") - F.col("lo")).alias("seg_length"), F.coalesce(up, "fh_id").cast("string").alias("upstream_location"), F.coalesce(down, "fh_id").cast("string").alias("downstream_location"), asset.alias("upstream_asset"), "lo", "hi")
-    filled = fill_boundaries(table)
-    merged = merge_tiny(filled, tiny_feet)
+    asset = F.when(up.isNotNull(), F.lit("S")).when(F.col("fh_id").isNotNull(), "FH").when(F.col("bs_id").isNotNull(), "BS")
+    at = lambda c: F.coalesce(c, "fh_id", "bs_id").cast("string")
+    table = cut(lines.select("blockface_id", F.col("line_id").alias("segment_id"), seq.alias("segment_seq"), (F.col("hi") - F.col("lo")).alias("seg_length"), at(up).alias("upstream_location"), at(down).alias("downstream_location"), asset.alias("upstream_asset"), "lo", "hi"))
+    merged = merge_tiny(fill_boundaries(table), tiny_feet)
     extent = table.select("blockface_id", F.col("segment_seq").alias("part"), "lo", "hi")
     parts = merged.select("blockface_id", "segment_id", F.explode("merged").alias("part")).join(extent, ["blockface_id", "part"]).groupBy("blockface_id", "segment_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     return merged.drop("merged").join(parts, ["blockface_id", "segment_id"])

@@ -6,9 +6,11 @@ x0, y0, x1, y1, cum (length before it) and total (the line's length).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lineage import cut
+
 
 def edge_table(lines: DataFrame, line_id: str, line: str) -> DataFrame:
     """The edges of lines given as arrays of points; edges of no length are left out."""
@@ -57,14 +59,19 @@ def unsnapped(points: DataFrame, snapped: DataFrame, key: str = "point_id") -> D
 def in_polygons(points: DataFrame, polygons: DataFrame, *, key: str = "point_id", cell: float) -> DataFrame:
     """(key, polygon_id) of points strictly inside polygons given as edges (polygon_id, x0, y0, x1, y1).
 
-    Rays go right: a point is inside if they cross an odd number of edges.
-    Points and edges meet in bands of y, so edges are not broadcast; points on
-    an edge are not inside.
+    A point meets the polygons whose box holds a part of its grid cell, and of
+    these only the edges that its band of y touches, so the work follows the
+    points near a polygon and not all in its band. Rays go right: a point is
+    inside if they cross an odd number of edges; points on an edge are not.
     """
     band = lambda y: F.floor(y / cell)
-    p = points.withColumn("band", band(F.col("y")))
+    box = polygons.groupBy("polygon_id").agg(F.min(F.least("x0", "x1")).alias("bx0"), F.min(F.least("y0", "y1")).alias("by0"), F.max(F.greatest("x0", "x1")).alias("bx1"), F.max(F.greatest("y0", "y1")).alias("by1"))
+    tiles = box.withColumn("c", F.explode(cells(F.col("bx0"), F.col("by0"), F.col("bx1"), F.col("by1"), cell))).select("polygon_id", "bx0", "by0", "bx1", "by1", "c.cx", "c.cy")
+    p = points.withColumns({"cx": F.floor(F.col("x") / cell), "cy": band(F.col("y"))})
+    inside_box = F.col("x").between(F.col("bx0"), F.col("bx1")) & F.col("y").between(F.col("by0"), F.col("by1"))
+    near = p.join(tiles, ["cx", "cy"]).where(inside_box).select(key, "polygon_id", "x", "y", F.col("cy").alias("band"))
     e = polygons.withColumn("band", F.explode(F.sequence(band(F.least("y0", "y1")), band(F.greatest("y0", "y1")))))
-    both = p.join(e, "band")
+    both = near.join(e, ["polygon_id", "band"])
     cross = (F.col("x1") - F.col("x0")) * (F.col("y") - F.col("y0")) - (F.col("y1") - F.col("y0")) * (F.col("x") - F.col("x0"))
     on = (cross == 0) & F.col("x").between(F.least("x0", "x1"), F.greatest("x0", "x1")) & F.col("y").between(F.least("y0", "y1"), F.greatest("y0", "y1"))
     spans = (F.col("y0") > F.col("y")) != (F.col("y1") > F.col("y"))
@@ -77,6 +84,43 @@ def bounding_box(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     return points.agg(F.min(x).alias("x0"), F.min(y).alias("y0"), F.max(x).alias("x1"), F.max(y).alias("y1"))
 
 
+def lines_in_envelope(edges: DataFrame, box: tuple[float, float, float, float], margin: float) -> DataFrame:
+    """(line_id) of the lines (an edge table) that meet the box (x0, y0, x1, y1) widened by ``margin``, touching included.
+
+    An edge is clipped at each side of the box: it meets the box if what is
+    left begins no later than it ends.
+    """
+    x0, y0, x1, y1 = box[0] - margin, box[1] - margin, box[2] + margin, box[3] + margin
+
+    def clip(a: Column, b: Column, lo: float, hi: float) -> tuple[Column, Column]:
+        d = F.nullif(b - a, F.lit(0.0))
+        level = F.when(a.between(lo, hi), 0.0)  # null if a level edge lies outside
+        return F.when(a == b, level).otherwise(F.least((lo - a) / d, (hi - a) / d)), F.when(a == b, level + 1).otherwise(F.greatest((lo - a) / d, (hi - a) / d))
+
+    (sx, ex), (sy, ey) = clip(F.col("x0"), F.col("x1"), x0, x1), clip(F.col("y0"), F.col("y1"), y0, y1)
+    some = sx.isNotNull() & sy.isNotNull() & (F.greatest(sx, sy, F.lit(0.0)) <= F.least(ex, ey, F.lit(1.0)))
+    return edges.where(some).select("line_id").distinct()
+
+
+def far_distance(points: DataFrame, edges: DataFrame, *, tolerance: float, key: str = "point_id", most: float) -> DataFrame:
+    """(key, distance) of points further than ``tolerance`` from every line: their distance to the nearest one, null beyond ``most``.
+
+    Each round looks four times as far, with cells that are as much larger, at
+    the points that the round before left; so rounds grow with the logarithm of
+    ``most``, and few points are left for the wide ones.
+    """
+    left = points.join(snap(points, edges, tolerance=tolerance, key=key), key, "left_anti").select(*points.columns)
+    out, reach = None, tolerance
+    while reach < most:
+        reach = min(4 * reach, most)
+        left = cut(left)
+        found = cut(snap(left, edges, tolerance=reach, key=key).select(key, "distance"))
+        out = found if out is None else out.unionByName(found)
+        left = left.join(found, key, "left_anti")
+    rest = left.select(key, F.lit(None).cast("double").alias("distance"))
+    return rest if out is None else out.unionByName(rest)
+
+
 def in_envelope(df: DataFrame, box: tuple[float, float, float, float], margin: float, x: str = "x", y: str = "y") -> DataFrame:
     """Rows whose point lies in the box (x0, y0, x1, y1) widened by ``margin``, edges included."""
     x0, y0, x1, y1 = box
@@ -87,7 +131,8 @@ def linear_overlap(a: DataFrame, b: DataFrame, *, tolerance: float, least: float
     """(a_id, b_id, overlap) of lines (edge tables) that run along each other for more than ``least``.
 
     Edges of B within ``tolerance`` of A's line overlap it over the part of A's
-    edge that they cover; lines that touch or cross do not.
+    edge that they cover; a part that several edges of B cover, as when B
+    doubles back, counts once. Lines that touch or cross do not overlap.
     """
     ea = a.withColumn("c", F.explode(cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), cell, tolerance))).select(F.col("line_id").alias("a_id"), F.col("edge_no").alias("a_no"), "c", *[F.col(k).alias("a" + k) for k in ("x0", "y0", "x1", "y1")])
     eb = b.withColumn("c", F.explode(cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), cell))).select(F.col("line_id").alias("b_id"), F.col("edge_no").alias("b_no"), "c", *[F.col(k).alias("b" + k) for k in ("x0", "y0", "x1", "y1")])
@@ -100,12 +145,16 @@ def linear_overlap(a: DataFrame, b: DataFrame, *, tolerance: float, least: float
     u, v = off(F.col("bx0"), F.col("by0")), off(F.col("bx1"), F.col("by1"))
     # the part of B's edge whose distance from A's line is within the tolerance
     slope = v - u
-    t0 = F.when(slope == 0, F.when(F.abs(u) <= tolerance, 0.0)).otherwise(F.least((F.lit(-tolerance) - u) / slope, (F.lit(tolerance) - u) / slope))
-    t1 = F.when(slope == 0, F.when(F.abs(u) <= tolerance, 1.0)).otherwise(F.greatest((F.lit(-tolerance) - u) / slope, (F.lit(tolerance) - u) / slope))
+    level = slope == 0
+    t0 = F.when(level, 0.0).otherwise(F.least((F.lit(-tolerance) - u) / slope, (F.lit(tolerance) - u) / slope))
+    t1 = F.when(level, 1.0).otherwise(F.greatest((F.lit(-tolerance) - u) / slope, (F.lit(tolerance) - u) / slope))
     lo, hi = F.greatest(F.lit(0.0), t0), F.least(F.lit(1.0), t1)
     p, q = s + (e - s) * lo, s + (e - s) * hi
-    part = F.least(F.greatest(p, q), length) - F.greatest(F.least(p, q), F.lit(0.0))
-    found = pairs.withColumn("part", F.when(hi >= lo, part)).where(F.col("part") > 0)
+    found = pairs.select("a_id", "a_no", "b_id", F.when((hi >= lo) & (~level | (F.abs(u) <= tolerance)), F.greatest(F.least(p, q), F.lit(0.0))).alias("from"), F.least(F.greatest(p, q), length).alias("to")).where(F.col("to") > F.col("from"))
+    # what goes beyond all earlier stretches on the same edge of A
+    before = Window.partitionBy("a_id", "b_id", "a_no").orderBy("from", "to").rowsBetween(Window.unboundedPreceding, -1)
+    fresh = F.col("to") - F.greatest(F.col("from"), F.coalesce(F.max("to").over(before), F.col("from")))
+    found = found.withColumn("part", F.greatest(fresh, F.lit(0.0)))
     return found.groupBy("a_id", "b_id").agg(F.sum("part").alias("overlap")).where(F.col("overlap") > least)
 
 

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import policies as P
-from ..operators import curbs, intervals, policies, publish, quality, segments, signs, spatial, tables
+from ..operators import assets, curbs, intervals, policies, publish, quality, segments, signs, spatial, tables
+from ..operators.lineage import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -63,7 +64,7 @@ def policy_propagation(spark, sf_dir):
 
 @query(_EVENTS + "SELECT CAST(event_id AS VARCHAR) AS segment_id, coalesce(string_agg(policy, ',' ORDER BY policy), '') AS policy_list FROM e LEFT JOIN held ON CAST(event_id AS VARCHAR) = segment_id WHERE event_type NOT IN ('click', 'purchase', 'error') GROUP BY 1")
 def policy_lists(spark, sf_dir):
-    events = _curb_events(spark, sf_dir)
+    events = cut(_curb_events(spark, sf_dir))  # read as faces, arrows and segments
     faces = events.where("segment_id IS NOT NULL").select("blockface_id", "segment_id", F.col("pos").alias("segment_seq"))
     lists = policies.segment_lists(faces, policies.propagate(events))
     return lists.select("segment_id", F.array_join("policy_list", ",").alias("policy_list"))
@@ -155,7 +156,8 @@ c AS (SELECT curb_id, min(s) AS cs, max(e) AS ce FROM k GROUP BY curb_id, no)
 
 @query(_BUFFER + "SELECT c.curb_id, round(cs, 6) AS start, round(ce, 6) AS \"end\", round(min(b.s), 6) AS env_start, round(max(b.e), 6) AS env_end FROM c JOIN b ON b.curb_id = c.curb_id AND b.e > cs AND b.s < ce GROUP BY c.curb_id, cs, ce")
 def buffer_envelopes(spark, sf_dir):
-    e = intervals.envelopes(intervals.buffers(_on_curb(spark, sf_dir), 3.0), "curb_id")
+    # the sweep and the final join both read the buffers
+    e = intervals.envelopes(cut(intervals.buffers(_on_curb(spark, sf_dir), 3.0).select("curb_id", "start_fraction", "end_fraction")), "curb_id")
     return e.select("curb_id", *[F.round(c, 6).alias(c) for c in ("start", "end", "env_start", "env_end")])
 
 
@@ -199,20 +201,21 @@ def _orders(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
 
 
-_CHANGED = "SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders WHERE o_orderkey % 3 = 0"
+#: Open orders are changed rows, those in progress new ones.
+_CHANGED = "SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders WHERE o_orderstatus IN ('O', 'P')"
 
 
-@query(f"WITH c AS ({_CHANGED}) SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey NOT IN (SELECT o_orderkey FROM c) UNION ALL SELECT * FROM c")
+@query(f"WITH c AS ({_CHANGED}) SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus != 'P' AND o_orderkey NOT IN (SELECT o_orderkey FROM c) UNION ALL SELECT * FROM c")
 def keyed_upsert(spark, sf_dir):
     o = _orders(spark, sf_dir)
-    new = o.where("o_orderkey % 3 = 0").withColumns({"o_orderstatus": F.lit("X"), "o_totalprice": F.col("o_totalprice") + 1})
-    return tables.upsert(o.where("o_orderkey % 2 = 0"), new, ["o_orderkey"])
+    new = o.where("o_orderstatus IN ('O', 'P')").withColumns({"o_orderstatus": F.lit("X"), "o_totalprice": F.col("o_totalprice") + 1})
+    return tables.upsert(o.where("o_orderstatus != 'P'"), new, ["o_orderkey"])
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 != 0")
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus != 'P'")
 def keyed_delete(spark, sf_dir):
     o = _orders(spark, sf_dir)
-    return tables.delete(o, o.where("o_orderkey % 3 = 0"), ["o_orderkey"])
+    return tables.delete(o, o.where("o_orderstatus = 'P'"), ["o_orderkey"])
 
 
 @query("""WITH i AS (SELECT o_custkey, o_orderstatus, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS n FROM orders WHERE o_orderstatus = 'F'),
@@ -236,29 +239,33 @@ def filter_by_lists(spark, sf_dir):
     return tables.filter_column(tables.filter_column(part, "p_brand", "drop", [least]), "p_type", "starts_with", ["S"]).select("p_partkey", "p_type")
 
 
-@query("""SELECT 'orders' AS section, 'orphans' AS metric, CAST(count(*) AS DOUBLE) AS value FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 != 0)
+@query("""SELECT 'orders' AS section, 'orphans' AS metric, CAST(count(*) AS DOUBLE) AS value FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
 UNION ALL SELECT 'lineitem', 'repeated_suppliers', CAST(sum(n - 1) AS DOUBLE) FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_suppkey)
 UNION ALL SELECT 'orders', 'open', CAST(count(*) FILTER (o_orderstatus = 'O') AS DOUBLE) FROM orders
 UNION ALL SELECT 'orders', 'customers', CAST(count(DISTINCT o_custkey) AS DOUBLE) FROM orders""")
 def integrity_metrics(spark, sf_dir):
     o, c, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"), table(spark, sf_dir, "lineitem")
-    out = quality.orphans(o, c.where("c_custkey % 10 != 0"), "o_custkey", "c_custkey", "orders", "orphans")
+    out = quality.orphans(o, c.where("c_acctbal >= 0"), "o_custkey", "c_custkey", "orders", "orphans")
     out = out.unionByName(quality.duplicates(li, ["l_orderkey", "l_suppkey"], "lineitem", "repeated_suppliers"))
     return out.unionByName(quality.metrics(o, "orders", {"open": F.count_if(F.col("o_orderstatus") == "O"), "customers": F.count_distinct("o_custkey")}))
 
 
-@query("""WITH a AS (SELECT o_orderpriority AS metric, CAST(count(*) AS DOUBLE) AS old FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1), b AS (SELECT o_orderpriority AS metric, CAST(count(*) AS DOUBLE) AS new FROM orders WHERE o_orderkey % 3 = 0 AND o_orderstatus != 'P' GROUP BY 1)
+@query("""WITH a AS (SELECT o_orderpriority AS metric, CAST(count(*) AS DOUBLE) AS old FROM orders WHERE o_orderstatus != 'O' GROUP BY 1), b AS (SELECT o_orderpriority AS metric, CAST(count(*) AS DOUBLE) AS new FROM orders WHERE o_orderstatus != 'F' GROUP BY 1)
 SELECT 'orders' AS section, metric, old, new, new - old AS delta FROM a FULL JOIN b USING (metric) WHERE old IS DISTINCT FROM new""")
 def snapshot_diff(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     count = lambda df: df.groupBy(F.col("o_orderpriority").alias("metric")).agg(F.count(F.lit(1)).cast("double").alias("value")).withColumn("section", F.lit("orders"))
-    return quality.snapshot_diff(count(o.where("o_orderkey % 2 = 0")), count(o.where("o_orderkey % 3 = 0 AND o_orderstatus != 'P'")))
+    return quality.snapshot_diff(count(o.where("o_orderstatus != 'O'")), count(o.where("o_orderstatus != 'F'")))
 
 
-@query("""WITH v AS (SELECT TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS v FROM events)
+@query("""WITH j AS (SELECT CASE WHEN event_type = 'error' THEN replace(replace(props, '"k": ', '"k": "'), '}', '"}') ELSE props END AS props FROM events),
+v AS (SELECT CASE WHEN json_type(props, '$.k') IN ('BIGINT', 'UBIGINT', 'DOUBLE') THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) END AS v FROM j)
 SELECT 'events' AS section, 'numbers' AS metric, CAST(count(v) AS DOUBLE) AS value FROM v UNION ALL SELECT 'events', 'min', min(v) FROM v UNION ALL SELECT 'events', 'max', max(v) FROM v UNION ALL SELECT 'events', 'mean', round(avg(v), 6) FROM v""")
 def json_numbers(spark, sf_dir):
-    return quality.json_number_stats(table(spark, sf_dir, "events"), "props", "$.k", "events")
+    # errors carry the number as text, which does not count
+    quoted = F.replace(F.replace("props", F.lit('"k": '), F.lit('"k": "')), F.lit("}"), F.lit('"}'))
+    e = table(spark, sf_dir, "events").withColumn("props", F.when(F.col("event_type") == "error", quoted).otherwise(F.col("props")))
+    return quality.json_number_stats(e, "props", "$.k", "events")
 
 
 @query("SELECT coalesce(event_type, '(null)') AS value, count(*) AS n FROM events GROUP BY 1")
@@ -303,7 +310,7 @@ def policy_rules_table(spark, sf_dir):
 
 
 @query("""WITH l AS (SELECT DISTINCT o_custkey AS route, o_orderkey AS id, CAST(o_totalprice AS BIGINT) % 1000 AS lo, CAST(o_totalprice AS BIGINT) % 1000 + 100 AS hi, o_orderkey % 4 AS pol FROM orders),
-o AS (SELECT * FROM l WHERE id % 2 = 0), n AS (SELECT id, route, lo + CASE WHEN id % 3 = 0 THEN 5 ELSE 0 END AS lo, hi + CASE WHEN id % 3 = 0 THEN 5 ELSE 0 END AS hi, CASE WHEN id % 5 = 0 THEN 9 ELSE pol END AS pol FROM o WHERE id % 7 != 0),
+o AS (SELECT * FROM l), n AS (SELECT id, route, lo + CASE WHEN id % 3 = 0 THEN 5 ELSE 0 END AS lo, hi + CASE WHEN id % 3 = 0 THEN 5 ELSE 0 END AS hi, CASE WHEN id % 5 = 0 THEN 9 ELSE pol END AS pol FROM o WHERE id % 7 != 0),
 p AS (SELECT o.id AS old_id, n.id AS new_id, o.lo = n.lo AND o.hi = n.hi AS eq, o.pol = n.pol AS alike FROM o JOIN n ON o.route = n.route AND least(o.hi, n.hi) > greatest(o.lo, n.lo)),
 oc AS (SELECT o.id, bool_or(eq AND alike) AS alike, bool_or(eq) AS eq, bool_or(NOT eq) AS hit FROM o LEFT JOIN p ON old_id = o.id GROUP BY 1)
 SELECT 'o' || id AS zone_id, CASE WHEN alike THEN 'keep' WHEN eq THEN 'relink' WHEN hit THEN 'retire' ELSE 'keep' END AS change FROM oc
@@ -312,12 +319,15 @@ def zone_changes(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     # whole numbers, rounded half to even as a cast of a double is in SQL
     lo = F.rint("o_totalprice").cast("long") % 1000
-    base = o.select(F.col("o_custkey").alias("route"), F.col("o_orderkey").alias("id"), lo.alias("lo"), (lo + 100).alias("hi"), (F.col("o_orderkey") % 4).cast("string").alias("pol")).where("id % 2 = 0")
+    base = o.select(F.col("o_custkey").alias("route"), F.col("o_orderkey").alias("id"), lo.alias("lo"), (lo + 100).alias("hi"), (F.col("o_orderkey") % 4).cast("string").alias("pol"))
     shift = F.when(F.col("id") % 3 == 0, 5).otherwise(0)
     old = base.withColumn("curb_zone_id", F.concat(F.lit("o"), "id"))
     new = base.where("id % 7 != 0").select("route", (F.col("lo") + shift).alias("nlo"), (F.col("hi") + shift).alias("nhi"), F.when(F.col("id") % 5 == 0, "9").otherwise(F.col("pol")).alias("npol"), F.concat(F.lit("n"), "id").alias("new_id"))
-    pairs = old.join(new, "route").where(F.least("hi", "nhi") > F.greatest("lo", "nlo"))
-    overlaps = pairs.select(F.col("curb_zone_id").alias("old_id"), "new_id", ((F.col("lo") == F.col("nlo")) & (F.col("hi") == F.col("nhi"))).alias("equivalent"))
+    # each route is a street of its own, on which zones lie from lo to hi
+    edge = lambda df, name, a, b: df.select(F.col(name).alias("line_id"), F.lit(0).alias("edge_no"), F.col(a).cast("double").alias("x0"), (F.col("route") * 10.0).alias("y0"), F.col(b).cast("double").alias("x1"), (F.col("route") * 10.0).alias("y1"))
+    found = spatial.linear_overlap(edge(old, "curb_zone_id", "lo", "hi"), edge(new, "new_id", "nlo", "nhi"), tolerance=0.001, least=0.01, cell=128.0)
+    pairs = found.join(old.select(F.col("curb_zone_id").alias("a_id"), "lo", "hi"), "a_id").join(new.select(F.col("new_id").alias("b_id"), "nlo", "nhi"), "b_id")
+    overlaps = pairs.select(F.col("a_id").alias("old_id"), F.col("b_id").alias("new_id"), ((F.col("lo") == F.col("nlo")) & (F.col("hi") == F.col("nhi"))).alias("equivalent"))
     return publish.zone_changes(new.select(F.col("new_id").alias("curb_zone_id")), old, overlaps, new.select(F.col("new_id").alias("curb_zone_id"), F.col("npol").alias("curb_policy_id")), old.select("curb_zone_id", F.col("pol").alias("curb_policy_id")))
 
 
@@ -376,9 +386,9 @@ def reprojection(spark, sf_dir):
     return c.select("c_custkey", F.round("x", 2).alias("x"), F.round("y", 2).alias("y"), F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
 
 
-@query("SELECT l_orderkey, count(*) AS n, min(l_linenumber) AS lo, max(l_linenumber) AS hi, count(DISTINCT l_linenumber) AS different FROM lineitem WHERE l_quantity > 5 GROUP BY 1 HAVING min(l_linenumber) != 1 OR max(l_linenumber) != count(*) OR count(DISTINCT l_linenumber) != count(*)")
+@query("SELECT l_orderkey, count(*) AS n, min(l_linenumber) AS lo, max(l_linenumber) AS hi, count(DISTINCT l_linenumber) AS different FROM lineitem GROUP BY 1 HAVING min(l_linenumber) != 1 OR max(l_linenumber) != count(*) OR count(DISTINCT l_linenumber) != count(*)")
 def sequence_audit(spark, sf_dir):
-    return quality.sequence_faults(table(spark, sf_dir, "lineitem").where("l_quantity > 5"), "l_orderkey", "l_linenumber", 1)
+    return quality.sequence_faults(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", 1)
 
 
 @query("SELECT l_orderkey, count(DISTINCT l_returnflag) AS different FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag) > 1")
@@ -398,13 +408,24 @@ def set_reconciliation(spark, sf_dir):
     return tables.reconcile(c.select(F.col("c_custkey").alias("k")), o.where("o_orderstatus = 'O'").select(F.col("o_custkey").alias("k")), "k")
 
 
-@query("""WITH l AS (SELECT l_orderkey, string_agg(l_linenumber || ':' || l_partkey, ',' ORDER BY l_linenumber, l_partkey) AS lines, count(*) AS n FROM lineitem GROUP BY 1)
-SELECT o_orderkey, o_orderstatus, coalesce(lines, '') AS lines, coalesce(n, 0) AS n FROM orders LEFT JOIN l ON o_orderkey = l_orderkey""")
+@query("""SELECT p_partkey, ['no stopping','no loading','no parking','parking','loading'][p_partkey % 5 + 1] || ':' || coalesce(CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size * 30 AS VARCHAR) END, '') AS rules,
+ CASE WHEN p_partkey % 7 = 0 THEN 'tue,mon' ELSE 'mon,tue,wed,thu,fri,sat,sun' END || '@' || CASE WHEN p_partkey % 7 = 0 THEN '08:00' ELSE '00:00' END AS spans FROM part""")
 def nested_view(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("ls"))
-    o = table(spark, sf_dir, "orders").join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    text = F.array_join(F.transform("ls", lambda s: F.concat_ws(":", s["l_linenumber"], s["l_partkey"])), ",")
-    return o.select("o_orderkey", "o_orderstatus", F.coalesce(text, F.lit("")).alias("lines"), F.coalesce(F.size("ls"), F.lit(0)).cast("long").alias("n"))
+    p = _part_policies(spark, sf_dir).select(F.col("p_partkey").cast("string").alias("curb_policy_id"), "policy_json")
+    view = publish.nested_policies(publish.policy_tables(p))
+    rule = F.transform("rules", lambda r: F.concat(r["activity"], F.lit(":"), F.coalesce(r["max_stay"].cast("string"), F.lit(""))))
+    span = F.transform("time_spans", lambda t: F.concat(F.array_join(t["days_of_week"], ","), F.lit("@"), t["time_of_day_start"]))
+    return view.select(F.col("curb_policy_id").cast("long").alias("p_partkey"), F.array_join(rule, ";").alias("rules"), F.array_join(span, ";").alias("spans"))
+
+
+@query("SELECT rows_differ, n FROM (SELECT 0 AS rows_differ, count(*) AS n FROM orders)")
+def table_fingerprint(spark, sf_dir):
+    """The number of orders, and whether the fingerprints of the table and of its rows dealt anew differ."""
+    o = _orders(spark, sf_dir)
+    a, b = tables.fingerprint(o), tables.fingerprint(o.repartition(16, "o_custkey"))
+    differ = (F.col("rows") != F.col("rows2")) | (F.col("total") != F.col("total2")) | (F.col("mixed") != F.col("mixed2"))
+    both = a.withColumn("one", F.lit(1)).join(b.toDF("rows2", "total2", "mixed2").withColumn("one", F.lit(1)), "one")
+    return both.select(differ.cast("int").alias("rows_differ"), F.col("rows").alias("n"))
 
 
 @query("SELECT sha256(text) AS name, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1")
@@ -429,12 +450,6 @@ def line_remainders(spark, sf_dir):
     return intervals.remainder(lines, removed, "id")
 
 
-@query("SELECT count(*) AS n_rows, CAST(sum(CAST('0x' || substr(md5(o_orderkey || '|' || o_custkey || '|' || o_orderstatus), 1, 12) AS BIGINT)) AS DOUBLE) AS total FROM orders")
-def table_fingerprint(spark, sf_dir):
-    h = F.conv(F.substring(F.md5(F.concat_ws("|", "o_orderkey", "o_custkey", "o_orderstatus")), 1, 12), 16, 10).cast("decimal(38,0)")
-    return table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(h).cast("double").alias("total"))
-
-
 @query("SELECT count(*) FILTER (a > 1) AS repeated_over_jobs, count(*) FILTER (o > 1) AS repeated_in_job, max(a) AS most_rows FROM (SELECT count(*) AS a, count(*) FILTER (l_returnflag = 'A') AS o FROM lineitem GROUP BY l_orderkey)")
 def job_filter_audit(spark, sf_dir):
     return quality.job_filter(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_returnflag", "A")
@@ -464,3 +479,100 @@ def sign_preprocessing(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", F.col("value").alias("x"), F.col("value").alias("y"), F.when(F.col("event_type") == "error", "Removed").alias("status"))
     out = signs.preprocess(e, key="user_id", modified="ts", inspected="event_id", code="event_type", prefixes=["E", "c"], cell=10.0)
     return out.select("user_id", "sign_removed_date", "event_id")
+
+
+_STOPS = _ON + """, t AS (SELECT curb_id, point_id, fraction, length_ft, fraction * length_ft AS a FROM on_curb),
+z AS (SELECT curb_id, point_id, length_ft, a, least(greatest(0.0, a + CASE WHEN fraction <= 0.3 THEN 75.0 ELSE -75.0 END), length_ft) AS b FROM t),
+e AS (SELECT curb_id, length_ft, least(a, b) / length_ft AS pos, point_id FROM z UNION ALL SELECT curb_id, length_ft, greatest(a, b) / length_ft, NULL FROM z UNION ALL SELECT DISTINCT p_partkey, p_size * 10.0::DOUBLE + 20, unnest([0.0::DOUBLE, 1.0::DOUBLE]), NULL FROM part),
+g AS (SELECT curb_id, length_ft, pos, min(point_id) AS point_id FROM e GROUP BY 1, 2, 3),
+c AS (SELECT *, lead(pos) OVER (PARTITION BY curb_id ORDER BY pos) AS next FROM g)
+SELECT curb_id, CAST(row_number() OVER (PARTITION BY curb_id ORDER BY pos) AS INTEGER) AS piece, round(pos * length_ft, 4) + 0 AS lo, round(next * length_ft, 4) AS hi, point_id AS bs_id FROM c WHERE (next - pos) * length_ft >= 0.5"""
+
+
+@query(_STOPS)
+def bus_stop_segments(spark, sf_dir):
+    lines = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("line_id"), F.col("p_partkey").alias("curb_id"), F.lit(0.0).alias("lo"), (F.col("p_size") * 10.0 + 20).alias("hi"))
+    stops = _on_curb(spark, sf_dir).select(F.col("curb_id").alias("line_id"), (F.col("fraction") * F.col("length_ft")).alias("at"), "point_id")
+    made = segments.split_by_bus_stops(lines, stops, 0.5)
+    return made.select("curb_id", F.element_at(segments.id_order(F.col("line_id"), 1), 1).alias("piece"), (F.round("lo", 4) + 0).alias("lo"), F.round("hi", 4).alias("hi"), "bs_id")
+
+
+@query("""SELECT DISTINCT l_partkey AS point_id, p_size AS x FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_returnflag != 'R' UNION SELECT DISTINCT l_suppkey, p_size FROM lineitem JOIN part ON p_partkey = l_suppkey WHERE l_returnflag != 'R'""")
+def meter_locations(spark, sf_dir):
+    """Meters that begin at a part and end at a supplier's number, at the parts as locations."""
+    places = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("asset_location_id"), F.col("p_size").alias("x"), F.lit("j").alias("job_id"))
+    li = table(spark, sf_dir, "lineitem").where("l_returnflag != 'R'")
+    return assets.meters(li.select(_point_id().alias("meter_policy_id"), F.col("l_partkey").alias("start_asset_location_id"), F.col("l_suppkey").alias("end_asset_location_id")), places, job_id="j").select("point_id", "x")
+
+
+@query("""WITH l AS (SELECT c_custkey AS id, c_custkey % 1000 * 10.0::DOUBLE AS x0, c_acctbal AS y0, c_custkey % 1000 * 10.0::DOUBLE + 25 AS x1 FROM customer)
+SELECT id AS line_id FROM l WHERE x1 >= 1980 AND x0 <= 5020 AND y0 >= 480 AND y0 <= 5020""")
+def envelope_lines(spark, sf_dir):
+    """Level lines of customers that meet a box."""
+    x = F.col("c_custkey") % 1000 * 10.0
+    edges = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("line_id"), x.alias("x0"), F.col("c_acctbal").alias("y0"), (x + 25).alias("x1"), F.col("c_acctbal").alias("y1"))
+    return spatial.lines_in_envelope(edges, (2000.0, 500.0, 5000.0, 5000.0), 20.0)
+
+
+@query("""WITH a AS (SELECT o_orderkey, '[' || array_to_string(list_transform(range(o_orderkey % 4), lambda i: CAST(i AS VARCHAR)), ',') || ']' AS j FROM orders WHERE o_orderstatus != 'P' UNION ALL SELECT o_orderkey, '{"a":1}' FROM orders WHERE o_orderstatus = 'P'),
+n AS (SELECT CASE WHEN json_type(j) = 'ARRAY' THEN json_array_length(j) END AS n FROM a)
+SELECT 'orders' AS section, unnest(['arrays', 'empty', 'not_arrays', 'max_length', 'mean_length']) AS metric, unnest([count(n)::DOUBLE, (count(*) FILTER (n = 0))::DOUBLE, (count(*) FILTER (n IS NULL))::DOUBLE, max(n)::DOUBLE, round(avg(n), 6)]) AS value FROM n""")
+def json_arrays(spark, sf_dir):
+    k = (F.col("o_orderkey") % 4).cast("int")
+    text = F.when(F.col("o_orderstatus") == "P", F.lit('{"a":1}')).otherwise(F.to_json(F.when(k > 0, F.sequence(F.lit(0), F.greatest(k, F.lit(1)) - 1)).otherwise(F.array().cast("array<int>"))))
+    return quality.array_stats(table(spark, sf_dir, "orders").select(text.alias("j")), "j", "orders")
+
+
+@query("SELECT ['no stopping','no loading','no parking','parking','loading'][p_partkey % 5 + 1] AS value, count(*) AS n FROM part GROUP BY 1")
+def activities(spark, sf_dir):
+    return quality.activity_counts(_part_policies(spark, sf_dir), "policy_json")
+
+
+@query("""WITH c AS (SELECT md5(policy) AS id, policy FROM (SELECT DISTINCT CAST(p_partkey % 5 AS VARCHAR) || '|' || CAST(p_partkey % 2 AS VARCHAR) AS policy FROM part))
+SELECT count(*) AS n_policies, (SELECT count(*) FROM (SELECT DISTINCT p_partkey, p_partkey % 5, p_partkey % 2 FROM part)) AS n_links FROM c""")
+def unique_policies(spark, sf_dir):
+    """How many different policies zones of parts have, whatever the order of their keys, and how many links."""
+    k = F.col("p_partkey")
+    a = F.concat(F.lit('{"a":'), (k % 5).cast("string"), F.lit(',"b":'), (k % 2).cast("string"), F.lit("}"))
+    b = F.concat(F.lit('{"b": '), (k % 2).cast("string"), F.lit(', "a": '), (k % 5).cast("string"), F.lit("}"))
+    policies_, links = publish.unique_policies(table(spark, sf_dir, "part").select(k.alias("curb_zone_id"), F.array(F.when(k % 3 == 0, a).otherwise(b)).alias("policy_list")))
+    one = policies_.agg(F.count(F.lit(1)).alias("n_policies")).withColumn("one", F.lit(1))
+    return one.join(links.agg(F.count(F.lit(1)).alias("n_links")).withColumn("one", F.lit(1)), "one").select("n_policies", "n_links")
+
+
+@query("""WITH z AS (SELECT o_custkey AS b, o_orderkey AS q, o_orderstatus AS p FROM orders), c AS (SELECT *, CASE WHEN p IS DISTINCT FROM lag(p) OVER w OR lag(q) OVER w IS NULL THEN 1 ELSE 0 END AS new FROM z WINDOW w AS (PARTITION BY b ORDER BY q)),
+g AS (SELECT b, p, sum(new) OVER (PARTITION BY b ORDER BY q) AS no, q FROM c)
+SELECT b AS blockface_id, p AS policy, count(*) + 1 AS points, min(q)::DOUBLE AS x0 FROM g GROUP BY b, p, no""")
+def zones(spark, sf_dir):
+    """Runs of a customer's orders with one status as zones."""
+    q = F.col("o_orderkey").cast("double")
+    # each line begins where the one before it ended
+    after = F.lead("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    line = F.array(G.point(q, F.lit(0.0)), G.point(F.coalesce(after.cast("double"), q + 1), F.lit(0.0)))
+    s = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("blockface_id"), F.col("o_orderkey").alias("segment_seq"), F.array("o_orderstatus").alias("policy_list"), line.alias("line"))
+    made = publish.zones_from_segments(s)
+    return made.select("blockface_id", F.col("policy_list")[0].alias("policy"), F.size("line").cast("long").alias("points"), F.col("line")[0]["x"].alias("x0"))
+
+
+@query("""WITH l AS (SELECT s_suppkey AS loc FROM supplier), a AS (SELECT l_suppkey AS loc, 'p' || (l_partkey % 7) AS pol, CASE l_returnflag WHEN 'A' THEN 'left' WHEN 'R' THEN 'both' END AS arrow FROM lineitem WHERE l_linestatus = 'O'
+ UNION ALL SELECT l_suppkey, 'm' || (l_linenumber), 'AWAY' FROM lineitem WHERE l_linestatus = 'F' UNION ALL SELECT l_partkey, 'm' || (l_linenumber), 'TOWARD' FROM lineitem WHERE l_linestatus = 'F')
+SELECT loc AS location_id, pol AS policy_json, arrow, count(*) AS n FROM l JOIN a USING (loc) GROUP BY 1, 2, 3""")
+def location_policies(spark, sf_dir):
+    """Signs are open lines at their suppliers, meters the others from supplier to part number."""
+    li, k = table(spark, sf_dir, "lineitem"), _point_id()
+    places = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("asset_location_id"))
+    signs_ = li.where("l_linestatus = 'O'").select(k.alias("sign_id"), F.col("l_suppkey").alias("sign_location_id"))
+    read = li.where("l_linestatus = 'O'").select(k.alias("sign_id"), F.concat(F.lit("p"), F.col("l_partkey") % 7).alias("policy_json"), F.when(F.col("l_returnflag") == "A", "left").when(F.col("l_returnflag") == "R", "both").alias("policy_arrow"))
+    meters = li.where("l_linestatus = 'F'").select(F.col("l_suppkey").alias("start_asset_location_id"), F.col("l_partkey").alias("end_asset_location_id"), F.concat(F.lit("m"), "l_linenumber").alias("policy_json"))
+    found = policies.location_policies(places, signs_, read, meters)
+    return found.groupBy("location_id", "policy_json", "arrow").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT p_partkey AS line_id, round(p_partkey * 2000.0::DOUBLE + 20, 6) AS y, 2 AS parts FROM part")
+def connected_parts(spark, sf_dir):
+    """Curbs given as two parts, the second turned round, connected to one line."""
+    y = F.col("p_partkey") * 2000.0
+    a, b = F.array(G.point(F.lit(0.0), y), G.point(F.lit(50.0), y)), F.array(G.point(F.lit(80.0), y + 20), G.point(F.lit(51.0), y))
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("line_id"), F.posexplode(F.array(a, b)).alias("part", "line"))
+    made = curbs.connect_parts(parts, "line_id")
+    return made.select("line_id", F.round(F.element_at("line", -1)["y"], 6).alias("y"), (F.size("line") - 2).alias("parts"))

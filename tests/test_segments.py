@@ -2,9 +2,11 @@
 
 import pytest
 
-from kerbspark.operators import curbs, intervals, segments
+from pyspark.sql import functions as F
 
-# assets: kind and position (meters are pairs); expected: [from, to] and numbers of upstream and downstream locations
+from kerbspark.operators import assets, curbs, intervals, segments
+
+# assets: kind and position (meters are pairs; those at one position share its location); expected: [from, to] and numbers of upstream and downstream locations
 CASES = {
     0: ("S20", [(1, 20, 0, 1), (20, 100, 1, 0)]),
     1: ("S30 S60", [(1, 30, 0, 1), (30, 60, 1, 1), (60, 100, 1, 0)]),
@@ -22,13 +24,13 @@ CASES = {
 
 
 def test_golden_segmentations(spark):
-    faces, assets = [], {"H": [], "S": [], "M": []}
+    faces, placed = [], {"H": [], "S": [], "M": []}
     for case, (text, _) in CASES.items():
         faces.append((f"c{case:02d}", 1.0, 100.0))
-        for n, a in enumerate(text.split()):
-            assets[a[0]].append((f"c{case:02d}", float(a[1:]), f"{case:02d}-{a}-{n}"))
+        for a in sorted(set(text.split())):
+            placed[a[0]].append((f"c{case:02d}", float(a[1:]), f"{case:02d}-{a}"))
     kind = "blockface_id string, at double, point_id string"
-    made = segments.segment_curbs(spark.createDataFrame(faces, "blockface_id string, lo double, hi double"), *[spark.createDataFrame(assets[k], kind) for k in "HSM"])
+    made = segments.segment_curbs(spark.createDataFrame(faces, "blockface_id string, lo double, hi double"), *[spark.createDataFrame(placed[k], kind) for k in "HSM"])
     got = {}
     for r in made.orderBy("blockface_id", "segment_seq").collect():
         got.setdefault(r["blockface_id"], []).append((round(r["lo"], 5), round(r["hi"], 5), len(r["upstream_loc_list"] or []), len(r["downstream_loc_list"] or [])))
@@ -42,6 +44,38 @@ def test_curbs_without_assets_pass_through(spark):
     assert [(r["lo"], r["hi"]) for r in made] == [(0.0, 50.0)]
 
 
+def test_bus_stops_cut_first_and_pieces_sort_by_number(spark):
+    kind = "blockface_id string, at double, point_id string"
+    none = spark.createDataFrame([], kind)
+    face = spark.createDataFrame([("a", 0.0, 400.0), ("b", 0.0, 1000.0)], "blockface_id string, lo double, hi double")
+    # near side: the zone lies before the stop; far side: after it; the middle one is cut by a hydrant too
+    stops = spark.createDataFrame([("a", 300.0, "s1"), ("a", 20.0, "s2"), ("b", 400.0, "s3")], kind)
+    signs = spark.createDataFrame([("b", 10.0 * i, f"p{i:02d}") for i in range(1, 13)], kind)
+    made = segments.segment_curbs(face, spark.createDataFrame([("b", 360.0, "h1")], kind), signs, none, stops).orderBy("blockface_id", "segment_seq").collect()
+    assert [(r["lo"], r["hi"], r["upstream_location"], r["downstream_location"]) for r in made if r["blockface_id"] == "a"] == [(0.0, 20.0, None, "s2"), (20.0, 95.0, "s2", "s2"), (95.0, 225.0, "s2", "s1"), (225.0, 300.0, "s1", "s1"), (300.0, 400.0, "s1", None)]
+    b = [(r["lo"], r["hi"], r["segment_seq"]) for r in made if r["blockface_id"] == "b"]
+    assert [x[2] for x in b] == list(range(len(b))) and [x[0] for x in b] == sorted(x[0] for x in b) and b[0][0] == 0 and b[-1][1] == 1000
+    assert [x[0] for x in b][12:] == [120.0, 325.0, 350.0, 370.0, 400.0]
+
+
+def test_ids_sort_by_their_numbers(spark):
+    ids = ["b:BS1:FH1:PS10:PM1", "b:BS1:FH1:PS2:PM2", "b:BS2:FH1:PS1:PM1", "b:BS1:FH1:PS2:PM10", "b:BS10:FH1:PS1:PM1"]
+    got = spark.createDataFrame([(x,) for x in ids], "id string").orderBy(segments.id_order(F.col("id"))).collect()
+    assert [r["id"] for r in got] == [ids[i] for i in (1, 3, 0, 2, 4)]
+
+
+def test_assets_are_loaded_once_for_each_location(spark):
+    places = spark.createDataFrame([(1, 5.0, "j"), (2, 6.0, "j"), (3, 7.0, "old"), (4, 8.0, "j"), (4, 8.0, "j")], "asset_location_id long, x double, job_id string")
+    meters = spark.createDataFrame([(10, 1, 2), (11, 2, 4), (12, 3, None)], "meter_policy_id long, start_asset_location_id long, end_asset_location_id long")
+    assert sorted((r["point_id"], r["x"]) for r in assets.meters(meters, places, job_id="j").collect()) == [(1, 5.0), (2, 6.0), (4, 8.0)]
+    signs = spark.createDataFrame([(1, 1, None), (2, 1, None), (3, 2, "2024-01-01"), (4, None, None)], "sign_id long, sign_location_id long, sign_removed_date string")
+    assert [r["point_id"] for r in assets.active_signs(signs, places, job_id="j").collect()] == [1]
+    features = spark.createDataFrame([(1, 4, "fire_hydrant"), (2, 2, "bus_stop")], "feature_id long, feature_location long, feature_type string")
+    assert [r["point_id"] for r in assets.features(features, places, "fire_hydrant", job_id="j").collect()] == [4]
+    with pytest.raises(ValueError):
+        assets.meters(meters, places, job_id="")
+
+
 def test_remainder_and_pieces_cover_the_line(spark):
     lines = spark.createDataFrame([(1, 0.0, 100.0), (2, 0.0, 10.0)], "id int, lo double, hi double")
     removed = spark.createDataFrame([(1, -5.0, 10.0), (1, 5.0, 20.0), (1, 50.0, 60.0), (1, 55.0, 58.0), (2, 0.0, 10.0)], "id int, lo double, hi double")

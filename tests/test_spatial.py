@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,12 +41,53 @@ def test_projection_round_trip(spark):
 
 def test_overlap_and_equivalence(spark):
     old = lines(spark, [("o", [(0.0, 0.0), (100.0, 0.0)])])
-    new = lines(spark, [("same", [(0.0, 0.0005), (50.0, 0.0), (100.0, 0.0)]), ("half", [(0.0, 0.0), (50.0, 0.0)]), ("next", [(100.0, 0.0), (200.0, 0.0)]), ("cross", [(50.0, -50.0), (50.0, 50.0)])])
+    new = lines(spark, [("same", [(0.0, 0.0005), (50.0, 0.0), (100.0, 0.0)]), ("half", [(0.0, 0.0), (50.0, 0.0)]), ("next", [(100.0, 0.0), (200.0, 0.0)]), ("cross", [(50.0, -50.0), (50.0, 50.0)]), ("beside", [(0.0, 1.0), (100.0, 1.0)])])
     got = spatial.linear_overlap(spatial.edge_table(old, "id", "line"), spatial.edge_table(new, "id", "line"), tolerance=0.001, least=0.01, cell=30.0)
     assert {r["b_id"]: round(r["overlap"], 3) for r in got.collect()} == {"same": 100.0, "half": 50.0}
     both = old.crossJoin(new.select(F.col("id").alias("n"), F.col("line").alias("l2")))
     eq = both.select("n", publish.equivalent(F.col("line"), F.col("l2"), spatial.hausdorff(F.col("line"), F.col("l2")), 0.001).alias("eq"))
-    assert {r["n"]: r["eq"] for r in eq.collect()} == {"same": True, "half": False, "next": False, "cross": False}
+    assert {r["n"]: r["eq"] for r in eq.collect()} == {"same": True, "half": False, "next": False, "cross": False, "beside": False}
+
+
+def test_a_line_that_doubles_back_overlaps_once(spark):
+    old = lines(spark, [("o", [(0.0, 0.0), (100.0, 0.0)])])
+    new = lines(spark, [("back", [(20.0, 0.0), (70.0, 0.0), (40.0, 0.0), (90.0, 0.0)])])
+    got = spatial.linear_overlap(spatial.edge_table(old, "id", "line"), spatial.edge_table(new, "id", "line"), tolerance=0.001, least=0.01, cell=30.0)
+    assert [round(r["overlap"], 6) for r in got.collect()] == [70.0]
+
+
+def test_lines_in_an_envelope(spark):
+    found = [("through", [(-5.0, 5.0), (15.0, 6.0)]), ("inside", [(4.0, 4.0), (6.0, 6.0)]), ("corner", [(-2.0, 10.0), (2.0, 14.0)]), ("touch", [(11.0, -5.0), (11.0, 20.0)]), ("level", [(-9.0, 0.0), (30.0, 0.0)])]
+    apart = [("past", [(12.0, 0.0), (12.0, 9.0)]), ("over", [(0.0, 12.0), (9.0, 12.0)]), ("slant", [(10.0, 14.0), (14.0, 10.0)])]
+    edges = spatial.edge_table(lines(spark, found + apart), "id", "line")
+    assert {r["line_id"] for r in spatial.lines_in_envelope(edges, (0.0, 0.0, 10.0, 10.0), 1.0).collect()} == {"through", "inside", "corner", "touch", "level"}
+
+
+def test_distance_beyond_the_tolerance(spark):
+    e = spatial.edge_table(lines(spark, [("a", [(0.0, 0.0), (100.0, 0.0)])]), "id", "line")
+    points = spark.createDataFrame([(1, 50.0, 10.0), (2, 50.0, 40.0), (3, 50.0, 700.0), (4, 50.0, 2000.0)], "point_id int, x double, y double")
+    got = {r["point_id"]: r["distance"] for r in spatial.far_distance(points, e, tolerance=30.0, most=1000.0).collect()}
+    assert got == {2: 40.0, 3: 700.0, 4: None}
+
+
+def brute_connect(parts):
+    rest = [list(p) for p in parts]
+    line = rest.pop(max(range(len(rest)), key=lambda i: (sum(math.dist(a, b) for a, b in zip(rest[i], rest[i][1:])), -i)))
+    while rest:
+        ways = [(d, i, w) for i, p in enumerate(rest) for w, d in enumerate((math.dist(line[-1], p[0]), math.dist(line[-1], p[-1]), math.dist(line[0], p[0]), math.dist(line[0], p[-1])))]
+        _, i, w = min(ways)
+        p = rest.pop(i)
+        p = p[::-1] if w in (1, 2) else p
+        line = line + p if w < 2 else p + line
+    return line
+
+
+def test_parts_are_connected_by_their_nearest_ends(spark):
+    rng = random.Random(4)
+    features = {k: [[(float(rng.randint(0, 50)), float(rng.randint(0, 50))) for _ in range(rng.randint(2, 4))] for _ in range(rng.randint(1, 5))] for k in range(30)}
+    rows = [(k, n, p) for k, ps in features.items() for n, p in enumerate(ps)] + [(99, 0, [(1.0, 1.0)])]
+    got = curbs.connect_parts(spark.createDataFrame(rows, "id int, part int, line array<struct<x:double,y:double>>"), "id").collect()
+    assert {r["id"]: [tuple(p) for p in r["line"]] for r in got} == {k: brute_connect(ps) for k, ps in features.items()}
 
 
 def test_offsets_are_parallel(spark):

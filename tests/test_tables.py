@@ -152,3 +152,9 @@ def test_snapshots_and_warnings(spark, people):
     x = spark.createDataFrame([(1, [1, 2]), (2, [3])], "k int, v array<int>")
     y = spark.createDataFrame([(1, [2, 1]), (2, [4])], "k int, v array<int>")
     assert [r["k"] for r in quality.same_content(x, y, ["k"], ["v"]).collect()] == [2]
+
+
+def test_json_numbers_are_told_by_type(spark):
+    rows = ['{"k":7}', '{"k":"7"}', '{"k":2.5}', '{"k":true}', '{"k":null}', '{"k":[1]}', "{}", "no json", None, '{"k":-1e3}']
+    got = quality.json_number_stats(spark.createDataFrame([(r,) for r in rows], "j string"), "j", "$.k", "s").collect()
+    assert {r["metric"]: r["value"] for r in got} == {"numbers": 3.0, "min": -1000.0, "max": 7.0, "mean": round(-990.5 / 3, 6)}
