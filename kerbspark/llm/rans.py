@@ -27,7 +27,7 @@ from .tokens import encoder, with_end
 MAGIC = b"RNS1"
 SCALE_BITS = 20
 LOW = np.uint64(1 << 31)
-SEGMENT_IDS, BLOCK_IDS, LANES, CHECK_STEPS = 1 << 21, 1 << 17, 512, 128
+SEGMENT_IDS, BLOCK_IDS, LANES, CHECK_STEPS = 1 << 21, 1 << 18, 1024, 64
 _BLOCK = struct.Struct("<IIHHII")
 
 
@@ -125,8 +125,9 @@ def encode_segment(keys: list[int | None], lengths: list[int], ids: np.ndarray)
     return MAGIC + struct.pack("<IIIII", len(keys), len(blocks), len(index), len(freq), len(packed)) + index + packed + b"".join(blocks)
 
 
-def decode_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
+def decode_segment(data: bytes | pa.Buffer) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     """Keys, lengths and ids of a segment's documents."""
+    data = memoryview(data)
     if data[:4] != MAGIC:
         raise ValueError("not a segment of token ids")
     docs, blocks, index_size, symbols, table_size = struct.unpack_from("<IIIII", data, 4)
@@ -192,22 +193,21 @@ def read_ids(spark: SparkSession, path: str, *, key: str = "doc_id") -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, number, data in zip(*(batch.column(c).to_pylist() for c in ("part", "segment", "data")), strict=True):
-                keys, lengths, ids = decode_segment(data)
+            for before, data in zip(batch.column("before").to_pylist(), batch.column("data"), strict=True):
+                keys, lengths, ids = decode_segment(data.as_buffer())
                 ends = np.cumsum(lengths)
-                raw = ids.astype("<u4")
-                texts = [raw[e - n : e].tobytes() for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
-                same = lambda x: pa.array(np.full(len(keys), x, np.int32))
-                yield pa.RecordBatch.from_arrays([same(part), same(number), pa.array(keys, pa.int64()), pa.array(ends - lengths), pa.array(lengths), pa.array(texts, pa.binary())], ["part", "segment", "key", "within", "n_tokens", "ids"])
+                raw = pa.py_buffer(ids.astype("<u4"))
+                texts = pa.Array.from_buffers(pa.binary(), len(keys), [None, pa.py_buffer(np.append(0, 4 * ends).astype(np.int32)), raw])
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(before + ends - lengths), pa.array(lengths), texts], ["key", "start", "n_tokens", "ids"])
 
-    docs = rows.select("part", "segment", "data").mapInArrow(run, "part int, segment int, key long, within long, n_tokens long, ids binary")
+    # the ids before each part and segment; then the coded rows are joined to these, and decoded last
     earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     parts = rows.groupBy("part").agg(F.sum("n_ids").alias("n")).withColumn("one", F.lit(1))
     parts = parts.select("part", F.coalesce(F.sum("n").over(earlier(Window.partitionBy("one").orderBy("part"))), F.lit(0)).alias("before_part"))
     base = rows.select("part", "segment", "n_ids").join(parts, "part")
     base = base.select("part", "segment", (F.col("before_part") + F.coalesce(F.sum("n_ids").over(earlier(Window.partitionBy("part").orderBy("segment"))), F.lit(0))).alias("before"))
-    out = docs.join(base, ["part", "segment"])
-    return out.select(F.col("key").alias(key), (F.col("before") + F.col("within")).alias("start"), "n_tokens", "ids")
+    coded = rows.select("part", "segment", "data").join(base, ["part", "segment"]).select("before", "data")
+    return coded.mapInArrow(run, "key long, start long, n_tokens long, ids binary").withColumnRenamed("key", key)
 
 
 def scratch_path(spark: SparkSession) -> str:
