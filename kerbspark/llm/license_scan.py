@@ -3,8 +3,10 @@
 All rolling word k-grams of a document are joined to the k-grams of license
 templates. A match at document word d and template word t votes for the
 diagonal d - t; neighbouring diagonals of one template are merged, as a word
-more or less in the copy moves the rest by one, and a span is reported when
-its words cover enough of the template. Everything is DataFrame functions.
+more or less in the copy moves the rest by one. A vote counts only if its words
+are the template's words, and a span is reported when the words so matched
+cover enough of the template, unless most of it lies in a span that matches
+more words. Everything is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -14,30 +16,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .license_texts import TEMPLATES
+
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 #: Phrases whose every place counts, and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Notices by label and name: openings and usual notices of public licenses.
-TEMPLATES = {
-    "mit": {
-        "mit-line": "Released under the MIT License.",
-        "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
-    },
-    "apache": {
-        "apache-line": "Licensed under the Apache License, Version 2.0.",
-        "apache-notice": "you may not use this file except in compliance with the License. You may obtain a copy of the License at",
-    },
-    "gpl": {
-        "gpl-line": "This work is licensed under the GNU General Public License, version 3.",
-        "gpl-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-    },
-    "cc-by-nc": {"cc-by-nc-line": "Licensed under CC BY-NC 4.0."},
-    "cc-by": {"cc-by-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License"},
-    "bsd": {"bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"},
-}
-
 
 def words_of(text: Column) -> Column:
     """Words of letters, digits and all characters beyond ASCII, in lower case.
@@ -47,11 +32,10 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), NOT_WORD), "")
 
 
-def rolling(words: Column, k: int) -> Column:
-    """64-bit hashes of all runs of ``k`` words; empty for fewer words."""
-    n = F.size(words) - (k - 1)
-    runs = F.arrays_zip(*[F.slice(words, i + 1, F.greatest(n, F.lit(0))) for i in range(k)])
-    return F.when(n > 0, F.transform(runs, lambda r: F.xxhash64(r))).otherwise(F.array().cast("array<bigint>"))
+def runs_of(words: Column, k: int) -> Column:
+    """All runs of ``k`` words, structs of words; empty for fewer words."""
+    n = F.greatest(F.size(words) - (k - 1), F.lit(0))
+    return F.arrays_zip(*[F.slice(words, i + 1, n).alias(f"w{i}") for i in range(k)])
 
 
 def phrase_places(words: Column, phrase: str) -> Column:
@@ -69,11 +53,14 @@ def phrase_places(words: Column, phrase: str) -> Column:
 
 
 def template_grams(spark: SparkSession, templates: Mapping[str, Mapping[str, str]], k: int) -> DataFrame:
-    """(label, template, n_grams, t, gram); a fixed list, so its size is bounded by the parameter."""
+    """(label, template, size, t, run, gram): the runs of ``k`` words of each template of ``size`` words, and their hashes.
+
+    The templates are a parameter and their words bound its size.
+    """
     rows = [(label, name, text) for label, named in templates.items() for name, text in named.items()]
     df = spark.createDataFrame(rows, "label string, template string, text string").withColumn("w", words_of(F.col("text")))
-    df = df.withColumn("g", rolling(F.col("w"), k))
-    return df.select("label", "template", F.size("g").alias("n_grams"), F.posexplode("g").alias("t", "gram"))
+    df = df.select("label", "template", F.size("w").alias("size"), F.posexplode(runs_of(F.col("w"), k)).alias("t", "run"))
+    return df.withColumn("gram", F.xxhash64("run"))
 
 
 def scan(docs: DataFrame, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",), templates: Mapping[str, Mapping[str, str]] = TEMPLATES, k: int = 3, drift: int = 4, cover: float = 0.8) -> DataFrame:
@@ -82,16 +69,18 @@ def scan(docs: DataFrame, *, text: str = "text", keep: tuple[str, ...] = ("doc_i
     ``n_words``; of PHRASES: ``n_base``, ``first_word``, ``last_word`` (null
     without one), ``base_labels``; ``spans``: (label, template, first word, last
     word, score) of the templates found, where score is the share of the
-    template's k-grams that the span holds, at least ``cover``; ``labels``: both
-    kinds; ``score``: the best span's, or the share that PHRASES alone earn,
-    1/2; else 0. Lists of labels are distinct, sorted and comma-joined.
+    template's words that the span matches in runs of ``k``, at least ``cover``;
+    ``labels``: both kinds; ``score``: the best span's, or the share that
+    PHRASES alone earn, 1/2; else 0. Lists of labels are distinct, sorted and
+    comma-joined.
 
     Diagonals at most ``drift`` apart belong to one span. Votes, not texts,
     are shuffled, and a document's votes are summed for each diagonal before.
 
     Cases: a null or empty text has no words and no labels; repeated rows are
     each scanned; an empty table gives an empty table; texts shorter than ``k``
-    words have only base labels.
+    words have only base labels; ``keep`` columns may have any names, but not
+    those of the results.
     """
     spark = docs.sparkSession
     grams = template_grams(spark, templates, k)
@@ -102,7 +91,7 @@ def scan(docs: DataFrame, *, text: str = "text", keep: tuple[str, ...] = ("doc_i
     df = docs.select(F.struct(*keep).alias("row"), F.monotonically_increasing_id().alias("rid"), words_of(F.col(text)).alias("w"))
     some = F.array_contains("w", "license")  # the last word of every phrase
     places = F.when(some, F.array_sort(F.concat(*[labelled(p, name) for p, name in PHRASES.items()])))
-    df = df.withColumn("places", places).withColumn("g", rolling(F.col("w"), k))
+    df = df.withColumn("places", places).withColumn("g", runs_of(F.col("w"), k))
     base = F.struct(
         "row",
         F.size("w").cast("long").alias("n_words"),
@@ -112,20 +101,32 @@ def scan(docs: DataFrame, *, text: str = "text", keep: tuple[str, ...] = ("doc_i
         F.coalesce(F.array_sort(F.array_distinct(F.transform("places", lambda x: x["label"]))), F.array().cast("array<string>")).alias("base_labels"),
     )
     # the null in front stands for the document itself
-    rolled = df.select("rid", base.alias("base"), "g").select("rid", "base", F.posexplode(F.concat(F.array(F.lit(None).cast("bigint")), "g")).alias("d", "gram"))
-    rolled = rolled.select("rid", F.when(F.col("d") == 0, F.col("base")).alias("base"), (F.col("d") - 1).alias("d"), "gram")
-    votes = rolled.join(F.broadcast(grams), "gram", "left").where(F.col("base").isNotNull() | F.col("template").isNotNull())
-    per = votes.groupBy("rid", "label", "template", "n_grams", (F.col("d") - F.col("t")).alias("diagonal")).agg(F.first("base", ignorenulls=True).alias("base"), F.collect_set("t").alias("ts"), F.min("d").alias("first"), F.max("d").alias("last"))
+    itself = F.array(F.lit(None).cast(grams.schema["run"].dataType))
+    rolled = df.select("rid", base.alias("base"), "g").select("rid", "base", F.posexplode(F.concat(itself, "g")).alias("d", "words"))
+    rolled = rolled.select("rid", F.when(F.col("d") == 0, F.col("base")).alias("base"), (F.col("d") - 1).alias("d"), "words", F.xxhash64("words").alias("gram"))
+    same = rolled["gram"] == grams["gram"]
+    for i in range(k):
+        same = same & (F.col("words")[f"w{i}"] == F.col("run")[f"w{i}"])
+    votes = rolled.join(F.broadcast(grams), same, "left").where(F.col("base").isNotNull() | F.col("template").isNotNull())
+    per = votes.groupBy("rid", "label", "template", "size", (F.col("d") - F.col("t")).alias("diagonal")).agg(F.first("base", ignorenulls=True).alias("base"), F.collect_set("t").alias("ts"), F.min("d").alias("first"), F.max("d").alias("last"))
     near = Window.partitionBy("rid", "template").orderBy("diagonal")
     # a new span begins where the diagonal jumps
     per = per.withColumn("begins", F.coalesce((F.col("diagonal") - F.lag("diagonal").over(near) > drift).cast("int"), F.lit(0)))
     per = per.withColumn("span", F.sum("begins").over(near))
-    spans = per.groupBy("rid", "label", "template", "n_grams", "span").agg(F.first("base", ignorenulls=True).alias("base"), F.array_distinct(F.flatten(F.collect_list("ts"))).alias("ts"), F.min("first").alias("first"), F.max("last").alias("last"))
-    # verify: the span must hold enough of the template, and not be stretched over much else
-    score = F.size("ts") / F.col("n_grams")
-    good = (score >= cover) & (F.col("last") - F.col("first") + 1 <= 2 * F.col("n_grams") + drift)
-    one = F.when(good, F.struct("label", "template", F.col("first").cast("long").alias("first_word"), (F.col("last") + k - 1).cast("long").alias("last_word"), score.alias("score")))
-    out = spans.groupBy("rid").agg(F.first("base", ignorenulls=True).alias("base"), F.sort_array(F.collect_list(one)).alias("spans"))
+    spans = per.groupBy("rid", "label", "template", "size", "span").agg(F.first("base", ignorenulls=True).alias("base"), F.array_distinct(F.flatten(F.collect_list("ts"))).alias("ts"), F.min("first").alias("first"), F.max("last").alias("last"))
+    # verify: the words matched must be enough of the template, and the span not stretched over much else
+    matched = F.array_distinct(F.flatten(F.transform("ts", lambda t: F.sequence(t, t + (k - 1)))))
+    score = F.size(matched) / F.col("size")
+    good = (score >= cover) & (F.col("last") + k - F.col("first") <= 2 * F.col("size") + drift)
+    one = F.when(good, F.struct("label", "template", F.col("first").cast("long").alias("first_word"), (F.col("last") + k - 1).cast("long").alias("last_word"), score.alias("score"), F.size(matched).alias("matched")))
+    out = spans.groupBy("rid").agg(F.first("base", ignorenulls=True).alias("base"), F.sort_array(F.collect_list(one)).alias("all"))
+
+    def better(o: Column, s: Column) -> Column:
+        common = F.least(o["last_word"], s["last_word"]) - F.greatest(o["first_word"], s["first_word"]) + 1
+        return (o["matched"] > s["matched"]) & (2 * common > s["last_word"] - s["first_word"] + 1)
+
+    best_of = F.filter("all", lambda s: ~F.exists("all", lambda o: better(o, s)))
+    out = out.withColumn("spans", F.transform(best_of, lambda s: s.dropFields("matched")))
     labels = F.array_sort(F.array_distinct(F.concat("base.base_labels", F.transform("spans", lambda s: s["label"]))))
     best = F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.when(F.col("base.n_base") > 0, F.lit(0.5)).otherwise(F.lit(0.0)))
     return out.select("base.row.*", "base.n_words", "base.n_base", "base.first_word", "base.last_word", F.array_join("base.base_labels", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), F.least(best, F.lit(1.0)).alias("score"), "spans")
