@@ -28,9 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none."""
+    """The folder that driver and executors share; where the session names none, a local one in local mode, and an error on a cluster."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named.rstrip("/") if named else tempfile.mkdtemp(prefix="spark-")
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="spark-")
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -112,8 +116,13 @@ def shingle_sets(texts: pa.Array, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(sets) if sets else np.empty(0, np.uint64)), offsets
 
 
+def bits_for(count: int, least: int = 20, most: int = 30) -> int:
+    """Bits of a table that ``count`` hashes leave sparse, 16 or more for each; beyond 2^26 hashes the table stays at 128 MB and lets more through."""
+    return min(max(least, (16 * max(count, 1) - 1).bit_length()), most)
+
+
 def bit_table(hashes: DataFrame, column: str, bits: int) -> bytes:
-    """A table of 2^bits bits with a one at the top bits of each 64-bit hash; its size is fixed, whatever the number of hashes."""
+    """A table of 2^bits bits with a one at the top bits of each 64-bit hash."""
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, np.int64)

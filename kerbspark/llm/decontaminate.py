@@ -19,11 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bit_table, cut, in_bit_table, rolled, shingle_sets, slices, word_hashes
-
-#: Bits of each of the two membership tables that go to every task, whatever the number of items: 2 MB.
-FILTER_BITS = 24
-
+from .common import bit_table, bits_for, cut, in_bit_table, rolled, shingle_sets, slices, word_hashes
 
 #: Words of a shingle; an item of fewer words is one shingle of its own length.
 WORDS = 5
@@ -74,9 +70,9 @@ def candidates(hits: DataFrame, sketches: DataFrame) -> DataFrame:
 def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text: str = "text", item_key: str = "item_id", percent: int = 75) -> DataFrame:
     """(doc_id, item_id, n_item, n_shared, sketch_hits, containment) of every document that holds ``percent`` of an item's shingles.
 
-    Documents are read once; a shingle leaves its task only if the fixed-size
-    membership table of all items knows it, so what is stored follows the
-    leaks. Those that the table of sketches knows are looked up in the sketches;
+    Documents are read once; a shingle leaves its task only if the membership
+    table of all items knows it, two bytes for each item shingle and 128 MB at
+    most, so what is stored follows the leaks. Those that the table of sketches knows are looked up in the sketches;
     shared shingles are counted for the pairs so found alone. Items are never
     broadcast as a list.
 
@@ -87,7 +83,8 @@ def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text
     ids match nothing; empty tables give an empty table.
     """
     sketches = cut(item_sketches(items, key=item_key, percent=percent))
-    tables = [bit_table(s, "shingle", FILTER_BITS) for s in (sketches, sketches.where("in_sketch"))]
+    bits = bits_for(sketches.count())
+    tables = [bit_table(s, "shingle", bits) for s in (sketches, sketches.where("in_sketch"))]
     short = [r["words"] for r in sketches.where(F.col("words") < WORDS).select("words").distinct().collect()]
     spread = docs.sparkSession.sparkContext.broadcast(tables)
 
@@ -96,16 +93,16 @@ def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text
         for whole in batches:
             for batch in slices(whole, "text"):
                 sets, offsets = shingle_sets(batch.column("text"), WORDS)
-                on = np.flatnonzero(in_bit_table(every, FILTER_BITS, sets))
+                on = np.flatnonzero(in_bit_table(every, bits, sets))
                 found = [(sets[on], np.searchsorted(offsets, on, side="right") - 1)]
                 if short:
                     hashes, ends = word_hashes(batch.column("text"))
                     for k in short:
                         runs, text_of = _runs(hashes, ends, k)
-                        on = in_bit_table(every, FILTER_BITS, runs)
+                        on = in_bit_table(every, bits, runs)
                         found.append((runs[on], text_of[on]))
                 for some, row in found:
-                    looked_up = in_bit_table(sketched, FILTER_BITS, some)
+                    looked_up = in_bit_table(sketched, bits, some)
                     yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), pa.array(some.view(np.int64)), pa.array(looked_up)], ["id", "shingle", "looked_up"])
 
     named = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull())

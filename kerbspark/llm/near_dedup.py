@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_table, cut, in_bit_table, mix64, shingle_sets, slices
+from .common import bit_table, bits_for, cut, in_bit_table, mix64, shingle_sets, slices
 from .graph import components
 
 BANDS, ROWS = 72, 6
@@ -32,8 +32,6 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.1, 10.0, 255
 #: Pairs estimated lower than the threshold by this are not verified: more than four standard errors of 432 registers.
 SLACK = 0.09
-#: Bits of the table that keeps texts which no candidate names out of the shuffle.
-FILTER_BITS = 22
 #: A class is compared with about this many drawn classes of a large group.
 LOTS = 6
 #: Shingles on either side of a block of comparisons, or those of one text if it has more.
@@ -205,12 +203,13 @@ def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
 
 
 def _sets_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
-    """(doc, set) of the texts that ``ids`` (doc) names; a table of fixed size keeps most others out of the shuffle."""
-    named = texts.sparkSession.sparkContext.broadcast(bit_table(ids.select(F.xxhash64("doc").alias("h")), "h", FILTER_BITS))
+    """(doc, set) of the texts that ``ids`` (doc) names; a bit table of bounded size keeps most others out of the shuffle."""
+    bits = bits_for(ids.count())
+    named = texts.sparkSession.sparkContext.broadcast(bit_table(ids.select(F.xxhash64("doc").alias("h")), "h", bits))
 
     def may_be_named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            on = in_bit_table(named.value, FILTER_BITS, batch.column("h").to_numpy().view(np.uint64))
+            on = in_bit_table(named.value, bits, batch.column("h").to_numpy().view(np.uint64))
             yield batch.filter(pa.array(on)).select(["doc", "text"])
 
     few = texts.select("doc", "text", F.xxhash64("doc").alias("h")).mapInArrow(may_be_named, "doc long, text string")

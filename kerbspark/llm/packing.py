@@ -5,7 +5,9 @@ leave room, a document goes to the one after which the sum over levels of the
 squared number of windows at that level is least; an array with a count for
 each level is all that the choice needs. Documents longer than a window are cut
 into full windows first. Each Spark partition packs its own rows, so nothing is
-shuffled, and a lost task is simply packed again.
+shuffled, and a lost task is simply packed again. What a task holds is its open
+windows: few, as the rule keeps levels even, and never more than the ids of the
+rests of its own partition, whose size the reader's settings bound.
 """
 
 from __future__ import annotations
@@ -21,20 +23,16 @@ from pyspark.sql import functions as F
 from .common import slices
 from .tokens import encoder, with_end
 
-#: Windows that a packer keeps open; beyond, it closes them by cutting pieces, so its memory is bounded.
-MOST_OPEN = 1024
-
 Piece = tuple[int | None, int, np.ndarray, int]
 
 
 class SumOfSquares:
     """An online packer. ``place`` and ``finish`` return the windows that they complete, lists of pieces."""
 
-    def __init__(self, size: int, most_open: int = MOST_OPEN):
-        self.size, self.most_open = size, most_open
+    def __init__(self, size: int):
+        self.size = size
         self.levels = np.zeros(size + 1, np.int64)
         self.windows: dict[int, list[list[Piece]]] = {}
-        self.open = 0
 
     def best_level(self, length: int) -> int:
         """The level, 0 for a new window, whose use changes the sum of squares least; of equals the fullest."""
@@ -55,19 +53,17 @@ class SumOfSquares:
             self.levels[level] -= 1
         else:
             window = []
-            self.open += 1
         window.append(piece)
         if level + length == self.size:
-            self.open -= 1
             return [window]
         self.levels[level + length] += 1
         self.windows.setdefault(level + length, []).append(window)
-        return self.finish(False) if self.open > self.most_open else []
+        return []
 
-    def finish(self, last: bool = True) -> list[list[Piece]]:
-        """Fill the fullest windows with pieces cut from the emptiest; one window may stay open, or be given out if ``last``."""
+    def finish(self) -> list[list[Piece]]:
+        """All open windows, the fullest filled up with pieces cut from the emptiest; one at most is not full."""
         order = [w for level in sorted(self.windows) for w in self.windows[level]]
-        self.levels[:], self.windows, self.open, done = 0, {}, 0, []
+        self.levels[:], self.windows, done = 0, {}, []
         while len(order) > 1:
             window = order.pop()
             room = self.size - sum(len(p[2]) for p in window)
@@ -81,13 +77,7 @@ class SumOfSquares:
                     order.pop(0)
                 room -= take
             (order if room else done).append(window)
-        for window in order:
-            level = sum(len(p[2]) for p in window)
-            if last or level == self.size:
-                done.append(window)
-            else:
-                self.levels[level], self.windows[level], self.open = 1, [window], 1
-        return done
+        return done + order
 
 
 def pack(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "text", window: int = 4096, end: int = 2) -> DataFrame:

@@ -1,4 +1,10 @@
-"""Stages that turn ``documents`` into packed training sequences; each takes and returns a DataFrame."""
+"""Stages that turn ``documents`` into packed training sequences; each takes and returns a DataFrame.
+
+Cases, for every stage: a null text counts as an empty one; texts may be of any
+length; rows with a null id, or with one id and other texts, are rows of their
+own; columns beside those of ``documents`` are dropped, whatever their names;
+an empty table gives an empty table.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +19,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no base rule and no fitted rule rejects."""
+    """Documents that no base rule and no fitted rule rejects.
+
+    Null and empty texts have too few words and go; repeated rows stay or go together.
+    """
     judged = quality_rules.judge(docs, table(spark, sf_dir, "labels"), keep_text=True)
     return quality_rules.keep(judged).select(*COLUMNS)
 
@@ -29,7 +38,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Rows are linked by their texts alone: those that share an id stay apart
     unless their texts are linked, and those with a null id are linked as the
-    others are. Of rows equal in id and text, one stays.
+    others are. Of rows equal in id and text, one stays. Texts without words
+    are linked with nothing.
     """
     rows = _keyed(docs)
     found = near_dedup.near_duplicates(rows, key="__row").select("__row", "component_id").distinct()
@@ -40,11 +50,11 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item; each row is judged alone, also one with a null id."""
+    """Documents that hold no benchmark item; each row is judged alone, also one with a null id. Repeated rows stay or go together."""
     return decontaminate.drop_contaminated(_keyed(docs), table(spark, sf_dir, "benchmark"), key="__row").select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' ids in sequences of 4096."""
+    """Pieces of the documents' ids in sequences of 4096; a text without ids has its end id, and repeated rows are packed each."""
     pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")

@@ -24,6 +24,8 @@ from .common import cut
 #: The inside of regular-expression classes.
 SPACE = "\\x20\\x09-\\x0D"
 SYMBOLS = "#*$%&|<>"
+#: What :func:`features` adds.
+FEATURES = ["n_words", "word_chars", "n_symbols", "n_marks", "n_upper", "n_distinct_words", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed"]
 #: Strata whose cutoffs go to every task, at most: some 10 MB.
 BROADCAST_STRATA = 65_536
 
@@ -58,41 +60,43 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the counts that the rules use, in one pass without a shuffle.
 
     Windows of three words are compared by their 64-bit hashes. A null text
-    counts as an empty one, which has no words, lines or characters.
+    counts as an empty one, which has no words, lines or characters. Columns
+    named like an added one are replaced, and others may have any name.
     """
-    only = lambda kept: F.char_length(F.regexp_replace("__t", f"[^{kept}]+", "")).cast("long")
-    df = docs.withColumn("__t", F.coalesce(F.col(text), F.lit("")))
-    df = df.withColumn("__w", F.array_remove(F.split("__t", f"[{SPACE}]+"), ""))
-    run = lambda start: F.slice("__w", start, F.size("__w") - 2)
+    only = lambda kept: F.char_length(F.regexp_replace("t", f"[^{kept}]+", "")).cast("long")
+    # the row is one column, so that its columns may have any names
+    df = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    df = df.withColumn("w", F.array_remove(F.split("t", f"[{SPACE}]+"), ""))
+    run = lambda start: F.slice("w", start, F.size("w") - 2)
     df = df.withColumns(
         {
-            "n_words": F.size("__w").cast("long"),
-            "word_chars": F.char_length(F.array_join("__w", "")).cast("long"),
+            "n_words": F.size("w").cast("long"),
+            "word_chars": F.char_length(F.array_join("w", "")).cast("long"),
             "n_symbols": only(SYMBOLS),
             "n_marks": only("!?"),
             "n_upper": only("\\p{Lu}"),
-            "n_distinct_words": F.size(F.array_distinct("__w")).cast("long"),
-            "__lines": F.filter(F.split("__t", "\n"), lambda x: x.rlike(f"[^{SPACE}]")),
-            "__h": F.when(F.size("__w") >= 3, F.transform(F.arrays_zip(run(1), run(2), run(3)), lambda w: F.xxhash64(w))).otherwise(F.array().cast("array<bigint>")),
+            "n_distinct_words": F.size(F.array_distinct("w")).cast("long"),
+            "lines": F.filter(F.split("t", "\n"), lambda x: x.rlike(f"[^{SPACE}]")),
+            "h": F.when(F.size("w") >= 3, F.transform(F.arrays_zip(run(1), run(2), run(3)), lambda w: F.xxhash64(w))).otherwise(F.array().cast("array<bigint>")),
         }
     )
     df = df.withColumns(
         {
-            "n_lines": F.size("__lines").cast("long"),
-            "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
-            "__s": F.when(
-                F.size("__h") > F.size(F.array_distinct("__h")),
-                F.sort_array(F.arrays_zip(F.col("__h").alias("h"), F.sequence(F.lit(0), F.size("__h") - 1).alias("p"))),
+            "n_lines": F.size("lines").cast("long"),
+            "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
+            "s": F.when(
+                F.size("h") > F.size(F.array_distinct("h")),
+                F.sort_array(F.arrays_zip(F.col("h").alias("h"), F.sequence(F.lit(0), F.size("h") - 1).alias("p"))),
             ),
         }
     )
     # neighbours in the sorted list with one hash are the windows found more than once
-    pairs = F.zip_with(F.slice("__s", 1, F.size("__s") - 1), F.slice("__s", 2, F.size("__s") - 1), lambda a, b: F.when(a["h"] == b["h"], F.array(a["p"], b["p"])))
-    df = df.withColumn("__p", F.when(F.col("__s").isNotNull(), F.flatten(F.array_compact(pairs))))
-    covered = F.array_distinct(F.concat("__p", F.transform("__p", lambda p: p + 1), F.transform("__p", lambda p: p + 2)))
-    df = df.withColumn("n_repeat_words", F.when(F.col("__p").isNotNull(), F.size(covered)).otherwise(0).cast("long"))
+    pairs = F.zip_with(F.slice("s", 1, F.size("s") - 1), F.slice("s", 2, F.size("s") - 1), lambda a, b: F.when(a["h"] == b["h"], F.array(a["p"], b["p"])))
+    df = df.withColumn("p", F.when(F.col("s").isNotNull(), F.flatten(F.array_compact(pairs))))
+    covered = F.array_distinct(F.concat("p", F.transform("p", lambda p: p + 1), F.transform("p", lambda p: p + 2)))
+    df = df.withColumn("n_repeat_words", F.when(F.col("p").isNotNull(), F.size(covered)).otherwise(0).cast("long"))
     df = df.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    return df.drop("__t", "__w", "__lines", "__h", "__s", "__p")
+    return df.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in FEATURES], *FEATURES)
 
 
 def most_rejected(n: Column, risk: float, level: float) -> Column:

@@ -59,26 +59,23 @@ def assign_shards(df: DataFrame, keys: list[str], shards: int, *, grown: int | N
     in any of them.
 
     Null keys count as 0. Rows alike in every order column get neighbouring
-    slots in any order. An empty table gives an empty table. Other columns pass
-    through; ``shard``, ``slot`` and ``grown_shard`` of the input are replaced.
+    slots in any order. Texts play no part. An empty table gives an empty
+    table. Other columns pass through, whatever their names; ``shard``,
+    ``slot`` and ``grown_shard`` of the input are replaced.
     """
     order = order or keys
-    df = df.drop("shard", "slot", "grown_shard")
-    clear = [c for c in ("__slice", "__before") if c in df.columns]
-    if clear:
-        raise ValueError(f"reserved column names: {clear}")
+    kept = [c for c in df.columns if c not in ("shard", "slot", "grown_shard")]
     mixed = sum((F.coalesce(F.pmod(F.col(c), F.lit(slices)), F.lit(0)) for c in order), F.lit(0))
     key = stable_key(df, keys)
-    out = df.withColumns({"shard": shard_of(key, shards), "__slice": F.pmod(mixed, F.lit(slices)).cast("int")})
-    if grown is not None:
-        out = out.withColumn("grown_shard", shard_of(key, grown))
-    sizes = out.groupBy("shard", "__slice").count()
-    before = Window.partitionBy("shard").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(F.col("shard").alias("__shard"), F.col("__slice").alias("__of"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
-    within = Window.partitionBy("shard", "__slice").orderBy(*order)
-    out = out.withColumn("slot", F.row_number().over(within).cast("long") - 1)
-    out = out.join(F.broadcast(sizes), (F.col("shard") == F.col("__shard")) & (F.col("__slice") == F.col("__of")))
-    return out.withColumn("slot", F.col("slot") + F.col("__before")).drop("__slice", "__before", "__shard", "__of")
+    added = [shard_of(key, shards).alias("shard"), F.pmod(mixed, F.lit(slices)).cast("int").alias("slice"), *([shard_of(key, grown).alias("grown_shard")] if grown is not None else [])]
+    out = df.select(F.struct(*kept).alias("row"), *added)
+    sizes = out.groupBy("shard", "slice").agg(F.count(F.lit(1)).alias("size"))
+    before = Window.partitionBy("shard").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("shard", "slice", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))
+    within = Window.partitionBy("shard", "slice").orderBy(*[F.col("row")[c] for c in order])
+    out = out.withColumn("within", F.row_number().over(within).cast("long") - 1).join(F.broadcast(sizes), ["shard", "slice"])
+    grown_too = ["grown_shard"] if grown is not None else []
+    return out.select(*[F.col("row")[c].alias(c) for c in kept], "shard", *grown_too, (F.col("within") + F.col("before")).alias("slot"))
 
 
 def write_shards(df: DataFrame, path: str) -> None:

@@ -72,37 +72,38 @@ def resolve_revisits(records: DataFrame, *, bucket_seconds: int = 86_400) -> Dat
     records may repeat; an empty table gives an empty table.
     """
     added = ["canonical_url", "source_id", "status", "merged_headers"]
-    df = records.drop(*added).withColumn("canonical_url", canonical_url(F.col("url")))
     bare = lambda c: F.regexp_replace(c, "^W/", "")
-    df = df.withColumn("__bucket", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)))
+    # the record is one column, so that its columns may have any names
+    df = records.select(F.struct(*[c for c in records.columns if c not in added]).alias("row"), canonical_url(F.col("url")).alias("canonical_url"), "kind", "ts", "record_id")
+    df = df.withColumn("bucket", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)))
     usable = (F.col("kind") == "response") & F.col("canonical_url").isNotNull() & F.col("ts").isNotNull()
-    full = F.when(usable, F.struct("ts", "record_id", "etag", "digest", "last_modified", "headers"))
+    row = F.col("row")
+    full = F.when(usable, F.struct("ts", "record_id", *[row[c].alias(c) for c in ("etag", "digest", "last_modified", "headers")]))
     order = ["ts", "record_id"]
     # a url or time that is null gives a key of its own to each row, as it matches nothing
-    lone = F.when(F.col("canonical_url").isNull() | F.col("ts").isNull(), F.xxhash64("record_id", "kind", "digest"))
-    df = df.withColumn("__lone", lone).withColumn("__full", full)
-    keys = ["canonical_url", "__lone", "__bucket"]
-    within = Window.partitionBy(*keys).orderBy(*order, F.col("kind") != "response")
-    last_of = df.where(usable).groupBy("canonical_url", "__bucket").agg(F.max_by("__full", F.struct(*order)).alias("__last"))
-    filled = df.select("canonical_url", "__bucket").where(F.col("canonical_url").isNotNull() & F.col("__bucket").isNotNull()).distinct().join(last_of, ["canonical_url", "__bucket"], "left")
-    before = Window.partitionBy("canonical_url").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    filled = filled.select(F.col("canonical_url").alias("__u"), F.col("__bucket").alias("__b"), F.last("__last", ignorenulls=True).over(before).alias("__carried"))
-    df = df.withColumn("__seen", F.last("__full", ignorenulls=True).over(within.rowsBetween(Window.unboundedPreceding, -1)))
-    df = df.join(filled, (F.col("canonical_url") == F.col("__u")) & (F.col("__bucket") == F.col("__b")) & F.col("__lone").isNull(), "left")
-    df = df.withColumn("__src", F.when(F.col("kind") == "revisit", F.coalesce("__seen", "__carried")))
+    lone = F.when(F.col("canonical_url").isNull() | F.col("ts").isNull(), F.xxhash64("record_id", "kind", row["digest"]))
+    df = df.withColumn("lone", lone).withColumn("full", full)
+    within = Window.partitionBy("canonical_url", "lone", "bucket").orderBy(*order, F.col("kind") != "response")
+    last_of = df.where(usable).groupBy("canonical_url", "bucket").agg(F.max_by("full", F.struct(*order)).alias("last"))
+    filled = df.select("canonical_url", "bucket").where(F.col("canonical_url").isNotNull() & F.col("bucket").isNotNull()).distinct().join(last_of, ["canonical_url", "bucket"], "left")
+    before = Window.partitionBy("canonical_url").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    filled = filled.select("canonical_url", "bucket", F.last("last", ignorenulls=True).over(before).alias("carried"))
+    df = df.withColumn("seen", F.last("full", ignorenulls=True).over(within.rowsBetween(Window.unboundedPreceding, -1)))
+    df = df.join(filled, ["canonical_url", "bucket"], "left")
+    df = df.withColumn("src", F.when(F.col("kind") == "revisit", F.coalesce("seen", "carried")))
 
     def differs(a: Column, b: Column) -> Column:
         return F.coalesce(a != b, F.lit(False))
 
-    src = F.col("__src")
-    pairs = [(bare(F.col("etag")), bare(src["etag"])), (F.col("digest"), src["digest"]), (F.col("last_modified"), src["last_modified"])]
+    src = F.col("src")
+    pairs = [(bare(row["etag"]), bare(src["etag"])), (row["digest"], src["digest"]), (row["last_modified"], src["last_modified"])]
     agree = F.coalesce(*[F.when(a.isNotNull() & b.isNotNull(), F.lit(True)) for a, b in pairs], F.lit(False))
     for a, b in pairs:
         agree = agree & ~differs(a, b)
     status = F.when(F.col("kind") == "response", "response").when(F.coalesce(F.col("kind") != "revisit", F.lit(True)), "other").when(src.isNull(), "no_response").when(agree, "resolved").otherwise("mismatch")
     df = df.withColumn("status", status).withColumn("source_id", src["record_id"])
-    merged = F.when(F.col("status") == "resolved", merge_headers(src["headers"], F.col("headers"))).otherwise(merge_headers(F.col("headers"), F.lit(None).cast("map<string,string>")))
-    return df.withColumn("merged_headers", merged).select(*[c for c in records.columns if c not in added], *added)
+    merged = F.when(F.col("status") == "resolved", merge_headers(src["headers"], row["headers"])).otherwise(merge_headers(row["headers"], F.lit(None).cast("map<string,string>")))
+    return df.withColumn("merged_headers", merged).select(*[row[c].alias(c) for c in records.columns if c not in added], *added)
 
 
 def captures_of(pages: DataFrame) -> DataFrame:

@@ -522,9 +522,70 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+CLASHES = ["__slice", "__before", "row", "within", "key", "t", "w", "h", "rid", "word", "doc", "bucket", "src", "full", "point", "active", "stack", "part", "spread", "n", "base", "spans", "id", "shingle", "region", "hub", "component", "registers", "number", "seen", "carried", "lone", "__row", "place"]
+
+
+def test_extra_columns_may_have_any_name(spark, docs, rows, empty):
+    more = docs.select("doc_id", "text", "lang", "source", "n_chars", *[F.lit(f"own {c}").alias(c) for c in CLASHES])
+    table = spark.createDataFrame([(1, rows[10][1])], "item_id long, text string")
+    labels = spark.createDataFrame([(rows[0][0], 1, 0)], "doc_id long, quality int, toxic int")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    n = len(rows)
+    kept = lambda df: all(r[c] == f"own {c}" for r in df.select(*[c for c in CLASHES if c in df.columns]).collect() for c in r.__fields__)
+    sharded, judged = sharding.assign_shards(more, ["doc_id"], 8, order=["n_chars"]), quality_rules.judge(more, labels)
+    for df in (sharded, judged):
+        assert set(CLASHES) <= set(df.columns) and kept(df) and df.count() == n
+    assert language_model.score_texts(more).count() == n and near_dedup.near_duplicates(more).count() == n
+    assert decontaminate.drop_contaminated(more, table).columns == more.columns and kept(decontaminate.drop_contaminated(more, table))
+    assert packing.pack(more, vocabulary).agg(F.sum("length")).first()[0] == packing.pack(docs, vocabulary).agg(F.sum("length")).first()[0]
+    assert license_scan.scan(more, keep=tuple(c for c in more.columns if c not in ("spans", "text"))).count() == n
+    where = rans.scratch_path(spark)
+    rans.write_ids(more, vocabulary, where)
+    assert rans.read_ids(spark, where).count() == n
+    pages = more.select(F.col("doc_id").alias("page_id"), F.concat(F.lit("http://a.com/"), "text").alias("url"), *CLASHES)
+    judged = url_filters.judge_urls(pages, spark.createDataFrame(RULES, "host string, path string, verdict string"))
+    assert kept(judged) and judged.count() == n
+    captures = more.select(F.col("n_chars").alias("record_id"), F.lit("response").alias("kind"), F.col("text").alias("url"), F.lit("2024-01-01").cast("timestamp").alias("ts"), *[F.lit(None).cast("string").alias(c) for c in ("etag", "digest", "last_modified")], F.create_map().cast("map<string,string>").alias("headers"), *CLASHES)
+    resolved = warc.resolve_revisits(captures)
+    assert kept(resolved) and resolved.count() == n and "bucket" in resolved.columns
+
+
+def test_repeated_captures_and_long_urls(spark):
+    url = "http://ex.com/" + "a" * 30_000
+    rows = [(1, "response", url, "2024-01-01 00:00:00", '"v"'), (1, "response", url, "2024-01-01 00:00:00", '"v"'), (2, "revisit", url, "2024-01-02 00:00:00", '"v"'), (2, "revisit", url, "2024-01-02 00:00:00", '"v"')]
+    df = spark.createDataFrame(rows, "record_id long, kind string, url string, t string, etag string").selectExpr("record_id", "kind", "url", "to_timestamp(t) AS ts", "etag", "cast(null as string) AS digest", "cast(null as string) AS last_modified", "cast(map() as map<string,string>) AS headers")
+    got = [(r["record_id"], r["status"], r["source_id"]) for r in warc.resolve_revisits(df).collect()]
+    assert sorted(got, key=str) == [(1, "response", None)] * 2 + [(2, "resolved", 1)] * 2
+
+
 # pipeline
 
 
+@pytest.mark.parametrize("case", ["empty", "odd"])
+def test_stages_handle_odd_tables(spark, tmp_path, case):
+    from kerbspark.llm import pipeline
+
+    rng = random.Random(7)
+    prose = lambda n: " ".join(f"w{rng.randint(0, 5000)}" for _ in range(n))
+    long_text, leak = prose(20_000), prose(30)
+    rows = [] if case == "empty" else [(1, long_text), (1, long_text), (2, None), (3, ""), (None, None), (4, " \n "), (5, long_text + " and more"), (6, prose(100)), (6, prose(100) + " " + leak)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t or ""), "x") for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long, __row string")
+    spark.createDataFrame([(1, leak), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, 1, 0), (None, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    texts = lambda df: sorted(((r["doc_id"] or 0, len(r["text"] or "")) for r in df.collect()))
+    of = lambda *at: sorted((rows[i][0] or 0, len(rows[i][1] or "")) for i in at)
+    quality = pipeline.quality(spark, docs, str(tmp_path))
+    near = pipeline.near_dedup_stage(spark, docs, str(tmp_path))
+    clean = pipeline.decontamination(spark, docs, str(tmp_path))
+    packed = pipeline.packed(spark, docs, str(tmp_path))
+    if case == "empty":
+        assert not any(df.count() for df in (quality, near, clean, packed))
+        return
+    assert texts(quality) == of(0, 1, 6, 7, 8) and texts(clean) == of(*range(8))
+    assert texts(near) == of(0, 2, 3, 4, 5, 7, 8)
+    assert packed.select("doc_id").distinct().count() == 7 and quality.columns == near.columns == clean.columns == pipeline.COLUMNS
+
+
 def test_pipeline(spark, tmp_path, rows):
     import corpus_pipeline
 
