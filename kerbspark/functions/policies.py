@@ -41,7 +41,7 @@ def _none(kind: str) -> Column:
 
 
 def limited(span: Column) -> Column:
-    """Whether one span is less than always."""
+    """Whether one span is less than always; the times of a whole day are fixed values."""
     week = F.coalesce(F.size(F.array_distinct(span["days_of_week"])) == 7, F.lit(False))
     start = F.coalesce(span["time_of_day_start"].isin("00:00", "00:01"), F.lit(False))
     end = F.coalesce(span["time_of_day_end"].isin("00:00", "23:59"), F.lit(False))
@@ -50,7 +50,7 @@ def limited(span: Column) -> Column:
 
 
 def priority(policy: Column) -> Column:
-    """The rank of a typed policy, 1 (first) to 99, by the published decision table.
+    """The rank of a typed policy, 1 (first) to 99, by the published decision table, whose numbers are fixed values.
 
     A policy is negative if an activity begins with "no ", user-specific if a
     rule names classes, exceptions or purposes, and timed if a span is less

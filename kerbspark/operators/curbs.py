@@ -192,3 +192,15 @@ def connect_parts(parts: DataFrame, key: str, *, order: str = "part", line: str
     start = F.struct(F.col("ps")[F.col("first")]["line"].alias("line"), F.filter("ps", lambda p, i: i != F.col("first")).alias("rest"))
     steps = F.slice(F.sequence(F.lit(0), F.size("ps")), 2, F.size("ps") - 1)
     return g.select(key, F.aggregate(steps, start, step, lambda s: s["line"]).alias(line))
+
+
+def clean_curbs(curbs: DataFrame, *, key: str = "blockface_id", line: str = "line", least: float, slack: float = 1e-6) -> DataFrame:
+    """``curbs`` with one valid line of at least ``least`` for each id.
+
+    Of rows with one id the first by line stays. Lines of fewer than two
+    points, with missing or infinite ones or without length go, as do those
+    shorter than ``least`` by more than ``slack``.
+    """
+    w = Window.partitionBy(key).orderBy(F.to_json(line))
+    one = curbs.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    return one.where(G.is_valid_line(F.col(line)) & (G.line_length(F.col(line)) >= least - slack))

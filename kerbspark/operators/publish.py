@@ -31,6 +31,13 @@ def unique_policies(zones: DataFrame) -> tuple[DataFrame, DataFrame]:
     return each.select("curb_policy_id", "policy_json").distinct(), each.select("curb_zone_id", "curb_policy_id").distinct()
 
 
+def zone_tables(zones: DataFrame, links: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
+    """The table of zones, with their line as text and open from ``now`` on, and their links to policies, each once."""
+    times = [now.alias(c) for c in ("published_date", "last_updated_date", "start_date")]
+    table = zones.select("curb_zone_id", G.to_wkt(F.col("line")).alias("geometry"), *times, F.lit(None).cast("timestamp").alias("end_date"))
+    return table, links.join(zones, "curb_zone_id", "left_semi").select("curb_zone_id", "curb_policy_id").distinct()
+
+
 def policy_tables(policies: DataFrame) -> dict[str, DataFrame]:
     """The tables of policies (curb_policy_id, policy_json): policies, rules, time spans, and rates where a rule has one."""
     typed = policies.withColumn("p", P.parse(F.col("policy_json")))
@@ -54,6 +61,21 @@ def nested_policies(tables: dict[str, DataFrame]) -> DataFrame:
     return tables["curb_policies"].join(gather(rules, "rule_id", "rules"), "curb_policy_id", "left").join(gather(tables["curb_policy_time_spans"], "time_span_id", "time_spans"), "curb_policy_id", "left")
 
 
+def unnested_policies(view: DataFrame) -> dict[str, DataFrame]:
+    """The tables of :func:`policy_tables` from the nested view, with new ids of the rows; the content is the same."""
+    row = lambda what, *keys: F.sha2(F.concat_ws("|", F.lit(what), *keys), 256)
+    rules = view.select("curb_policy_id", F.posexplode("rules").alias("n", "r")).withColumn("rule_id", row("rule", "curb_policy_id", "n"))
+    spans = view.select("curb_policy_id", F.posexplode("time_spans").alias("n", "s")).withColumn("time_span_id", row("span", "curb_policy_id", "n"))
+    plain = [f.name for f in rules.schema["r"].dataType.fields if f.name != "rate"]
+    rates = rules.where("r.rate IS NOT NULL")
+    return {
+        "curb_policies": view.drop("rules", "time_spans"),
+        "curb_policy_rules": rules.select("rule_id", "curb_policy_id", *[f"r.{c}" for c in plain]),
+        "curb_policy_time_spans": spans.select("time_span_id", "curb_policy_id", "s.*"),
+        "curb_policy_rates": rates.select(row("rate", "rule_id").alias("rate_id"), "curb_policy_id", "rule_id", "r.rate.*"),
+    }
+
+
 def reuse_policies(new: DataFrame, old: DataFrame) -> DataFrame:
     """(curb_policy_id, use_id, is_new): a new policy whose signature is published uses the published id, the smallest of several."""
     by = old.groupBy("signature").agg(F.min("curb_policy_id").alias("old_id"))
@@ -136,9 +158,10 @@ def violations(zones: DataFrame, policies: DataFrame, links: DataFrame) -> DataF
         links.join(policies, "curb_policy_id", "left_anti").select(F.lit("link to missing policy"), F.col("curb_policy_id")),
         policies.where(P.is_missing_description(F.col("description"))).select(F.lit("missing description"), F.col("curb_policy_id")),
     ]
-    out = parts[0]
+    text = lambda df: df.toDF("rule", "key").select("rule", F.col("key").cast("string").alias("key"))
+    out = text(parts[0])
     for p in parts[1:]:
-        out = out.union(p)
+        out = out.union(text(p))
     return out
 
 

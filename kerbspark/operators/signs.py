@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import geometry as G
 from ..functions import policies as P
-from . import tables
+from . import spatial, tables
+from .lineage import cut
 
 
 def guid(value: Column) -> Column:
@@ -18,6 +21,28 @@ def guid(value: Column) -> Column:
     return F.when(bare.rlike("^[0-9a-f]{8}-([0-9a-f]{4}-){3}[0-9a-f]{12}$"), bare)
 
 
+def name_uuid(namespace: str, name: Column) -> Column:
+    """The version-5 UUID of a text in a namespace, which is a UUID itself."""
+    digest = F.sha1(F.concat(F.unhex(F.lit(namespace.replace("-", ""))), F.encode(name, "UTF-8")))
+    # the two bits after the third group are the variant's
+    variant = F.substring(F.lit("89ab"), F.conv(F.substring(digest, 17, 1), 16, 10).cast("int") % 4 + 1, F.lit(1))
+    part = lambda at, n: F.substring(digest, at, n)
+    return F.concat_ws("-", part(1, 8), part(9, 4), F.concat(F.lit("5"), part(14, 3)), F.concat(variant, part(18, 3)), part(21, 12))
+
+
+def array_text(values: Column) -> Column:
+    """A list of texts as database array text, each in double quotes: {"a","b"}; null for null."""
+    quoted = lambda v: F.concat(F.lit('"'), F.replace(F.replace(v, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
+    return F.concat(F.lit("{"), F.array_join(F.transform(values, lambda v: F.coalesce(quoted(v), F.lit("NULL"))), ","), F.lit("}"))
+
+
+def array_of_text(text: Column) -> Column:
+    """The list of a database array text whose elements are quoted or hold no comma, brace or quote; null for null."""
+    bare = F.regexp_extract_all(text, F.lit('"(?:[^"\\\\]|\\\\.)*"|[^,{}"]+'), F.lit(0))
+    clean = lambda v: F.when(F.startswith(v, F.lit('"')), F.regexp_replace(F.substring(v, F.lit(2), F.length(v) - 2), r"\\(.)", "$1")).when(v != "NULL", v)
+    return F.transform(bare, clean)
+
+
 def when(value: Column) -> Column:
     """Epoch milliseconds or text to a timestamp; anything else gives null."""
     return F.coalesce(F.timestamp_millis(value.try_cast("bigint")), F.try_to_timestamp(value.cast("string")))
@@ -36,6 +61,26 @@ def preprocess(rows: DataFrame, *, key: str, modified: str, inspected: str, code
     return df.withColumn("sign_removed_date", F.when(F.lower("status") == "removed", F.col(modified)))
 
 
+def preprocess_area(rows: DataFrame, polygons: DataFrame, *, lon: str, lat: str, area_cell: float, **how: Any) -> DataFrame:
+    """:func:`preprocess` of rows in degrees that lie in ``polygons`` (an edge table in feet); the grid is one of feet.
+
+    ``how`` has the other arguments of :func:`preprocess`; ``x`` and ``y`` are
+    the grid's corner in feet, ``lon`` and ``lat`` the same in degrees.
+    """
+    x, y = G.to_feet(F.col(lon), F.col(lat))
+    placed = cut(rows.withColumns({"x": x, "y": y}).withColumn("__row", F.monotonically_increasing_id()))
+    inside = spatial.in_polygons(placed.select(F.col("__row").alias("point_id"), "x", "y"), polygons, cell=area_cell).select(F.col("point_id").alias("__row")).distinct()
+    kept = preprocess(placed.join(inside, "__row", "left_semi").drop("__row"), **how)
+    to_lon, to_lat = G.to_degrees(F.col("x"), F.col("y"))
+    return kept.withColumns({lon: to_lon, lat: to_lat})
+
+
+def active(signs: DataFrame, at: Column | None = None) -> DataFrame:
+    """Signs without a removal date, or removed after ``at``."""
+    gone = F.col("sign_removed_date")
+    return signs.where(gone.isNull() if at is None else gone.isNull() | (gone > at))
+
+
 def sign_tables(rows: DataFrame, *, job_id: str, source_id: str, attachments: str = "attachments") -> dict[str, DataFrame]:
     """Locations (one for each point), signs, images (one for each attachment), and the job and source rows."""
     tag = [F.lit(job_id).alias("job_id"), F.lit(source_id).alias("data_source_id")]

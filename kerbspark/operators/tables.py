@@ -199,3 +199,79 @@ def islands(df: DataFrame, key: str, order: Sequence[str], value: str) -> DataFr
     w = Window.partitionBy(key).orderBy(*order)
     changed = ~F.col(value).eqNullSafe(F.lag(value).over(w)) & F.lag(F.lit(1)).over(w).isNotNull()
     return df.withColumn("__c", changed.cast("int")).withColumn("island", F.sum("__c").over(w)).drop("__c")
+
+
+def blank_to_null(df: DataFrame) -> DataFrame:
+    """Empty texts and NaN numbers as nulls, in every column."""
+    kinds = dict(df.dtypes)
+    none = lambda c: F.nullif(F.col(c), F.lit("")) if kinds[c] == "string" else F.when(~F.isnan(c), F.col(c)) if kinds[c] in ("double", "float") else F.col(c)
+    return df.select(*[none(c).alias(c) for c in df.columns])
+
+
+def union_ids(ids: Sequence[tuple[DataFrame, str]], name: str = "id") -> DataFrame:
+    """The distinct ids of several tables, each with its column; nulls are none."""
+    out = functools.reduce(DataFrame.union, [df.select(F.col(c).alias(name)) for df, c in ids])
+    return out.where(F.col(name).isNotNull()).distinct()
+
+
+def flatten(df: DataFrame) -> DataFrame:
+    """Nested structs as columns named by dotted paths."""
+
+    def leaves(kind: StructType, path: tuple[str, ...]) -> list[Column]:
+        out: list[Column] = []
+        for field in kind.fields:
+            at = (*path, field.name)
+            if isinstance(field.dataType, StructType):
+                out += leaves(field.dataType, at)
+            else:
+                value = F.col(f"`{at[0]}`")
+                for part in at[1:]:
+                    value = value[part]
+                out.append(value.alias(".".join(at)))
+        return out
+
+    return df.select(*leaves(df.schema, ()))
+
+
+def days_of(df: DataFrame, column: str) -> DataFrame:
+    """(day, n): rows by the day of a time in epoch milliseconds, a null one last."""
+    return df.groupBy(F.to_date(F.timestamp_millis(F.col(column).cast("bigint"))).alias("day")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.asc_nulls_last("day"))
+
+
+def job_tables(sources: Mapping[str, DataFrame], jobs: Mapping[str, str | None]) -> dict[str, DataFrame]:
+    """Each table's rows of the job named for it; a table that no job is named for, or with an empty name, is an error before any work."""
+    unnamed = sorted(k for k in sources if not jobs.get(k) or jobs[k] == "auto")
+    if unnamed:
+        raise ValueError(f"no job for tables: {unnamed}")
+    return {name: df.where(F.col("job_id") == jobs[name]) for name, df in sources.items()}
+
+
+def review(policies: DataFrame, signs: DataFrame, images: DataFrame, locations: DataFrame) -> DataFrame:
+    """Every policy reading with its sign, image and location, where there are any: policies have sign_id and image_id, signs location_id."""
+    return policies.join(signs, "sign_id", "left").join(images, "image_id", "left").join(locations, "location_id", "left")
+
+
+def policies_on_segments(policies: DataFrame, segments: DataFrame) -> DataFrame:
+    """Every row of ``policies`` with its segment's line, null where the segment is gone."""
+    return policies.join(segments.select("segment_id", "line"), "segment_id", "left")
+
+
+def meters_at(meters: DataFrame, locations: DataFrame) -> DataFrame:
+    """Meters whose start or end is one of ``locations`` (asset_location_id), each once."""
+    at = locations.select("asset_location_id").distinct()
+    flag = lambda c, name: at.select(F.col("asset_location_id").alias(c), F.lit(True).alias(name))
+    both = meters.join(flag("start_asset_location_id", "starts"), "start_asset_location_id", "left").join(flag("end_asset_location_id", "ends"), "end_asset_location_id", "left")
+    return both.where("starts OR ends").select(*meters.columns)
+
+
+def same_place(df: DataFrame, x: str, y: str, label: str, *, name: str) -> DataFrame:
+    """(x, y, first, labels): rows at equal points as one: the least label, and ``name`` with all labels in order if there are several."""
+    g = df.groupBy(x, y).agg(F.array_sort(F.collect_set(label)).alias("all"))
+    text = F.when(F.size("all") > 1, F.concat(F.lit(f"{name}: "), F.array_join(F.transform("all", lambda v: v.cast("string")), ", ")))
+    return g.select(x, y, F.get("all", F.lit(0)).alias("first"), text.alias("labels"))
+
+
+def collapse_ids(df: DataFrame, id_column: str) -> DataFrame:
+    """Rows alike in all other columns as one, with the least id."""
+    others = [c for c in df.columns if c != id_column]
+    return df.groupBy(*others).agg(F.min(id_column).alias(id_column)).select(*df.columns)

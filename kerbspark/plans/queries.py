@@ -6,6 +6,7 @@ the same way on both sides.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import policies as P
-from ..operators import assets, curbs, intervals, policies, publish, quality, segments, signs, spatial, tables
+from ..operators import acceptance, assets, curbs, intervals, policies, publish, quality, segments, signs, spatial, tables
 from ..operators.lineage import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -576,3 +577,272 @@ def connected_parts(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("line_id"), F.posexplode(F.array(a, b)).alias("part", "line"))
     made = curbs.connect_parts(parts, "line_id")
     return made.select("line_id", F.round(F.element_at("line", -1)["y"], 6).alias("y"), (F.size("line") - 2).alias("parts"))
+
+
+@query("""SELECT l_partkey * 1000 + l_linenumber AS x, l_suppkey AS y, min(l_orderkey) AS first, CASE WHEN count(DISTINCT l_orderkey) > 1 THEN 'order: ' || string_agg(DISTINCT CAST(l_orderkey AS VARCHAR), ', ' ORDER BY CAST(l_orderkey AS VARCHAR)) END AS labels FROM lineitem GROUP BY 1, 2""")
+def places(spark, sf_dir):
+    """Lines at equal points as one, with the orders of several."""
+    li = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 1000 + F.col("l_linenumber")).alias("x"), F.col("l_suppkey").alias("y"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0").alias("o"))
+    found = tables.same_place(li, "x", "y", "o", name="order")
+    # labels are sorted as text in SQL
+    text = F.when(F.col("labels").isNotNull(), F.concat(F.lit("order: "), F.array_join(F.array_sort(F.transform(F.split(F.regexp_replace("labels", "order: ", ""), ", "), lambda v: v.cast("long").cast("string"))), ", ")))
+    return found.select("x", "y", F.col("first").cast("long").alias("first"), text.alias("labels"))
+
+
+@query("SELECT l_partkey, l_suppkey, l_returnflag, min(l_orderkey) AS l_orderkey FROM lineitem GROUP BY 1, 2, 3")
+def collapsed_ids(spark, sf_dir):
+    return tables.collapse_ids(table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_returnflag", "l_orderkey"), "l_orderkey")
+
+
+@query("SELECT DISTINCT id FROM (SELECT c_custkey AS id FROM customer WHERE c_acctbal < 0 UNION ALL SELECT o_custkey FROM orders WHERE o_orderstatus = 'P' UNION ALL SELECT s_suppkey FROM supplier)")
+def united_ids(spark, sf_dir):
+    c, o, s = (table(spark, sf_dir, n) for n in ("customer", "orders", "supplier"))
+    return tables.union_ids([(c.where("c_acctbal < 0"), "c_custkey"), (o.where("o_orderstatus = 'P'"), "o_custkey"), (s, "s_suppkey")])
+
+
+@query("""SELECT event_id, nullif(CASE WHEN event_type = 'click' THEN '' ELSE event_type END, '') AS kind, CASE WHEN event_type != 'error' THEN value END AS value FROM events""")
+def blanks_as_nulls(spark, sf_dir):
+    kind = F.col("event_type")
+    e = table(spark, sf_dir, "events").select("event_id", F.when(kind == "click", "").otherwise(kind).alias("kind"), F.when(kind == "error", F.lit(float("nan"))).otherwise(F.col("value")).alias("value"))
+    return tables.blank_to_null(e)
+
+
+@query('SELECT o_orderkey AS "id", o_custkey AS "customer.key", o_orderstatus AS "customer.order.status" FROM orders')
+def flattened(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return tables.flatten(o.select(F.col("o_orderkey").alias("id"), F.struct(F.col("o_custkey").alias("key"), F.struct(F.col("o_orderstatus").alias("status")).alias("order")).alias("customer")))
+
+
+@query("SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1")
+def event_days(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
+    return tables.days_of(e, "ms")
+
+
+@query("SELECT event_id, o_orderkey, c_custkey, n_nationkey FROM events LEFT JOIN orders ON o_orderkey = event_id LEFT JOIN customer ON c_custkey = user_id LEFT JOIN nation ON n_nationkey = o_custkey")
+def review_rows(spark, sf_dir):
+    """Events as readings, orders as their signs, customers as images and nations as locations."""
+    readings = table(spark, sf_dir, "events").select("event_id", F.col("event_id").alias("sign_id"), F.col("user_id").alias("image_id"))
+    signs_ = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sign_id"), "o_orderkey", F.col("o_custkey").alias("location_id"))
+    images = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("image_id"), "c_custkey")
+    locations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("location_id"), "n_nationkey")
+    return tables.review(readings, signs_, images, locations).select("event_id", "o_orderkey", "c_custkey", "n_nationkey")
+
+
+@query("""WITH p AS (SELECT p_partkey AS k FROM part WHERE p_size BETWEEN 10 AND 20)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, count(*) AS n FROM lineitem WHERE l_partkey IN (SELECT k FROM p) OR l_suppkey IN (SELECT k FROM p) GROUP BY ALL""")
+def meters_in_box(spark, sf_dir):
+    """Lines as meters from part to supplier number, of which one end lies in a box of part sizes."""
+    inside = spatial.in_envelope(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("asset_location_id"), F.col("p_size").alias("x"), F.lit(0.0).alias("y")), (10.0, 0.0, 20.0, 0.0), 0.0)
+    meters = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("start_asset_location_id"), F.col("l_suppkey").alias("end_asset_location_id"), "l_orderkey", "l_linenumber")
+    found = tables.meters_at(meters, inside)
+    return found.groupBy("l_orderkey", "l_linenumber", F.col("start_asset_location_id").alias("l_partkey"), F.col("end_asset_location_id").alias("l_suppkey")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH c AS (SELECT c_custkey, c_custkey % 100 + 0.5 AS x, (c_custkey // 100) % 100 + 0.5 AS y FROM customer),
+d AS (SELECT c_custkey, min(greatest(n_nationkey % 5 * 20 - x, x - n_nationkey % 5 * 20 - 15, 0.0) ** 2 + greatest(n_nationkey // 5 * 20 - y, y - n_nationkey // 5 * 20 - 15, 0.0) ** 2) AS q FROM c, nation GROUP BY 1),
+b AS (SELECT c_custkey, greatest(90 - x, x - 95, 0.0) ** 2 + greatest(90 - y, y - 95, 0.0) ** 2 AS q FROM c)
+SELECT c.c_custkey AS point_id, CASE WHEN least(d.q, b.q) = 0 THEN 'selected' WHEN least(d.q, b.q) <= 4 THEN 'nearby' ELSE 'outside' END AS state FROM c JOIN d ON d.c_custkey = c.c_custkey JOIN b ON b.c_custkey = c.c_custkey""")
+def frozen_selection(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    points = c.select(F.col("c_custkey").alias("point_id"), (F.col("c_custkey") % 100 + 0.5).alias("x"), (F.floor(F.col("c_custkey") / 100) % 100 + 0.5).alias("y"))
+    n = table(spark, sf_dir, "nation")
+    x0, y0 = (F.col("n_nationkey") % 5 * 20.0), (F.floor(F.col("n_nationkey") / 5) * 20.0)
+    corners = [(x0, y0), (x0 + 15, y0), (x0 + 15, y0 + 15), (x0, y0 + 15)]
+    edges = F.array(*[F.struct(a[0].alias("x0"), a[1].alias("y0"), b[0].alias("x1"), b[1].alias("y1")) for a, b in zip(corners, [*corners[1:], corners[0]], strict=True)])
+    polygons = n.select(F.col("n_nationkey").alias("polygon_id"), F.explode(edges).alias("e")).select("polygon_id", "e.*")
+    return acceptance.freeze_selection(points, polygons, (90.0, 90.0, 95.0, 95.0), fringe=2.0, cell=10.0).select("point_id", "state")
+
+
+@query("""WITH e AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS parent FROM lineitem WHERE l_returnflag != 'R'), v AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_returnflag AS kind, l_quantity AS q FROM lineitem WHERE l_linestatus = 'O')
+SELECT unnest(['repeated parents', 'repeated children', 'children without parent', 'missing in the load', 'unexpected in the load', 'signs without exactly one attachment', 'excluded kinds in the load']) AS "check",
+ unnest([(SELECT count(*) FROM (SELECT o_orderkey FROM orders WHERE o_orderstatus != 'P' GROUP BY 1 HAVING count(*) > 1)), (SELECT count(*) FROM (SELECT id FROM e GROUP BY 1 HAVING count(*) > 1)), (SELECT count(*) FROM e WHERE parent NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus != 'P')),
+ (SELECT count(DISTINCT id) FROM e WHERE id NOT IN (SELECT id FROM v)), (SELECT count(DISTINCT id) FROM v WHERE id NOT IN (SELECT id FROM e)), (SELECT count(*) FROM v WHERE CAST(q AS BIGINT) != 1), (SELECT count(*) FROM v WHERE kind = 'R')]) AS failures""")
+def export_reconciliation(spark, sf_dir):
+    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    rows = li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_orderkey").alias("parent_id"), F.col("l_returnflag").alias("kind"), F.col("l_quantity").cast("long").alias("n_attachments"), "l_linestatus")
+    return acceptance.reconcile_export(o.where("o_orderstatus != 'P'").select(F.col("o_orderkey").alias("id")), rows, rows.where("l_linestatus = 'O'"), ["r"])
+
+
+@query("""WITH l AS (SELECT o_orderkey AS z, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY CAST(l_partkey AS VARCHAR)) AS ids FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1)
+SELECT o_orderkey AS curb_zone_id, coalesce(ids, '') AS policy_ids FROM orders LEFT JOIN l ON z = o_orderkey""")
+def expected_zones(spark, sf_dir):
+    zones_ = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("curb_zone_id"))
+    links = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("curb_zone_id"), F.col("l_partkey").alias("curb_policy_id"))
+    policies_ = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("curb_policy_id"), F.col("p_name").alias("description"))
+    state, _ = acceptance.expected_state(zones_, links, policies_)
+    return state.select("curb_zone_id", F.array_join("policy_ids", ",").alias("policy_ids"))
+
+
+@query("""SELECT p_partkey AS curb_policy_id, p_size < 10 AS missing FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus = 'O')""")
+def description_backfill(spark, sf_dir):
+    """Open orders are active zones; parts are policies, of which small ones have no description."""
+    zones_ = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("curb_zone_id"), F.when(F.col("o_orderstatus") != "O", F.lit("ended")).alias("end_date"))
+    links = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("curb_zone_id"), F.col("l_partkey").alias("curb_policy_id"))
+    text = F.when(F.col("p_size") < 5, F.lit(" ")).when(F.col("p_size") < 10, F.lit("No description available")).otherwise(F.col("p_name"))
+    found = acceptance.description_backfill(zones_, links, table(spark, sf_dir, "part").select(F.col("p_partkey").alias("curb_policy_id"), text.alias("description")))
+    return found.select("curb_policy_id", "missing")
+
+
+@query("""WITH j AS (SELECT l_orderkey * 10 + l_linenumber AS s, l_partkey AS loc, p_partkey, o_orderkey FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey AND o_orderstatus != 'P' LEFT JOIN part ON p_partkey = l_partkey AND p_size > 10)
+SELECT 'signs' AS section, unnest(['signs', 'images', 'locations', 'signs_without_image', 'signs_without_location']) AS metric, unnest([count(DISTINCT s), count(DISTINCT o_orderkey), count(DISTINCT p_partkey), count(*) FILTER (o_orderkey IS NULL), count(*) FILTER (p_partkey IS NULL)])::DOUBLE AS value FROM j
+UNION ALL SELECT 'policies', unnest(['rows', 'repeated_signs', 'wrong_job', 'other_text']), unnest([count(*), count(*) - count(DISTINCT o_orderkey), count(*) FILTER (o_orderstatus = 'P'), count(*) FILTER (o_orderstatus = 'O')])::DOUBLE FROM orders""")
+def acceptance_counts(spark, sf_dir):
+    """Lines as signs, their orders as images and parts as locations; orders as readings."""
+    sign = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sign_id")
+    li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    signs_ = li.select(F.col("l_orderkey").alias("sign_id"), F.col("l_partkey").alias("location_id"), sign.alias("line"))
+    images = o.where("o_orderstatus != 'P'").select(F.col("o_orderkey").alias("image_id"), F.col("o_orderkey").alias("sign_id"))
+    locations = table(spark, sf_dir, "part").where("p_size > 10").select(F.col("p_partkey").alias("location_id"))
+    read = F.concat(F.lit('{"b":1,"a":'), F.col("o_custkey").cast("string"), F.lit("}"))
+    stored = F.when(F.col("o_orderstatus") == "O", F.lit('{"a":0}')).otherwise(F.concat(F.lit('{"a": '), F.col("o_custkey").cast("string"), F.lit(', "b": 1}')))
+    texts = o.select(F.col("o_orderkey").alias("sign_id"), read.alias("policy_json"), stored.alias("stored_json"), F.when(F.col("o_orderstatus") == "P", "old").otherwise("new").alias("job_id"))
+    by_line = signs_.join(images, "sign_id", "left").select(F.col("line").alias("sign_id"), "location_id", "image_id")
+    return acceptance.accept(by_line.select("sign_id", "location_id"), by_line.where("image_id IS NOT NULL").select("sign_id", "image_id").distinct(), locations, texts, job_id="new")
+
+
+@query("""SELECT 'blockfaces' AS source, CAST(p_partkey AS VARCHAR) AS id FROM part WHERE p_partkey * 10.0 + p_size >= 400 AND p_partkey * 10.0 <= 5100
+UNION SELECT 'suppliers', CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_suppkey * 10.0 BETWEEN 400 AND 5100""")
+def seed_subset(spark, sf_dir):
+    """Parts as level blockfaces and suppliers as points, in a box."""
+    x, y = F.col("p_partkey") * 10.0, F.col("p_size").cast("double")
+    edges = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("line_id"), x.alias("x0"), y.alias("y0"), (x + F.col("p_size")).alias("x1"), y.alias("y1"))
+    points = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("point_id"), (F.col("s_suppkey") * 10.0).alias("x"), F.lit(0.0).alias("y"))
+    return acceptance.seed_subset(edges, {"suppliers": points}, (500.0, 0.0, 5000.0, 0.0), 100.0).where("source != 'blockfaces' OR id IS NOT NULL")
+
+
+@query("SELECT o_orderkey AS curb_zone_id, 'LINESTRING (' || CAST(o_orderkey AS VARCHAR) || '.0 0.0, ' || CAST(o_orderkey + 1 AS VARCHAR) || '.0 0.0)' AS geometry, count(DISTINCT l_partkey) AS n_links FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2")
+def zone_table(spark, sf_dir):
+    q = F.col("o_orderkey").cast("double")
+    zones_ = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("curb_zone_id"), F.array(G.point(q, F.lit(0.0)), G.point(q + 1, F.lit(0.0))).alias("line"))
+    links = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("curb_zone_id"), F.col("l_partkey").alias("curb_policy_id"))
+    made, linked = publish.zone_tables(zones_, links, F.lit("2026-01-01 00:00:00").cast("timestamp"))
+    n = linked.groupBy("curb_zone_id").agg(F.count(F.lit(1)).alias("n_links"))
+    return made.join(n, "curb_zone_id").select("curb_zone_id", "geometry", "n_links")
+
+
+@query("SELECT min(p_partkey) AS p_partkey, count(*) AS rows_seen FROM part GROUP BY p_partkey HAVING max(p_size) >= 10")
+def clean_curbs(spark, sf_dir):
+    """Parts as curbs of their size, each given twice, those of fewer than ten feet dropped."""
+    length = F.col("p_size").cast("double")
+    c = table(spark, sf_dir, "part").select("p_partkey", F.array(G.point(F.lit(0.0), F.lit(0.0)), G.point(length, F.lit(0.0))).alias("line"))
+    made = curbs.clean_curbs(c.unionByName(c), key="p_partkey", least=10.0)
+    return made.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("rows_seen"))
+
+
+@query("""WITH s AS (SELECT CAST(l_orderkey AS VARCHAR) AS segment_id, CASE WHEN l_linenumber < 6 THEN l_linenumber * 7 % 5 END AS rank, '{"name":"' || l_returnflag || '"' || CASE WHEN l_linenumber < 6 THEN ',"priority":' || (l_linenumber * 7 % 5) ELSE '' END || '}' AS policy FROM lineitem),
+d AS (SELECT DISTINCT * FROM s)
+SELECT CAST(o_orderkey AS VARCHAR) AS segment_id, coalesce(string_agg(policy, ';' ORDER BY rank NULLS LAST, policy), '') AS policy_list FROM orders LEFT JOIN d ON segment_id = CAST(o_orderkey AS VARCHAR) GROUP BY 1""")
+def priority_lists(spark, sf_dir):
+    """Lines as policies with priorities, some without, on orders as segments."""
+    n = F.col("l_linenumber")
+    text = F.concat(F.lit('{"name":"'), "l_returnflag", F.lit('"'), F.when(n < 6, F.concat(F.lit(',"priority":'), (n * 7 % 5).cast("string"))).otherwise(""), F.lit("}"))
+    active = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("segment_id"), text.alias("policy"))
+    faces = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("blockface_id"), F.col("o_orderkey").alias("segment_id"), F.lit(0).alias("segment_seq"))
+    return policies.segment_lists(faces, active).select("segment_id", F.array_join("policy_list", ";").alias("policy_list"))
+
+
+def _mercator_sql() -> str:
+    e, lon, lat = f"{math.sqrt(0.0066943799901413165)!r}::DOUBLE", "(-71.0 - (c_custkey % 100) / 1000.0::DOUBLE)", "(42.3 + (c_custkey % 77) / 1000.0::DOUBLE)"
+    s = f"({e} * sin(radians({lat})))"
+    return f"SELECT c_custkey, round(radians({lon}) * 6378137.0, 2) AS x, round(6378137.0 * ln(tan(radians({lat}) / 2 + pi() / 4) * pow((1 - {s}) / (1 + {s}), {e} / 2)), 2) AS y FROM customer"
+
+
+@query(_mercator_sql())
+def mercator(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", (F.lit(-71.0) - F.col("c_custkey") % 100 / 1000).alias("lon"), (F.lit(42.3) + F.col("c_custkey") % 77 / 1000).alias("lat"))
+    x, y = G.to_mercator(F.col("lon"), F.col("lat"))
+    return c.select("c_custkey", F.round(x, 2).alias("x"), F.round(y, 2).alias("y"))
+
+
+@query("""WITH p AS (SELECT p_partkey, radians(42.3::DOUBLE + (p_partkey % 50) / 1000.0::DOUBLE) AS a, radians(42.3::DOUBLE + (p_partkey % 50) / 1000.0::DOUBLE + p_size / 100000.0::DOUBLE) AS b, radians(p_size / 50000.0::DOUBLE) AS dl FROM part),
+m AS (SELECT p_partkey, b - a AS dp, dl, (a + b) / 2 AS mid, 2 / 298.257223563::DOUBLE - 1 / pow(298.257223563::DOUBLE, 2) AS e2 FROM p), w AS (SELECT *, 1 - e2 * pow(sin(mid), 2) AS k FROM m)
+SELECT p_partkey, round(3.280839895::DOUBLE * sqrt(pow(dp * 6378137.0 * (1 - e2) / pow(k, 1.5), 2) + pow(dl * 6378137.0 * cos(mid) / sqrt(k), 2)), 2) AS feet FROM w""")
+def geodesic_lengths(spark, sf_dir):
+    lat = F.lit(42.3) + F.col("p_partkey") % 50 / 1000
+    line = F.array(G.point(F.lit(0.0), lat), G.point(F.col("p_size") / 50000, lat + F.col("p_size") / 100000))
+    return table(spark, sf_dir, "part").select("p_partkey", G.geodesic_feet(line).alias("feet"))
+
+
+@query("""SELECT p_partkey, CAST(count(*) FILTER (l_quantity / 51 <= 0.5) AS BIGINT) AS first_half, CAST(count(*) FILTER (l_quantity / 51 >= 0.5) AS BIGINT) AS second_half FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1""")
+def points_on_halves(spark, sf_dir):
+    """Points on the halves of their curb; one in the middle is on both."""
+    halves = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("curb_id"), F.posexplode(F.array(F.array(F.lit(0.0), F.lit(0.5)), F.array(F.lit(0.5), F.lit(1.0)))).alias("no", "e"))
+    halves = halves.select("curb_id", "no", F.col("e")[0].alias("start_fraction"), F.col("e")[1].alias("end_fraction"))
+    on = intervals.assign_points(_on_curb(spark, sf_dir).select("curb_id", "point_id", "fraction"), halves, "curb_id")
+    return on.groupBy(F.col("curb_id").alias("p_partkey")).agg(F.count_if(F.col("no") == 0).alias("first_half"), F.count_if(F.col("no") == 1).alias("second_half"))
+
+
+@query("""WITH a AS (SELECT o_orderkey AS z FROM orders WHERE o_orderstatus != 'F'), w AS (SELECT DISTINCT l_orderkey AS z, l_partkey AS p FROM lineitem WHERE l_returnflag != 'R' AND l_orderkey IN (SELECT z FROM a)), p AS (SELECT DISTINCT l_orderkey AS z, l_partkey AS p FROM lineitem WHERE l_linestatus = 'O')
+SELECT 'add' AS change, z AS curb_zone_id, p AS curb_policy_id FROM (SELECT * FROM w EXCEPT SELECT * FROM p) UNION ALL SELECT 'delete', z, p FROM (SELECT * FROM p EXCEPT SELECT * FROM w)""")
+def link_changes(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("curb_zone_id"), F.col("l_partkey").alias("curb_policy_id"), "l_returnflag", "l_linestatus")
+    active = table(spark, sf_dir, "orders").where("o_orderstatus != 'F'").select(F.col("o_orderkey").alias("curb_zone_id"))
+    add, gone = publish.link_changes(li.where("l_returnflag != 'R'"), li.where("l_linestatus = 'O'").distinct(), active)
+    keys = ["curb_zone_id", "curb_policy_id"]
+    return add.select(F.lit("add").alias("change"), *keys).unionByName(gone.select(F.lit("delete").alias("change"), *keys).distinct())
+
+
+@query("""SELECT 'missing description' AS rule, CAST(p_partkey AS VARCHAR) AS key FROM part WHERE p_size < 5
+UNION ALL SELECT 'link to inactive zone', CAST(l_orderkey AS VARCHAR) FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus = 'P'
+UNION ALL SELECT 'link to missing policy', CAST(l_partkey AS VARCHAR) FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) WHERE l_partkey NOT IN (SELECT p_partkey FROM part)
+UNION ALL SELECT 'link to inactive zone', CAST(l_orderkey AS VARCHAR) FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+UNION ALL SELECT 'invalid line', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_custkey = 1 UNION ALL SELECT 'zone key', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_custkey = 2""")
+def publication_faults(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    x = F.col("o_orderkey").cast("double")
+    line = F.array(G.point(x, F.lit(0.0)), G.point(F.when(F.col("o_custkey") == 1, x).otherwise(x + 1), F.lit(0.0)))
+    zones_ = o.select(F.col("o_orderkey").alias("curb_zone_id"), line.alias("line"), F.when(F.col("o_orderstatus") == "P", F.lit("2026")).alias("end_date"), "o_custkey")
+    zones_ = zones_.unionByName(zones_.where("o_custkey = 2"))  # given twice
+    links = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("curb_zone_id"), F.col("l_partkey").alias("curb_policy_id")).distinct()
+    texts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("curb_policy_id"), F.when(F.col("p_size") >= 5, F.col("p_name")).alias("description"))
+    return publish.violations(zones_, texts, links).select("rule", F.col("key").cast("string").alias("key"))
+
+
+@query("""WITH s AS (SELECT l_orderkey AS b, l_linenumber AS q FROM lineitem), f AS (SELECT b FROM s GROUP BY b HAVING min(q) != 0 OR max(q) != count(*) - 1 OR count(DISTINCT q) != count(*))
+SELECT unnest(['unmatched ids', 'moved locations', 'signs without image', 'sequence errors', 'uncovered blockfaces', 'signs without reading', 'rows of another job']) AS "check",
+unnest([(SELECT count(*) FROM customer WHERE c_acctbal < 0), (SELECT count(*) FROM customer WHERE c_acctbal > 9000), (SELECT count(*) FROM orders WHERE o_orderstatus = 'P'), (SELECT count(*) FROM f), (SELECT count(*) FROM orders WHERE o_orderkey NOT IN (SELECT b FROM s) AND o_totalprice >= 3), (SELECT count(*) FROM orders WHERE o_orderstatus = 'O'), (SELECT count(*) FROM orders WHERE o_orderstatus = 'P')]) AS failures""")
+def run_audit(spark, sf_dir):
+    """Customers as locations, orders as signs and blockfaces, lines as segments."""
+    c, o, li = (table(spark, sf_dir, n) for n in ("customer", "orders", "lineitem"))
+    places_ = c.select(F.col("c_custkey").alias("location_id"), F.col("c_acctbal").alias("x"), F.lit(0.0).alias("y"))
+    moved = places_.withColumn("x", F.when(F.col("x") > 9000, F.col("x") + 1).otherwise(F.col("x")))
+    sign = o.select(F.col("o_orderkey").alias("sign_id"), "o_orderstatus", F.when(F.col("o_orderstatus") == "P", "old").otherwise("new").alias("job_id"))
+    return quality.run_audit(
+        places_.where("x >= 0").select("location_id"), moved, places_, sign.select("sign_id"), sign.where("o_orderstatus != 'P'").select("sign_id"), li.select(F.col("l_orderkey").alias("blockface_id"), F.col("l_linenumber").alias("segment_seq")),
+        o.select(F.col("o_orderkey").alias("blockface_id"), F.col("o_totalprice").alias("length_ft")), sign.where("o_orderstatus != 'O'").select("sign_id", "job_id"), job_id="new",
+    )
+
+
+@query("""SELECT o_orderkey, o_custkey, 'old' AS source FROM orders WHERE o_orderstatus != 'P' UNION ALL SELECT o_orderkey, o_custkey, NULL FROM orders WHERE o_orderstatus = 'P'""")
+def appended(spark, sf_dir):
+    """New rows without the last column, in the table's schema."""
+    o = table(spark, sf_dir, "orders")
+    target = o.where("o_orderstatus != 'P'").select("o_orderkey", "o_custkey", F.lit("old").alias("source").cast("string"))
+    target = target.withColumn("source", F.when(F.col("o_orderkey").isNotNull(), F.col("source")))  # may be null
+    return tables.append(target, o.where("o_orderstatus = 'P'").select("o_custkey", "o_orderkey"))
+
+
+@query("""SELECT c_custkey, o_orderkey AS attachment FROM customer LEFT JOIN (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS n FROM orders) ON o_custkey = c_custkey AND n = 1""")
+def latest_attachments(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey")
+    a = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderkey").alias("url"), F.col("o_totalprice").alias("changed"))
+    return tables.with_attachments(c, a, "c_custkey", "changed").select("c_custkey", F.col("url").alias("attachment"))
+
+
+@query("""SELECT p_partkey, 'new' AS state FROM part WHERE p_size >= 25 AND NOT EXISTS (SELECT 1 FROM part o WHERE o.p_size < 25 AND o.p_brand = part.p_brand AND o.p_type = part.p_type)""")
+def new_policy_rows(spark, sf_dir):
+    """Large parts as new policies and small ones as published; brand and type are the signature."""
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("curb_policy_id"), F.concat_ws("|", "p_brand", "p_type").alias("signature"), "p_size")
+    new, old = p.where("p_size >= 25"), p.where("p_size < 25")
+    left = acceptance.new_rows_only({"curb_policies": new}, publish.reuse_policies(new, old))["curb_policies"]
+    return left.select(F.col("curb_policy_id").alias("p_partkey"), F.lit("new").alias("state"))
+
+
+@query("""WITH f AS (SELECT p_partkey AS k, CASE p_partkey % 3 WHEN 0 THEN 0.0 ELSE p_size / 10.0 END AS up FROM part) SELECT k AS p_partkey, round(CAST(up AS DOUBLE), 6) AS distance FROM f""")
+def line_distances(spark, sf_dir):
+    """The distance of a curb to itself moved up by a tenth of its size, or not at all."""
+    up = F.when(F.col("p_partkey") % 3 == 0, 0.0).otherwise(F.col("p_size") / 10)
+    a = F.array(G.point(F.lit(0.0), F.lit(0.0)), G.point(F.lit(50.0), F.lit(0.0)), G.point(F.lit(100.0), F.lit(0.0)))
+    b = F.array(G.point(F.lit(0.0), up), G.point(F.lit(100.0), up))
+    return table(spark, sf_dir, "part").select("p_partkey", F.round(spatial.hausdorff(a, b), 6).alias("distance"))

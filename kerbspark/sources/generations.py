@@ -11,41 +11,80 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 
 
-def _pointer(spark: SparkSession, root: str) -> list[str]:
+def _folder(spark: SparkSession, root: str):
+    """The folder of pointers and its file system."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_pointers")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _pointers(spark: SparkSession, root: str) -> list[int]:
+    """The numbers of all pointers, newest first."""
+    path, fs = _folder(spark, root)
+    if not fs.exists(path):
         return []
-    rows = spark.read.json(f"{root}/_pointers").orderBy(F.desc("n")).limit(2).collect()
-    return [r["generation"] for r in rows]
+    names = [x.getPath().getName() for x in fs.listStatus(path)]
+    return sorted((int(n) for n in names if n.isdigit()), reverse=True)
+
+
+def _generation(spark: SparkSession, root: str, number: int) -> str:
+    return spark.read.text(f"{root}/_pointers/{number:012d}").first()["value"]
+
+
+def _point(spark: SparkSession, root: str, after: int, generation: str) -> None:
+    """Write the pointer that follows number ``after``. Its file is made only if there is none, so of two publishers at once one fails."""
+    path, fs = _folder(spark, root)
+    name = spark._jvm.org.apache.hadoop.fs.Path(path, f"{after + 1:012d}")
+    if fs.exists(name):
+        raise ValueError("another publication came first")
+    try:
+        out = fs.create(name, False)
+    except Exception as error:
+        raise ValueError("another publication came first") from error
+    out.write(bytearray(generation.encode()))
+    out.close()
 
 
 def publish(tables: Mapping[str, DataFrame], root: str) -> str:
-    """Write all tables to a new generation, then move the pointer to it: readers see all or nothing."""
+    """Write all tables to a new generation, then move the pointer to it: readers see all or nothing.
+
+    If another publication came in between, this one stops with an error and
+    its generation is never pointed to.
+    """
     spark = next(iter(tables.values())).sparkSession
     generation = uuid.uuid4().hex
+    after = next(iter(_pointers(spark, root)), -1)
     for name, df in tables.items():
         df.write.parquet(f"{root}/{generation}/{name}")
-    n = spark.read.json(f"{root}/_pointers").agg(F.max("n")).first()[0] + 1 if _pointer(spark, root) else 0
-    spark.createDataFrame([(n, generation)], "n long, generation string").coalesce(1).write.mode("append").json(f"{root}/_pointers")
+    _point(spark, root, after, generation)
     return generation
 
 
 def current(spark: SparkSession, root: str, name: str, back: int = 0) -> DataFrame:
     """A table of the current generation, or of the one before it."""
-    found = _pointer(spark, root)
+    found = _pointers(spark, root)
     if len(found) <= back:
         raise ValueError("no such generation")
-    return spark.read.parquet(f"{root}/{found[back]}/{name}")
+    return spark.read.parquet(f"{root}/{_generation(spark, root, found[back])}/{name}")
 
 
 def roll_back(spark: SparkSession, root: str) -> str:
     """Make the previous generation current again, by a new pointer to it."""
-    found = _pointer(spark, root)
+    found = _pointers(spark, root)
     if len(found) < 2:
         raise ValueError("no previous generation")
-    n = spark.read.json(f"{root}/_pointers").agg(F.max("n")).first()[0] + 1
-    spark.createDataFrame([(n, found[1])], "n long, generation string").coalesce(1).write.mode("append").json(f"{root}/_pointers")
-    return found[1]
+    generation = _generation(spark, root, found[1])
+    _point(spark, root, found[0], generation)
+    return generation
+
+
+def publish_in_order(state: Mapping[str, DataFrame], deletes: Mapping[str, tuple[DataFrame, list[str]]], appends: Mapping[str, DataFrame], root: str) -> str:
+    """A new generation of all tables of ``state``: deletes (rows and their keys) come before appends, and empty ones change nothing."""
+    tables = dict(state)
+    for name, (rows, keys) in deletes.items():
+        tables[name] = tables[name].join(rows.select(*keys).distinct(), keys, "left_anti").select(*tables[name].columns)
+    for name, rows in appends.items():
+        tables[name] = tables[name].unionByName(rows.to(tables[name].schema))
+    return publish(tables, root)
 
 
 def write_geojson_lines(df: DataFrame, path: str, line: str = "line") -> None:

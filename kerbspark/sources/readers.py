@@ -39,17 +39,36 @@ def roads(spark: SparkSession, path: str, include: Mapping[str, Sequence[Any]] |
     return tables.keep_values(df, include, exclude)
 
 
-def geojson(spark: SparkSession, path: str, crs: str | None = None) -> DataFrame:
-    """A FeatureCollection: properties as columns and ``geometry`` as GeoJSON text; another declared CRS is an error."""
+def geojson(spark: SparkSession, path: str, crs: str | None = None, properties: str | None = None) -> DataFrame:
+    """FeatureCollections: properties as columns and ``geometry`` as GeoJSON text; another declared CRS is an error.
+
+    ``properties`` is their schema; without one it is found in a pass over the
+    data. A FeatureCollection is one JSON text, so a file goes through one task:
+    give large sources line by line to :func:`geojson_lines`.
+    """
     whole = spark.read.text(path, wholetext=True)
     if crs is not None:
         found = whole.select(F.get_json_object("value", "$.crs.properties.name").alias("n")).where(F.col("n").isNotNull() & ~F.contains(F.col("n"), F.lit(crs.split(":")[-1])))
         if not found.isEmpty():
             raise ValueError("the file has another coordinate system")
-    features = whole.select(F.explode(F.from_json(F.get_json_object("value", "$.features"), "array<string>")).alias("f"))
-    properties = features.select(F.get_json_object("f", "$.properties").alias("p"), F.get_json_object("f", "$.geometry").alias("geometry"))
-    schema = spark.read.json(properties.select("p").rdd.map(lambda r: r[0])).schema
-    return properties.select(F.from_json("p", schema).alias("p"), "geometry").select("p.*", "geometry")
+    return _features(whole.select(F.explode(F.from_json(F.get_json_object("value", "$.features"), "array<string>")).alias("f")), properties)
+
+
+def geojson_lines(spark: SparkSession, path: str, properties: str | None = None) -> DataFrame:
+    """One GeoJSON feature in each line of text, as :func:`generations.write_geojson_lines` writes them; files are split over tasks."""
+    return _features(spark.read.text(path).select(F.col("value").alias("f")), properties)
+
+
+def _features(features: DataFrame, properties: str | None) -> DataFrame:
+    parts = features.select(F.get_json_object("f", "$.properties").alias("p"), F.get_json_object("f", "$.geometry").alias("geometry"))
+    if properties is None:
+        found = parts.agg(F.schema_of_variant_agg(F.try_parse_json("p")).alias("s")).first()["s"] or "VOID"
+        if not found.startswith("OBJECT"):
+            return parts.select("geometry")
+        # a property that is null everywhere is text
+        properties = found.replace("OBJECT<", "STRUCT<").replace(": VOID", ": STRING")
+    kind = properties if properties.upper().startswith("STRUCT<") else f"struct<{properties}>"
+    return parts.select(F.from_json("p", kind).alias("p"), "geometry").select("p.*", "geometry")
 
 
 def lines_of(df: DataFrame, candidates: Sequence[str], *, bad: str = "raise", explode: bool = True) -> DataFrame:

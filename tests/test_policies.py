@@ -1,6 +1,8 @@
-"""Golden cases of policy propagation and of the priority table."""
+"""Policy propagation against a walk of the curb, and priorities against the bands."""
 
+import collections
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,55 +10,65 @@ from pyspark.sql import functions as F
 from kerbspark.functions import policies as P
 from kerbspark.operators import policies
 
-TEXT = {
-    "SC": '{"rules":[{"activity":"no parking","purposes":["street_cleaning"]}],"priority":38}',
-    "NP": '{"rules":[{"activity":"no parking"}],"priority":38,"name":"np"}',
-    "2H": '{"rules":[{"activity":"parking","max_stay":2}],"priority":40}',
-    "HP": '{"rules":[{"activity":"no parking","user_classes_except":["accessible"]}],"priority":53}',
-    "M1": '{"name":"m1","rules":[{"activity":"parking"}],"priority":83}',
-    "M2": '{"name":"m2","rules":[{"activity":"parking"}],"priority":43}',
-}
-
-# segments (upstream, downstream), policies (location, policy, arrow), features, expected lists; left-side if the name ends with lhs
-CASES = {
-    "test0": ([(None, "a"), ("a", None)], [("a", "SC", "left")], {}, ["", "SC"]),
-    "test0_lhs": ([(None, "a"), ("a", None)], [("a", "SC", "left")], {}, ["SC", ""]),
-    "test1": ([(None, "a"), ("a", "b"), ("b", None)], [("a", "NP", "left"), ("b", "NP", "right")], {}, ["", "NP", ""]),
-    "test1_lhs": ([(None, "a"), ("a", "b"), ("b", None)], [("a", "NP", "right"), ("b", "NP", "left")], {}, ["", "NP", ""]),
-    "test2": ([(None, "a"), ("a", "b"), ("b", None)], [("a", "NP", "right"), ("b", "2H", "both")], {}, ["NP,2H", "2H", "2H"]),
-    "test2_lhs": ([(None, "a"), ("a", "b"), ("b", None)], [("a", "2H", "both"), ("b", "NP", "right")], {}, ["2H", "2H", "NP,2H"]),
-    "test3": ([(None, "h"), ("h", "h"), ("h", "b"), ("b", None)], [("b", "2H", "both")], {"h": "fire_hydrant"}, ["2H", "FH,2H", "2H", "2H"]),
-    "test3_lhs": ([(None, "b"), ("b", "h"), ("h", "h"), ("h", None)], [("b", "2H", "both")], {"h": "fire_hydrant"}, ["2H", "2H", "FH,2H", "2H"]),
-    "test4": ([(None, "h"), ("h", "b"), ("b", "h"), ("h", None)], [("b", "2H", "both")], {"h": "fire_hydrant"}, ["2H", "FH,2H", "FH,2H", "2H"]),
-    "test4_lhs": ([(None, "h"), ("h", "b"), ("b", "h"), ("h", None)], [("b", "2H", "both")], {"h": "fire_hydrant"}, ["2H", "FH,2H", "FH,2H", "2H"]),
-    "test5": ([("a", "b")], [("a", "M1", "AWAY"), ("b", "M1", "TOWARD")], {}, ["M1"]),
-    "test6": ([("a", "b,c"), ("c", "d"), ("d,e", "f")], [("a", "M1", "AWAY"), ("b", "M1", "TOWARD"), ("c", "M2", "AWAY"), ("d", "M2", "TOWARD,M1,AWAY"), ("f", "M1", "TOWARD")], {}, ["M1", "M2", "M1"]),
-    "test7": ([("a", "a,s"), ("s", "t"), ("t", None)], [("a", "M1", "AWAY"), ("s", "HP", "left"), ("t", "HP", "right")], {}, ["M1", "M1,HP", "M1"]),
-    "test8": ([("a", "s"), ("s", "h"), ("h", "h"), ("h", None)], [("a", "M1", "AWAY"), ("s", "NP", "right")], {"h": "fire_hydrant"}, ["NP,M1", "M1", "FH,M1", "M1"]),
-}
-
-
-def test_golden_propagation(spark):
-    rows, posted, features = [], [], []
-    for case, (segs, pols, feats, _) in CASES.items():
-        for seq, (up, down) in enumerate(segs):
-            lists = [None if x is None else [f"{case}/{i}" for i in x.split(",")] for x in (up, down)]
-            rows.append((case, f"{case}#{seq}", seq, case.endswith("lhs"), *lists))
-        for loc, name, arrow in pols:
-            first, *more = arrow.split(",")
-            posted.append((f"{case}/{loc}", TEXT[name], first))
-            if more:
-                posted.append((f"{case}/{loc}", TEXT[more[0]], more[1]))
-        features += [(f"{case}/{k}", v) for k, v in feats.items()]
+POLICIES = [json.dumps({"rules": [{"activity": a}], "priority": p}) for a, p in (("no parking", 38), ("parking", 80), ("loading", 90), ("no stopping", 37))]
+
+
+def canonical(text):
+    return json.dumps(json.loads(text), sort_keys=True, separators=(",", ":"))
+
+
+def walked(segments, arrows):
+    """The policies of each segment of one curb, by walking it both ways: an arrow away begins a policy ahead, one toward begins it behind."""
+    order = [("arrow", a) for a in arrows.get((0, "up"), [])]
+    for n in range(segments):
+        order += [("segment", n), *[("arrow", a) for a in arrows.get((n, "down"), [])]]
+    held = collections.defaultdict(set)
+    for steps, begins in ((order, "AWAY"), (order[::-1], "TOWARD")):
+        on = set()
+        for kind, x in steps:
+            if kind == "segment":
+                held[x] |= on
+            else:
+                (on.add if x[1] == begins else on.discard)(x[0])
+    return held
+
+
+def test_propagation_is_a_walk_both_ways(spark):
+    rng = random.Random(12)
+    rows, posted, features, want = [], [], [], {}
+    hydrant = canonical(P.FIRE_HYDRANT)
+    for face in range(60):
+        left, n = bool(face % 2), rng.randint(1, 7)
+        arrows, toggles = {}, 0
+        for seq in range(n):
+            lists = {"up": None, "down": None}
+            for side in ("up", "down") if seq == 0 else ("down",):
+                places = [f"{face}/{seq}{side}{i}" for i in range(rng.choice([0, 1, 1, 2]))]
+                lists[side] = places or None
+                found = []
+                for place in places:
+                    if side == "down" and rng.random() < 0.3:
+                        features.append((place, "fire_hydrant"))
+                        found.append((hydrant, "TOWARD" if toggles % 2 else "AWAY"))
+                        toggles += 1
+                        continue
+                    own = []
+                    for text in rng.sample(POLICIES, rng.choice([0, 1, 2])):
+                        arrow = rng.choice([None, "both", "left", "right", "AWAY", "TOWARD"])
+                        posted.append((place, text, arrow))
+                        ahead = {"left": "TOWARD" if left else "AWAY", "right": "AWAY" if left else "TOWARD"}.get(arrow, arrow)
+                        own += [(canonical(text), d) for d in (["TOWARD", "AWAY"] if arrow in (None, "both") else [ahead])]
+                    found += own
+                arrows[seq, side] = found
+            rows.append((f"f{face}", f"{face}#{seq}", seq, left, lists["up"], lists["down"]))
+        for seq, texts in walked(n, arrows).items():
+            want[f"{face}#{seq}"] = texts
     segments = spark.createDataFrame(rows, "blockface_id string, segment_id string, segment_seq int, is_left_side_oneway boolean, upstream_loc_list array<string>, downstream_loc_list array<string>")
-    lists = policies.apply_policies(segments, spark.createDataFrame(posted, "location_id string, policy_json string, arrow string"), spark.createDataFrame(features, "location_id string, feature_type string"))
-    names = {json.dumps(json.loads(v), sort_keys=True): k for k, v in TEXT.items()} | {json.dumps(json.loads(P.FIRE_HYDRANT), sort_keys=True): "FH"}
-    got = {r["segment_id"]: [names[json.dumps(json.loads(p), sort_keys=True)] for p in r["policy_list"]] for r in lists.collect()}
-    for case, (segs, _, _, expected) in CASES.items():
-        for seq in range(len(segs)):
-            want = [x for x in expected[seq].split(",") if x]
-            assert sorted(got[f"{case}#{seq}"]) == sorted(want), (case, seq)
-    assert got["test2#0"] == ["NP", "2H"] and got["test3#1"] == ["FH", "2H"] and got["test7#1"] == ["HP", "M1"]
+    made = policies.apply_policies(segments, spark.createDataFrame(posted, "location_id string, policy_json string, arrow string"), spark.createDataFrame(features, "location_id string, feature_type string"))
+    got = {r["segment_id"]: [canonical(p) for p in r["policy_list"]] for r in made.collect()}
+    assert {k: set(v) for k, v in got.items()} == {k: want.get(k, set()) for k in got} and len(got) == len(rows)
+    rank = lambda p: json.loads(p)["priority"]
+    assert all([rank(p) for p in v] == sorted(rank(p) for p in v) for v in got.values()) and any(len(v) > 2 for v in got.values())
 
 
 def test_faulty_blockfaces_are_reported(spark):
@@ -65,33 +77,31 @@ def test_faulty_blockfaces_are_reported(spark):
     assert got == {("a", "sequence"), ("b", "one-way flag")}
 
 
-TIME = {"days_of_week": ["mon"], "time_of_day_start": "08:00", "time_of_day_end": "18:00"}
-ALWAYS = {"days_of_week": P.DAYS, "time_of_day_start": "00:00", "time_of_day_end": "23:59"}
-DATED = {"start_date": 1, "end_date": 2}
-PRIORITY = [
-    (99, [], []),
-    (1, [{"activity": "no stopping"}], []),
-    (2, [{"activity": "no loading"}], []),
-    (3, [{"activity": "no parking"}], []),
-    (10, [{"activity": "parking"}], [DATED]),
-    (21, [{"activity": "no stopping"}], [DATED]),
-    (33, [{"activity": "no parking"}], [TIME | {"designated_period": ["snow emergency"]}]),
-    (37, [{"activity": "no loading"}], [TIME]),
-    (40, [{"activity": "parking", "user_classes": ["resident_permit"]}], [TIME]),
-    (53, [{"activity": "no parking", "purposes": ["x"]}], [TIME]),
-    (60, [{"activity": "parking", "user_classes": ["truck"]}], []),
-    (71, [{"activity": "no stopping", "user_classes": ["truck"]}], []),
-    (80, [{"activity": "parking"}], [TIME]),
-    (99, [{"activity": "parking"}], []),
-    (90, [{"activity": "loading"}], []),
-    (99, [{"activity": "parking"}], [ALWAYS]),
-]
-
-
-def test_priority_table(spark):
-    rows = [(i, want, json.dumps({"rules": rules, "time_spans": spans})) for i, (want, rules, spans) in enumerate(PRIORITY)]
-    df = spark.createDataFrame(rows, "i int, want int, j string").withColumn("got", P.priority(P.parse(F.col("j"))))
-    assert [(r["i"], r["got"]) for r in df.orderBy("i").collect()] == [(r[0], r[1]) for r in rows]
+ACTIVITIES = ["no stopping", "no loading", "no parking", "parking", "loading"]
+LIMITS = {"none": [], "always": [{"days_of_week": P.DAYS, "time_of_day_start": "00:01", "time_of_day_end": "00:00"}], "hours": [{"days_of_week": P.DAYS, "time_of_day_start": "07:00", "time_of_day_end": "09:30"}], "days": [{"days_of_week": ["sat", "sun"]}], "season": [{"days_of_week": P.DAYS, "time_of_day_start": "00:00", "time_of_day_end": "23:59", "months": [6, 7]}], "period": [{"designated_period": ["school days"]}], "dates": [{"start_date": 5, "end_date": 9, "time_of_day_start": "07:00"}]}
+CLASSES = [{}, {"user_classes": ["bus"]}, {"user_classes_except": ["bus"]}, {"purposes": ["film"]}]
+
+#: Fixed values, the published bands: for a limit by dates, period or hours, or none, without and with user classes. Negative activities add their number.
+BANDS = {("dates", False): 10, ("dates", True): 10, ("hours", False): 80, ("hours", True): 40, ("none", True): 60}
+NEGATIVE_BANDS = {("dates", False): 20, ("dates", True): 20, ("period", False): 30, ("hours", False): 35, ("hours", True): 50, ("none", False): 0, ("none", True): 70}
+
+
+def test_priority_follows_the_bands(spark):
+    rows = []
+    for n, activity in enumerate(ACTIVITIES):
+        for limit, spans in LIMITS.items():
+            for more in CLASSES:
+                kind = "none" if limit in ("none", "always") else limit if limit in ("dates", "period") else "hours"
+                users = bool(more)
+                if n < 3:
+                    want = NEGATIVE_BANDS[kind if (kind, users) in NEGATIVE_BANDS else "hours", users] + n + 1
+                else:
+                    kind = "hours" if kind == "period" else kind
+                    want = BANDS.get((kind, users), 99 if activity == "parking" else 90)
+                rows.append((json.dumps({"rules": [{"activity": activity} | more], "time_spans": spans}), want))
+    rows.append((json.dumps({"rules": [], "time_spans": LIMITS["hours"]}), 99))
+    df = spark.createDataFrame(rows, "j string, want int").withColumn("got", P.priority(P.parse(F.col("j"))))
+    assert [tuple(r) for r in df.where("got != want").collect()] == [] and len(rows) == 141
 
 
 @pytest.mark.parametrize("text,missing", [(None, True), ("  ", True), ("No Description Available", True), ("park here", False)])

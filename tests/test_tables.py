@@ -1,8 +1,11 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from kerbspark.operators import quality, signs, tables
+from kerbspark.functions import geometry as G
+from kerbspark.operators import publish, quality, signs, tables
 from kerbspark.sources import generations, readers
 
 
@@ -92,6 +95,15 @@ def test_generations(spark, people, tmp_path):
     assert ids(generations.current(spark, root, "p")) == [1, 2, 3]
     with pytest.raises(ValueError):
         generations.current(spark, f"{root}/none", "p")
+    # two publishers that saw the same pointer: the second one fails, and readers keep what the first one published
+    after = generations._pointers(spark, root)[0]
+    generations._point(spark, root, after, generations._generation(spark, root, after))
+    with pytest.raises(ValueError, match="came first"):
+        generations._point(spark, root, after, "lost")
+    assert ids(generations.current(spark, root, "p")) == [1, 2, 3]
+    more = spark.createDataFrame([(9, "n", 1.0, "x")], people.schema)
+    generations.publish_in_order({"p": generations.current(spark, root, "p")}, {"p": (people.where("id = 2"), ["id"])}, {"p": more}, root)
+    assert ids(generations.current(spark, root, "p")) == [1, 3, 9]
 
 
 def test_sources(spark, tmp_path):
@@ -102,6 +114,11 @@ def test_sources(spark, tmp_path):
     assert sorted((r["id"], r["part"], [tuple(p) for p in r["line"]]) for r in g.collect()) == [(7, 0, [(0.0, 1.0), (2.0, 3.0)]), (8, 0, [(0.0, 0.0), (1.0, 1.0)]), (8, 1, [(2.0, 2.0), (3.0, 3.0)])]
     with pytest.raises(ValueError):
         readers.geojson(spark, f"{tmp_path}/g.geojson", crs="EPSG:2249")
+    lines = spark.createDataFrame([(1, "a", None, [(0.0, 1.0), (2.0, 3.0)]), (2, None, None, [(5.0, 5.0), (6.0, 6.5)])], "id long, name string, none string, line array<struct<x:double,y:double>>")
+    generations.write_geojson_lines(lines, f"{tmp_path}/lines")
+    for schema in (None, "id long, name string"):
+        back = readers.lines_of(readers.geojson_lines(spark, f"{tmp_path}/lines", schema), ["geometry"])
+        assert sorted((r["id"], r["name"] or "", [tuple(p) for p in r["line"]]) for r in back.collect()) == [(1, "a", [(0.0, 1.0), (2.0, 3.0)]), (2, "", [(5.0, 5.0), (6.0, 6.5)])]
     w = spark.createDataFrame([("LINESTRING (0 0, 1 2)",), ("SRID=4326;POINT(5 6)",), ("junk",), (None,)], "wkt string")
     assert [[tuple(p) for p in r["line"]] for r in readers.lines_of(w, ["geom", "wkt"], bad="drop").collect()] == [[(0.0, 0.0), (1.0, 2.0)], [(5.0, 6.0)]]
     with pytest.raises(Exception, match="malformed"):
@@ -158,3 +175,52 @@ def test_json_numbers_are_told_by_type(spark):
     rows = ['{"k":7}', '{"k":"7"}', '{"k":2.5}', '{"k":true}', '{"k":null}', '{"k":[1]}', "{}", "no json", None, '{"k":-1e3}']
     got = quality.json_number_stats(spark.createDataFrame([(r,) for r in rows], "j string"), "j", "$.k", "s").collect()
     assert {r["metric"]: r["value"] for r in got} == {"numbers": 3.0, "min": -1000.0, "max": 7.0, "mean": round(-990.5 / 3, 6)}
+
+
+def test_named_uuids_and_array_text(spark):
+    import uuid
+
+    space = uuid.uuid4()
+    names = ["", "LINESTRING (0 0, 1 1)", "ä", "x" * 300]
+    got = spark.createDataFrame([(n,) for n in names], "n string").select(signs.name_uuid(str(space), F.col("n")).alias("u")).collect()
+    assert [r["u"] for r in got] == [str(uuid.uuid5(space, n)) for n in names]
+    lists = [["a", "b,c"], ['d"e', "f\\g"], [], None, ["x", None]]
+    text = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "i int, v array<string>").withColumn("t", signs.array_text(F.col("v"))).withColumn("back", signs.array_of_text(F.col("t")))
+    rows = text.orderBy("i").collect()
+    assert [r["back"] for r in rows] == lists and rows[0]["t"] == '{"a","b,c"}'
+    assert spark.range(1).select(signs.array_of_text(F.lit("{one,two three,NULL}")).alias("v")).first()["v"] == ["one", "two three", None]
+
+
+def test_jobs_must_be_named(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, job_id string")
+    assert tables.job_tables({"t": df}, {"t": "b"})["t"].first()["id"] == 2
+    for jobs in ({}, {"t": ""}, {"t": "auto"}):
+        with pytest.raises(ValueError):
+            tables.job_tables({"t": df}, jobs)
+
+
+def test_nested_view_and_tables_hold_the_same(spark):
+    docs = [
+        {"name": "a", "rules": [{"activity": "parking", "max_stay": 2, "max_stay_unit": "hour", "rate": {"rate": 125, "rate_unit": "hour"}}, {"activity": "loading", "user_classes": ["truck"]}], "time_spans": [{"days_of_week": ["mon"], "time_of_day_start": "08:00", "time_of_day_end": "10:00"}]},
+        {"name": "b", "rules": [{"activity": "no parking"}], "time_spans": []},
+    ]
+    p = spark.createDataFrame([(f"p{i}", json.dumps(d)) for i, d in enumerate(docs)], "curb_policy_id string, policy_json string")
+    made = publish.policy_tables(p)
+    back = publish.unnested_policies(publish.nested_policies(made))
+    for name, key in (("curb_policies", None), ("curb_policy_rules", "rule_id"), ("curb_policy_time_spans", "time_span_id"), ("curb_policy_rates", "rate_id")):
+        a, b = ({tuple(str(r[c]) for c in sorted(df.columns) if c not in (key, "rule_id")) for r in df.collect()} for df in (made[name], back[name]))
+        assert a == b and made[name].count() == back[name].count(), name
+    assert made["curb_policy_rates"].count() == 1
+
+
+def test_signs_of_an_area_lie_on_a_grid_of_feet(spark):
+    rows = [(1, -71.06, 42.35, "R7", "2024-01-02", None), (1, -71.0601, 42.35, "R7", "2024-01-01", None), (2, -71.0602, 42.3501, "r8", "2024-01-01", "Removed"), (3, -71.5, 42.35, "R7", "2024-01-01", None), (4, None, 42.35, "R7", "2024-01-01", None), (5, -71.06, 42.35, "S1", "2024-01-01", None)]
+    df = spark.createDataFrame(rows, "k int, lon double, lat double, code string, changed string, status string")
+    x, y = spark.range(1).select(*G.to_feet(F.lit(-71.06), F.lit(42.35))).first()
+    corners = [(x - 500, y - 500), (x + 500, y - 500), (x + 500, y + 500), (x - 500, y + 500)]
+    area = spark.createDataFrame([(1, *a, *b) for a, b in zip(corners, corners[1:] + corners[:1])], "polygon_id int, x0 double, y0 double, x1 double, y1 double")
+    got = signs.preprocess_area(df, area, lon="lon", lat="lat", area_cell=250.0, key="k", modified="changed", inspected="changed", code="code", prefixes=["R"], cell=10.0).collect()
+    assert {r["k"]: r["sign_removed_date"] for r in got} == {1: None, 2: "2024-01-01"}
+    for r in got:
+        assert r["x"] % 10 == 0 and r["y"] % 10 == 0 and abs(r["lon"] + 71.06) < 1e-3 and abs(r["lat"] - 42.35) < 1e-3
+    assert [r["k"] for r in signs.active(spark.createDataFrame(got)).collect()] == [1]
