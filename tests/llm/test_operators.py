@@ -173,6 +173,44 @@ def test_cutoffs_separate_labelled_junk(spark):
     assert {(r["stratum"], r["cutoff"], r["n_rejected"]) for r in cutoffs.collect()} == {("*", 0.7, 0), ("=en", 0.7, 0), ("=de", 0.7, 0)}
 
 
+def test_fitted_verdicts_equal_those_of_the_sql(spark, tmp_path):
+    """Cutoffs are fitted here, so the verdicts go beyond the base rule; SQL makes them from the definition."""
+    import duckdb
+
+    from kerbspark.llm.oracles import SQL
+
+    rng = random.Random(13)
+    rows, labels = [], []
+    for i in range(7000):
+        junk = rng.random() < (0.25 if i % 2 else 0.05)
+        w = [rng.choice(["kalo", "Miru", "stan", "vore", "nulo", "tesi"]) + str(rng.randrange(400)) for _ in range(rng.randint(52, 70))]
+        if junk:
+            w = [x + rng.choice(["!!!", "#", "|", ""]) for x in w]
+        text = " ".join(w) if rng.random() < 0.8 else "\n".join([" ".join(w), *["same line"] * rng.randint(0, 4)])
+        rows.append((i, text, ("en", None)[i % 2] if i % 50 else "few", "s", len(text)))
+        if i % 3:
+            labels.append((i, int(not junk if rng.random() < 0.99 else junk), 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    table.write.parquet(f"{tmp_path}/labels.parquet")
+    from kerbspark.llm import queries
+
+    got = queries.op3_risk_rules(spark, str(tmp_path)).collect()
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    cursor = con.execute(SQL["op3_risk_rules"])
+    names = [x[0] for x in cursor.description]
+    want = {r[0]: dict(zip(names, r, strict=True)) for r in cursor.fetchall()}
+    assert len(got) == len(want) == 7000
+    for r in got:
+        assert {c: r[c] for c in names} == want[r["doc_id"]]
+    failed = collections.Counter(r["failed_rules"] for r in got)
+    assert sum(n for k, n in failed.items() if k) > 300 and len(failed) > 2
+    assert all(r["kept"] or r["base_failed"] for r in got if rows[r["doc_id"]][2] == "few")
+
+
 def test_strata_are_judged_by_their_own_tests_only(spark, monkeypatch):
     # ten strata of 2,000 labels and a null one; small and unlabelled ones, whose good documents have high values
     rows = [(i, f"l{i % 11}" if i % 11 < 10 else None, 0.9 if i % 4 == 0 else 0.1, int(i % 4 != 0)) for i in range(22_000)]
