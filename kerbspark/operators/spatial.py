@@ -136,7 +136,9 @@ def linear_overlap(a: DataFrame, b: DataFrame, *, tolerance: float, least: float
     """
     ea = a.withColumn("c", F.explode(cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), cell, tolerance))).select(F.col("line_id").alias("a_id"), F.col("edge_no").alias("a_no"), "c", *[F.col(k).alias("a" + k) for k in ("x0", "y0", "x1", "y1")])
     eb = b.withColumn("c", F.explode(cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), cell))).select(F.col("line_id").alias("b_id"), F.col("edge_no").alias("b_no"), "c", *[F.col(k).alias("b" + k) for k in ("x0", "y0", "x1", "y1")])
-    pairs = ea.join(eb, "c").drop("c").distinct()
+    # edges whose boxes are apart by more than the tolerance go before pairs that met in several cells are made one
+    meet = lambda k: (F.least(f"a{k}0", f"a{k}1") - tolerance <= F.greatest(f"b{k}0", f"b{k}1")) & (F.least(f"b{k}0", f"b{k}1") <= F.greatest(f"a{k}0", f"a{k}1") + tolerance)
+    pairs = ea.join(eb, "c").where(meet("x") & meet("y")).drop("c").distinct()
     dx, dy = F.col("ax1") - F.col("ax0"), F.col("ay1") - F.col("ay0")
     length = F.hypot(dx, dy)
     along = lambda x, y: ((x - F.col("ax0")) * dx + (y - F.col("ay0")) * dy) / length

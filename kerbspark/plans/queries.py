@@ -328,7 +328,8 @@ def zone_changes(spark, sf_dir):
     edge = lambda df, name, a, b: df.select(F.col(name).alias("line_id"), F.lit(0).alias("edge_no"), F.col(a).cast("double").alias("x0"), (F.col("route") * 10.0).alias("y0"), F.col(b).cast("double").alias("x1"), (F.col("route") * 10.0).alias("y1"))
     found = spatial.linear_overlap(edge(old, "curb_zone_id", "lo", "hi"), edge(new, "new_id", "nlo", "nhi"), tolerance=0.001, least=0.01, cell=128.0)
     pairs = found.join(old.select(F.col("curb_zone_id").alias("a_id"), "lo", "hi"), "a_id").join(new.select(F.col("new_id").alias("b_id"), "nlo", "nhi"), "b_id")
-    overlaps = pairs.select(F.col("a_id").alias("old_id"), F.col("b_id").alias("new_id"), ((F.col("lo") == F.col("nlo")) & (F.col("hi") == F.col("nhi"))).alias("equivalent"))
+    # read once for equivalent pairs and once for others
+    overlaps = cut(pairs.select(F.col("a_id").alias("old_id"), F.col("b_id").alias("new_id"), ((F.col("lo") == F.col("nlo")) & (F.col("hi") == F.col("nhi"))).alias("equivalent")))
     return publish.zone_changes(new.select(F.col("new_id").alias("curb_zone_id")), old, overlaps, new.select(F.col("new_id").alias("curb_zone_id"), F.col("npol").alias("curb_policy_id")), old.select("curb_zone_id", F.col("pol").alias("curb_policy_id")))
 
 
