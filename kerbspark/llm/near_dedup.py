@@ -257,7 +257,8 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     Documents are linked if 100 * intersection >= ``percent`` * union of their
     shingle sets; a component is what links reach, named by its smallest key,
     and that document is kept. ``class_id`` is the smallest key with an equal
-    set. A pair at the threshold itself is missed by all 72 bands with a
+    set; equal sets are told by their size and two 64-bit sums over their
+    hashes. A pair at the threshold itself is missed by all 72 bands with a
     probability of 2e-7.
 
     Cases: a null or empty text, or one without words, has no shingles, is
