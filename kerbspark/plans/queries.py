@@ -847,3 +847,31 @@ def line_distances(spark, sf_dir):
     a = F.array(G.point(F.lit(0.0), F.lit(0.0)), G.point(F.lit(50.0), F.lit(0.0)), G.point(F.lit(100.0), F.lit(0.0)))
     b = F.array(G.point(F.lit(0.0), up), G.point(F.lit(100.0), up))
     return table(spark, sf_dir, "part").select("p_partkey", F.round(spatial.hausdorff(a, b), 6).alias("distance"))
+
+
+@query(_SNAP + "SELECT point_id, round(min(distance), 3) AS distance FROM d GROUP BY 1 HAVING min(distance) > 30")
+def far_points(spark, sf_dir):
+    """How far the points without a curb are from the nearest one."""
+    edges = spatial.edge_table(_curb_lines(spark, sf_dir), "p_partkey", "line")
+    return spatial.far_distance(_curb_points(spark, sf_dir), edges, tolerance=30.0, most=1000.0).select("point_id", F.round("distance", 3).alias("distance"))
+
+
+@query("""WITH l AS (SELECT o_custkey AS route, o_orderkey AS id, CAST(o_totalprice AS BIGINT) % 1000 AS lo FROM orders)
+SELECT a.id AS a_id, count(*) AS n, CAST(sum(100 - abs(a.lo - b.lo)) AS DOUBLE) AS overlap FROM l a JOIN l b ON a.route = b.route AND abs(a.lo - b.lo) < 100 GROUP BY 1""")
+def touching_lines(spark, sf_dir):
+    """Orders as stretches of their customer's street: how many run along each, with no tolerance, and how far."""
+    lo = (F.rint("o_totalprice").cast("long") % 1000).cast("double")
+    e = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("line_id"), F.lit(0).alias("edge_no"), lo.alias("x0"), (F.col("o_custkey") * 10.0).alias("y0"), (lo + 100).alias("x1"), (F.col("o_custkey") * 10.0).alias("y1"))
+    found = spatial.linear_overlap(e, e, tolerance=0.0, least=0.0, cell=128.0)
+    return found.groupBy("a_id").agg(F.count(F.lit(1)).alias("n"), F.sum("overlap").alias("overlap"))
+
+
+@query("""WITH m AS (SELECT count(*) FILTER (o_orderstatus = 'P') AS pending, count(*) FILTER (o_totalprice < 0) AS negative, count(*) AS n FROM orders), c AS (SELECT count(*) FILTER (c_acctbal < 0) AS debts FROM customer)
+SELECT warning, value FROM (SELECT 'orders are pending' AS warning, CAST(pending AS DOUBLE) AS value FROM m WHERE pending > 0 UNION ALL SELECT 'prices are negative', CAST(negative AS DOUBLE) FROM m WHERE negative > 0 UNION ALL SELECT 'customers are in debt', CAST(debts AS DOUBLE) FROM c WHERE debts > 0 UNION ALL SELECT 'no orders', CAST(n AS DOUBLE) FROM m WHERE n = 0)""")
+def snapshot_warnings(spark, sf_dir):
+    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    snapshot = acceptance.collect_snapshot({
+        "orders": (o, {"pending": F.count_if(F.col("o_orderstatus") == "P"), "negative": F.count_if(F.col("o_totalprice") < 0), "rows": F.count(F.lit(1))}),
+        "customers": (c, {"debts": F.count_if(F.col("c_acctbal") < 0)}),
+    })
+    return quality.warnings(snapshot, {"orders.pending": "orders are pending", "orders.negative": "prices are negative", "customers.debts": "customers are in debt"}, {"orders.rows": "no orders"})
