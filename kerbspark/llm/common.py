@@ -117,8 +117,19 @@ def shingle_sets(texts: pa.Array, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bits_for(count: int, least: int = 20, most: int = 30) -> int:
-    """Bits of a table that ``count`` hashes leave sparse, 16 or more for each; beyond 2^26 hashes the table stays at 128 MB and lets more through."""
-    return min(max(least, (16 * max(count, 1) - 1).bit_length()), most)
+    """Bits of a table in which ``count`` hashes set one bit in 256 at most; beyond 2^22 hashes the table stays at 128 MB and lets more through."""
+    return min(max(least, (256 * max(count, 1) - 1).bit_length()), most)
+
+
+def without(df: DataFrame, gone: DataFrame, key: str, most: int = 1 << 21) -> DataFrame:
+    """``df`` without the rows whose ``key`` is in ``gone``, a table of longs.
+
+    Up to ``most`` of these, 16 MB, go to every task, so that texts are not
+    shuffled; more are joined.
+    """
+    gone = cut(gone.distinct())
+    few = gone.count() <= most
+    return df.join(F.broadcast(gone) if few else gone, key, "left_anti")
 
 
 def bit_table(hashes: DataFrame, column: str, bits: int) -> bytes:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bit_table, bits_for, cut, in_bit_table, rolled, shingle_sets, slices, word_hashes
+from .common import bit_table, bits_for, cut, in_bit_table, rolled, shingle_sets, slices, without, word_hashes
 
 #: Words of a shingle; an item of fewer words is one shingle of its own length.
 WORDS = 5
@@ -116,5 +116,4 @@ def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the documents that :func:`contaminated` finds; rows with a null id stay."""
-    leaks = contaminated(docs, items, key=key, text=text).select(key).distinct()
-    return docs.join(leaks, key, "left_anti")
+    return without(docs, contaminated(docs, items, key=key, text=text).select(key), key)

@@ -9,11 +9,11 @@ an empty table gives an empty table.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, near_dedup, packing, quality_rules
-from .common import table
+from .common import cut, table, without
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -43,10 +43,16 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     rows = _keyed(docs)
     found = near_dedup.near_duplicates(rows, key="__row").select("__row", "component_id").distinct()
-    ids = rows.select("__row", "doc_id").distinct()
-    place = F.row_number().over(Window.partitionBy("component_id").orderBy(F.asc_nulls_last("doc_id"), "__row"))
-    gone = found.join(ids, "__row").withColumn("place", place).where("place > 1").select("__row")
-    return rows.join(gone, "__row", "left_anti").dropDuplicates(["__row"]).select(*COLUMNS)
+    ids = rows.groupBy("__row").agg(F.first("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"))
+    found = cut(found.join(ids, "__row"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row"))
+    best = cut(found.groupBy("component_id").agg(first.alias("b")).select("component_id", F.col("b.__row").alias("best")))
+    gone = found.join(best, "component_id").where(F.col("__row") != F.col("best")).select("__row")
+    left = without(rows, gone, "__row")
+    # rows equal in id and text are few, so only they are made one
+    twice = cut(found.where("n > 1").select("__row"))
+    again = left.join(twice, "__row", "left_semi").dropDuplicates(["__row"])
+    return without(left, twice, "__row").unionByName(again).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
