@@ -116,9 +116,14 @@ def test_chained_lines_join_once(spark):
 
 
 def test_geodesic_and_wkt(spark):
-    df = lines(spark, [("a", [(-71.06, 42.35), (-71.061, 42.35)])])
-    feet, text = df.select(G.geodesic_feet(F.col("line")), G.to_wkt(F.col("line"))).first()
-    assert abs(feet - 0.001 * math.pi / 180 * 6371008.8 * math.cos(math.radians(42.35)) * 3.280839895) < 0.02
+    df = lines(spark, [("a", [(-71.06, 42.35), (-71.061, 42.35)]), ("b", [(-71.06, 42.3), (-71.06, 42.4)])])
+    (feet, text), (north, _) = df.orderBy("id").select(G.geodesic_feet(F.col("line")), G.to_wkt(F.col("line"))).collect()
+    e2, a = 2 / 298.257223563 - 1 / 298.257223563**2, 6378137.0
+    sine = math.sin(math.radians(42.35))
+    assert abs(feet - math.radians(0.001) * a * math.cos(math.radians(42.35)) / math.sqrt(1 - e2 * sine * sine) * 3.280839895) < 0.01
+    # the meridian's arc by a sum over small steps
+    steps = [math.radians(42.3 + (i + 0.5) * 1e-4) for i in range(1000)]
+    assert abs(north - sum(math.radians(1e-4) * a * (1 - e2) / (1 - e2 * math.sin(p) ** 2) ** 1.5 for p in steps) * 3.280839895) < 0.1
     assert text == "LINESTRING (-71.06 42.35, -71.061 42.35)"
 
 
