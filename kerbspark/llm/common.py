@@ -133,18 +133,23 @@ def without(df: DataFrame, gone: DataFrame, key: str, most: int = 1 << 21) -> Da
 
 
 def bit_table(hashes: DataFrame, column: str, bits: int) -> bytes:
-    """A table of 2^bits bits with a one at the top bits of each 64-bit hash."""
+    """A table of 2^bits bits with a one at the top bits of each 64-bit hash.
 
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, np.int64)
-        for batch in batches:
-            seen = np.union1d(seen, batch.column("slot").to_numpy())
-        yield pa.RecordBatch.from_arrays([pa.array(seen >> 3), pa.array(np.int64(1) << (seen & 7))], ["byte", "bit"])
+    Tasks pack chunks of 64 KB, so the driver receives the table's bytes and no more.
+    """
+    chunk = min(bits, 19)
+
+    def pack(group: pa.Table) -> pa.Table:
+        slot = group.column("slot").to_numpy()
+        ones = np.zeros(1 << chunk, np.uint8)
+        ones[slot & ((1 << chunk) - 1)] = 1
+        return pa.table({"at": pa.array([int(slot[0]) >> chunk], pa.int64()), "part": pa.array([np.packbits(ones, bitorder="little").tobytes()], pa.binary())})
 
     slots = hashes.select(F.shiftrightunsigned(column, 64 - bits).alias("slot")).distinct()
-    got = slots.mapInArrow(fill, "byte long, bit long").groupBy("byte").agg(F.bit_or("bit").alias("bits")).toPandas()
     table = np.zeros(1 << (bits - 3), np.uint8)
-    table[got["byte"].to_numpy().astype(np.int64)] = got["bits"].to_numpy().astype(np.uint8)
+    for row in slots.groupBy(F.shiftright("slot", chunk)).applyInArrow(pack, "at long, part binary").collect():
+        part = np.frombuffer(row["part"], np.uint8)
+        table[row["at"] * len(part) : (row["at"] + 1) * len(part)] = part
     return table.tobytes()
 
 

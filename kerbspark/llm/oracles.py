@@ -47,10 +47,17 @@ v AS (SELECT *, CASE WHEN kind = 'response' THEN 'response' WHEN src IS NULL THE
 SELECT record_id, p AS page_id, kind, canonical_url, CASE WHEN kind = 'revisit' THEN src.id END AS source_id, status,
  CASE WHEN kind = 'response' THEN 'content-type=text/html;date=' || date || ';etag=' || etag WHEN status = 'resolved' THEN 'content-type=text/html;date=' || date || ';etag=' || src.etag || ';expires=0' ELSE 'content-type=text/plain;date=' || date || ';expires=0' END AS headers FROM v"""
 
-OP10 = f"""WITH RECURSIVE d AS ({_shingles("documents", "doc_id")}), n AS (SELECT id, count(*) AS n FROM d GROUP BY 1),
-l AS (SELECT x.id AS a, y.id AS b FROM d x JOIN d y USING (s) JOIN n p ON p.id = x.id JOIN n q ON q.id = y.id WHERE x.id != y.id GROUP BY x.id, y.id, p.n, q.n HAVING 100 * count(*) >= 75 * (p.n + q.n - count(*))),
+
+
+def _similar(percent: int, more: str) -> str:
+    return f"""WITH RECURSIVE d AS ({_shingles("documents", "doc_id")}), n AS (SELECT id, count(*) AS n FROM d GROUP BY 1),
+l AS (SELECT x.id AS a, y.id AS b FROM d x JOIN d y USING (s) JOIN n p ON p.id = x.id JOIN n q ON q.id = y.id WHERE x.id != y.id GROUP BY x.id, y.id, p.n, q.n HAVING 100 * count(*) >= {percent} * (p.n + q.n - count(*))),
 r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a), m AS (SELECT a, min(b) AS b FROM r GROUP BY 1)
-SELECT doc_id, coalesce(n.n, 0) AS n_shingles, least(doc_id, coalesce(m.b, doc_id)) AS component_id, doc_id = least(doc_id, coalesce(m.b, doc_id)) AS kept FROM documents LEFT JOIN n ON n.id = doc_id LEFT JOIN m ON m.a = doc_id"""
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, least(doc_id, coalesce(m.b, doc_id)) AS component_id{more} FROM documents LEFT JOIN n ON n.id = doc_id LEFT JOIN m ON m.a = doc_id"""
+
+
+OP10 = _similar(75, ", doc_id = least(doc_id, coalesce(m.b, doc_id)) AS kept")
+OP11 = _similar(80, "")
 
 _ALNUM = r"regexp_extract_all(lower({}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _TEXTS = ", ".join("('{}', '{}', '{}')".format(label, name, text.replace("'", "''")) for label, named in TEMPLATES.items() for name, text in named.items())
@@ -76,7 +83,8 @@ _STRATUM = "CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END"
 _RULES = "['symbols_per_word', 'marks_per_word', 'repeated_words', 'repeated_lines', 'capital_letters', 'same_words']"
 
 OP3 = rf"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
-w AS (SELECT rid, doc_id, lang, t, {_WORDS.format("t")} AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS l FROM d),
+w AS (SELECT rid, doc_id, lang, t, {_WORDS.format("t")} AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS l FROM d),
 g AS (SELECT rid, unnest(list_transform(range(1, len(w) - 1), lambda i: {{'i': i, 'g': w[i:i + 2]}})) AS s FROM w), h AS (SELECT rid, s.i AS i, count(*) OVER (PARTITION BY rid, s.g) AS c FROM g),
 r AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM h WHERE c > 1) GROUP BY 1),
 f AS (SELECT w.rid, doc_id, lang, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, length(regexp_replace(t, '[^!?]', '', 'g')) AS n_marks, length(regexp_replace(t, '[^\p{{Lu}}]', '', 'g')) AS n_upper,
@@ -94,4 +102,4 @@ z AS (SELECT stratum, no, arg_max(cutoff, (bad - 50 * rejected) * 1000 + cutoff)
 j AS (SELECT v.rid, string_agg({_RULES}[no], ',' ORDER BY no) AS failed FROM v JOIN z ON z.stratum = v.stratum AND v.x[z.no] > z.cutoff GROUP BY 1)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND failed IS NULL AS kept, coalesce(failed, '') AS failed_rules FROM v LEFT JOIN j ON j.rid = v.rid"""
 
-SQL = {"op1_jump_shards": OP1, "op3_risk_rules": OP3, "op4_leaks": OP4, "op5_url_ranges": OP5, "op7_warc_revisits": OP7, "op8_license_diagonals": OP8, "op10_setsketch": OP10}
+SQL = {"op1_jump_shards": OP1, "op3_risk_rules": OP3, "op4_leaks": OP4, "op5_url_ranges": OP5, "op7_warc_revisits": OP7, "op8_license_diagonals": OP8, "op10_setsketch": OP10, "op11_heavy_light": OP11}

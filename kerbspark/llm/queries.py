@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hard_negatives, language_model, license_scan, near_dedup, packing, quality_rules, rans, sharding, url_filters, warc, whitening
+from . import decontaminate, hard_negatives, language_model, license_scan, near_dedup, packing, quality_rules, rans, set_join, sharding, url_filters, warc, whitening
 from .common import table
 from .oracles import SQL
 
@@ -70,6 +70,10 @@ def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_heavy_light(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.similar_sets(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op12_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -80,6 +84,6 @@ def op13_bidiagonal_qd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_jump_shards, op2_log_bilinear, op3_risk_rules, op4_leaks, op5_url_ranges, op6_sum_of_squares, op7_warc_revisits, op8_license_diagonals, op9_rans, op10_setsketch, op12_cover_tree, op13_bidiagonal_qd)}
+QUERIES = {f.__name__: f for f in (op1_jump_shards, op2_log_bilinear, op3_risk_rules, op4_leaks, op5_url_ranges, op6_sum_of_squares, op7_warc_revisits, op8_license_diagonals, op9_rans, op10_setsketch, op11_heavy_light, op12_cover_tree, op13_bidiagonal_qd)}
 
 __all__ = ["QUERIES", "SQL"]
