@@ -10,8 +10,9 @@ subsets costs less than scanning is told by the mean length of the lists.
 
 A posted list is not turned into pairs. All its documents are compared with one
 of them, its hub; links so found make parts. Documents of one list that are
-still apart are compared in blocks of bounded size, which count intersections by
-an inverted index of their own. Two documents whose posted shingles are heavy
+still apart are compared in blocks of bounded size by parity tables, which bound
+from below how many shingles two sets differ in; what they allow is confirmed on
+full sets, as all links are. Two documents whose posted shingles are heavy
 share none of their light ones unless a light list has both; so those with the
 same heavy shingles, a frame and words of their own, are linked or not by their
 sizes alone, and are never compared by pairs.
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import bit_table, bits_for, cut, in_bit_table, mix64, shingle_sets, slices, without
 from .graph import components
-from .near_dedup import _joined, _linked, _sets_of
+from .near_dedup import _linked
 
 #: A shingle of more documents is heavy. The flag only orders shingles, so a wrong one costs time, not links.
 LIGHT = 32
@@ -38,7 +39,7 @@ SCAN, LARGEST_SMALL = 8, 250
 #: Postings that a task gathers before it hands them on, and that a group of keys holds about.
 FLUSH, GROUP = 1 << 20, 1 << 22
 #: Shingles on either side of a block of comparisons, or those of one text if it has more.
-BLOCK = 1 << 17
+BLOCK = 1 << 21
 
 
 def boundary(mean_list: float, percent: int) -> int:
@@ -58,12 +59,36 @@ def _digest(s: np.ndarray) -> bytes:
     return hashlib.sha256(s.tobytes()).digest()[:16]
 
 
+def parity(s: np.ndarray) -> bytes:
+    """A bit for each slot of a table: whether an odd number of the set's shingles fall into it.
+
+    Two tables differ in no more bits than the sets differ in shingles. A table
+    has some two bits for each shingle, and folds into a narrower one.
+    """
+    width = 1 << min(max(8, int(2 * len(s) - 1).bit_length()), 16)
+    slot = (mix64(s) & np.uint64(width - 1)).astype(np.int64)
+    return np.packbits((np.bincount(slot, minlength=width) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(tables: np.ndarray, width: int) -> np.ndarray:
+    """Packed parity tables, one a row, as tables of ``width`` bytes."""
+    return np.bitwise_xor.reduce(tables.reshape(len(tables), -1, width), axis=1)
+
+
+def may_link(one: np.ndarray, n: int, tables: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the sets with these parity tables, all of one width, may be linked with one of ``n`` shingles; those that are always may."""
+    width = min(len(one), tables.shape[1])
+    apart = np.bitwise_count(folded(tables, width) ^ folded(one[None, :], width)).sum(axis=1, dtype=np.int64)
+    alike = 100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)
+    return alike & (apart * (100 + percent) <= (sizes + n) * (100 - percent))
+
+
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
             sets, offsets = shingle_sets(batch.column("text"))
-            digests = [_digest(sets[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(np.diff(offsets), pa.int64()), pa.array(digests, pa.binary())], ["doc", "n", "digest"])
+            each = [sets[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(np.diff(offsets), pa.int64()), pa.array([_digest(s) for s in each], pa.binary()), pa.array([parity(s) for s in each], pa.binary())], ["doc", "n", "digest", "parity"])
 
 
 def _groups_of(total: int) -> int:
@@ -220,56 +245,60 @@ def balls(texts: DataFrame, table: bytes, bits: int, small: int, total: int, per
 
 
 def _compared(block: pa.Table, percent: int) -> pa.Table:
-    """Links that join different parts, of a left row and a right row of one block; intersections are counted for all right rows at once."""
-    doc, part, left = (block.column(c).to_numpy() for c in ("doc", "part", "left"))
-    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in block.column("set")]
-    n = np.array([len(x) for x in sets])
+    """Pairs of a left and a right row of one block, in different parts, that their parity tables allow to be linked."""
+    doc, n, part, left = (block.column(c).to_numpy() for c in ("doc", "n", "part", "left"))
+    tables = [np.frombuffer(x.as_buffer(), np.uint8) for x in block.column("parity")]
     right = np.flatnonzero(~left)
-    if not len(right):
-        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-    shingle = np.concatenate([sets[i] for i in right])
-    owner = np.repeat(np.arange(len(right)), [len(sets[i]) for i in right])
-    order = np.argsort(shingle, kind="stable")
-    shingle, owner = shingle[order], owner[order]
-    leader: dict[int, int] = {}
-    links: list[tuple[int, int]] = []
+    width = np.array([len(tables[i]) for i in right])
+    kinds = [(right[width == w], np.stack([tables[i] for i in right[width == w]])) for w in np.unique(width)]
+    found: list[tuple[np.ndarray, np.ndarray]] = []
     for i in np.flatnonzero(left):
-        lo, hi = np.searchsorted(shingle, sets[i], "left"), np.searchsorted(shingle, sets[i], "right")
-        many = hi - lo
-        at = np.arange(many.sum()) + np.repeat(lo - (np.cumsum(many) - many), many)
-        inter = np.bincount(owner[at], minlength=len(right))
-        linked = (100 * inter >= percent * (n[i] + n[right] - inter)) & (part[right] != part[i])
-        for o in right[linked]:
-            a, b = _joined(leader, int(part[i])), _joined(leader, int(part[o]))
-            if a != b:
-                leader[a] = b
-                links.append((int(doc[i]), int(doc[o])))
-    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
-
-
-def _apart(near: DataFrame, part: DataFrame, sizes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of documents of one list in different parts, but for those of a hub, which are known.
+        for rows, table in kinds:
+            on = rows[may_link(tables[i], int(n[i]), table, n[rows], percent) & (part[rows] != part[i])]
+            found.append((np.full(len(on), doc[i]), doc[on]))
+    a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
+    return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+
+
+def _apart(near: DataFrame, part: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of documents of one list in different parts that may be linked, but for those of a hub, which are known.
 
     A region is the part of a hub, with all documents of the lists of any hub
     in it. Those outside the part, the left side, are compared with the whole
     region; either side is dealt by hash into chunks of about BLOCK shingles.
+    Rows carry parity tables, a thirtieth of their sets.
     """
     of = lambda df, x, name: df.join(part.select(F.col("node").alias(x), F.col("component").alias("found")), x, "left").withColumn(name, F.coalesce("found", x)).drop("found")
     members = of(near, "hub", "region").select("region", "doc").unionByName(of(near.select("hub").distinct(), "hub", "region").select("region", F.col("hub").alias("doc"))).distinct()
-    placed = cut(of(members, "doc", "part").join(sizes, "doc"))
+    placed = cut(of(members, "doc", "part").join(sets.select("doc", "n"), "doc"))
     outside = F.col("part") != F.col("region")
     chunks = lambda n: F.ceil(F.sum(n) / F.lit(BLOCK)).cast("int")
     shape = placed.groupBy("region").agg(chunks(F.when(outside, F.col("n")).otherwise(0)).alias("lefts"), chunks(F.col("n")).alias("rights"), F.count_if(outside).alias("out"), F.count(F.lit(1)).alias("all"))
     # one document beside a hub alone has been compared with it
     apart = cut(shape.where("out > 0 AND all > 2").select("region", "lefts", "rights"))
-    mixed = cut(placed.join(apart, "region").withColumn("h", F.xxhash64("doc", "region")))
+    mixed = cut(placed.select("region", "doc", "part").distinct().join(apart, "region").withColumn("h", F.xxhash64("doc", "region")).join(sets.select("doc", "n", "parity"), "doc"))
     one = lambda n: F.pmod(F.col("h"), n).cast("int")
     every = lambda n: F.sequence(F.lit(0), n - 1)
-    right = mixed.select("region", "doc", "n", "part", F.lit(False).alias("left"), F.explode(every(F.col("lefts"))).alias("i"), one(F.col("rights")).alias("j"))
-    left = mixed.where(outside).select("region", "doc", "n", "part", F.lit(True).alias("left"), one(F.col("lefts")).alias("i"), F.explode(every(F.col("rights"))).alias("j"))
-    sets = _sets_of(cut(mixed.select("doc").distinct()), texts)
-    rows = left.unionByName(right).join(sets, "doc").select("region", "i", "j", "doc", "n", "part", "left", "set")
-    return cut(rows.groupBy("region", "i", "j").applyInArrow(lambda block: _compared(block, percent), "a long, b long").distinct())
+    right = mixed.select("region", "doc", "n", "parity", "part", F.lit(False).alias("left"), F.explode(every(F.col("lefts"))).alias("i"), one(F.col("rights")).alias("j"))
+    left = mixed.where(outside).select("region", "doc", "n", "parity", "part", F.lit(True).alias("left"), one(F.col("lefts")).alias("i"), F.explode(every(F.col("rights"))).alias("j"))
+    return cut(left.unionByName(right).groupBy("region", "i", "j").applyInArrow(lambda block: _compared(block, percent), "a long, b long").distinct())
+
+
+def _likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) that sizes and parity tables allow to be linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pa_, pb = (batch.column(c).to_pylist() for c in ("pa", "pb"))
+            na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
+            on = [bool(may_link(np.frombuffer(x, np.uint8), int(na[i]), np.frombuffer(y, np.uint8)[None, :], nb[i : i + 1], percent)[0]) for i, (x, y) in enumerate(zip(pa_, pb, strict=True))]
+            yield batch.select(["a", "b"]).filter(pa.array(on, pa.bool_()))
+
+    side = lambda x: sets.select(F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"p{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    return cut(both.where(fits).select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long").distinct())
 
 
 def similar_sets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
@@ -289,11 +318,11 @@ def similar_sets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", pe
     names; an empty table gives an empty table. No list has a cap.
     """
     texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    rows = cut(texts.mapInArrow(_described, "doc long, n long, digest binary"))
-    real = rows.where((F.col("n") > 0) & F.col("doc").isNotNull())
+    rows = cut(texts.mapInArrow(_described, "doc long, n long, digest binary, parity binary"))
+    real = rows.select("doc", "n", "digest").where((F.col("n") > 0) & F.col("doc").isNotNull())
     # stored, so that the join below can split the rows of one text that has very many copies
     classes = cut(real.groupBy("n", "digest").agg(F.min("doc").alias("class_id")))
-    first = cut(real.join(classes.withColumnRenamed("class_id", "doc"), ["doc", "n", "digest"], "left_semi").dropDuplicates(["doc", "n", "digest"]).select("doc", "n"))
+    first = cut(rows.where(F.col("n") > 0).join(classes.withColumnRenamed("class_id", "doc"), ["doc", "n", "digest"], "left_semi").dropDuplicates(["doc", "n", "digest"]).select("doc", "n", "parity"))
     copies = rows.select("doc").where(F.col("doc").isNotNull()).distinct().join(first.select("doc"), "doc", "left_anti")
     own = without(texts.where(F.col("doc").isNotNull()), copies, "doc").select("doc", "text")
 
@@ -301,13 +330,19 @@ def similar_sets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", pe
     heavy, mean_list = heavy_shingles(own, total)
     bits = bits_for(heavy.count())
     near, framed = balls(own, bit_table(heavy, "h", bits), bits, boundary(mean_list, percent), total, percent)
-    sizes = first.groupBy("doc").agg(F.max("n").alias("n"), F.min("n").alias("least"))
-    sized = near.join(sizes.select(F.col("doc").alias("hub"), F.col("n").alias("hub_n"), F.col("least").alias("hub_least")), "hub").join(sizes, "doc")
-    fits = (100 * F.col("n") >= percent * F.col("hub_least")) & (100 * F.col("hub_n") >= percent * F.col("least"))
-    stars = sized.where(fits).select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
-    links = _linked(cut(stars), own, percent).unionByName(framed)
+    stars = near.select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
+    links = _linked(_likely(stars, first, percent), own, percent).unionByName(framed)
     part = cut(components(links))
-    more = _apart(near, part, first, own, percent)
+    # one pair of any two parts first: what it joins needs no other
+    named = lambda x: part.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}"))
+    maybe = _apart(near, part, first, percent).join(named("a"), "a", "left").join(named("b"), "b", "left")
+    maybe = cut(maybe.select("a", "b", F.coalesce("part_a", "a").alias("part_a"), F.coalesce("part_b", "b").alias("part_b")))
+    parts = [F.least("part_a", "part_b"), F.greatest("part_a", "part_b")]
+    one = _linked(maybe.groupBy(*parts).agg(F.min_by(F.struct("a", "b"), F.xxhash64("a", "b")).alias("p")).select("p.a", "p.b"), own, percent)
+    known = cut(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(one))
+    part = cut(components(known))
+    rest = maybe.select("a", "b").join(named("a"), "a", "left").join(named("b"), "b", "left").where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b"))
+    more = _linked(cut(rest.select("a", "b")), own, percent)
 
     member = real.join(classes, ["n", "digest"]).select("doc", "n", "class_id").unionByName(rows.where((F.col("n") == 0) | F.col("doc").isNull()).select("doc", "n", F.col("doc").alias("class_id")))
     twice = member.where("n > 0").groupBy("doc").agg(F.min("class_id").alias("a"), F.max("class_id").alias("hi")).where("a != hi")
