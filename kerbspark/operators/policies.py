@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.policies import BUS_STOP, FIRE_HYDRANT, PARKING_ANYTIME, canonical_json
+from .lineage import cut
 
 AWAY, TOWARD = "AWAY", "TOWARD"
 
@@ -32,6 +33,30 @@ def blockface_faults(segments: DataFrame) -> DataFrame:
     return per
 
 
+#: The arrows that a sign may have, besides none, and those that a meter's ends have.
+ARROWS = ("both", "left", "right", AWAY, TOWARD)
+
+
+def location_faults(policies: DataFrame) -> DataFrame:
+    """(location_id, reason) of posted policies that no curb can be walked with: an unknown arrow, or text that is not JSON."""
+    arrow = F.when(~F.col("arrow").isin(*ARROWS), F.concat(F.lit("unknown arrow: "), F.col("arrow")))
+    text = F.when(F.try_parse_json(F.col("policy_json")).isNull(), F.lit("policy is not JSON"))
+    return policies.select("location_id", F.explode(F.array_compact(F.array(arrow, text))).alias("reason")).distinct()
+
+
+def blockface_errors(segments: DataFrame, policies: DataFrame) -> DataFrame:
+    """(blockface_id, stage, reason): everything that keeps a blockface from getting its lists, each once.
+
+    Stage ``validation`` has :func:`blockface_faults`, stage ``policies`` the
+    faults of locations that the curb passes. Only faulty locations are joined.
+    """
+    checked = blockface_faults(segments).select("blockface_id", F.lit("validation").alias("stage"), F.col("fault").alias("reason"))
+    first = F.when(F.col("segment_seq") == 0, F.col("upstream_loc_list"))
+    passed = segments.select("blockface_id", F.explode(F.concat(F.coalesce(first, F.array().cast("array<string>")), F.coalesce("downstream_loc_list", F.array().cast("array<string>")))).alias("location_id"))
+    bad = passed.join(location_faults(policies), "location_id").select("blockface_id", F.lit("policies").alias("stage"), "reason")
+    return checked.unionByName(bad).distinct()
+
+
 def event_log(segments: DataFrame, policies: DataFrame, features: DataFrame) -> DataFrame:
     """(blockface_id, pos, segment_id, policy, direction): each blockface's segments and arrows in curb order.
 
@@ -41,14 +66,17 @@ def event_log(segments: DataFrame, policies: DataFrame, features: DataFrame) ->
     first segment's upstream locations come first, then each segment and its
     downstream locations. A hydrant or bus stop begins and ends its zone by
     turns. Arrows left and right are read from the curb's side; both, and none,
-    end one zone and begin another.
+    end one zone and begin another. An arrow that is none of these is an error;
+    :func:`apply_policies` sets its blockface aside before.
     """
     flag = F.coalesce(F.col("is_left_side_oneway"), F.lit(False))
     base = segments.select("blockface_id", "segment_id", F.col("segment_seq").alias("seq"), flag.alias("left"), "upstream_loc_list", "downstream_loc_list")
     bodies = base.select("blockface_id", F.struct("seq", F.lit(1).alias("part"), F.lit(0).alias("item"), F.lit("").alias("policy"), F.lit(0).alias("half")).alias("at"), "segment_id", F.lit(None).cast("string").alias("policy"), F.lit(None).cast("string").alias("direction"))
     up = base.where(F.col("seq") == 0).select("blockface_id", "seq", "left", F.lit(0).alias("part"), F.posexplode("upstream_loc_list").alias("item", "location_id"))
     down = base.select("blockface_id", "seq", "left", F.lit(2).alias("part"), F.posexplode("downstream_loc_list").alias("item", "location_id"))
-    items = up.unionByName(down).join(features.select("location_id", "feature_type").distinct(), "location_id", "left")
+    # one row for each location and kind of zone, whatever other features are there
+    zoned = features.where(F.col("feature_type").isin("fire_hydrant", "bus_stop")).select("location_id", "feature_type").distinct()
+    items = up.unionByName(down).join(zoned, "location_id", "left")
     is_feature = (F.col("part") == 2) & F.col("feature_type").isin("fire_hydrant", "bus_stop")
     order = Window.partitionBy("blockface_id", "feature_type").orderBy("seq", "item")
     fixed = F.when(F.col("feature_type") == "fire_hydrant", F.lit(FIRE_HYDRANT)).otherwise(F.lit(BUS_STOP))
@@ -56,7 +84,7 @@ def event_log(segments: DataFrame, policies: DataFrame, features: DataFrame) ->
     toggled = toggled.select("blockface_id", "seq", "part", "item", canonical_json(fixed).alias("policy"), F.lit(0).alias("half"), "direction")
     posted = items.where(~F.coalesce(is_feature, F.lit(False))).join(policies, "location_id")
     arrow = F.col("arrow")
-    known = arrow.isNull() | arrow.isin("both", "left", "right", AWAY, TOWARD)
+    known = arrow.isNull() | arrow.isin(*ARROWS)
     arrow = F.when(~known, F.raise_error(F.concat(F.lit("unknown arrow: "), arrow))).otherwise(arrow)
     one = F.when(arrow == "left", F.when(F.col("left"), TOWARD).otherwise(AWAY)).when(arrow == "right", F.when(F.col("left"), AWAY).otherwise(TOWARD)).otherwise(arrow)
     directions = F.when(arrow.isNull() | (arrow == "both"), F.array(F.lit(TOWARD), F.lit(AWAY))).otherwise(F.array(one))
@@ -100,7 +128,16 @@ def segment_lists(segments: DataFrame, active: DataFrame, *, default: bool = Fal
     return named.join(found, "segment_id", "left").select("blockface_id", "segment_id", "segment_seq", lists.alias("policy_list"))
 
 
+def apply_or_quarantine(segments: DataFrame, policies: DataFrame, features: DataFrame, *, default: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The policy list of every segment of the blockfaces without errors, and the :func:`blockface_errors` of the others.
+
+    An error sets its own blockface aside and no other.
+    """
+    errors = cut(blockface_errors(segments, policies))
+    sound = segments.join(errors.select("blockface_id").distinct(), "blockface_id", "left_anti")
+    return segment_lists(sound, propagate(event_log(sound, policies, features)), default=default), errors
+
+
 def apply_policies(segments: DataFrame, policies: DataFrame, features: DataFrame, *, default: bool = False) -> DataFrame:
-    """The policy list of every segment of the blockfaces without faults."""
-    sound = segments.join(blockface_faults(segments).select("blockface_id").distinct(), "blockface_id", "left_anti")
-    return segment_lists(sound, propagate(event_log(sound, policies, features)), default=default)
+    """The policy list of every segment of the blockfaces without errors."""
+    return apply_or_quarantine(segments, policies, features, default=default)[0]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import intervals
+from ..functions import geometry as G
+from . import curbs as curb_lines
+from . import intervals, spatial
 from .lineage import cut
 
 FEATURES = ("FH", "BS")
@@ -147,14 +149,8 @@ def place(lines: DataFrame, assets: DataFrame) -> DataFrame:
     return best.select("b.line_id", F.least(F.greatest("at", "b.lo"), F.col("b.hi")).alias("at"), "point_id")
 
 
-def segment_curbs(curbs: DataFrame, hydrants: DataFrame, signs: DataFrame, meters: DataFrame, stops: DataFrame | None = None, *, buffer_feet: float = 10.0, least_feet: float = 0.5, tiny_feet: float = 3.0) -> DataFrame:
-    """Curbs (blockface_id, lo, hi, in feet along them) cut at bus stops' zones, hydrants' buffers, signs and meters in turn; tiny pieces merged.
-
-    Assets have (blockface_id, at, point_id), as :func:`spatial.snap` gives
-    them. Without assets of a kind its stage passes pieces through. A segment's
-    location is the first there is of its meter, sign, hydrant and bus stop.
-    """
-    lines = curbs.select("blockface_id", F.col("blockface_id").cast("string").alias("line_id"), "lo", "hi")
+def _pieces(lines: DataFrame, hydrants: DataFrame, signs: DataFrame, meters: DataFrame, stops: DataFrame | None, buffer_feet: float, least_feet: float) -> DataFrame:
+    """The pieces of curbs (blockface_id, line_id, lo, hi) after all four stages, in order, with the locations at their ends."""
     if stops is None:
         stops = hydrants.limit(0)
     # a stage reads its pieces several times, so each is made once
@@ -167,8 +163,54 @@ def segment_curbs(curbs: DataFrame, hydrants: DataFrame, signs: DataFrame, meter
     up, down = F.coalesce("pm_start", "ps_start"), F.coalesce("pm_end", "ps_end")
     asset = F.when(up.isNotNull(), F.lit("S")).when(F.col("fh_id").isNotNull(), "FH").when(F.col("bs_id").isNotNull(), "BS")
     at = lambda c: F.coalesce(c, "fh_id", "bs_id").cast("string")
-    table = cut(lines.select("blockface_id", F.col("line_id").alias("segment_id"), seq.alias("segment_seq"), (F.col("hi") - F.col("lo")).alias("seg_length"), at(up).alias("upstream_location"), at(down).alias("downstream_location"), asset.alias("upstream_asset"), "lo", "hi"))
+    return lines.select("blockface_id", F.col("line_id").alias("segment_id"), seq.alias("segment_seq"), (F.col("hi") - F.col("lo")).alias("seg_length"), at(up).alias("upstream_location"), at(down).alias("downstream_location"), asset.alias("upstream_asset"), "lo", "hi")
+
+
+def segment_curbs(curbs: DataFrame, hydrants: DataFrame, signs: DataFrame, meters: DataFrame, stops: DataFrame | None = None, *, buffer_feet: float = 10.0, least_feet: float = 0.5, tiny_feet: float = 3.0) -> DataFrame:
+    """Curbs (blockface_id, lo, hi, in feet along them) cut at bus stops' zones, hydrants' buffers, signs and meters in turn; tiny pieces merged.
+
+    Assets have (blockface_id, at, point_id), as :func:`spatial.snap` gives
+    them. Without assets of a kind its stage passes pieces through. A segment's
+    location is the first there is of its meter, sign, hydrant and bus stop.
+    """
+    lines = curbs.select("blockface_id", F.col("blockface_id").cast("string").alias("line_id"), "lo", "hi")
+    table = cut(_pieces(lines, hydrants, signs, meters, stops, buffer_feet, least_feet))
     merged = merge_tiny(fill_boundaries(table), tiny_feet)
     extent = table.select("blockface_id", F.col("segment_seq").alias("part"), "lo", "hi")
     parts = merged.select("blockface_id", "segment_id", F.explode("merged").alias("part")).join(extent, ["blockface_id", "part"]).groupBy("blockface_id", "segment_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     return merged.drop("merged").join(parts, ["blockface_id", "segment_id"])
+
+
+def segment_lines(curbs: DataFrame, hydrants: DataFrame, signs: DataFrame, meters: DataFrame, stops: DataFrame | None = None, *, snap_feet: float = 30.0, buffer_feet: float = 10.0, least_feet: float = 0.5, tiny_feet: float = 3.0, degrees: Callable[[Column, Column], tuple[Column, Column]] = G.to_degrees) -> DataFrame:
+    """Curb lines and the points near them as segments with lines: :func:`segment_curbs` from end to end.
+
+    ``curbs``: blockface_id, line in feet, along the flow; assets: point_id, x,
+    y. A point belongs to the nearest curb within ``snap_feet``, others are
+    left out (:func:`spatial.unsnapped`). All stages carry feet along the curb,
+    so no line is cut before the last one: then each piece gets its points, and
+    its length in feet on the ellipsoid, rounded to two decimals, decides
+    whether it is tiny. A merged segment keeps the ends of its pieces as points.
+    ``degrees`` turns the lines' coordinates into degrees. Adds ``line``, in
+    feet, to the columns of :func:`segment_curbs`; ``lo`` and ``hi`` are feet
+    along the curb.
+    """
+    edges = cut(spatial.edge_table(curbs.select(F.col("blockface_id").cast("string").alias("blockface_id"), "line"), "blockface_id", "line"))
+    whole = edges.groupBy("line_id").agg(F.max("total").alias("hi"))
+    whole = whole.select(F.col("line_id").alias("blockface_id"), "line_id", F.lit(0.0).alias("lo"), "hi")
+
+    def on_curb(points: DataFrame) -> DataFrame:
+        snapped = spatial.snap(points.select("point_id", "x", "y"), edges, tolerance=snap_feet)
+        return cut(snapped.select(F.col("line_id").alias("blockface_id"), F.col("along").alias("at"), "point_id"))
+
+    placed = [None if a is None else on_curb(a) for a in (hydrants, signs, meters, stops)]
+    pieces = cut(_pieces(whole, *placed, buffer_feet, least_feet))
+    lines = curb_lines.piece_lines(edges, pieces.select(F.col("blockface_id").alias("line_id"), "lo", "hi").distinct()).withColumnRenamed("line_id", "blockface_id")
+    feet = G.geodesic_feet(G.map_points(F.col("line"), degrees))
+    table = cut(pieces.drop("seg_length").join(lines, ["blockface_id", "lo", "hi"]).withColumn("seg_length", feet))
+    merged = merge_tiny(fill_boundaries(table), tiny_feet)
+    extent = table.select("blockface_id", F.col("segment_seq").alias("part"), "lo", "hi", "line")
+    rows = F.array_sort(F.collect_list(F.struct("part", "line")))
+    parts = merged.select("blockface_id", "segment_id", F.explode("merged").alias("part")).join(extent, ["blockface_id", "part"])
+    parts = parts.groupBy("blockface_id", "segment_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), rows.alias("rows"))
+    joined = F.flatten(F.transform("rows", lambda r, i: F.when(i == 0, r["line"]).otherwise(F.slice(r["line"], 2, F.size(r["line"])))))
+    return merged.drop("merged").join(parts.select("blockface_id", "segment_id", "lo", "hi", joined.alias("line")), ["blockface_id", "segment_id"])

@@ -6,6 +6,8 @@ x0, y0, x1, y1, cum (length before it) and total (the line's length).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -127,37 +129,104 @@ def in_envelope(df: DataFrame, box: tuple[float, float, float, float], margin: f
     return df.where(F.col(x).between(x0 - margin, x1 + margin) & F.col(y).between(y0 - margin, y1 + margin))
 
 
-def linear_overlap(a: DataFrame, b: DataFrame, *, tolerance: float, least: float, cell: float) -> DataFrame:
+def into_cells(edges: DataFrame, side: str, size: Column, reach: float, within: str | None = None, parts: str | None = None) -> DataFrame:
+    """A row for each cell (cx, cy) that an edge runs through or comes within ``reach`` of, not for all of its box.
+
+    The edge's columns carry ``side`` in front. ``within`` names a larger cell
+    (cx, cy) of ``parts`` cells a side, out of which nothing is given.
+    """
+    x0, y0, x1, y1 = (F.col(side + k) for k in ("x0", "y0", "x1", "y1"))
+    slack = size * 1e-9 + reach
+
+    def spread(df: DataFrame, lo: Column, hi: Column, axis: str) -> DataFrame:
+        lo, hi = F.floor((lo - slack) / size), F.floor((hi + slack) / size)
+        if within is not None:
+            lo, hi = F.greatest(lo, F.col(within)[axis] * F.col(parts)), F.least(hi, (F.col(within)[axis] + 1) * F.col(parts) - 1)
+        return df.withColumns({"__lo": lo, "__hi": hi}).where("__lo <= __hi").withColumn(axis, F.explode(F.sequence("__lo", "__hi"))).drop("__lo", "__hi")
+
+    # first the columns of the grid, then in each the rows where the edge is inside it
+    df = spread(edges, F.least(x0, x1), F.greatest(x0, x1), "cx")
+    dx = F.nullif(x1 - x0, F.lit(0.0))
+    df = df.withColumns({"__a": (F.col("cx") * size - slack - x0) / dx, "__b": ((F.col("cx") + 1) * size + slack - x0) / dx})
+    begin, end = F.coalesce(F.greatest(F.least("__a", "__b"), F.lit(0.0)), F.lit(0.0)), F.coalesce(F.least(F.greatest("__a", "__b"), F.lit(1.0)), F.lit(1.0))
+    df = df.withColumns({"__a": y0 + begin * (y1 - y0), "__b": y0 + end * (y1 - y0)})
+    return spread(df, F.least("__a", "__b"), F.greatest("__a", "__b"), "cy").drop("__a", "__b")
+
+
+#: A tile of the overlap join is about this many mean edges wide, and its cells are a power of two smaller, up to the second number.
+TILE_EDGES, MOST_PARTS = 4, 64
+
+
+def _posted(edges: DataFrame, side: str, tile: float, reach: float) -> DataFrame:
+    """Edges by the tiles that they run through; columns carry ``side`` in front."""
+    named = edges.select(*[F.col(k).alias(side + k) for k in ("line_id", "edge_no", "x0", "y0", "x1", "y1")])
+    return into_cells(named, side, F.lit(tile), reach).withColumn("tile", F.struct("cx", "cy")).drop("cx", "cy")
+
+
+def linear_overlap(a: DataFrame, b: DataFrame, *, tolerance: float, least: float) -> DataFrame:
     """(a_id, b_id, overlap) of lines (edge tables) that run along each other for more than ``least``.
 
     Edges of B within ``tolerance`` of A's line overlap it over the part of A's
     edge that they cover; a part that several edges of B cover, as when B
     doubles back, counts once. Lines that touch or cross do not overlap.
+
+    Edges meet in grid cells whose size follows the counts: the plane is cut
+    into tiles of some mean edges, and each tile into as many cells as cost
+    least, of postings (more in small cells) and pairs (more in large ones).
     """
-    ea = a.withColumn("c", F.explode(cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), cell, tolerance))).select(F.col("line_id").alias("a_id"), F.col("edge_no").alias("a_no"), "c", *[F.col(k).alias("a" + k) for k in ("x0", "y0", "x1", "y1")])
-    eb = b.withColumn("c", F.explode(cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), cell))).select(F.col("line_id").alias("b_id"), F.col("edge_no").alias("b_no"), "c", *[F.col(k).alias("b" + k) for k in ("x0", "y0", "x1", "y1")])
-    # edges whose boxes are apart by more than the tolerance go before pairs that met in several cells are made one
-    meet = lambda k: (F.least(f"a{k}0", f"a{k}1") - tolerance <= F.greatest(f"b{k}0", f"b{k}1")) & (F.least(f"b{k}0", f"b{k}1") <= F.greatest(f"a{k}0", f"a{k}1") + tolerance)
-    pairs = ea.join(eb, "c").where(meet("x") & meet("y")).drop("c").distinct()
+    longest = lambda df: df.agg(F.sum(F.greatest(F.abs(F.col("x1") - F.col("x0")), F.abs(F.col("y1") - F.col("y0")))).alias("s"), F.count(F.lit(1)).alias("n")).first()
+    found = [longest(df) for df in (a, b)]
+    mean = sum(r["s"] or 0.0 for r in found) / max(sum(r["n"] for r in found), 1)
+    tile = 2.0 ** math.ceil(math.log2(max(TILE_EDGES * mean, 4 * MOST_PARTS * tolerance, 1e-9)))
+    ta, tb = _posted(a, "a", tile, 0.0), _posted(b, "b", tile, tolerance)
+
+    within = lambda df, side: df.select("tile", F.lit(side == "a").alias("is_a"), F.least(F.hypot(F.col(f"{side}x1") - F.col(f"{side}x0"), F.col(f"{side}y1") - F.col(f"{side}y0")), F.lit(tile)).alias("run"))
+    counts = within(ta, "a").unionByName(within(tb, "b")).groupBy("tile").agg(
+        F.count_if("is_a").alias("na"), F.count_if(~F.col("is_a")).alias("nb"),
+        F.sum(F.when(F.col("is_a"), F.col("run")).otherwise(0.0)).alias("la"), F.sum(F.when(~F.col("is_a"), F.col("run")).otherwise(0.0)).alias("lb"),
+    ).where("na > 0 AND nb > 0")
+
+    def cost(parts: int) -> Column:
+        c = tile / parts
+        posted = lambda n, run: F.col(run) / c + F.col(n)
+        return F.struct((posted("na", "la") + posted("nb", "lb") + posted("na", "la") * posted("nb", "lb") * (c / tile) ** 2).alias("cost"), F.lit(parts).cast("long").alias("parts"))
+
+    sizes = counts.select("tile", F.array_min(F.array(*[cost(1 << k) for k in range(MOST_PARTS.bit_length())]))["parts"].alias("parts"))
+
+    def celled(df: DataFrame, side: str, reach: float) -> DataFrame:
+        sized = df.join(sizes, "tile").withColumn("size", F.lit(tile) / F.col("parts"))
+        return into_cells(sized, side, F.col("size"), reach, "tile", "parts").drop("parts")
+
     dx, dy = F.col("ax1") - F.col("ax0"), F.col("ay1") - F.col("ay0")
     length = F.hypot(dx, dy)
-    along = lambda x, y: ((x - F.col("ax0")) * dx + (y - F.col("ay0")) * dy) / length
-    off = lambda x, y: ((x - F.col("ax0")) * dy - (y - F.col("ay0")) * dx) / length
-    s, e = along(F.col("bx0"), F.col("by0")), along(F.col("bx1"), F.col("by1"))
-    u, v = off(F.col("bx0"), F.col("by0")), off(F.col("bx1"), F.col("by1"))
-    # the part of B's edge whose distance from A's line is within the tolerance
-    slope = v - u
-    level = slope == 0
-    t0 = F.when(level, 0.0).otherwise(F.least((F.lit(-tolerance) - u) / slope, (F.lit(tolerance) - u) / slope))
-    t1 = F.when(level, 1.0).otherwise(F.greatest((F.lit(-tolerance) - u) / slope, (F.lit(tolerance) - u) / slope))
-    lo, hi = F.greatest(F.lit(0.0), t0), F.least(F.lit(1.0), t1)
-    p, q = s + (e - s) * lo, s + (e - s) * hi
-    found = pairs.select("a_id", "a_no", "b_id", F.when((hi >= lo) & (~level | (F.abs(u) <= tolerance)), F.greatest(F.least(p, q), F.lit(0.0))).alias("from"), F.least(F.greatest(p, q), length).alias("to")).where(F.col("to") > F.col("from"))
-    # what goes beyond all earlier stretches on the same edge of A
+    straight = celled(ta, "a", 0.0).select("tile", "cx", "cy", "size", F.col("aline_id").alias("a_id"), F.col("aedge_no").alias("a_no"), "ax0", "ay0", length.alias("length"), (dx / length).alias("ux"), (dy / length).alias("uy"))
+    other = celled(tb, "b", tolerance).select("tile", "cx", "cy", F.col("bline_id").alias("b_id"), "bx0", "by0", "bx1", "by1")
+    pairs = straight.join(other, ["tile", "cx", "cy"])
+    # B's ends along A's edge and off it; B has to come into the band of the tolerance around it
+    along = lambda k: (F.col(f"bx{k}") - F.col("ax0")) * F.col("ux") + (F.col(f"by{k}") - F.col("ay0")) * F.col("uy")
+    off = lambda k: (F.col(f"bx{k}") - F.col("ax0")) * F.col("uy") - (F.col(f"by{k}") - F.col("ay0")) * F.col("ux")
+    pairs = pairs.where((F.least(off(0), off(1)) <= tolerance) & (F.greatest(off(0), off(1)) >= -tolerance))
+
+    def stretch(r: Column) -> Column:
+        """The part of B's edge within the tolerance of A's line, as feet along A's edge."""
+        slope = F.nullif(r["v"] - r["u"], F.lit(0.0))
+        low, high = (F.lit(-tolerance) - r["u"]) / slope, (F.lit(tolerance) - r["u"]) / slope
+        t0, t1 = F.coalesce(F.greatest(F.least(low, high), F.lit(0.0)), F.lit(0.0)), F.coalesce(F.least(F.greatest(low, high), F.lit(1.0)), F.lit(1.0))
+        return F.struct((r["s"] + (r["e"] - r["s"]) * t0).alias("p"), (r["s"] + (r["e"] - r["s"]) * t1).alias("q"))
+
+    # a lambda names its steps, so that none is written out and worked out again where it is used
+    named = lambda value, then: F.element_at(F.transform(F.array(value), then), 1)
+    met = named(F.struct(along(0).alias("s"), along(1).alias("e"), off(0).alias("u"), off(1).alias("v")), stretch)
+    met = named(met, lambda r: F.struct(F.greatest(F.least(r["p"], r["q"]), F.lit(0.0)).alias("from"), F.least(F.greatest(r["p"], r["q"]), F.col("length")).alias("to")))
+    found = pairs.withColumn("m", met).where("m.to > m.from")
+    # a pair that meets in several cells counts in the one where its stretch begins
+    begins = lambda p, u: F.floor((F.col(p) + F.col("m.from") * F.col(u)) / F.col("size"))
+    found = found.where((begins("ax0", "ux") == F.col("cx")) & (begins("ay0", "uy") == F.col("cy"))).select("a_id", "b_id", "a_no", "m.from", "m.to")
+    # what goes beyond all earlier stretches on the same edge of A; one shuffle serves the window and the sum
     before = Window.partitionBy("a_id", "b_id", "a_no").orderBy("from", "to").rowsBetween(Window.unboundedPreceding, -1)
-    fresh = F.col("to") - F.greatest(F.col("from"), F.coalesce(F.max("to").over(before), F.col("from")))
-    found = found.withColumn("part", F.greatest(fresh, F.lit(0.0)))
-    return found.groupBy("a_id", "b_id").agg(F.sum("part").alias("overlap")).where(F.col("overlap") > least)
+    reached = F.greatest("from", F.coalesce(F.max("to").over(before), F.col("from")))
+    parts = found.repartition("a_id", "b_id").withColumn("part", F.greatest(F.col("to") - reached, F.lit(0.0)))
+    return parts.groupBy("a_id", "b_id").agg(F.sum("part").alias("overlap")).where(F.col("overlap") > least)
 
 
 def hausdorff(a: Column, b: Column) -> Column:

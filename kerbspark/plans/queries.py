@@ -12,9 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import crs
 from ..functions import geometry as G
 from ..functions import policies as P
-from ..operators import acceptance, assets, curbs, intervals, policies, publish, quality, segments, signs, spatial, tables
+from ..operators import acceptance, assets, curbs, intervals, policies, publication, publish, quality, segments, signs, spatial, tables
 from ..operators.lineage import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -326,13 +327,45 @@ def zone_changes(spark, sf_dir):
     new = base.where("id % 7 != 0").select("route", (F.col("lo") + shift).alias("nlo"), (F.col("hi") + shift).alias("nhi"), F.when(F.col("id") % 5 == 0, "9").otherwise(F.col("pol")).alias("npol"), F.concat(F.lit("n"), "id").alias("new_id"))
     # each route is a street of its own, on which zones lie from lo to hi
     edge = lambda df, name, a, b: df.select(F.col(name).alias("line_id"), F.lit(0).alias("edge_no"), F.col(a).cast("double").alias("x0"), (F.col("route") * 10.0).alias("y0"), F.col(b).cast("double").alias("x1"), (F.col("route") * 10.0).alias("y1"))
-    found = spatial.linear_overlap(edge(old, "curb_zone_id", "lo", "hi"), edge(new, "new_id", "nlo", "nhi"), tolerance=0.001, least=0.01, cell=128.0)
+    found = spatial.linear_overlap(edge(old, "curb_zone_id", "lo", "hi"), edge(new, "new_id", "nlo", "nhi"), tolerance=0.001, least=0.01)
     pairs = found.join(old.select(F.col("curb_zone_id").alias("a_id"), "lo", "hi"), "a_id").join(new.select(F.col("new_id").alias("b_id"), "nlo", "nhi"), "b_id")
     # read once for equivalent pairs and once for others
     overlaps = cut(pairs.select(F.col("a_id").alias("old_id"), F.col("b_id").alias("new_id"), ((F.col("lo") == F.col("nlo")) & (F.col("hi") == F.col("nhi"))).alias("equivalent")))
     return publish.zone_changes(new.select(F.col("new_id").alias("curb_zone_id")), old, overlaps, new.select(F.col("new_id").alias("curb_zone_id"), F.col("npol").alias("curb_policy_id")), old.select("curb_zone_id", F.col("pol").alias("curb_policy_id")))
 
 
+def _street_zones(spark, sf_dir):
+    """Orders as published zones and as new ones: stretches of their customer's street, in metres; of the published ones some have ended."""
+    lo = F.rint("o_totalprice").cast("long") % 1000
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("route"), F.col("o_orderkey").alias("id"), lo.alias("lo"), "o_orderdate", "o_orderstatus")
+    line = lambda a: F.array(G.point(a, F.col("route") * 10), G.point(a + 100, F.col("route") * 10))
+    dates = {c: F.col("o_orderdate") for c in ("published_date", "last_updated_date", "start_date")}
+    old = o.withColumns(dates | {"end_date": F.when(F.col("o_orderstatus") == "P", F.col("o_orderdate")), "line": line(F.col("lo")), "curb_zone_id": F.concat(F.lit("o"), "id"), "curb_policy_id": (F.col("id") % 4).cast("string")})
+    new = o.where("id % 7 != 0").withColumns({"line": line(F.col("lo") + F.when(F.col("id") % 3 == 0, 5).otherwise(0)), "curb_zone_id": F.concat(F.lit("n"), "id"), "curb_policy_id": F.when(F.col("id") % 5 == 0, "9").otherwise((F.col("id") % 4).cast("string"))})
+    return old, new
+
+
+@query("""WITH o AS (SELECT o_custkey AS route, o_orderkey AS id, CAST(o_totalprice AS BIGINT) % 1000 AS lo, CAST(o_orderkey % 4 AS VARCHAR) AS pol, o_orderstatus = 'P' AS ended FROM orders),
+n AS (SELECT route, id, lo + CASE WHEN id % 3 = 0 THEN 5 ELSE 0 END AS lo, CASE WHEN id % 5 = 0 THEN '9' ELSE pol END AS pol FROM o WHERE id % 7 != 0),
+p AS (SELECT o.id AS old_id, n.id AS new_id, o.lo = n.lo AS eq, n.pol FROM o JOIN n ON o.route = n.route AND abs(o.lo - n.lo) < 100 WHERE NOT ended),
+t AS (SELECT old_id, string_agg(DISTINCT pol, ',' ORDER BY pol) FILTER (eq) AS taken, bool_or(eq) AS eq, bool_or(NOT eq) AS hit FROM p GROUP BY 1),
+c AS (SELECT id, pol, taken, ended, CASE WHEN ended THEN 'ended' WHEN eq AND taken != pol THEN 'relink' WHEN eq THEN 'touch' WHEN hit THEN 'retire' ELSE 'keep' END AS change FROM o LEFT JOIN t ON old_id = id)
+SELECT 'o' || id AS curb_zone_id, change, change IN ('relink', 'touch', 'retire') AS updated, ended OR change = 'retire' AS ended, CASE change WHEN 'relink' THEN taken WHEN 'touch' THEN pol WHEN 'keep' THEN pol ELSE '' END AS policies,
+ CASE WHEN change IN ('relink', 'retire', 'ended') THEN 1 ELSE 0 END AS deleted FROM c
+UNION ALL SELECT 'n' || id, 'insert', true, false, pol, 0 FROM n WHERE id NOT IN (SELECT new_id FROM p WHERE eq)""")
+def applied_publication(spark, sf_dir):
+    """The zones after a publication, with what became of them, their links, and how many published links are deleted."""
+    now = F.lit("2030-01-01 00:00:00").cast("timestamp")
+    old, new = (cut(df) for df in _street_zones(spark, sf_dir))
+    overlaps = cut(publication.zone_overlaps(old.where("end_date IS NULL").select("curb_zone_id", "line"), new.select("curb_zone_id", "line")))
+    dates = ["published_date", "last_updated_date", "start_date", "end_date"]
+    state = publication.merge_zones(new.select("curb_zone_id", "line"), old.select("curb_zone_id", "line", *dates), overlaps, new, old, now)
+    lists = publish.published_state(state["curb_zone_policies"])
+    gone = state["links_to_delete"].groupBy("curb_zone_id").agg(F.count(F.lit(1)).alias("deleted"))
+    out = state["curb_zones"].join(state["changes"], "curb_zone_id").join(lists, "curb_zone_id", "left").join(gone, "curb_zone_id", "left")
+    return out.select("curb_zone_id", "change", (F.col("last_updated_date") == now).alias("updated"), F.col("end_date").isNotNull().alias("ended"), F.coalesce(F.array_join("policy_ids", ","), F.lit("")).alias("policies"), F.coalesce("deleted", F.lit(0)).cast("int").alias("deleted"))
+
+
 @query("""WITH c AS (SELECT c_custkey, (c_custkey % 100) + 0.5 AS x, (c_custkey // 100) % 100 + 0.5 AS y FROM customer)
 SELECT c_custkey AS point_id, n_nationkey AS polygon_id FROM c JOIN nation ON x > n_nationkey % 5 * 20 AND x < n_nationkey % 5 * 20 + 15 AND y > n_nationkey // 5 * 20 AND y < n_nationkey // 5 * 20 + 15""")
 def points_in_polygons(spark, sf_dir):
@@ -862,7 +895,7 @@ def touching_lines(spark, sf_dir):
     """Orders as stretches of their customer's street: how many run along each, with no tolerance, and how far."""
     lo = (F.rint("o_totalprice").cast("long") % 1000).cast("double")
     e = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("line_id"), F.lit(0).alias("edge_no"), lo.alias("x0"), (F.col("o_custkey") * 10.0).alias("y0"), (lo + 100).alias("x1"), (F.col("o_custkey") * 10.0).alias("y1"))
-    found = spatial.linear_overlap(e, e, tolerance=0.0, least=0.0, cell=128.0)
+    found = spatial.linear_overlap(e, e, tolerance=0.0, least=0.0)
     return found.groupBy("a_id").agg(F.count(F.lit(1)).alias("n"), F.sum("overlap").alias("overlap"))
 
 
@@ -875,3 +908,93 @@ def snapshot_warnings(spark, sf_dir):
         "customers": (c, {"debts": F.count_if(F.col("c_acctbal") < 0)}),
     })
     return quality.warnings(snapshot, {"orders.pending": "orders are pending", "orders.negative": "prices are negative", "customers.debts": "customers are in debt"}, {"orders.rows": "no orders"})
+
+
+def _degrees_sql(source: str) -> str:
+    """CTEs from ``source`` (with columns x and y in feet) to ``g6`` (with lon and lat in degrees), the inverse of the conic projection."""
+    d = "::DOUBLE"
+    first = f"g AS (SELECT *, x * {G._UNIT!r}{d} - {G._X0}{d} AS dx, {G._R0!r}{d} - (y * {G._UNIT!r}{d} - {G._Y0}{d}) AS dy FROM {source}), g0 AS (SELECT *, degrees(atan2(dx, dy) / {G._N!r}{d} + ({G._LON0!r}{d})) AS lon, pow(sqrt(dx * dx + dy * dy) / {G._AF!r}{d}, {1 / G._N!r}{d}) AS t FROM g)"
+    first += f", h0 AS (SELECT *, {math.pi / 2!r}{d} - atan(t) * 2 AS phi FROM g0)"
+    for i in range(6):
+        s = f"(sin(phi) * {G._E!r}{d})"
+        first += f", h{i + 1} AS (SELECT * REPLACE ({math.pi / 2!r}{d} - atan(t * pow((1 - {s}) / (1 + {s}), {G._E / 2!r}{d})) * 2 AS phi) FROM h{i})"
+    return first + ", g6 AS (SELECT *, degrees(phi) AS lat FROM h6)"
+
+
+_ARC = "sqrt(pow(radians({b}.lat - {a}.lat) * 6378137.0 * (1 - e2) / pow(1 - e2 * pow(sin(radians(({a}.lat + {b}.lat) / 2)), 2), 1.5), 2) + pow(radians({b}.lon - {a}.lon) * 6378137.0 * cos(radians(({a}.lat + {b}.lat) / 2)) / sqrt(1 - e2 * pow(sin(radians(({a}.lat + {b}.lat) / 2)), 2)), 2))"
+
+
+@query(f"""WITH e AS (SELECT 2 / 298.257223563::DOUBLE - 1 / pow(298.257223563::DOUBLE, 2) AS e2),
+s AS (SELECT DISTINCT l_partkey AS k, CAST(l_quantity AS BIGINT) * 2 AS m FROM lineitem JOIN part ON p_partkey = l_partkey),
+q AS (SELECT k, m FROM s UNION SELECT p_partkey, unnest([0, 50, 100 + p_size]) FROM part),
+pt AS (SELECT k, m, 750000.0::DOUBLE + (k % 100) * 1000 + least(m, 50) AS x, 2950000.0::DOUBLE + (k // 100) % 100 * 1000 + greatest(m - 50, 0) AS y FROM q), {_degrees_sql("pt")},
+b AS (SELECT k, m, k || '-' || m AS sign FROM s UNION ALL SELECT p_partkey, 0, NULL FROM part),
+p AS (SELECT k, m AS lo, sign AS up, lead(m) OVER w AS nxt, lead(sign) OVER w AS down, row_number() OVER w - 1 AS seq FROM b WINDOW w AS (PARTITION BY k ORDER BY m)),
+c AS (SELECT p.k, lo, coalesce(nxt, 100 + p_size) AS hi, up, down, seq FROM p JOIN part ON p_partkey = p.k),
+l AS (SELECT c.*, lo < 50 AND hi > 50 AS bent, round(CASE WHEN lo < 50 AND hi > 50 THEN {_ARC.format(a="ga", b="gm")} + {_ARC.format(a="gm", b="gb")} ELSE {_ARC.format(a="ga", b="gb")} END * 3.280839895::DOUBLE, 2) AS feet
+ FROM c CROSS JOIN e JOIN g6 ga ON ga.k = c.k AND ga.m = lo JOIN g6 gb ON gb.k = c.k AND gb.m = hi JOIN g6 gm ON gm.k = c.k AND gm.m = 50),
+t AS (SELECT *, feet < 3 AS tiny FROM l), u AS (SELECT *, coalesce(max(seq) FILTER (NOT tiny) OVER (PARTITION BY k ORDER BY seq), min(seq) FILTER (NOT tiny) OVER (PARTITION BY k)) AS a FROM t),
+r AS (SELECT *, dense_rank() OVER (PARTITION BY k ORDER BY a) - 1 AS no FROM u),
+x AS (SELECT k, no, a, min(lo) AS lo, max(hi) AS hi, sum(feet) AS feet, count(*) + 1 + count(*) FILTER (bent) AS points, bool_or(tiny) AND bool_or(NOT tiny) AS mixed FROM r GROUP BY 1, 2, 3),
+lists AS (SELECT r.k, r.no, list(up ORDER BY seq) FILTER (up IS NOT NULL AND (NOT mixed OR seq = (SELECT min(seq) FROM r i WHERE i.k = r.k AND i.no = r.no))) AS ups, list(down ORDER BY seq) FILTER (down IS NOT NULL AND mixed AND tiny AND seq < r.a) AS lead_downs, list(down ORDER BY seq) FILTER (down IS NOT NULL AND (NOT mixed OR seq >= r.a)) AS downs FROM r JOIN x ON x.k = r.k AND x.no = r.no GROUP BY 1, 2),
+z AS (SELECT *, lag(downs) OVER (PARTITION BY k ORDER BY no) AS before FROM lists)
+SELECT x.k AS p_partkey, x.no AS segment_seq, CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi, round(feet, 2) AS seg_length, points,
+ coalesce(array_to_string(list_sort(list_distinct(list_concat(list_concat(coalesce(before, []), coalesce(ups, [])), coalesce(lead_downs, [])))), ','), '') AS upstream, coalesce(array_to_string(list_sort(list_distinct(downs)), ','), '') AS downstream
+FROM x JOIN z ON z.k = x.k AND z.no = x.no""")
+def curb_segments(spark, sf_dir):
+    """Bent curbs and the signs beside them as segments with lines, location lists and lengths on the ellipsoid."""
+    k = F.col("p_partkey")
+    x0, y0 = F.lit(750000.0) + k % 100 * 1000, F.lit(2950000.0) + F.floor(k / 100) % 100 * 1000
+    curb = table(spark, sf_dir, "part").select(k.alias("blockface_id"), F.array(G.point(x0, y0), G.point(x0 + 50, y0), G.point(x0 + 50, y0 + 50 + F.col("p_size"))).alias("line"))
+    # a foot outside the bend
+    m = F.col("l_quantity").cast("long") * 2
+    sign = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"), m.alias("m")).distinct()
+    sign = sign.join(table(spark, sf_dir, "part").select("p_partkey"), "p_partkey", "left_semi")
+    before = F.col("m") < 50
+    sign = sign.select(F.concat_ws("-", "p_partkey", "m").alias("point_id"), F.when(before, x0 + F.col("m")).otherwise(x0 + 51).alias("x"), F.when(before, y0 - 1).otherwise(y0 + F.col("m") - 50).alias("y"))
+    none = sign.limit(0)
+    made = segments.segment_lines(curb, none, sign, none)
+    ids = lambda c: F.coalesce(F.array_join(F.array_sort(c), ","), F.lit(""))
+    return made.select(F.col("blockface_id").cast("long").alias("p_partkey"), "segment_seq", F.round("lo", 6).alias("lo"), F.round("hi", 6).alias("hi"), F.round("seg_length", 2).alias("seg_length"), F.size("line").alias("points"), ids("upstream_loc_list").alias("upstream"), ids("downstream_loc_list").alias("downstream"))
+
+
+@query("""WITH f AS (SELECT l_orderkey AS o, l_linenumber - 1 AS n, l_partkey AS p FROM lineitem), a AS (SELECT p_partkey AS p, CASE WHEN p_size = 7 THEN 'unknown arrow: up' END AS arrow, CASE WHEN p_partkey % 97 = 5 THEN 'policy is not JSON' END AS text FROM part)
+SELECT CAST(o AS VARCHAR) AS blockface_id, 'validation' AS stage, 'sequence' AS reason FROM f GROUP BY 1 HAVING min(n) != 0 OR max(n) != count(*) - 1 OR count(DISTINCT n) != count(*)
+UNION ALL SELECT DISTINCT CAST(o AS VARCHAR), 'policies', arrow FROM f JOIN a USING (p) WHERE arrow IS NOT NULL
+UNION ALL SELECT DISTINCT CAST(o AS VARCHAR), 'policies', text FROM f JOIN a USING (p) WHERE text IS NOT NULL""")
+def quarantined(spark, sf_dir):
+    """Orders as blockfaces that pass their lines' parts; what keeps some of them from getting policies."""
+    place = F.col("l_partkey").cast("string")
+    faces = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("blockface_id"), F.concat_ws("#", "l_orderkey", "l_linenumber").alias("segment_id"), (F.col("l_linenumber") - 1).alias("segment_seq"), F.lit(False).alias("is_left_side_oneway"), F.array(place).alias("upstream_loc_list"), F.array(place).alias("downstream_loc_list"))
+    k = F.col("p_partkey")
+    text = F.when(k % 97 == 5, "{no").otherwise(F.concat(F.lit('{"rules": [], "priority": '), k % 50, F.lit("}")))
+    posted = table(spark, sf_dir, "part").select(k.cast("string").alias("location_id"), text.alias("policy_json"), F.when(F.col("p_size") == 7, "up").when(F.col("p_size") % 2 == 0, "left").alias("arrow"))
+    return policies.blockface_errors(faces, posted)
+
+
+def _utm_sql() -> str:
+    """Metres by another series than the library's (in the third flattening), and the degrees that they must lead back to."""
+    f = 1 / 298.257222101
+    n = f / (2 - f)
+    k = 2 * math.sqrt(n) / (1 + n)
+    a = 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64) * 0.9996
+    al = [n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240]
+    d = "::DOUBLE"
+    east = " + ".join(f"{x!r}{d} * cos({2 * i + 2} * xi) * (exp({2 * i + 2} * eta) - exp(-{2 * i + 2} * eta)) / 2" for i, x in enumerate(al))
+    north = " + ".join(f"{x!r}{d} * sin({2 * i + 2} * xi) * (exp({2 * i + 2} * eta) + exp(-{2 * i + 2} * eta)) / 2" for i, x in enumerate(al))
+    return f"""WITH c AS (SELECT c_custkey, -71.0 - (c_custkey % 100) / 1000.0{d} AS lon, 42.3 + (c_custkey % 77) / 1000.0{d} AS lat FROM customer),
+s AS (SELECT *, radians(lon + 69) AS dl, sin(radians(lat)) AS s FROM c), q AS (SELECT *, ln((1 + s) / (1 - s)) / 2 - {k!r}{d} * ln((1 + {k!r}{d} * s) / (1 - {k!r}{d} * s)) / 2 AS psi FROM s),
+t AS (SELECT *, (exp(psi) - exp(-psi)) / 2 AS t FROM q), u AS (SELECT *, atan(t / cos(dl)) AS xi, sin(dl) / sqrt(1 + t * t) AS v FROM t), w AS (SELECT *, ln((1 + v) / (1 - v)) / 2 AS eta FROM u)
+SELECT c_custkey, round(500000 + {a!r}{d} * (eta + {east}), 0) AS x, round({a!r}{d} * (xi + {north}), 0) AS y, round(lon, 7) AS lon, round(lat, 7) AS lat FROM w"""
+
+
+@query(_utm_sql())
+def utm_both_ways(spark, sf_dir):
+    """Points in metres of UTM zone 19 by their code, and back from there, by way of the conic feet of 2249, in degrees."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", (F.lit(-71.0) - F.col("c_custkey") % 100 / 1000).alias("lon"), (F.lit(42.3) + F.col("c_custkey") % 77 / 1000).alias("lat"))
+    x, y = crs.reproject(F.col("lon"), F.col("lat"), 4326, "EPSG:26919")
+    c = c.withColumns({"x": x, "y": y})
+    fx, fy = crs.reproject(F.col("x"), F.col("y"), 26919, 2249)
+    c = c.withColumns({"fx": fx, "fy": fy})
+    lon, lat = crs.reproject(F.col("fx"), F.col("fy"), 2249, "urn:ogc:def:crs:OGC:1.3:CRS84")
+    return c.select("c_custkey", F.round("x", 0).alias("x"), F.round("y", 0).alias("y"), F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat"))

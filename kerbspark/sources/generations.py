@@ -8,6 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import crs as C
 from ..functions import geometry as G
 
 
@@ -31,17 +32,38 @@ def _generation(spark: SparkSession, root: str, number: int) -> str:
 
 
 def _point(spark: SparkSession, root: str, after: int, generation: str) -> None:
-    """Write the pointer that follows number ``after``. Its file is made only if there is none, so of two publishers at once one fails."""
+    """Make the pointer that follows number ``after``; of two publishers at once one fails.
+
+    The text is written under another name and the file then renamed, which no
+    file system does over a file that is there, so no reader meets a pointer
+    that is empty or half written, and a publisher that dies leaves none. On an
+    object store a rename copies and may not be exclusive: keep ``root`` on a
+    file system, or let one publisher run at a time.
+    """
     path, fs = _folder(spark, root)
     name = spark._jvm.org.apache.hadoop.fs.Path(path, f"{after + 1:012d}")
+    draft = spark._jvm.org.apache.hadoop.fs.Path(path, f"_draft-{uuid.uuid4().hex}")
     if fs.exists(name):
         raise ValueError("another publication came first")
-    try:
-        out = fs.create(name, False)
-    except Exception as error:
-        raise ValueError("another publication came first") from error
+    out = fs.create(draft, False)
     out.write(bytearray(generation.encode()))
     out.close()
+    if not _renamed(spark, fs, draft, name):
+        fs.delete(draft, False)
+        raise ValueError("another publication came first")
+
+
+def _renamed(spark: SparkSession, fs, draft, name) -> bool:
+    """Whether ``draft`` has become ``name``, which must not be there before."""
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(draft, name, none)
+    except Exception as error:
+        if "FileAlreadyExists" in str(error):
+            return False
+        raise
+    return True
 
 
 def publish(tables: Mapping[str, DataFrame], root: str) -> str:
@@ -87,14 +109,20 @@ def publish_in_order(state: Mapping[str, DataFrame], deletes: Mapping[str, tuple
     return publish(tables, root)
 
 
-def write_geojson_lines(df: DataFrame, path: str, line: str = "line") -> None:
-    """One GeoJSON feature in each line of text."""
-    coordinates = F.transform(line, lambda p: F.array(p["x"], p["y"]))
+def write_geojson_lines(df: DataFrame, path: str, line: str = "line", *, crs: int | str = C.DEGREES, to: int | str | None = None) -> None:
+    """One GeoJSON feature in each line of text; lines in the system ``crs`` are written in the system ``to``."""
+    moved = C.reproject_line(F.col(line), crs, crs if to is None else to)
+    coordinates = F.transform(moved, lambda p: F.array(p["x"], p["y"]))
     geometry = F.struct(F.lit("LineString").alias("type"), coordinates.alias("coordinates"))
     feature = F.struct(F.lit("Feature").alias("type"), F.struct(*[c for c in df.columns if c != line]).alias("properties"), geometry.alias("geometry"))
     df.select(F.to_json(feature).alias("value")).write.text(path)
 
 
+def write_lines(df: DataFrame, path: str, line: str = "line", *, crs: int | str, to: int | str) -> None:
+    """Rows as Parquet, their lines moved from the system ``crs`` to the system ``to``."""
+    df.withColumn(line, C.reproject_line(F.col(line), crs, to)).write.parquet(path)
+
+
 def write_policy_csv(lists: DataFrame, path: str) -> None:
     """Segments and their policies, the list as JSON text."""
     lists.select("segment_id", F.to_json("policy_list").alias("policy_list")).write.csv(path, header=True)

@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import crs as C
 from ..functions import geometry as G
 from ..operators import tables
 
@@ -71,16 +72,36 @@ def _features(features: DataFrame, properties: str | None) -> DataFrame:
     return parts.select(F.from_json("p", kind).alias("p"), "geometry").select("p.*", "geometry")
 
 
-def lines_of(df: DataFrame, candidates: Sequence[str], *, bad: str = "raise", explode: bool = True) -> DataFrame:
+def declared_crs(spark: SparkSession, path: str, otherwise: int | str | None = None) -> int:
+    """The EPSG code that the FeatureCollections under ``path`` declare; ``otherwise`` where none does, and an error if they differ or none is known.
+
+    A declaration stands before the features, so only the head of a file's text is looked at.
+    """
+    head = spark.read.text(path, wholetext=True).select(F.substring("value", 1, 4096).alias("head"))
+    name = F.regexp_extract("head", '"crs"\\s*:\\s*\\{.*?"name"\\s*:\\s*"([^"]*)"', 1)
+    names = [r["n"] for r in head.select(name.alias("n")).distinct().limit(100).collect()]
+    found = {C.system(n).code for n in names if n} | ({C.system(otherwise).code} if otherwise is not None and "" in names else set())
+    if len(found) != 1 or ("" in names and otherwise is None):
+        raise ValueError("the files name no coordinate system, or several")
+    return found.pop()
+
+
+def lines_of(df: DataFrame, candidates: Sequence[str], *, bad: str = "raise", explode: bool = True, crs: int | str | None = None, to: int | str | None = None) -> DataFrame:
     """``df`` with ``line`` from the first candidate column that is there, as WKT or GeoJSON text.
 
     Rows without a usable geometry stop the job, or go if ``bad`` is ``drop``.
-    With ``explode`` each part is a row of its own, numbered by ``part``.
+    With ``explode`` each part is a row of its own, numbered by ``part``. Lines
+    in the system ``crs`` come out in the system ``to``, if both are given.
     """
     column = next((c for c in candidates if c in df.columns), None)
     if column is None:
         raise ValueError(f"no geometry column among {list(candidates)}")
-    df = df.withColumn("__lines", G.normalise_geometry(F.col(column).cast("string")))
+    lines = G.normalise_geometry(F.col(column).cast("string"))
+    if to is not None:
+        if crs is None:
+            raise ValueError("the lines' own coordinate system is needed to change it")
+        lines = F.transform(lines, lambda part: C.reproject_line(part, crs, to))
+    df = df.withColumn("__lines", lines)
     if bad == "drop":
         df = df.where(F.col("__lines").isNotNull())
     elif bad == "raise":
@@ -92,6 +113,16 @@ def lines_of(df: DataFrame, candidates: Sequence[str], *, bad: str = "raise", ex
     return df.withColumnRenamed("__lines", "lines")
 
 
+def blockfaces(spark: SparkSession, path: str, job_id: str | None, *, crs: int | str | None, to: int | str = 2249, geometry: Sequence[str] = ("geometry", "line", "wkt")) -> DataFrame:
+    """The blockfaces of one job from Parquet, with ``line`` in the system ``to``; their own system must be named, and an empty load is an error."""
+    if crs is None:
+        raise ValueError("the blockfaces' coordinate system is needed")
+    rows = job_rows(spark.read.parquet(path), job_id)
+    if rows.isEmpty():
+        raise ValueError(f"no blockfaces of job {job_id}")
+    return lines_of(rows, geometry, crs=crs, to=to)
+
+
 def binary_store(spark: SparkSession, path: str) -> DataFrame:
     """(name, path, length): files under ``path`` by content, each content once; the name is its sha256 and extension."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)

@@ -71,6 +71,90 @@ def test_propagation_is_a_walk_both_ways(spark):
     assert all([rank(p) for p in v] == sorted(rank(p) for p in v) for v in got.values()) and any(len(v) > 2 for v in got.values())
 
 
+#: Policies by their letters, and what must come out of curbs that pass them. A curb is its side, what is
+#: posted where (an arrow "<" is left, ">" right, "=" both), and for each segment: upstream places, downstream places,
+#: letters of its policies in order. Places beginning with h are hydrants; meters post "+" where they begin and "-" where they end.
+LETTERS = {"N": ("no parking", 38), "C": ("no parking", 38, "street cleaning"), "2": ("parking", 40), "P": ("no parking", 53), "M": ("parking", 83), "K": ("parking", 43)}
+CURBS = {
+    "0": ("right", {"c": "C<"}, [("", "c", ""), ("c", "", "C")]),
+    "0 left": ("left", {"c": "C<"}, [("", "c", "C"), ("c", "", "")]),
+    "1": ("right", {"a": "N<", "b": "N>"}, [("", "a", ""), ("a", "b", "N"), ("b", "", "")]),
+    "1 left": ("left", {"a": "N>", "b": "N<"}, [("", "a", ""), ("a", "b", "N"), ("b", "", "")]),
+    "2": ("right", {"a": "N>", "b": "2="}, [("", "a", "N2"), ("a", "b", "2"), ("b", "", "2")]),
+    "2 left": ("left", {"a": "2=", "b": "N>"}, [("", "a", "2"), ("a", "b", "2"), ("b", "", "N2")]),
+    "3": ("right", {"a": "2="}, [("", "h", "2"), ("h", "h", "F2"), ("h", "a", "2"), ("a", "", "2")]),
+    "3 left": ("left", {"a": "2="}, [("", "a", "2"), ("a", "h", "2"), ("h", "h", "F2"), ("h", "", "2")]),
+    "4": ("right", {"a": "2="}, [("", "h", "2"), ("h", "a", "F2"), ("a", "h", "F2"), ("h", "", "2")]),
+    "4 left": ("left", {"a": "2="}, [("", "h", "2"), ("h", "a", "F2"), ("a", "h", "F2"), ("h", "", "2")]),
+    "5": ("right", {"m": "M+", "n": "M-"}, [("m", "n", "M")]),
+    "6": ("right", {"m": "M+", "n": "M- K+", "o": "K- M+", "p": "M-"}, [("m", "m n", "M"), ("n", "o", "K"), ("o p", "p", "M")]),
+    "7": ("right", {"m": "M+", "a": "P<", "b": "P>"}, [("m", "m a", "M"), ("a", "b", "PM"), ("b", "", "M")]),
+    "8": ("right", {"m": "M+", "a": "N>"}, [("m", "m a", "NM"), ("a", "h", "M"), ("h", "h", "FM"), ("h", "", "M")]),
+}
+ARROWS = {"<": "left", ">": "right", "=": "both", "+": "AWAY", "-": "TOWARD"}
+
+
+def lettered(letter):
+    activity, rank, *name = LETTERS[letter]
+    return json.dumps({"name": name[0] if name else letter, "rules": [{"activity": activity}], "priority": rank})
+
+
+def test_fixed_curbs(spark):
+    rows, posted, features = [], [], []
+    for case, (side, places, segments) in CURBS.items():
+        at = lambda names, case=case: [f"{case}/{x}" for x in names.split()] or None
+        rows += [(case, f"{case}#{n}", n, side == "left", at(up), at(down)) for n, (up, down, _) in enumerate(segments)]
+        posted += [(f"{case}/{x}", lettered(p[0]), ARROWS[p[1]]) for x, text in places.items() for p in text.split()]
+        features.append((f"{case}/h", "fire_hydrant"))
+        features += [(f"{case}/{x}", kind) for x in places for kind in ("bench", "tree")]  # other features change nothing
+    segments = spark.createDataFrame(rows, "blockface_id string, segment_id string, segment_seq int, is_left_side_oneway boolean, upstream_loc_list array<string>, downstream_loc_list array<string>")
+    posted = spark.createDataFrame(posted, "location_id string, policy_json string, arrow string")
+    features = spark.createDataFrame(features, "location_id string, feature_type string")
+    letters = {canonical(lettered(x)): x for x in LETTERS} | {canonical(P.FIRE_HYDRANT): "F"}
+    got = {r["segment_id"]: "".join(letters[canonical(p)] for p in r["policy_list"]) for r in policies.apply_policies(segments, posted, features).collect()}
+    want = {f"{case}#{n}": x for case, (_, _, segments) in CURBS.items() for n, (_, _, x) in enumerate(segments)}
+    assert got == want and len(CURBS) == 14
+    log = policies.event_log(segments, posted, features)
+    assert log.count() == log.distinct().count()
+
+
+HOURS = {"days_of_week": ["mon"], "time_of_day_start": "08:00", "time_of_day_end": "18:00"}
+#: Published ranks of rules and spans.
+RANKS = [
+    (99, [], []),
+    (1, [{"activity": "no stopping"}], []),
+    (2, [{"activity": "no loading"}], []),
+    (3, [{"activity": "no parking"}], []),
+    (10, [{"activity": "parking"}], [{"start_date": 1, "end_date": 2}]),
+    (21, [{"activity": "no stopping"}], [{"start_date": 1, "end_date": 2}]),
+    (33, [{"activity": "no parking"}], [HOURS | {"designated_period": ["snow emergency"]}]),
+    (37, [{"activity": "no loading"}], [HOURS]),
+    (40, [{"activity": "parking", "user_classes": ["resident_permit"]}], [HOURS]),
+    (53, [{"activity": "no parking", "user_classes_except": ["accessible"]}], [HOURS]),
+    (60, [{"activity": "loading", "user_classes": ["truck"]}], []),
+    (71, [{"activity": "no stopping", "user_classes": ["truck"]}], []),
+    (80, [{"activity": "parking"}], [HOURS]),
+    (99, [{"activity": "parking"}], []),
+    (90, [{"activity": "loading"}], []),
+    (99, [{"activity": "parking"}], [{"days_of_week": P.DAYS, "time_of_day_start": "00:00", "time_of_day_end": "23:59"}]),
+]
+
+
+def test_fixed_ranks(spark):
+    rows = [(n, json.dumps({"rules": rules, "time_spans": spans})) for n, (_, rules, spans) in enumerate(RANKS)]
+    got = spark.createDataFrame(rows, "n int, j string").select("n", P.priority(P.parse(F.col("j"))).alias("p")).collect()
+    assert {r["n"]: r["p"] for r in got} == {n: want for n, (want, _, _) in enumerate(RANKS)} and len(RANKS) == 16
+
+
+def test_an_error_sets_aside_its_own_blockface_only(spark):
+    schema = "blockface_id string, segment_id string, segment_seq int, is_left_side_oneway boolean, upstream_loc_list array<string>, downstream_loc_list array<string>"
+    rows = [("good", "g0", 0, False, None, ["a"]), ("arrow", "x0", 0, False, ["bad"], ["bad", "a"]), ("text", "t0", 0, False, None, ["worse"]), ("text", "t1", 1, False, ["bad"], None), ("gap", "p0", 0, False, None, None), ("gap", "p2", 2, False, None, ["bad"])]
+    posted = [("a", lettered("2"), "both"), ("bad", lettered("2"), "up"), ("bad", lettered("N"), "up"), ("worse", "{no", None), ("unused", "{no", "down")]
+    lists, errors = policies.apply_or_quarantine(spark.createDataFrame(rows, schema), spark.createDataFrame(posted, "location_id string, policy_json string, arrow string"), spark.createDataFrame([], "location_id string, feature_type string"))
+    assert [(r["segment_id"], len(r["policy_list"])) for r in lists.collect()] == [("g0", 1)]
+    assert sorted(map(tuple, errors.collect())) == [("arrow", "policies", "unknown arrow: up"), ("gap", "policies", "unknown arrow: up"), ("gap", "validation", "sequence"), ("text", "policies", "policy is not JSON")]
+
+
 def test_faulty_blockfaces_are_reported(spark):
     rows = [("a", 0, True), ("a", 2, True), ("b", 0, True), ("b", 1, False), ("c", 0, None), ("c", 1, False)]
     got = {(r[0], r[1]) for r in policies.blockface_faults(spark.createDataFrame(rows, "blockface_id string, segment_seq int, is_left_side_oneway boolean")).collect()}

@@ -38,6 +38,41 @@ def test_golden_segmentations(spark):
     assert not wrong
 
 
+#: Points of the merged lines where they are more than the ends.
+VERTICES = {5: [(1, 2, 100, 100)], 11: [(1, 2, 3, 98, 99, 100)]}
+
+
+def test_golden_segmentations_on_lines(spark):
+    """The same cases from curb lines and points beside them: a curb for each case, far from the others."""
+    faces, placed = [], {"H": [], "S": [], "M": []}
+    for case, (text, _) in CASES.items():
+        y = 2_900_000.0 + 1000 * case
+        faces.append((f"c{case:02d}", [(750_001.0, y), (750_100.0, y)]))
+        for a in sorted(set(text.split())):
+            placed[a[0]].append((f"{case:02d}-{a}", 750_000.0 + float(a[1:]), y + 2))
+        placed["S"].append((f"{case:02d}-far", 750_050.0, y + 31))
+    kind = "point_id string, x double, y double"
+    made = segments.segment_lines(spark.createDataFrame(faces, "blockface_id string, line array<struct<x:double,y:double>>"), *[spark.createDataFrame(placed[k], kind) for k in "HSM"])
+    got, points = {}, {}
+    for r in made.orderBy("blockface_id", "segment_seq").collect():
+        xs = [p["x"] - 750_000 for p in r["line"]]
+        got.setdefault(r["blockface_id"], []).append((round(xs[0], 5), round(xs[-1], 5), len(r["upstream_loc_list"] or []), len(r["downstream_loc_list"] or [])))
+        points.setdefault(r["blockface_id"], []).append(tuple(round(x, 5) for x in xs))
+        assert abs(r["seg_length"] - (xs[-1] - xs[0])) < 0.02
+    assert not {c: (got.get(f"c{c:02d}"), want) for c, (_, want) in CASES.items() if got.get(f"c{c:02d}") != want}
+    for case, want in VERTICES.items():
+        assert points[f"c{case:02d}"] == want
+
+
+def test_pieces_of_a_bent_line(spark):
+    from kerbspark.operators import spatial
+
+    line = spark.createDataFrame([("a", [(0.0, 0.0), (30.0, 0.0), (30.0, 40.0)])], "id string, line array<struct<x:double,y:double>>")
+    parts = spark.createDataFrame([("a", lo, hi) for lo, hi in ((0.0, 10.0), (10.0, 30.0), (30.0, 30.0), (30.0, 70.0), (20.0, 50.0), (70.0, 70.0))], "line_id string, lo double, hi double")
+    got = {(r["lo"], r["hi"]): [tuple(p) for p in r["line"]] for r in curbs.piece_lines(spatial.edge_table(line, "id", "line"), parts).collect()}
+    assert got == {(0, 10): [(0, 0), (10, 0)], (10, 30): [(10, 0), (30, 0)], (30, 30): [(30, 0), (30, 0)], (30, 70): [(30, 0), (30, 40)], (20, 50): [(20, 0), (30, 0), (30, 20)], (70, 70): [(30, 40), (30, 40)]}
+
+
 def test_curbs_without_assets_pass_through(spark):
     none = spark.createDataFrame([], "blockface_id string, at double, point_id string")
     made = segments.segment_curbs(spark.createDataFrame([("a", 0.0, 50.0)], "blockface_id string, lo double, hi double"), none, none, none).collect()

@@ -39,10 +39,61 @@ def test_projection_round_trip(spark):
     assert abs(origin["x"] - 200000 / 0.3048006096012192) < 1e-6 and abs(origin["y"] - 750000 / 0.3048006096012192) < 1e-6
 
 
+@pytest.mark.parametrize("code", [4326, 4269, 2249, 3395, 26919, 32619, 32618])
+def test_every_system_goes_both_ways(spark, code):
+    from kerbspark.functions import crs
+
+    df = spark.createDataFrame([(-71.06, 42.35), (-70.9, 41.2), (-73.5, 41.0), (-69.0, 44.5)], "lon double, lat double")
+    x, y = crs.reproject(F.col("lon"), F.col("lat"), 4326, code)
+    df = df.withColumns({"x": x, "y": y})
+    lon, lat = crs.reproject(F.col("x"), F.col("y"), f"EPSG:{code}", "urn:ogc:def:crs:OGC:1.3:CRS84")
+    for r in df.withColumns({"lon2": lon, "lat2": lat}).collect():
+        assert abs(r["lon"] - r["lon2"]) < 1e-9 and abs(r["lat"] - r["lat2"]) < 1e-9
+
+
+def test_points_of_the_systems(spark):
+    """Fixed values of the published projections: a central meridian has easting 500000, and the equator northing 0."""
+    from kerbspark.functions import crs
+
+    df = spark.createDataFrame([(-69.0, 0.0), (-69.0, 42.0), (-66.0, 0.0)], "lon double, lat double")
+    x, y = crs.reproject(F.col("lon"), F.col("lat"), 4326, 32619)
+    got = [(r["x"], r["y"]) for r in df.select(x.alias("x"), y.alias("y")).collect()]
+    assert got[0] == pytest.approx((500000.0, 0.0), abs=1e-6) and got[1][0] == pytest.approx(500000.0)
+    assert got[1][1] == pytest.approx(4649776.22, abs=0.01) and got[2][0] == pytest.approx(833978.56, abs=0.01)
+    for bad in ("EPSG:27700", "", "no code"):
+        with pytest.raises(ValueError):
+            crs.system(bad)
+
+
+def test_a_line_in_feet_is_read_as_degrees_and_written_in_feet(spark, tmp_path):
+    from kerbspark.sources import generations, readers
+
+    feet = '{"type":"FeatureCollection","crs":{"type":"name","properties":{"name":"urn:ogc:def:crs:EPSG::2249"}},"features":[{"type":"Feature","properties":{"blockface_id":"b"},"geometry":{"type":"LineString","coordinates":[[775000.25,2950000.5],[775100,2950050]]}}]}'
+    (tmp_path / "feet.geojson").write_text(feet)
+    code = readers.declared_crs(spark, f"{tmp_path}/feet.geojson")
+    assert code == 2249
+    got = readers.lines_of(readers.geojson(spark, f"{tmp_path}/feet.geojson", crs="EPSG:2249"), ["geometry"], crs=code, to=4326).drop("geometry", "part")
+    lon, lat = got.first()["line"][0]
+    assert -71.1 < lon < -71.0 and 42.3 < lat < 42.4
+    generations.write_geojson_lines(got, f"{tmp_path}/out", to=2249)
+    back = readers.lines_of(readers.geojson_lines(spark, f"{tmp_path}/out"), ["geometry"]).first()["line"]
+    assert [p for xy in back for p in xy] == pytest.approx([775000.25, 2950000.5, 775100, 2950050], abs=1e-6)
+    generations.write_lines(got.withColumn("job_id", F.lit("j")), f"{tmp_path}/faces", crs=4326, to=26919)
+    faces = spark.read.parquet(f"{tmp_path}/faces").withColumn("geometry", F.to_json(F.struct(F.lit("LineString").alias("type"), F.transform("line", lambda p: F.array(p["x"], p["y"])).alias("coordinates")))).drop("line")
+    faces.write.parquet(f"{tmp_path}/load")
+    loaded = readers.blockfaces(spark, f"{tmp_path}/load", "j", crs=26919).first()["line"]
+    assert loaded[0]["x"] == pytest.approx(775000.25, abs=1e-3)
+    (tmp_path / "plain.geojson").write_text('{"type":"FeatureCollection","features":[]}')
+    assert readers.declared_crs(spark, f"{tmp_path}/plain.geojson", otherwise=4326) == 4326
+    for call in (lambda: readers.declared_crs(spark, f"{tmp_path}/plain.geojson"), lambda: readers.blockfaces(spark, f"{tmp_path}/load", "other", crs=26919), lambda: readers.blockfaces(spark, f"{tmp_path}/load", "j", crs=None), lambda: readers.lines_of(faces, ["geometry"], to=4326)):
+        with pytest.raises(ValueError):
+            call()
+
+
 def test_overlap_and_equivalence(spark):
     old = lines(spark, [("o", [(0.0, 0.0), (100.0, 0.0)])])
     new = lines(spark, [("same", [(0.0, 0.0005), (50.0, 0.0), (100.0, 0.0)]), ("half", [(0.0, 0.0), (50.0, 0.0)]), ("next", [(100.0, 0.0), (200.0, 0.0)]), ("cross", [(50.0, -50.0), (50.0, 50.0)]), ("beside", [(0.0, 1.0), (100.0, 1.0)])])
-    got = spatial.linear_overlap(spatial.edge_table(old, "id", "line"), spatial.edge_table(new, "id", "line"), tolerance=0.001, least=0.01, cell=30.0)
+    got = spatial.linear_overlap(spatial.edge_table(old, "id", "line"), spatial.edge_table(new, "id", "line"), tolerance=0.001, least=0.01)
     assert {r["b_id"]: round(r["overlap"], 3) for r in got.collect()} == {"same": 100.0, "half": 50.0}
     both = old.crossJoin(new.select(F.col("id").alias("n"), F.col("line").alias("l2")))
     eq = both.select("n", publish.equivalent(F.col("line"), F.col("l2"), spatial.hausdorff(F.col("line"), F.col("l2")), 0.001).alias("eq"))
@@ -52,7 +103,7 @@ def test_overlap_and_equivalence(spark):
 def test_a_line_that_doubles_back_overlaps_once(spark):
     old = lines(spark, [("o", [(0.0, 0.0), (100.0, 0.0)])])
     new = lines(spark, [("back", [(20.0, 0.0), (70.0, 0.0), (40.0, 0.0), (90.0, 0.0)])])
-    got = spatial.linear_overlap(spatial.edge_table(old, "id", "line"), spatial.edge_table(new, "id", "line"), tolerance=0.001, least=0.01, cell=30.0)
+    got = spatial.linear_overlap(spatial.edge_table(old, "id", "line"), spatial.edge_table(new, "id", "line"), tolerance=0.001, least=0.01)
     assert [round(r["overlap"], 6) for r in got.collect()] == [70.0]
 
 
