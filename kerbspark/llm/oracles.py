@@ -27,8 +27,13 @@ def _shingles(table: str, key: str) -> str:
  FROM (SELECT {key}, w, len(w) AS n, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM (SELECT {key}, {words} AS w FROM {table} WHERE {key} IS NOT NULL) WHERE len(w) > 0)"""
 
 
-OP4 = f"""WITH q AS ({_shingles("benchmark", "item_id")}), d AS ({_shingles("documents", "doc_id")}), n AS (SELECT id, count(*) AS n FROM q GROUP BY 1)
-SELECT d.id AS doc_id, q.id AS item_id, n.n AS n_item, count(*) AS n_shared, count(*) / n.n AS containment FROM d JOIN q USING (s) JOIN n ON n.id = q.id GROUP BY 1, 2, 3 HAVING 100 * count(*) >= 75 * n.n"""
+_ITEM_WORDS = _WORDS.format(_LOW)
+#: Items of one to four words are one shingle, found wherever a document has these words one after the other.
+OP4 = f"""WITH q AS ({_shingles("benchmark", "item_id")}), d AS ({_shingles("documents", "doc_id")}), n AS (SELECT id, count(*) AS n FROM q GROUP BY 1),
+i AS (SELECT DISTINCT item_id, len(w) AS k, array_to_string(w, ' ') AS s FROM (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL) WHERE len(w) BETWEEN 1 AND 4),
+r AS (SELECT DISTINCT doc_id AS id, k, array_to_string(w[j:j + k - 1], ' ') AS s FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS j FROM (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents WHERE doc_id IS NOT NULL) CROSS JOIN (SELECT DISTINCT k FROM i) WHERE len(w) >= k)),
+f AS (SELECT d.id AS doc_id, q.id AS item_id, s FROM d JOIN q USING (s) UNION SELECT r.id, i.item_id, s FROM r JOIN i USING (k, s))
+SELECT doc_id, item_id, n.n AS n_item, count(*) AS n_shared, count(*) / n.n AS containment FROM f JOIN n ON n.id = item_id GROUP BY 1, 2, 3 HAVING 100 * count(*) >= 75 * n.n"""
 
 OP5 = r"""WITH p AS (SELECT page_id, coalesce(url, '') AS url FROM pages),
 h AS (SELECT page_id, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '""" + UPPER + "', '" + LOWER + r"""') AS host, regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM p),

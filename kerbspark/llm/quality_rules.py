@@ -172,12 +172,15 @@ def verdict(scored: DataFrame, cutoffs: DataFrame, rules: Sequence[Rule], *, str
     These are sent to every task up to BROADCAST_STRATA strata, and joined by stratum beyond.
     """
     found = F.map_from_entries(F.collect_list(F.when(F.col("cutoff").isNotNull(), F.struct("rule", "cutoff"))))
-    own = cut(cutoffs.where("stratum != '*'").groupBy(F.col("stratum").alias("__stratum")).agg(found.alias("__cutoffs")))
+    own = cut(cutoffs.where("stratum != '*'").groupBy("stratum").agg(found.alias("cutoffs")))
     few = own.count() <= BROADCAST_STRATA
-    judged = scored.withColumn("__stratum", _named(stratum)).join(F.broadcast(own) if few else own, "__stratum", "left")
-    over = [F.when(r.value > F.col("__cutoffs")[r.name], F.lit(r.name)) for r in rules]
-    judged = judged.withColumn("failed_rules", F.array_compact(F.array(*over)))
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("__stratum", "__cutoffs")
+    # the row is one column, so that its columns may have any names
+    rows = scored.select(F.struct(*scored.columns).alias("row"), _named(stratum).alias("stratum"), F.array(*[r.value.cast("double") for r in rules]).alias("values"))
+    judged = rows.join(F.broadcast(own) if few else own, "stratum", "left")
+    over = [F.when(F.col("values")[i] > F.col("cutoffs")[r.name], F.lit(r.name)) for i, r in enumerate(rules)]
+    judged = judged.select("row", F.array_compact(F.array(*over)).alias("failed_rules"))
+    kept = ~F.col("row")["base_failed"] & (F.size("failed_rules") == 0)
+    return judged.select(*[F.col("row")[c].alias(c) for c in scored.columns if c not in ("failed_rules", "kept")], "failed_rules", kept.alias("kept"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", stratum: str = "lang", risk: float = 0.03, delta: float = 0.05, keep_text: bool = False) -> DataFrame:

@@ -268,6 +268,27 @@ def test_short_items_are_found_inside_longer_documents(spark):
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/es/x/", "allow")]
 
 
+def test_the_sql_of_leaks_finds_short_items_too(spark, tmp_path):
+    """Items of one to eight words in longer documents: the operator's rows are those of its SQL."""
+    import duckdb
+
+    from kerbspark.llm import queries
+    from kerbspark.llm.oracles import SQL
+
+    rng = random.Random(21)
+    vocabulary = [f"w{i}" for i in range(40)]
+    docs = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 60)))) for i in range(80)] + [(90, None), (None, "w1 w2")]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(1 + i % 8))) for i in range(40)]
+    items += [(100 + i, " ".join(docs[i][1].split()[3 : 3 + k])) for i, k in ((1, 2), (2, 3), (5, 4), (7, 6), (8, 12))] + [(200, ""), (201, None), (202, docs[9][1].upper())]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    db = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = sorted(db.execute(f"SELECT doc_id, item_id, n_item, n_shared, containment FROM ({SQL['op4_leaks']})").fetchall())
+    assert sorted(map(tuple, queries.op4_leaks(spark, str(tmp_path)).collect())) == want and len(want) > 30
+
+
 def test_url_ranges(spark):
     hosts = ["com", "example.com", "www.example.com", "a.www.Example.com", "xexample.com", "net", "b.net", "example.org", "", "..com", "net."]
     urls = [f"http://{h}{p}" for h in hosts for p in ("", "/", "/en/", "/en/a?b#c", "/es/x/1", "/ES/", "?/en/", "#x")] + [None, "", "no scheme", "a://b://c/", "x\n://com/en/"]
@@ -560,7 +581,7 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-CLASHES = ["__slice", "__before", "row", "within", "key", "t", "w", "h", "rid", "word", "doc", "bucket", "src", "full", "point", "active", "stack", "part", "spread", "n", "base", "spans", "id", "shingle", "region", "hub", "component", "registers", "number", "seen", "carried", "lone", "__row", "place"]
+CLASHES = ["__slice", "__before", "row", "within", "key", "t", "w", "h", "rid", "word", "doc", "bucket", "src", "full", "point", "active", "stack", "part", "spread", "n", "base", "spans", "id", "shingle", "region", "hub", "component", "registers", "number", "seen", "carried", "lone", "__row", "__stratum", "__cutoffs", "__key", "__passed", "stratum", "cutoffs", "values", "place"]
 
 
 def test_extra_columns_may_have_any_name(spark, docs, rows, empty):
