@@ -44,14 +44,8 @@ def from_utm(x: Column, y: Column, zone: int) -> tuple[Column, Column]:
 
 
 def from_mercator(x: Column, y: Column) -> tuple[Column, Column]:
-    """EPSG:3395 metres to degrees; six rounds of the latitude's fixed point."""
-    e = math.sqrt(0.0066943799901413165)
-    t = F.exp(-y / G.EQUATOR)
-    lat = F.lit(math.pi / 2) - F.atan(t) * 2
-    for _ in range(6):
-        s = F.sin(lat) * e
-        lat = F.lit(math.pi / 2) - F.atan(t * F.pow((1 - s) / (1 + s), F.lit(e / 2))) * 2
-    return F.degrees(x / G.EQUATOR), F.degrees(lat)
+    """EPSG:3395 metres to degrees."""
+    return F.degrees(x / G.EQUATOR), F.degrees(G.latitude(F.exp(-y / G.EQUATOR), math.sqrt(0.0066943799901413165)))
 
 
 def system(code: int | str) -> System:

@@ -43,16 +43,25 @@ def to_feet(lon: Column, lat: Column) -> tuple[Column, Column]:
     return (r * F.sin(theta) + _X0) / _UNIT, (F.lit(_R0) - r * F.cos(theta) + _Y0) / _UNIT
 
 
+def latitude(t: Column, eccentricity: float) -> Column:
+    """The latitude, in radians, of an isometric one given as t = exp(-psi): six rounds of its fixed point.
+
+    The rounds are a fold, so that each is written once; written out one in
+    another they would double with every round.
+    """
+
+    def closer(lat: Column, _: Column) -> Column:
+        s = F.sin(lat) * eccentricity
+        return F.lit(math.pi / 2) - F.atan(t * F.pow((1 - s) / (1 + s), F.lit(eccentricity / 2))) * 2
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(6)), F.lit(math.pi / 2) - F.atan(t) * 2, closer)
+
+
 def to_degrees(x: Column, y: Column) -> tuple[Column, Column]:
-    """EPSG:2249 feet to degrees; six rounds of the latitude's fixed point."""
+    """EPSG:2249 feet to degrees."""
     dx, dy = x * _UNIT - _X0, F.lit(_R0) - (y * _UNIT - _Y0)
     r, theta = F.sqrt(dx * dx + dy * dy), F.atan2(dx, dy)
-    t = F.pow(r / _AF, F.lit(1 / _N))
-    lat = F.lit(math.pi / 2) - F.atan(t) * 2
-    for _ in range(6):
-        s = F.sin(lat) * _E
-        lat = F.lit(math.pi / 2) - F.atan(t * F.pow((1 - s) / (1 + s), F.lit(_E / 2))) * 2
-    return F.degrees(theta / _N + _LON0), F.degrees(lat)
+    return F.degrees(theta / _N + _LON0), F.degrees(latitude(F.pow(r / _AF, F.lit(1 / _N)), _E))
 
 
 def to_utm(lon: Column, lat: Column, zone: int) -> tuple[Column, Column]:

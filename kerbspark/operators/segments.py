@@ -205,8 +205,8 @@ def segment_lines(curbs: DataFrame, hydrants: DataFrame, signs: DataFrame, meter
     placed = [None if a is None else on_curb(a) for a in (hydrants, signs, meters, stops)]
     pieces = cut(_pieces(whole, *placed, buffer_feet, least_feet))
     lines = curb_lines.piece_lines(edges, pieces.select(F.col("blockface_id").alias("line_id"), "lo", "hi").distinct()).withColumnRenamed("line_id", "blockface_id")
-    feet = G.geodesic_feet(G.map_points(F.col("line"), degrees))
-    table = cut(pieces.drop("seg_length").join(lines, ["blockface_id", "lo", "hi"]).withColumn("seg_length", feet))
+    lines = lines.withColumn("__degrees", G.map_points(F.col("line"), degrees)).withColumn("seg_length", G.geodesic_feet(F.col("__degrees"))).drop("__degrees")
+    table = cut(pieces.drop("seg_length").join(lines, ["blockface_id", "lo", "hi"]))
     merged = merge_tiny(fill_boundaries(table), tiny_feet)
     extent = table.select("blockface_id", F.col("segment_seq").alias("part"), "lo", "hi", "line")
     rows = F.array_sort(F.collect_list(F.struct("part", "line")))
