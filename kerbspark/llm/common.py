@@ -135,22 +135,14 @@ def without(df: DataFrame, gone: DataFrame, key: str, most: int = 1 << 21) -> Da
 def bit_table(hashes: DataFrame, column: str, bits: int) -> bytes:
     """A table of 2^bits bits with a one at the top bits of each 64-bit hash.
 
-    Tasks pack chunks of 64 KB, so the driver receives the table's bytes and no more.
+    The driver receives words of 64 bits with their numbers, columns of twice
+    the table's size at most, and no row for each hash.
     """
-    chunk = min(bits, 19)
-
-    def pack(group: pa.Table) -> pa.Table:
-        slot = group.column("slot").to_numpy()
-        ones = np.zeros(1 << chunk, np.uint8)
-        ones[slot & ((1 << chunk) - 1)] = 1
-        return pa.table({"at": pa.array([int(slot[0]) >> chunk], pa.int64()), "part": pa.array([np.packbits(ones, bitorder="little").tobytes()], pa.binary())})
-
-    slots = hashes.select(F.shiftrightunsigned(column, 64 - bits).alias("slot")).distinct()
-    table = np.zeros(1 << (bits - 3), np.uint8)
-    for row in slots.groupBy(F.shiftright("slot", chunk)).applyInArrow(pack, "at long, part binary").collect():
-        part = np.frombuffer(row["part"], np.uint8)
-        table[row["at"] * len(part) : (row["at"] + 1) * len(part)] = part
-    return table.tobytes()
+    slot = F.shiftrightunsigned(column, 64 - bits)
+    got = hashes.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("ones")).toArrow()
+    table = np.zeros(1 << (bits - 6), np.int64)
+    table[got.column("word").to_numpy()] = got.column("ones").to_numpy()
+    return table.astype("<i8").tobytes()
 
 
 def in_bit_table(table: bytes, bits: int, hashes: np.ndarray) -> np.ndarray:
