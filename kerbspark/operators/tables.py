@@ -9,7 +9,9 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+
+from .lineage import cut
 
 #: Suffixes of filter names, longest first where one ends another.
 SUFFIXES = {
@@ -188,6 +190,59 @@ def fingerprint(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(h.cast("decimal(38,0)")).alias("total"), F.bit_xor(h).alias("mixed"))
 
 
+def ordered_fingerprint(df: DataFrame, order: Sequence[str], *, fan_in: int = 4096) -> DataFrame:
+    """(rows, digest): equal for equal rows in an equal order, however they are dealt out.
+
+    Rows in ``order``, and by their text where that ties, are numbered: each
+    task sorts a range and counts it, and the counts before it are added. Runs
+    of ``fan_in`` rows give an md5 of their texts, one to a line, and runs of so
+    many digests again one, until one is left; so no group holds more than
+    ``fan_in`` rows. A row's text is its columns as JSON, nulls included. No
+    rows have the digest of an empty text.
+    """
+    text = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    rows = df.select(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], text.alias("text"))
+    keys = [f"o{i}" for i in range(len(order))] + ["text"]
+    ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # the number of a row in its task is the lower part of this id
+    numbered = cut(ranged.select("text", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("n")))
+    sizes = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
+    # one row for each task
+    before = sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("before"))
+    level = numbered.join(before, "part").select((F.col("before") + F.col("n")).alias("at"), "text")
+    count = left = numbered.count()
+    while True:
+        run = F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda r: r["text"])
+        level = level.groupBy(F.floor(F.col("at") / fan_in).alias("at")).agg(F.md5(F.array_join(run, "\n")).alias("text"))
+        left = -(-left // fan_in)
+        if left <= 1:
+            break
+    return level.agg(F.coalesce(F.max("text"), F.md5(F.lit(""))).alias("digest")).select(F.lit(count).alias("rows"), "digest")
+
+
+def missing_paths(expected: DataType, actual: DataType, path: str = "") -> list[str]:
+    """The paths of ``expected`` that ``actual`` lacks, or has as another type: ``a.b`` in a struct, ``a[].b`` in an array of them."""
+    if isinstance(expected, StructType):
+        if not isinstance(actual, StructType):
+            return [path or "."]
+        there = {f.name: f.dataType for f in actual.fields}
+        named = [(f"{path}.{f.name}" if path else f.name, f) for f in expected.fields]
+        return [x for at, f in named for x in (missing_paths(f.dataType, there[f.name], at) if f.name in there else [at])]
+    if isinstance(expected, ArrayType):
+        return missing_paths(expected.elementType, actual.elementType, f"{path}[]") if isinstance(actual, ArrayType) else [path]
+    if isinstance(expected, MapType):
+        return missing_paths(expected.valueType, actual.valueType, f"{path}{{}}") if isinstance(actual, MapType) else [path]
+    return [] if expected == actual else [path]
+
+
+def require_schema(df: DataFrame, expected: StructType | str) -> None:
+    """Raise before any work, naming every path of ``expected`` (a schema or its text) that ``df`` lacks or has as another type."""
+    wanted = StructType.fromDDL(expected) if isinstance(expected, str) else expected
+    missing = missing_paths(wanted, df.schema)
+    if missing:
+        raise ValueError(f"missing paths: {sorted(missing)}")
+
+
 def group_points(df: DataFrame, x: str, y: str, cell: float, label: str) -> DataFrame:
     """Rows of one grid cell as one: the cell, how many, and ``label``'s values in order."""
     cx, cy = F.floor(F.col(x) / cell), F.floor(F.col(y) / cell)

@@ -224,3 +224,21 @@ def test_signs_of_an_area_lie_on_a_grid_of_feet(spark):
     for r in got:
         assert r["x"] % 10 == 0 and r["y"] % 10 == 0 and abs(r["lon"] + 71.06) < 1e-3 and abs(r["lat"] - 42.35) < 1e-3
     assert [r["k"] for r in signs.active(spark.createDataFrame(got)).collect()] == [1]
+
+
+def test_a_fingerprint_of_ordered_rows(spark):
+    df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("k"), F.when(F.col("id") % 3 != 0, F.col("id").cast("string")).alias("t"))
+    of = lambda d, *order: tuple(tables.ordered_fingerprint(d, order, fan_in=10).first())
+    want = of(df, "k", "id")
+    assert want[0] == 1000 and of(df.repartition(9), "k", "id") == want and of(df.coalesce(1), "k", "id") == want
+    assert of(df, "id", "k") != want and of(df.where("id != 500"), "k", "id") != want
+    assert of(df.withColumn("t", F.coalesce("t", F.lit(""))), "k", "id") != want  # null is not empty
+    assert of(df, "k") == of(df.repartition(5), "k")  # ties by the rows' text
+    assert of(df.limit(0), "k") == (0, "d41d8cd98f00b204e9800998ecf8427e")
+
+
+def test_required_paths(spark):
+    df = spark.createDataFrame([], "a int, b struct<c:string,d:array<struct<e:int>>>, m map<string,struct<f:int>>")
+    tables.require_schema(df, "a int, b struct<d:array<struct<e:int>>>, m map<string,struct<f:int>>")
+    with pytest.raises(ValueError, match=r"\['a', 'b.d\[\].x', 'b.y.z', 'm\{\}.g', 'n'\]".replace("b.y.z", "b.y")):
+        tables.require_schema(df, "a string, b struct<d:array<struct<e:int,x:int>>,y:struct<z:int>>, m map<string,struct<g:int>>, n int")
