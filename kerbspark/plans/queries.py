@@ -1000,10 +1000,10 @@ def utm_both_ways(spark, sf_dir):
     return c.select("c_custkey", F.round("x", 0).alias("x"), F.round("y", 0).alias("y"), F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat"))
 
 
-@query("""WITH r AS (SELECT row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1 AS at, '{"o_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || ',"o_orderpriority":"' || o_orderpriority || '","late":' || CASE WHEN o_orderstatus = 'F' THEN 'null' ELSE '"' || o_orderstatus || '"' END || '}' AS t FROM orders),
-a AS (SELECT at // 1000 AS at, md5(string_agg(t, chr(10) ORDER BY at)) AS t FROM r GROUP BY at // 1000), b AS (SELECT at // 1000 AS at, md5(string_agg(t, chr(10) ORDER BY at)) AS t FROM a GROUP BY at // 1000)
-SELECT (SELECT count(*) FROM r) AS rows, max(t) AS digest FROM b""")
+@query("""WITH r AS (SELECT row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1 AS pos, '{"o_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || ',"o_orderpriority":"' || o_orderpriority || '","late":' || CASE WHEN o_orderstatus = 'F' THEN 'null' ELSE '"' || o_orderstatus || '"' END || '}' AS t FROM orders),
+a AS (SELECT pos // 1000 AS no, md5(string_agg(t, chr(10) ORDER BY pos)) AS t FROM r GROUP BY 1), b AS (SELECT no // 1000 AS top, md5(string_agg(t, chr(10) ORDER BY no)) AS t FROM a GROUP BY 1)
+SELECT (SELECT count(*) FROM r) AS n, max(t) AS digest FROM b""")
 def ordered_digest(spark, sf_dir):
     """One digest of the orders by customer and number, by way of digests of a thousand rows each."""
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority", F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("late"))
-    return tables.ordered_fingerprint(o, ["o_custkey", "o_orderkey"], fan_in=1000)
+    return tables.ordered_fingerprint(o, ["o_custkey", "o_orderkey"], fan_in=1000).withColumnRenamed("rows", "n")
