@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping
 
@@ -99,6 +100,60 @@ def roll_back(spark: SparkSession, root: str) -> str:
     return generation
 
 
+#: The slots of :func:`slot`: what was read before, what is read now, and what is being made.
+SLOTS = ("previous", "current", "next")
+
+
+def _slots(spark: SparkSession, root: str) -> tuple[int, dict]:
+    """The number of the newest pointer to the slots, and what it says: a generation (or null) for each, and the tables' names."""
+    home = f"{root}/slots"
+    found = _pointers(spark, home)
+    return (found[0], json.loads(_generation(spark, home, found[0]))) if found else (-1, {})
+
+
+def _written(tables: Mapping[str, DataFrame], root: str, *, empty: bool = False) -> str:
+    generation = uuid.uuid4().hex
+    for name, df in tables.items():
+        (df.limit(0) if empty else df).write.parquet(f"{root}/{generation}/{name}")
+    return generation
+
+
+def slot(spark: SparkSession, root: str, which: str, name: str) -> DataFrame:
+    """A table of a slot; an error if nothing is in it."""
+    generation = _slots(spark, root)[1].get(which)
+    if not generation:
+        raise ValueError(f"nothing is in the slot {which}")
+    return spark.read.parquet(f"{root}/{generation}/{name}")
+
+
+def write_next(tables: Mapping[str, DataFrame], root: str) -> None:
+    """Put all tables into the slot ``next``; the first call also makes ``current``, empty and of the same schema."""
+    spark = next(iter(tables.values())).sparkSession
+    number, now = _slots(spark, root)
+    if now and sorted(tables) != now["tables"]:
+        raise ValueError(f"the slots hold the tables {now['tables']}")
+    current = now["current"] if now else _written(tables, root, empty=True)
+    told = {"previous": now.get("previous"), "current": current, "next": _written(tables, root), "tables": sorted(tables)}
+    _point(spark, f"{root}/slots", number, json.dumps(told))
+
+
+def roll_over(spark: SparkSession, root: str) -> None:
+    """``current`` becomes ``previous``, ``next`` becomes ``current``, and an empty ``next`` of its schema is made: one pointer moves all three."""
+    number, now = _slots(spark, root)
+    if not now:
+        raise ValueError("nothing is in the slot next")
+    empty = _written({name: slot(spark, root, "next", name) for name in now["tables"]}, root, empty=True)
+    _point(spark, f"{root}/slots", number, json.dumps(now | {"previous": now["current"], "current": now["next"], "next": empty}))
+
+
+def undo_roll_over(spark: SparkSession, root: str) -> None:
+    """``previous`` becomes ``current`` again and ``current`` becomes ``next``; no ``previous`` is left, so it can be done once."""
+    number, now = _slots(spark, root)
+    if not now.get("previous"):
+        raise ValueError("nothing is in the slot previous")
+    _point(spark, f"{root}/slots", number, json.dumps(now | {"previous": None, "current": now["previous"], "next": now["current"]}))
+
+
 def publish_in_order(state: Mapping[str, DataFrame], deletes: Mapping[str, tuple[DataFrame, list[str]]], appends: Mapping[str, DataFrame], root: str) -> str:
     """A new generation of all tables of ``state``: deletes (rows and their keys) come before appends, and empty ones change nothing."""
     tables = dict(state)

@@ -242,3 +242,28 @@ def test_required_paths(spark):
     tables.require_schema(df, "a int, b struct<d:array<struct<e:int>>>, m map<string,struct<f:int>>")
     with pytest.raises(ValueError, match=r"\['a', 'b.d\[\].x', 'b.y.z', 'm\{\}.g', 'n'\]".replace("b.y.z", "b.y")):
         tables.require_schema(df, "a string, b struct<d:array<struct<e:int,x:int>>,y:struct<z:int>>, m map<string,struct<g:int>>, n int")
+
+
+def test_three_slots_move_together(spark, people, tmp_path):
+    root = f"{tmp_path}/slots"
+    ids = lambda which: sorted(r["id"] for r in generations.slot(spark, root, which, "p").collect())
+    with pytest.raises(ValueError):
+        generations.roll_over(spark, root)
+    generations.write_next({"p": people}, root)
+    assert ids("current") == [] and ids("next") == [1, 2, 3]
+    generations.roll_over(spark, root)
+    assert (ids("previous"), ids("current"), ids("next")) == ([], [1, 2, 3], [])
+    assert generations.slot(spark, root, "next", "p").schema == generations.slot(spark, root, "current", "p").schema
+    generations.write_next({"p": people.where("id = 2")}, root)
+    generations.roll_over(spark, root)
+    assert (ids("previous"), ids("current"), ids("next")) == ([1, 2, 3], [2], [])
+    generations.undo_roll_over(spark, root)
+    assert (ids("current"), ids("next")) == ([1, 2, 3], [2])
+    for wrong in (lambda: generations.undo_roll_over(spark, root), lambda: ids("previous"), lambda: generations.write_next({"q": people}, root)):
+        with pytest.raises(ValueError):
+            wrong()
+    # a publisher that died while it wrote leaves a draft, which no reader looks at
+    (tmp_path / "slots" / "slots" / "_pointers" / "_draft-1").write_text("")
+    assert ids("current") == [1, 2, 3]
+    with pytest.raises(ValueError, match="came first"):
+        generations._point(spark, f"{root}/slots", generations._slots(spark, root)[0] - 1, "{}")
