@@ -267,3 +267,13 @@ def test_three_slots_move_together(spark, people, tmp_path):
     assert ids("current") == [1, 2, 3]
     with pytest.raises(ValueError, match="came first"):
         generations._point(spark, f"{root}/slots", generations._slots(spark, root)[0] - 1, "{}")
+
+
+def test_a_fingerprint_of_so_many_levels(spark):
+    df = spark.range(250).select("id")
+    of = lambda d: d.selectExpr("id DIV 10 AS a", "id DIV 100 AS b", "to_json(struct(id)) AS t", "id").groupBy("a", "b").agg(F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "t"))), lambda r: r["t"]), "\n")).alias("t"))
+    two = lambda d: of(d).groupBy("b").agg(F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("a", "t"))), lambda r: r["t"]), "\n")).alias("t")).agg(F.max("t")).first()[0]
+    # more rows than two levels bring to one digest, and fewer than one level does
+    for some in (df, df.where("id < 7")):
+        assert tables.ordered_fingerprint(some, ["id"], fan_in=10, levels=2).first()["digest"] == two(some)
+    assert tuple(tables.ordered_fingerprint(df.limit(0), ["id"], levels=2).first()) == (0, None)
