@@ -45,7 +45,8 @@ def snap(points: DataFrame, edges: DataFrame, *, tolerance: float, key: str = "p
     size = cell or max(4 * tolerance, 1.0)
     p = points.withColumns({"cx": F.floor(F.col("x") / size), "cy": F.floor(F.col("y") / size)})
     e = edges.withColumn("c", F.explode(cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), size, tolerance))).select("*", "c.cx", "c.cy").drop("c")
-    near = p.join(e, ["cx", "cy"])
+    # the cells of edges are many more than the rows that they are made from tell, so they are never broadcast
+    near = p.join(e.hint("merge"), ["cx", "cy"])
     dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((F.col("x") - F.col("x0")) * dx + (F.col("y") - F.col("y0")) * dy) / (dx * dx + dy * dy)))
     near = near.withColumn("t", t).withColumns({"px": F.col("x0") + F.col("t") * dx, "py": F.col("y0") + F.col("t") * dy})

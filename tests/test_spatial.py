@@ -210,3 +210,14 @@ def test_publication(spark, published):
     assert add.count() == 1 and gone.first()["curb_policy_id"] == "other"
     again_add, again_gone = publish.link_changes(links, links, zones)
     assert again_add.isEmpty() and again_gone.isEmpty()
+
+
+def test_edges_are_not_broadcast_to_points(spark, tmp_path):
+    """A small file may give many cells: the driver must not gather them."""
+    spark.range(20).selectExpr("id", "array(named_struct('x', 0D, 'y', id * 100D), named_struct('x', 5000D, 'y', id * 100D)) AS line").write.parquet(f"{tmp_path}/lines")
+    spark.range(50).selectExpr("id AS point_id", "id * 90D AS x", "id * 40D + 1 AS y").write.parquet(f"{tmp_path}/points")
+    points = spark.read.parquet(f"{tmp_path}/points")
+    edges = spatial.edge_table(spark.read.parquet(f"{tmp_path}/lines"), "id", "line")
+    near = spatial.snap(points, edges, tolerance=30.0)
+    assert near.count() + spatial.unsnapped(points, near).count() == 50
+    assert "Broadcast" not in near._jdf.queryExecution().executedPlan().toString()
