@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -181,12 +181,13 @@ def segment_curbs(curbs: DataFrame, hydrants: DataFrame, signs: DataFrame, meter
     return merged.drop("merged").join(parts, ["blockface_id", "segment_id"])
 
 
-def segment_lines(curbs: DataFrame, hydrants: DataFrame, signs: DataFrame, meters: DataFrame, stops: DataFrame | None = None, *, snap_feet: float = 30.0, buffer_feet: float = 10.0, least_feet: float = 0.5, tiny_feet: float = 3.0, degrees: Callable[[Column, Column], tuple[Column, Column]] = G.to_degrees) -> DataFrame:
+def segment_lines(curbs: DataFrame, hydrants: DataFrame, signs: DataFrame, meters: DataFrame, stops: DataFrame | None = None, *, snap_feet: float = 30.0, buffer_feet: float = 10.0, least_feet: float = 0.5, tiny_feet: float = 3.0, degrees: Callable[[Column, Column], tuple[Column, Column]] = G.to_degrees, same: Sequence[str] = ()) -> DataFrame:
     """Curb lines and the points near them as segments with lines: :func:`segment_curbs` from end to end.
 
     ``curbs``: blockface_id, line in feet, along the flow; assets: point_id, x,
     y. A point belongs to the nearest curb within ``snap_feet``, others are
-    left out (:func:`spatial.unsnapped`). All stages carry feet along the curb,
+    left out (:func:`spatial.unsnapped`); where curbs lie over each other, as
+    on several levels, ``same`` names columns of both that must be equal. All stages carry feet along the curb,
     so no line is cut before the last one: then each piece gets its points, and
     its length in feet on the ellipsoid, rounded to two decimals, decides
     whether it is tiny. A merged segment keeps the ends of its pieces as points.
@@ -194,17 +195,17 @@ def segment_lines(curbs: DataFrame, hydrants: DataFrame, signs: DataFrame, meter
     feet, to the columns of :func:`segment_curbs`; ``lo`` and ``hi`` are feet
     along the curb.
     """
-    edges = cut(spatial.edge_table(curbs.select(F.col("blockface_id").cast("string").alias("blockface_id"), "line"), "blockface_id", "line"))
+    edges = cut(spatial.edge_table(curbs.select(F.col("blockface_id").cast("string").alias("blockface_id"), "line", *same), "blockface_id", "line", same))
     whole = edges.groupBy("line_id").agg(F.max("total").alias("hi"))
     whole = whole.select(F.col("line_id").alias("blockface_id"), "line_id", F.lit(0.0).alias("lo"), "hi")
 
     def on_curb(points: DataFrame) -> DataFrame:
-        snapped = spatial.snap(points.select("point_id", "x", "y"), edges, tolerance=snap_feet)
+        snapped = spatial.snap(points.select("point_id", "x", "y", *same), edges, tolerance=snap_feet, same=same)
         return cut(snapped.select(F.col("line_id").alias("blockface_id"), F.col("along").alias("at"), "point_id"))
 
     placed = [None if a is None else on_curb(a) for a in (hydrants, signs, meters, stops)]
     pieces = cut(_pieces(whole, *placed, buffer_feet, least_feet))
-    lines = curb_lines.piece_lines(edges, pieces.select(F.col("blockface_id").alias("line_id"), "lo", "hi").distinct()).withColumnRenamed("line_id", "blockface_id")
+    lines = curb_lines.piece_lines(edges.drop(*same), pieces.select(F.col("blockface_id").alias("line_id"), "lo", "hi").distinct()).withColumnRenamed("line_id", "blockface_id")
     lines = lines.withColumn("__degrees", G.map_points(F.col("line"), degrees)).withColumn("seg_length", G.geodesic_feet(F.col("__degrees"))).drop("__degrees")
     table = cut(pieces.drop("seg_length").join(lines, ["blockface_id", "lo", "hi"]))
     merged = merge_tiny(fill_boundaries(table), tiny_feet)

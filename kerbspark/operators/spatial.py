@@ -7,6 +7,7 @@ x0, y0, x1, y1, cum (length before it) and total (the line's length).
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,15 +15,15 @@ from pyspark.sql import functions as F
 from .lineage import cut
 
 
-def edge_table(lines: DataFrame, line_id: str, line: str) -> DataFrame:
-    """The edges of lines given as arrays of points; edges of no length are left out."""
+def edge_table(lines: DataFrame, line_id: str, line: str, keep: Sequence[str] = ()) -> DataFrame:
+    """The edges of lines given as arrays of points, with the lines' ``keep`` columns; edges of no length are left out."""
     steps = F.arrays_zip(F.slice(line, 1, F.size(line) - 1).alias("a"), F.slice(line, 2, F.size(line) - 1).alias("b"))
     length = lambda s: F.hypot(s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"])
-    df = lines.where(F.size(line) >= 2).select(F.col(line_id).alias("line_id"), steps.alias("steps")).withColumn("lengths", F.transform("steps", length))
+    df = lines.where(F.size(line) >= 2).select(F.col(line_id).alias("line_id"), steps.alias("steps"), *keep).withColumn("lengths", F.transform("steps", length))
     total = F.aggregate("lengths", F.lit(0.0), lambda a, x: a + x)
-    df = df.select("line_id", "lengths", total.alias("total"), F.posexplode("steps").alias("edge_no", "s"))
+    df = df.select("line_id", "lengths", total.alias("total"), F.posexplode("steps").alias("edge_no", "s"), *keep)
     cum = F.aggregate(F.slice("lengths", 1, F.col("edge_no")), F.lit(0.0), lambda a, x: a + x)
-    df = df.select("line_id", "edge_no", F.col("s.a.x").alias("x0"), F.col("s.a.y").alias("y0"), F.col("s.b.x").alias("x1"), F.col("s.b.y").alias("y1"), cum.alias("cum"), "total")
+    df = df.select("line_id", "edge_no", F.col("s.a.x").alias("x0"), F.col("s.a.y").alias("y0"), F.col("s.b.x").alias("x1"), F.col("s.b.y").alias("y1"), cum.alias("cum"), "total", *keep)
     return df.where((F.col("x0") != F.col("x1")) | (F.col("y0") != F.col("y1")))
 
 
@@ -34,19 +35,20 @@ def cells(x0: Column, y0: Column, x1: Column, y1: Column, cell: float, reach: fl
     return F.flatten(F.transform(xs, lambda cx: F.transform(ys, lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
 
 
-def snap(points: DataFrame, edges: DataFrame, *, tolerance: float, key: str = "point_id", cell: float | None = None) -> DataFrame:
+def snap(points: DataFrame, edges: DataFrame, *, tolerance: float, key: str = "point_id", cell: float | None = None, same: Sequence[str] = ()) -> DataFrame:
     """``points`` (key, x, y) with the nearest line within ``tolerance``: line_id, distance, along, fraction, px, py.
 
     A point lies in one cell, and an edge in the cells of its widened box, so
     each pair near enough meets once for each point. Of equally near lines the
     smallest id wins. Points without a line are left out; find them with
-    :func:`unsnapped`.
+    :func:`unsnapped`. A point meets only lines with equal ``same`` columns,
+    which both tables have.
     """
     size = cell or max(4 * tolerance, 1.0)
     p = points.withColumns({"cx": F.floor(F.col("x") / size), "cy": F.floor(F.col("y") / size)})
     e = edges.withColumn("c", F.explode(cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), size, tolerance))).select("*", "c.cx", "c.cy").drop("c")
     # the cells of edges are many more than the rows that they are made from tell, so they are never broadcast
-    near = p.join(e.hint("merge"), ["cx", "cy"])
+    near = p.join(e.hint("merge"), [*same, "cx", "cy"])
     dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((F.col("x") - F.col("x0")) * dx + (F.col("y") - F.col("y0")) * dy) / (dx * dx + dy * dy)))
     near = near.withColumn("t", t).withColumns({"px": F.col("x0") + F.col("t") * dx, "py": F.col("y0") + F.col("t") * dy})

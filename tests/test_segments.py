@@ -131,3 +131,11 @@ def test_chains(spark, pairs, want):
     nodes = spark.createDataFrame([(i,) for i in range(1, 5)], "id long")
     got = curbs.chain(spark.createDataFrame(pairs, "a long, b long"), nodes)
     assert {r["id"]: (r["head"], r["position"]) for r in got.collect()} == want
+
+
+def test_curbs_over_each_other_keep_their_own_signs(spark):
+    line = [(750000.0, 2950000.0), (750100.0, 2950000.0)]
+    curbs = spark.createDataFrame([("a", 0, line), ("b", 1, line)], "blockface_id string, level int, line array<struct<x:double,y:double>>")
+    signs = spark.createDataFrame([("s", 1, 750040.0, 2950001.0)], "point_id string, level int, x double, y double")
+    made = segments.segment_lines(curbs, signs.limit(0), signs, signs.limit(0), same=["level"])
+    assert sorted((r["blockface_id"], round(r["lo"]), r["upstream_location"]) for r in made.collect()) == [("a", 0, None), ("b", 0, None), ("b", 40, "s")]
