@@ -132,38 +132,41 @@ def in_envelope(df: DataFrame, box: tuple[float, float, float, float], margin: f
     return df.where(F.col(x).between(x0 - margin, x1 + margin) & F.col(y).between(y0 - margin, y1 + margin))
 
 
-def into_cells(edges: DataFrame, side: str, size: Column, reach: float, within: str | None = None, parts: str | None = None) -> DataFrame:
+def into_cells(edges: DataFrame, side: str, size: tuple[Column, Column], reach: float, within: str | None = None, parts: tuple[str, str] | None = None) -> DataFrame:
     """A row for each cell (cx, cy) that an edge runs through or comes within ``reach`` of, not for all of its box.
 
-    The edge's columns carry ``side`` in front. ``within`` names a larger cell
-    (cx, cy) of ``parts`` cells a side, out of which nothing is given.
+    The edge's columns carry ``side`` in front, and ``size`` is a cell's width
+    and height. ``within`` names a larger cell (cx, cy) of so many ``parts``
+    across and up, out of which nothing is given.
     """
     x0, y0, x1, y1 = (F.col(side + k) for k in ("x0", "y0", "x1", "y1"))
-    slack = size * 1e-9 + reach
+    wide, slack = size[0], size[0] * 1e-9 + reach
 
     def spread(df: DataFrame, lo: Column, hi: Column, axis: str) -> DataFrame:
-        lo, hi = F.floor((lo - slack) / size), F.floor((hi + slack) / size)
+        i = ("cx", "cy").index(axis)
+        beside = size[i] * 1e-9 + reach
+        lo, hi = F.floor((lo - beside) / size[i]), F.floor((hi + beside) / size[i])
         if within is not None:
-            lo, hi = F.greatest(lo, F.col(within)[axis] * F.col(parts)), F.least(hi, (F.col(within)[axis] + 1) * F.col(parts) - 1)
+            lo, hi = F.greatest(lo, F.col(within)[axis] * F.col(parts[i])), F.least(hi, (F.col(within)[axis] + 1) * F.col(parts[i]) - 1)
         return df.withColumns({"__lo": lo, "__hi": hi}).where("__lo <= __hi").withColumn(axis, F.explode(F.sequence("__lo", "__hi"))).drop("__lo", "__hi")
 
     # first the columns of the grid, then in each the rows where the edge is inside it
     df = spread(edges, F.least(x0, x1), F.greatest(x0, x1), "cx")
     dx = F.nullif(x1 - x0, F.lit(0.0))
-    df = df.withColumns({"__a": (F.col("cx") * size - slack - x0) / dx, "__b": ((F.col("cx") + 1) * size + slack - x0) / dx})
+    df = df.withColumns({"__a": (F.col("cx") * wide - slack - x0) / dx, "__b": ((F.col("cx") + 1) * wide + slack - x0) / dx})
     begin, end = F.coalesce(F.greatest(F.least("__a", "__b"), F.lit(0.0)), F.lit(0.0)), F.coalesce(F.least(F.greatest("__a", "__b"), F.lit(1.0)), F.lit(1.0))
     df = df.withColumns({"__a": y0 + begin * (y1 - y0), "__b": y0 + end * (y1 - y0)})
     return spread(df, F.least("__a", "__b"), F.greatest("__a", "__b"), "cy").drop("__a", "__b")
 
 
-#: A tile of the overlap join is about this many mean edges wide, and its cells are a power of two smaller, up to the second number.
+#: A tile of the overlap join is about this many mean edges wide, and its cells are a power of four narrower and lower, up to the second number.
 TILE_EDGES, MOST_PARTS = 4, 64
 
 
 def _posted(edges: DataFrame, side: str, tile: float, reach: float) -> DataFrame:
     """Edges by the tiles that they run through; columns carry ``side`` in front."""
     named = edges.select(*[F.col(k).alias(side + k) for k in ("line_id", "edge_no", "x0", "y0", "x1", "y1")])
-    return into_cells(named, side, F.lit(tile), reach).withColumn("tile", F.struct("cx", "cy")).drop("cx", "cy")
+    return into_cells(named, side, (F.lit(tile), F.lit(tile)), reach).withColumn("tile", F.struct("cx", "cy")).drop("cx", "cy")
 
 
 def linear_overlap(a: DataFrame, b: DataFrame, *, tolerance: float, least: float) -> DataFrame:
@@ -174,8 +177,9 @@ def linear_overlap(a: DataFrame, b: DataFrame, *, tolerance: float, least: float
     doubles back, counts once. Lines that touch or cross do not overlap.
 
     Edges meet in grid cells whose size follows the counts: the plane is cut
-    into tiles of some mean edges, and each tile into as many cells as cost
-    least, of postings (more in small cells) and pairs (more in large ones).
+    into tiles of some mean edges, and each tile into as many cells across and
+    up as cost least, of postings (more in small cells) and pairs (more in
+    large ones); so edges that run one way meet in cells stretched that way.
     """
     longest = lambda df: df.agg(F.sum(F.greatest(F.abs(F.col("x1") - F.col("x0")), F.abs(F.col("y1") - F.col("y0")))).alias("s"), F.count(F.lit(1)).alias("n")).first()
     found = [longest(df) for df in (a, b)]
@@ -183,26 +187,28 @@ def linear_overlap(a: DataFrame, b: DataFrame, *, tolerance: float, least: float
     tile = 2.0 ** math.ceil(math.log2(max(TILE_EDGES * mean, 4 * MOST_PARTS * tolerance, 1e-9)))
     ta, tb = _posted(a, "a", tile, 0.0), _posted(b, "b", tile, tolerance)
 
-    within = lambda df, side: df.select("tile", F.lit(side == "a").alias("is_a"), F.least(F.hypot(F.col(f"{side}x1") - F.col(f"{side}x0"), F.col(f"{side}y1") - F.col(f"{side}y0")), F.lit(tile)).alias("run"))
+    run = lambda side, axis: F.least(F.abs(F.col(f"{side}{axis}1") - F.col(f"{side}{axis}0")), F.lit(tile))
+    within = lambda df, side: df.select("tile", F.lit(side == "a").alias("is_a"), run(side, "x").alias("across"), run(side, "y").alias("up"))
+    of = lambda side, c: F.sum(F.when(F.col("is_a") == F.lit(side == "a"), F.col(c)).otherwise(0.0)).alias(f"{c}_{side}")
     counts = within(ta, "a").unionByName(within(tb, "b")).groupBy("tile").agg(
         F.count_if("is_a").alias("na"), F.count_if(~F.col("is_a")).alias("nb"),
-        F.sum(F.when(F.col("is_a"), F.col("run")).otherwise(0.0)).alias("la"), F.sum(F.when(~F.col("is_a"), F.col("run")).otherwise(0.0)).alias("lb"),
+        *[of(side, c) for side in "ab" for c in ("across", "up")],
     ).where("na > 0 AND nb > 0")
 
-    def cost(parts: int) -> Column:
-        c = tile / parts
-        posted = lambda n, run: F.col(run) / c + F.col(n)
-        return F.struct((posted("na", "la") + posted("nb", "lb") + posted("na", "la") * posted("nb", "lb") * (c / tile) ** 2).alias("cost"), F.lit(parts).cast("long").alias("parts"))
+    def cost(nx: int, ny: int) -> Column:
+        posted = lambda side: F.col(f"n{side}") + F.col(f"across_{side}") * (nx / tile) + F.col(f"up_{side}") * (ny / tile)
+        return F.struct((posted("a") + posted("b") + posted("a") * posted("b") / (nx * ny)).alias("cost"), F.lit(nx).cast("long").alias("nx"), F.lit(ny).cast("long").alias("ny"))
 
-    sizes = counts.select("tile", F.array_min(F.array(*[cost(1 << k) for k in range(MOST_PARTS.bit_length())]))["parts"].alias("parts"))
+    powers = [1 << k for k in range(0, MOST_PARTS.bit_length(), 2)]
+    sizes = counts.select("tile", F.array_min(F.array(*[cost(nx, ny) for nx in powers for ny in powers])).alias("s")).select("tile", "s.nx", "s.ny")
 
     def celled(df: DataFrame, side: str, reach: float) -> DataFrame:
-        sized = df.join(sizes, "tile").withColumn("size", F.lit(tile) / F.col("parts"))
-        return into_cells(sized, side, F.col("size"), reach, "tile", "parts").drop("parts")
+        sized = df.join(sizes, "tile").withColumns({"wide": F.lit(tile) / F.col("nx"), "high": F.lit(tile) / F.col("ny")})
+        return into_cells(sized, side, (F.col("wide"), F.col("high")), reach, "tile", ("nx", "ny")).drop("nx", "ny")
 
     dx, dy = F.col("ax1") - F.col("ax0"), F.col("ay1") - F.col("ay0")
     length = F.hypot(dx, dy)
-    straight = celled(ta, "a", 0.0).select("tile", "cx", "cy", "size", F.col("aline_id").alias("a_id"), F.col("aedge_no").alias("a_no"), "ax0", "ay0", length.alias("length"), (dx / length).alias("ux"), (dy / length).alias("uy"))
+    straight = celled(ta, "a", 0.0).select("tile", "cx", "cy", "wide", "high", F.col("aline_id").alias("a_id"), F.col("aedge_no").alias("a_no"), "ax0", "ay0", length.alias("length"), (dx / length).alias("ux"), (dy / length).alias("uy"))
     other = celled(tb, "b", tolerance).select("tile", "cx", "cy", F.col("bline_id").alias("b_id"), "bx0", "by0", "bx1", "by1")
     pairs = straight.join(other, ["tile", "cx", "cy"])
     # B's ends along A's edge and off it; B has to come into the band of the tolerance around it
@@ -217,14 +223,15 @@ def linear_overlap(a: DataFrame, b: DataFrame, *, tolerance: float, least: float
         t0, t1 = F.coalesce(F.greatest(F.least(low, high), F.lit(0.0)), F.lit(0.0)), F.coalesce(F.least(F.greatest(low, high), F.lit(1.0)), F.lit(1.0))
         return F.struct((r["s"] + (r["e"] - r["s"]) * t0).alias("p"), (r["s"] + (r["e"] - r["s"]) * t1).alias("q"))
 
-    # a lambda names its steps, so that none is written out and worked out again where it is used
-    named = lambda value, then: F.element_at(F.transform(F.array(value), then), 1)
-    met = named(F.struct(along(0).alias("s"), along(1).alias("e"), off(0).alias("u"), off(1).alias("v")), stretch)
-    met = named(met, lambda r: F.struct(F.greatest(F.least(r["p"], r["q"]), F.lit(0.0)).alias("from"), F.least(F.greatest(r["p"], r["q"]), F.col("length")).alias("to")))
-    found = pairs.withColumn("m", met).where("m.to > m.from")
+    # no filter moves below an explode, so each step is worked out once for a pair and not where it is used
+    named = lambda df, name, value: df.withColumn(name, F.explode(F.array(value)))
+    met = named(pairs, "r", F.struct(along(0).alias("s"), along(1).alias("e"), off(0).alias("u"), off(1).alias("v")))
+    met = named(met, "r", stretch(F.col("r")))
+    met = named(met, "m", F.struct(F.greatest(F.least("r.p", "r.q"), F.lit(0.0)).alias("from"), F.least(F.greatest("r.p", "r.q"), F.col("length")).alias("to")))
+    found = met.where("m.to > m.from")
     # a pair that meets in several cells counts in the one where its stretch begins
-    begins = lambda p, u: F.floor((F.col(p) + F.col("m.from") * F.col(u)) / F.col("size"))
-    found = found.where((begins("ax0", "ux") == F.col("cx")) & (begins("ay0", "uy") == F.col("cy"))).select("a_id", "b_id", "a_no", "m.from", "m.to")
+    begins = lambda p, u, size: F.floor((F.col(p) + F.col("m.from") * F.col(u)) / F.col(size))
+    found = found.where((begins("ax0", "ux", "wide") == F.col("cx")) & (begins("ay0", "uy", "high") == F.col("cy"))).select("a_id", "b_id", "a_no", "m.from", "m.to")
     # what goes beyond all earlier stretches on the same edge of A; one shuffle serves the window and the sum
     before = Window.partitionBy("a_id", "b_id", "a_no").orderBy("from", "to").rowsBetween(Window.unboundedPreceding, -1)
     reached = F.greatest("from", F.coalesce(F.max("to").over(before), F.col("from")))

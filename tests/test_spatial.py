@@ -221,3 +221,22 @@ def test_edges_are_not_broadcast_to_points(spark, tmp_path):
     near = spatial.snap(points, edges, tolerance=30.0)
     assert near.count() + spatial.unsnapped(points, near).count() == 50
     assert "Broadcast" not in near._jdf.queryExecution().executedPlan().toString()
+
+
+def test_level_and_upright_edges_meet_once_and_are_worked_out_once(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(120):
+        a, b, n = rng.randrange(0, 900), 10 * rng.randrange(0, 9), rng.randrange(20, 120)
+        rows.append((i, 0, float(a), float(b), float(a + n), float(b)) if i % 2 else (i, 0, float(b), float(a), float(b), float(a + n)))
+    e = spark.createDataFrame(rows, "line_id int, edge_no int, x0 double, y0 double, x1 double, y1 double")
+    found = spatial.linear_overlap(e, e, tolerance=0.0, least=0.0)
+    want = {}
+    for i, _, x0, y0, x1, y1 in rows:
+        for j, _, u0, v0, u1, v1 in rows:
+            if i % 2 == j % 2 and (y0 == v0 if i % 2 else x0 == u0):
+                both = min(x1, u1) - max(x0, u0) if i % 2 else min(y1, v1) - max(y0, v0)
+                if both > 0:
+                    want[i, j] = both
+    assert {(r["a_id"], r["b_id"]): r["overlap"] for r in found.collect()} == want
+    assert "lambdafunction" not in found._jdf.queryExecution().executedPlan().toString()
