@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import policies as P
+from .layout import spread
 
 
 def zones_from_segments(segments: DataFrame) -> DataFrame:
@@ -146,16 +147,16 @@ def violations(zones: DataFrame, policies: DataFrame, links: DataFrame) -> DataF
         bad = (n > 1) | F.max(F.col(cols[0]).isNull())
         return df.groupBy(*cols).agg(bad.alias("bad")).where("bad").select(F.lit(rule).alias("rule"), key.alias("key"))
 
-    active = zones.where(F.col("end_date").isNull())
+    active, by_zone = zones.where(F.col("end_date").isNull()), spread(links, "curb_zone_id")
     empty = zones.agg(n.alias("n")).where(F.col("n") == 0).select(F.lit("no zones").alias("rule"), F.lit("").alias("key"))
     parts = [
-        twice(zones, ["curb_zone_id"], "zone key"),
+        twice(spread(zones, "curb_zone_id"), ["curb_zone_id"], "zone key"),
         twice(policies, ["curb_policy_id"], "policy key"),
-        twice(links, keys, "link key"),
+        twice(by_zone, keys, "link key"),
         empty,
         zones.where(~G.is_valid_line(F.col("line"))).select(F.lit("invalid line"), F.col("curb_zone_id")),
-        links.join(active, "curb_zone_id", "left_anti").select(F.lit("link to inactive zone"), F.col("curb_zone_id")),
-        links.join(policies, "curb_policy_id", "left_anti").select(F.lit("link to missing policy"), F.col("curb_policy_id")),
+        by_zone.join(active, "curb_zone_id", "left_anti").select(F.lit("link to inactive zone"), F.col("curb_zone_id")),
+        spread(links, "curb_policy_id").join(policies, "curb_policy_id", "left_anti").select(F.lit("link to missing policy"), F.col("curb_policy_id")),
         policies.where(P.is_missing_description(F.col("description"))).select(F.lit("missing description"), F.col("curb_policy_id")),
     ]
     text = lambda df: df.toDF("rule", "key").select("rule", F.col("key").cast("string").alias("key"))

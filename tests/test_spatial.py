@@ -212,6 +212,22 @@ def test_publication(spark, published):
     assert again_add.isEmpty() and again_gone.isEmpty()
 
 
+def _tasks(df):
+    """How many tasks the last step of ``df`` has rows in."""
+    return df.select(F.spark_partition_id()).distinct().count()
+
+
+def test_violations_spread_links_over_tasks(spark):
+    """Small shuffled partitions must not all be merged into one task, whose memory then follows the input."""
+    zones = spark.range(500).select(F.col("id").alias("curb_zone_id"), F.expr("array(named_struct('x', 0D, 'y', 0D), named_struct('x', 1D, 'y', 0D))").alias("line"), F.lit(None).cast("string").alias("end_date"))
+    policies = spark.range(5).select(F.col("id").alias("curb_policy_id"), F.lit("text").alias("description"))
+    links = spark.range(500).select(F.col("id").alias("curb_zone_id"), (F.col("id") % 6).alias("curb_policy_id"))
+    found = publish.violations(zones.union(zones), policies, links.union(links))
+    assert {r["rule"]: r["count"] for r in found.groupBy("rule").count().collect()} == {"zone key": 500, "link key": 500, "link to missing policy": 2 * 83}
+    assert _tasks(found.where("rule = 'link key'")) == 4
+    assert _tasks(found.where("rule = 'zone key'")) == 4
+
+
 def test_edges_are_not_broadcast_to_points(spark, tmp_path):
     """A small file may give many cells: the driver must not gather them."""
     spark.range(20).selectExpr("id", "array(named_struct('x', 0D, 'y', id * 100D), named_struct('x', 5000D, 'y', id * 100D)) AS line").write.parquet(f"{tmp_path}/lines")
