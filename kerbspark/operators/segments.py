@@ -45,8 +45,11 @@ def merge_groups(segments: DataFrame, threshold: float, key: str = "blockface_id
     at = F.when(~F.col("tiny"), F.col(order))
     df = df.withColumns({"__p": F.last(at, ignorenulls=True).over(past), "__n": F.first(at, ignorenulls=True).over(coming), "__a": F.first(F.when(~F.col("tiny"), F.struct(asset)), ignorenulls=True).over(coming)[asset], "__long": F.lead(~F.col("tiny")).over(w)})
     forward = F.col("tiny") & F.coalesce(F.col("__long"), F.lit(False)) & F.coalesce(F.col("__a").isin(*FEATURES), F.lit(False))
-    anchor = F.when(forward, F.col("__n")).otherwise(F.coalesce("__p", "__n", F.lit(-1)))
-    return df.withColumn("merge_group", F.dense_rank().over(Window.partitionBy(key).orderBy(anchor)) - 1).drop("__p", "__n", "__a", "__long")
+    df = df.withColumn("__g", F.when(forward, F.col("__n")).otherwise(F.coalesce("__p", "__n", F.lit(-1))))
+    # anchors never fall along the order, so groups are numbered in it without another sort
+    new = F.lag(F.lit(1)).over(w).isNotNull() & ~F.col("__g").eqNullSafe(F.lag("__g").over(w))
+    df = df.withColumn("__new", new.cast("int"))
+    return df.withColumn("merge_group", F.sum("__new").over(past).cast("int")).drop("__p", "__n", "__a", "__long", "__g", "__new")
 
 
 def _distinct(lists: Column) -> Column:

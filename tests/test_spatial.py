@@ -228,6 +228,20 @@ def test_violations_spread_links_over_tasks(spark):
     assert _tasks(found.where("rule = 'zone key'")) == 4
 
 
+def test_merge_groups_are_numbered_in_one_sort(spark):
+    from kerbspark.operators import segments
+    from kerbspark.plans import queries
+
+    rows = [(b, q, length, asset) for b in range(40) for q, (length, asset) in enumerate([(5.0, None), (50.0, None), (5.0, None), (5.0, None), (60.0, "FH"), (4.0, None)])]
+    df = spark.createDataFrame([*rows, (99, 0, 1.0, None), (99, 1, None, None), (99, 2, 2.0, None)], "blockface_id int, segment_seq int, seg_length double, upstream_asset string")
+    merged = segments.merge_groups(df, 20.0)
+    assert merged.schema["merge_group"].dataType.simpleString() == "int"
+    by = lambda b: [r["merge_group"] for r in merged.where(f"blockface_id = {b}").orderBy("segment_seq").collect()]
+    assert by(7) == [0, 0, 0, 1, 1, 1] and by(99) == [0, 0, 0]
+    assert merged._jdf.queryExecution().executedPlan().toString().count("Sort [") == 1
+    assert _tasks(queries.tiny_merge_groups(spark, "/root/testdata/sf0.001")) == 4
+
+
 def test_edges_are_not_broadcast_to_points(spark, tmp_path):
     """A small file may give many cells: the driver must not gather them."""
     spark.range(20).selectExpr("id", "array(named_struct('x', 0D, 'y', id * 100D), named_struct('x', 5000D, 'y', id * 100D)) AS line").write.parquet(f"{tmp_path}/lines")
