@@ -113,8 +113,9 @@ def equivalent(old_line: Column, new_line: Column, hausdorff: Column, tolerance:
 def link_changes(wanted: DataFrame, published: DataFrame, active: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Links of active zones to add, and published links to delete; both (curb_zone_id, curb_policy_id)."""
     keys = ["curb_zone_id", "curb_policy_id"]
-    wanted = wanted.join(active, "curb_zone_id", "left_semi").select(*keys).distinct()
-    return wanted.join(published, keys, "left_anti"), published.select(*keys).join(wanted, keys, "left_anti")
+    wanted = spread(spread(wanted.select(*keys), "curb_zone_id").join(active, "curb_zone_id", "left_semi"), *keys).distinct()
+    published = spread(published.select(*keys), *keys)
+    return wanted.join(published, keys, "left_anti"), published.join(wanted, keys, "left_anti")
 
 
 def without_orphans(policies: DataFrame, links: DataFrame) -> DataFrame:

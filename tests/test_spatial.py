@@ -242,6 +242,14 @@ def test_merge_groups_are_numbered_in_one_sort(spark):
     assert _tasks(queries.tiny_merge_groups(spark, "/root/testdata/sf0.001")) == 4
 
 
+def test_link_changes_are_spread_over_tasks(spark):
+    links = spark.range(2000).select((F.col("id") % 500).alias("curb_zone_id"), (F.col("id") % 7).alias("curb_policy_id"))
+    add, gone = publish.link_changes(links, links.where("curb_policy_id > 2"), spark.range(400).toDF("curb_zone_id"))
+    assert add.exceptAll(links.where("curb_zone_id < 400 AND curb_policy_id < 3").distinct()).isEmpty() and add.count() == links.where("curb_zone_id < 400 AND curb_policy_id < 3").distinct().count()
+    assert {r["curb_zone_id"] for r in gone.collect()} == set(range(400, 500))
+    assert _tasks(add) == 4 and _tasks(gone.distinct()) == 4
+
+
 def test_edges_are_not_broadcast_to_points(spark, tmp_path):
     """A small file may give many cells: the driver must not gather them."""
     spark.range(20).selectExpr("id", "array(named_struct('x', 0D, 'y', id * 100D), named_struct('x', 5000D, 'y', id * 100D)) AS line").write.parquet(f"{tmp_path}/lines")
