@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import policies as P
 from . import quality, spatial, tables
+from .layout import spread
 
 
 def freeze_selection(points: DataFrame, polygons: DataFrame, box: tuple[float, float, float, float] | None, *, key: str = "point_id", fringe: float, cell: float) -> DataFrame:
@@ -101,22 +102,23 @@ def accept(signs: DataFrame, images: DataFrame, locations: DataFrame, policies:
     ``locations``: location_id; ``policies``: sign_id, policy_json, stored_json,
     job_id, where both texts must be one document.
     """
-    joined = signs.join(images, "sign_id", "left").join(locations.withColumn("found", F.lit(1)), "location_id", "left")
-    counts = {
-        "signs": F.count_distinct("sign_id"),
-        "images": F.count_distinct("image_id"),
-        "locations": F.count_distinct(F.when(F.col("found") == 1, F.col("location_id"))),
-        "signs_without_image": F.count_if(F.col("image_id").isNull()),
-        "signs_without_location": F.count_if(F.col("found").isNull()),
-    }
+    joined = spread(spread(signs, "sign_id").join(images, "sign_id", "left"), "location_id").join(locations.withColumn("found", F.lit(1)), "location_id", "left")
+    # each id of each kind once, with how many rows lack something; then only counts are left
+    ids = {"signs": F.col("sign_id"), "images": F.col("image_id"), "locations": F.when(F.col("found") == 1, F.col("location_id"))}
+    lacks = {"signs_without_image": F.col("image_id").isNull(), "signs_without_location": F.col("found").isNull()}
+    each = [F.struct(F.lit(kind).alias("kind"), *[(v if k == kind else F.lit(None)).cast(joined.select(v).schema[0].dataType).alias(k) for k, v in ids.items()], *[(v if kind == "signs" else F.lit(False)).alias(k) for k, v in lacks.items()]) for kind in ids]
+    rows = joined.select(F.explode(F.array(*each)).alias("r")).select("r.*").where("kind = 'signs' OR images IS NOT NULL OR locations IS NOT NULL")
+    per = spread(rows, "kind", *ids).groupBy("kind", *ids).agg(*[F.count_if(F.col(k)).alias(k) for k in lacks])
+    counts = {kind: F.count_if((F.col("kind") == kind) & F.col(kind).isNotNull()) for kind in ids} | {k: F.coalesce(F.sum(k), F.lit(0)) for k in lacks}
     same = P.canonical_json(F.col("policy_json")).eqNullSafe(P.canonical_json(F.col("stored_json")))
+    checked = policies.select("sign_id", F.col("job_id").eqNullSafe(F.lit(job_id)).alias("job"), same.alias("same"))
     texts = {
         "rows": F.count(F.lit(1)),
         "repeated_signs": F.count(F.lit(1)) - F.count_distinct("sign_id"),
-        "wrong_job": F.count_if(~F.col("job_id").eqNullSafe(F.lit(job_id))),
-        "other_text": F.count_if(~same),
+        "wrong_job": F.count_if(~F.col("job")),
+        "other_text": F.count_if(~F.col("same")),
     }
-    return collect_snapshot({"signs": (joined, counts), "policies": (policies, texts)})
+    return collect_snapshot({"signs": (per, counts), "policies": (spread(checked, "sign_id"), texts)})
 
 
 def seed_subset(blockfaces: DataFrame, points: Mapping[str, DataFrame], box: tuple[float, float, float, float], margin: float) -> DataFrame:

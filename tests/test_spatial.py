@@ -250,6 +250,25 @@ def test_link_changes_are_spread_over_tasks(spark):
     assert _tasks(add) == 4 and _tasks(gone.distinct()) == 4
 
 
+def test_acceptance_counts_are_spread_over_tasks(spark):
+    """Ids that are null or stand several times, and counts of a join whose ids are dealt to all tasks."""
+    from kerbspark.operators import acceptance
+
+    signs = spark.createDataFrame([(1, 1), (1, 2), (2, None), (None, 1), (3, 9)], "sign_id int, location_id int")
+    images = spark.createDataFrame([("a", 1), ("b", 1), ("c", 5)], "image_id string, sign_id int")
+    places = spark.createDataFrame([(1,), (2,), (2,)], "location_id int")
+    texts = spark.createDataFrame([(1, '{"a":1,"b":2}', '{"b": 2, "a": 1}', "new"), (1, '{"a":1}', '{"a":2}', None), (2, None, None, "new")], "sign_id int, policy_json string, stored_json string, job_id string")
+    got = acceptance.accept(signs, images, places, texts, job_id="new")
+    assert {(r["section"], r["metric"]): r["value"] for r in got.collect()} == {
+        ("signs", "signs"): 3, ("signs", "images"): 2, ("signs", "locations"): 2, ("signs", "signs_without_image"): 3, ("signs", "signs_without_location"): 2,
+        ("policies", "rows"): 3, ("policies", "repeated_signs"): 1, ("policies", "wrong_job"): 1, ("policies", "other_text"): 1,
+    }
+    assert "Expand" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 4
+    none = acceptance.accept(signs.limit(0), images, places, texts.limit(0), job_id="new")
+    assert {r["value"] for r in none.collect()} == {0}
+
+
 def test_edges_are_not_broadcast_to_points(spark, tmp_path):
     """A small file may give many cells: the driver must not gather them."""
     spark.range(20).selectExpr("id", "array(named_struct('x', 0D, 'y', id * 100D), named_struct('x', 5000D, 'y', id * 100D)) AS line").write.parquet(f"{tmp_path}/lines")
