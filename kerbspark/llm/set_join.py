@@ -12,7 +12,8 @@ A posted list is not turned into pairs. All its documents are compared with one
 of them, its hub; links so found make parts. Documents of one list that are
 still apart are compared in blocks of bounded size by parity tables, which bound
 from below how many shingles two sets differ in; what they allow is confirmed on
-full sets, as all links are. Two documents whose posted shingles are heavy
+full sets, as all links are, in the same blocks, which give one link of those
+that join the same parts. Two documents whose posted shingles are heavy
 share none of their light ones unless a light list has both; so those with the
 same heavy shingles, a frame and words of their own, are linked or not by their
 sizes alone, and are never compared by pairs.
@@ -30,10 +31,12 @@ from pyspark.sql import functions as F
 
 from .common import bit_table, bits_for, cut, in_bit_table, mix64, shingle_sets, slices, without
 from .graph import components
-from .near_dedup import _linked
+from .near_dedup import _linked, _sets_of
 
 #: A shingle of more documents is heavy. The flag only orders shingles, so a wrong one costs time, not links.
 LIGHT = 32
+#: Sets that a set is compared with at once.
+TRIED = 64
 #: What a scanned candidate costs against a posting, as whole sets are moved to confirm it; and a bound on small sets.
 SCAN, LARGEST_SMALL = 8, 250
 #: Postings that a task gathers before it hands them on, and that a group of keys holds about.
@@ -245,29 +248,58 @@ def balls(texts: DataFrame, table: bytes, bits: int, small: int, total: int, per
 
 
 def _compared(block: pa.Table, percent: int) -> pa.Table:
-    """Pairs of a left and a right row of one block, in different parts, that their parity tables allow to be linked."""
-    doc, n, part, left = (block.column(c).to_numpy() for c in ("doc", "n", "part", "left"))
+    """Of one block the rows of documents that their parity tables allow to be linked with one on the other side and in another part."""
+    n, part, left = (block.column(c).to_numpy() for c in ("n", "part", "left"))
     tables = [np.frombuffer(x.as_buffer(), np.uint8) for x in block.column("parity")]
     right = np.flatnonzero(~left)
     width = np.array([len(tables[i]) for i in right])
     kinds = [(right[width == w], np.stack([tables[i] for i in right[width == w]])) for w in np.unique(width)]
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+    met = np.zeros(len(n), bool)
     for i in np.flatnonzero(left):
         for rows, table in kinds:
             on = rows[may_link(tables[i], int(n[i]), table, n[rows], percent) & (part[rows] != part[i])]
-            found.append((np.full(len(on), doc[i]), doc[on]))
-    a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
-    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-    return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+            met[on] = True
+            met[i] |= len(on) > 0
+    return block.select(["region", "i", "j", "doc", "part", "left"]).filter(pa.array(met))
 
 
-def _apart(near: DataFrame, part: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of documents of one list in different parts that may be linked, but for those of a hub, which are known.
+def _confirmed(block: pa.Table, percent: int) -> pa.Table:
+    """Links (a, b) of a left and a right row of one block, found on full sets; of those that join the same parts, one.
+
+    So a block gives fewer links than it has rows, however alike they are.
+    """
+    doc, left = block.column("doc").to_numpy(), block.column("left").to_numpy()
+    _, joined = np.unique(block.column("part").to_numpy(), return_inverse=True)
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in block.column("set")]
+    n, tables = np.array([len(s) for s in sets]), [np.frombuffer(parity(s), np.uint8) for s in sets]
+    right = np.flatnonzero(~left)
+    width = np.array([len(tables[i]) for i in right])
+    kinds = [(right[width == w], np.stack([tables[i] for i in right[width == w]])) for w in np.unique(width)]
+    found: list[tuple[int, int]] = []
+    for i in np.flatnonzero(left):
+        rest = np.concatenate([rows[(joined[rows] != joined[i]) & may_link(tables[i], int(n[i]), table, n[rows], percent)] for rows, table in kinds]) if kinds else right
+        while len(rest := rest[joined[rest] != joined[i]]):
+            # one of each part first
+            first = np.unique(joined[rest], return_index=True)[1][:TRIED]
+            tried, rest = rest[first], np.delete(rest, first)
+            both = np.concatenate([sets[k] for k in tried])
+            at = np.minimum(np.searchsorted(sets[i], both), len(sets[i]) - 1)
+            inter = np.add.reduceat((sets[i][at] == both).astype(np.int64), np.append(0, np.cumsum(n[tried])[:-1]))
+            for k in tried[100 * inter >= percent * (n[i] + n[tried] - inter)]:
+                if joined[k] != joined[i]:
+                    found.append((min(doc[i], doc[k]), max(doc[i], doc[k])))
+                    joined[joined == joined[k]] = joined[i]
+    return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+
+def _apart(near: DataFrame, part: DataFrame, sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join documents of one list in different parts, but for those of a hub, which are known.
 
     A region is the part of a hub, with all documents of the lists of any hub
     in it. Those outside the part, the left side, are compared with the whole
     region; either side is dealt by hash into chunks of about BLOCK shingles.
-    Rows carry parity tables, a thirtieth of their sets.
+    Rows carry parity tables, a thirtieth of their sets; only those that these
+    allow to be linked get their sets, and meet again in their blocks.
     """
     of = lambda df, x, name: df.join(part.select(F.col("node").alias(x), F.col("component").alias("found")), x, "left").withColumn(name, F.coalesce("found", x)).drop("found")
     members = of(near, "hub", "region").select("region", "doc").unionByName(of(near.select("hub").distinct(), "hub", "region").select("region", F.col("hub").alias("doc"))).distinct()
@@ -282,7 +314,10 @@ def _apart(near: DataFrame, part: DataFrame, sets: DataFrame, percent: int) -> D
     every = lambda n: F.sequence(F.lit(0), n - 1)
     right = mixed.select("region", "doc", "n", "parity", "part", F.lit(False).alias("left"), F.explode(every(F.col("lefts"))).alias("i"), one(F.col("rights")).alias("j"))
     left = mixed.where(outside).select("region", "doc", "n", "parity", "part", F.lit(True).alias("left"), one(F.col("lefts")).alias("i"), F.explode(every(F.col("rights"))).alias("j"))
-    return cut(left.unionByName(right).groupBy("region", "i", "j").applyInArrow(lambda block: _compared(block, percent), "a long, b long").distinct())
+    block = ["region", "i", "j"]
+    met = cut(left.unionByName(right).groupBy(*block).applyInArrow(lambda b: _compared(b, percent), "region long, i int, j int, doc long, part long, left boolean").distinct())
+    full = met.join(_sets_of(cut(met.select("doc").distinct()), texts).where(F.length("set") > 0), "doc")
+    return cut(full.groupBy(*block).applyInArrow(lambda b: _confirmed(b, percent), "a long, b long").distinct())
 
 
 def _likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -333,16 +368,7 @@ def similar_sets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", pe
     stars = near.select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
     links = _linked(_likely(stars, first, percent), own, percent).unionByName(framed)
     part = cut(components(links))
-    # one pair of any two parts first: what it joins needs no other
-    named = lambda x: part.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}"))
-    maybe = _apart(near, part, first, percent).join(named("a"), "a", "left").join(named("b"), "b", "left")
-    maybe = cut(maybe.select("a", "b", F.coalesce("part_a", "a").alias("part_a"), F.coalesce("part_b", "b").alias("part_b")))
-    parts = [F.least("part_a", "part_b"), F.greatest("part_a", "part_b")]
-    one = _linked(maybe.groupBy(*parts).agg(F.min_by(F.struct("a", "b"), F.xxhash64("a", "b")).alias("p")).select("p.a", "p.b"), own, percent)
-    known = cut(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(one))
-    part = cut(components(known))
-    rest = maybe.select("a", "b").join(named("a"), "a", "left").join(named("b"), "b", "left").where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b"))
-    more = _linked(cut(rest.select("a", "b")), own, percent)
+    more = _apart(near, part, first, own, percent)
 
     member = real.join(classes, ["n", "digest"]).select("doc", "n", "class_id").unionByName(rows.where((F.col("n") == 0) | F.col("doc").isNull()).select("doc", "n", F.col("doc").alias("class_id")))
     twice = member.where("n > 0").groupBy("doc").agg(F.min("class_id").alias("a"), F.max("class_id").alias("hi")).where("a != hi")

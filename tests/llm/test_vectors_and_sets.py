@@ -95,6 +95,23 @@ def test_join_of_a_large_group_of_near_copies(spark):
     assert len(set(got.values())) > 3
 
 
+def test_near_copies_give_no_more_links_than_documents(spark, monkeypatch):
+    """Pairs that parity tables allow, and links, grow with the square of a group; rows between steps do not."""
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(80)]
+    rows = [(i, edited(rng, base, rng.choice((0.01, 0.02, 0.03)))) for i in range(300)] + [(5, ""), (6, edited(rng, base, 0.02))]
+    found, apart = [], set_join._apart
+
+    def watched(*args):
+        out = apart(*args)
+        found.append(out.count())
+        return out
+
+    monkeypatch.setattr(set_join, "_apart", watched)
+    assert joined(spark, rows) == brute_components(rows, 80)
+    assert 0 < found[0] < 300
+
+
 def test_documents_of_one_frame_are_not_compared_by_pairs(spark, monkeypatch):
     """A common passage and words of their own: similarity below the threshold, or above it by sizes alone."""
     rng = random.Random(5)
