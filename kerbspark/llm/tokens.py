@@ -3,21 +3,20 @@
 The BPE model merges inside a pre-token only, so a pre-token has the same ids
 wherever it stands. A text is cut where pre-tokens surely end, the distinct
 pieces of a batch are looked up in a table of bounded size, and only new pieces
-go through the library, all in one text with separators between them. Texts
-with unusual white space are encoded whole.
+go through the library, all in one text, with separators where a piece does not
+begin a pre-token by itself. Texts with unusual white space are encoded whole.
 """
 
 from __future__ import annotations
 
-from itertools import repeat
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
-#: Pieces that a worker's table of pieces holds, about; a full one is emptied. New ones are learned so many at a time.
-MOST_PIECES, AT_ONCE = 300_000, 16_384
+#: Pieces and bytes of them that a worker's table holds, about; of a full one the rare pieces go. New pieces are learned so many at a time.
+MOST_PIECES, MOST_BYTES, AT_ONCE = 700_000, 32 << 20, 16_384
 
 _MARK = "\x01"
 #: Stands between pieces where white space is dropped.
@@ -26,6 +25,10 @@ _STOP = "\x02"
 _ODD = r"[ \n][ \n]|^[ \n]|[ \n]$|[\t\x0b\x0c\r\x01\x02\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
+def _joined(texts: pa.Array, between: str) -> str:
+    return pc.binary_join(pa.LargeListArray.from_arrays([0, len(texts)], texts), pa.scalar(between, pa.large_string()))[0].as_py()
+
+
 class Encoder:
     """Encodes batches with one vocabulary file; byte-level pre-tokens keep the blank before a word, others drop white space."""
 
@@ -36,45 +39,78 @@ class Encoder:
         # a lone line feed is a pre-token of its own between pieces, and so is the stop between blanks
         self.between = f" {_STOP} " if self.lowers else "\n"
         (self.stop,) = self.whole.encode(self.between, add_special_tokens=False).ids
-        self._empty()
-
-    def _empty(self) -> None:
-        self.number: dict[str, int] = {"": 0}
-        self.flat, self.bounds = np.empty(0, np.uint32), np.zeros(2, np.int64)
+        vocabulary = self.whole.get_vocab(with_added_tokens=False)
+        #: Bytes of each id's text, where every byte has an id: these tell the pieces of a text apart without separators.
+        self.width = None
+        if not self.lowers and vocabulary.keys() >= set(ByteLevel.alphabet()):
+            added = {i: len(t.content.encode()) for i, t in self.whole.get_added_tokens_decoder().items()}
+            width = added | {i: len(t) for t, i in vocabulary.items()}
+            self.width = np.zeros(max(width) + 1, np.int64)
+            self.width[list(width)] = list(width.values())
+        # the empty piece and a lone line feed are always in the table
+        alone = [np.empty(0, np.uint32), self.text_ids("\n")]
+        self.pieces, self.seen = pa.array(["", "\n"], pa.large_string()), np.zeros(2, np.int64)
+        self.flat, self.bounds = np.concatenate(alone), np.cumsum([0, *map(len, alone)])
 
     def text_ids(self, text: str) -> np.ndarray:
         # the batch call keeps no offsets, which takes half as long
         return np.array(self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Append the ids of new pieces; none holds a separator but the line feed alone, which is told apart here."""
-        alone = [p for p in pieces if p == "\n"]
-        some = [p for p in pieces if p != "\n"]
-        if some:
-            ids = self.text_ids(self.between.join(some))
+    def _ids_of(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces end to end, and the number of each one's ids; none is empty or holds a separator."""
+        if self.width is None:
+            ids = self.text_ids(_joined(pieces, self.between))
             ends = np.append(np.flatnonzero(ids == self.stop), len(ids))
-            if len(ends) != len(some):
+            if len(ends) != len(pieces):
                 raise ValueError("a piece holds a separator")
-            kept = ids[ids != self.stop]
-            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + ends - np.arange(len(ends))])
-            self.flat = np.concatenate([self.flat, kept])
-        for p in alone:
-            ids = self.text_ids(p)
-            self.bounds, self.flat = np.append(self.bounds, self.bounds[-1] + len(ids)), np.concatenate([self.flat, ids])
-        self.number.update(zip(some + alone, range(len(self.number), len(self.number) + len(pieces)), strict=True))
-
-    def _numbers(self, pieces: list[str]) -> np.ndarray:
+            return ids[ids != self.stop], np.diff(ends, prepend=-1) - 1
+        # a blank before a word starts a pre-token anyway, so only other pieces need the separator
+        led = pc.starts_with(pieces, " ")
+        text = pc.if_else(led, pieces, pc.replace_substring_regex(pieces, "^", self.between))
+        ids = self.text_ids(_joined(text, ""))
+        ends, places = np.cumsum(pc.binary_length(text).to_numpy()), np.cumsum(self.width[ids])
+        last = np.searchsorted(places, ends)
+        if len(places) != last[-1] + 1 or not np.array_equal(places[last], ends):
+            raise ValueError("an id crosses the end of a piece")
+        bare = ~led.to_numpy(zero_copy_only=False)
+        first = np.append(0, last[:-1] + 1)
+        if (ids[first[bare]] != self.stop).any():
+            raise ValueError("a separator is not an id of its own")
+        return np.delete(ids, first[bare]), last + 1 - first - bare
+
+    def _shrink(self) -> None:
+        """Once the table is full, keep the pieces of most batches, half of what it holds at most."""
+        size = pc.binary_length(self.pieces).to_numpy()
+        if len(size) <= MOST_PIECES and size.sum() <= MOST_BYTES:
+            return
+        least, kept = 2, self.seen >= 2
+        while 2 * kept.sum() > MOST_PIECES or 2 * size[kept].sum() > MOST_BYTES:
+            least *= 2
+            kept = self.seen >= least
+        kept[:2] = True
+        count = np.diff(self.bounds)
+        self.flat = self.flat[np.repeat(kept, count)]
+        self.bounds = np.append(0, np.cumsum(count[kept]))
+        self.pieces, self.seen = self.pieces.filter(pa.array(kept)), np.ones(int(kept.sum()), np.int64)
+
+    def _numbers(self, pieces: pa.Array) -> np.ndarray:
         """The number of each of these distinct pieces in the table."""
-        if len(self.number) > MOST_PIECES:
-            self._empty()
-        found = np.fromiter(map(self.number.get, pieces, repeat(-1)), np.int64, len(pieces))
-        new = np.flatnonzero(found < 0)
-        if len(new):
-            fresh = [pieces[i] for i in new.tolist()]
-            for at in range(0, len(fresh), AT_ONCE):
-                self._learn(fresh[at : at + AT_ONCE])
-            found[new] = np.fromiter(map(self.number.__getitem__, fresh), np.int64, len(fresh))
-        return found
+        self._shrink()
+        # looked up the other way round, as Arrow makes a hash table of its second argument, which is smaller
+        places = pc.fill_null(pc.index_in(self.pieces, pieces), -1).to_numpy()
+        known, numbers = np.flatnonzero(places >= 0), np.full(len(pieces), -1)
+        numbers[places[known]] = known
+        new = numbers < 0
+        fresh = pieces.filter(pa.array(new))
+        numbers[new] = np.arange(len(self.pieces), len(self.pieces) + len(fresh))
+        if len(fresh):
+            got = [self._ids_of(fresh.slice(at, AT_ONCE)) for at in range(0, len(fresh), AT_ONCE)]
+            self.flat = np.concatenate([self.flat, *(ids for ids, _ in got)])
+            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(np.concatenate([n for _, n in got]))])
+            self.pieces = pa.concat_arrays([self.pieces, fresh])
+            self.seen = np.append(self.seen, np.zeros(len(fresh), np.int64))
+        self.seen[numbers] += 1
+        return numbers
 
     def _cut(self, texts: pa.Array) -> pa.Array:
         """Texts with a mark between pieces: before a blank, around a line feed, and before a lone . or , after a letter."""
@@ -92,7 +128,7 @@ class Encoder:
         clean = pc.if_else(pa.array(odd), "", texts)
         lists = pc.split_pattern(self._cut(clean), _MARK)
         coded = lists.flatten().dictionary_encode()
-        known = self._numbers(coded.dictionary.to_pylist())
+        known = self._numbers(coded.dictionary)
         codes = known[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.empty(0, np.int64)
         start, size = self.bounds[codes], self.bounds[codes + 1] - self.bounds[codes]
         ends = np.cumsum(size)

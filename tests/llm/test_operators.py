@@ -343,6 +343,28 @@ def test_ids_are_the_librarys(rows, name):
         assert ids[a:b].tolist() == whole.encode(t or "", add_special_tokens=False).ids, t
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_a_full_table_keeps_frequent_pieces(monkeypatch, name):
+    monkeypatch.setattr(tokens, "MOST_PIECES", 200)
+    monkeypatch.setattr(tokens, "AT_ONCE", 16)
+    encoder = tokens.Encoder(public_tokenizers.path(name))
+    whole, inner, sent = encoder.whole, encoder.text_ids, []
+    monkeypatch.setattr(encoder, "text_ids", lambda text: sent.append(text) or inner(text))
+    for k in range(30):
+        texts = [" ".join(["Die frequent, wörds stay here.", *(f"r{k}x{i}é" for i in range(40))]) + "\nstay\n\u00dcb 'll <|endoftext|>.", "frequent ones", None]
+        ids, offsets = encoder.encode(pa.array(texts, pa.string()))
+        for t, a, b in zip(texts, offsets[:-1], offsets[1:], strict=True):
+            assert ids[a:b].tolist() == whole.encode(t or "", add_special_tokens=False).ids
+    assert sum(t.count(" wörds") for t in sent) == 1 and sum(t.count("r0x0") for t in sent) == 1
+    assert len(encoder.pieces) <= 300
+    monkeypatch.setattr(tokens, "MOST_BYTES", 50_000)
+    for k in range(8):  # few and long pieces
+        texts = [f"{k} " + chr(97 + k) * 20_000]
+        ids, _ = encoder.encode(pa.array(texts))
+        assert ids.tolist() == whole.encode(texts[0], add_special_tokens=False).ids
+        assert pa.compute.sum(pa.compute.binary_length(encoder.pieces)).as_py() <= 75_000
+
+
 def test_packing_covers_every_id_once(docs, rows, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     got = packing.pack(docs, path, window=256).collect()
