@@ -277,3 +277,24 @@ def test_a_fingerprint_of_so_many_levels(spark):
     for some in (df, df.where("id < 7")):
         assert tables.ordered_fingerprint(some, ["id"], fan_in=10, levels=2).first()["digest"] == two(some)
     assert tuple(tables.ordered_fingerprint(df.limit(0), ["id"], levels=2).first()) == (0, None)
+
+
+def test_the_digest_of_orders_tells_a_change_in_any_of_them(spark, tmp_path):
+    """Over a million orders, changed in the first and in the last thousand: two levels leave two digests, of which neither may be dropped."""
+    import duckdb
+
+    from kerbspark.plans import queries
+
+    key = F.col("id")
+    orders = spark.range(0, 1_001_500, 1, 4).select((key % 7).alias("o_custkey"), key.alias("o_orderkey"), F.lit("5-LOW").alias("o_orderpriority"), F.when(key % 3 == 0, "F").otherwise("O").alias("o_orderstatus"))
+    ends = {"whole": None, "first": 0, "last": 1_001_496, "few": None, "none": None}
+    kept = {"few": F.col("o_orderkey") < 700, "none": F.lit(False)}
+    found = {}
+    for name, changed in ends.items():
+        some = orders.where(kept.get(name, F.lit(True))).withColumn("o_orderpriority", F.when(F.col("o_orderkey") == F.lit(changed), "1-URGENT").otherwise(F.col("o_orderpriority")))
+        some.write.parquet(f"{tmp_path}/{name}/orders.parquet")
+        found[name] = tuple(queries.QUERIES["ordered_digest"](spark, f"{tmp_path}/{name}").first())
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/{name}/orders.parquet/*.parquet'")
+        assert con.execute(queries.SQL["ordered_digest"]).fetchall() == [found[name]], name
+    assert found["whole"][0] == 1_001_500 and len({found[name][1] for name in ("whole", "first", "last")}) == 3 and found["none"] == (0, None)
