@@ -102,12 +102,13 @@ def cut_lines(edges: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def piece_lines(edges: DataFrame, parts: DataFrame, slack: float = 1e-9) -> DataFrame:
-    """(line_id, lo, hi, line): each part with its two ends, also if they are one place, and the vertices between them."""
+    """``parts`` (line_id, lo, hi and columns of their own) with ``line``: each part's two ends, also if they are one place, and the vertices between them."""
     length = F.hypot(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
     end = F.col("cum") + length
     inside = (F.col("cum") < F.col("hi") - slack) & (end > F.col("lo") + slack)
     here = (F.col("hi") - F.col("lo") <= 2 * slack) & (F.col("cum") <= F.col("lo") + slack) & (end >= F.col("lo") - slack)
-    on = parts.join(edges, "line_id").where(inside | here)
+    # merged and not broadcast, so that parts stay where their line is
+    on = parts.join(edges.hint("merge"), "line_id").where(inside | here)
     at = lambda m: F.greatest(F.lit(0.0), F.least(F.lit(1.0), (m - F.col("cum")) / length))
 
     def place(m: Column) -> Column:
@@ -116,9 +117,9 @@ def piece_lines(edges: DataFrame, parts: DataFrame, slack: float = 1e-9) -> Data
         return F.when(t == 1, last).otherwise(G.point(F.col("x0") + t * (F.col("x1") - F.col("x0")), F.col("y0") + t * (F.col("y1") - F.col("y0"))))
 
     rows = F.array_sort(F.collect_list(F.struct("edge_no", place(F.col("lo")).alias("a"), place(F.col("hi")).alias("b"))))
-    got = on.groupBy("line_id", "lo", "hi").agg(rows.alias("rows"))
+    got = on.groupBy(*parts.columns).agg(rows.alias("rows"))
     ends = F.when(F.col("hi") - F.col("lo") <= 2 * slack, F.slice("rows", 1, 1)).otherwise(F.col("rows"))
-    return got.select("line_id", "lo", "hi", F.concat(F.array(F.col("rows")[0]["a"]), F.transform(ends, lambda r: r["b"])).alias("line"))
+    return got.select(*parts.columns, F.concat(F.array(F.col("rows")[0]["a"]), F.transform(ends, lambda r: r["b"])).alias("line"))
 
 
 def _look_back(steps: DataFrame, rounds: int) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from . import curbs as curb_lines
 from . import intervals, spatial
+from .layout import spread
 from .lineage import cut
 
 FEATURES = ("FH", "BS")
@@ -57,8 +58,8 @@ def _distinct(lists: Column) -> Column:
     return F.when(F.size(values) > 0, F.array_distinct(values))
 
 
-def merge_tiny(segments: DataFrame, threshold: float, key: str = "blockface_id", order: str = "segment_seq") -> DataFrame:
-    """One row for each merge group: segment_id, the new sequence, length, first and last location, location lists.
+def merge_tiny(segments: DataFrame, threshold: float, key: str = "blockface_id", order: str = "segment_seq", keep: Sequence[str] = ()) -> DataFrame:
+    """One row for each merge group: segment_id, the new sequence, length, first and last location, location lists, and of the columns ``keep`` arrays in order.
 
     A group of one kind lists all its locations. A mixed one lists upstream the
     first segment's upstream and the downstream ones of leading tiny segments,
@@ -69,7 +70,7 @@ def merge_tiny(segments: DataFrame, threshold: float, key: str = "blockface_id",
     alone = F.count(F.lit(1)).over(Window.partitionBy(key)) == 1
     df = merge_groups(segments, threshold, key, order)
     df = df.withColumn("__alone", alone).where(~(F.col("__alone") & F.col("tiny") & F.col("upstream_location").isNull() & F.col("downstream_location").isNull()))
-    rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("seq"), F.col("upstream_location").alias("up"), F.col("downstream_location").alias("down"), "tiny", "segment_id")))
+    rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("seq"), F.col("upstream_location").alias("up"), F.col("downstream_location").alias("down"), "tiny", "segment_id", *keep)))
     g = df.groupBy(key, "merge_group").agg(rows.alias("rows"), F.sum("seg_length").alias("seg_length"), (F.min("tiny") != F.max("tiny")).alias("mixed"))
     first_long = F.aggregate("rows", F.lit(None).cast("int"), lambda acc, r: F.coalesce(acc, F.when(~r["tiny"], r["seq"].cast("int"))))
     g = g.withColumn("long", first_long)
@@ -80,7 +81,7 @@ def merge_tiny(segments: DataFrame, threshold: float, key: str = "blockface_id",
     before = F.coalesce(F.lag("downstream_loc_list").over(w), F.array().cast("array<string>"))
     g = g.withColumn("upstream_loc_list", _distinct(F.concat(before, "__ups")))
     some = lambda c: F.array_compact(F.transform("rows", lambda r: r[c]))
-    return g.select(key, F.col("rows")[0]["segment_id"].alias("segment_id"), (F.row_number().over(w) - 1).alias(order), "seg_length", F.get(some("up"), F.lit(0)).alias("upstream_location"), F.try_element_at(some("down"), F.lit(-1)).alias("downstream_location"), "upstream_loc_list", "downstream_loc_list", F.transform("rows", lambda r: r["seq"]).alias("merged"))
+    return g.select(key, F.col("rows")[0]["segment_id"].alias("segment_id"), (F.row_number().over(w) - 1).alias(order), "seg_length", F.get(some("up"), F.lit(0)).alias("upstream_location"), F.try_element_at(some("down"), F.lit(-1)).alias("downstream_location"), "upstream_loc_list", "downstream_loc_list", F.transform("rows", lambda r: r["seq"]).alias("merged"), *[F.col("rows")[c].alias(c) for c in keep])
 
 
 def split_by_buffers(lines: DataFrame, points: DataFrame, feet: float, least_feet: float, *, suffix: str = "FH") -> DataFrame:
@@ -104,17 +105,24 @@ def split_by_buffers(lines: DataFrame, points: DataFrame, feet: float, least_fee
     return both.select(F.concat_ws(":", "line_id", F.concat(F.lit(suffix), n)).alias("line_id"), (F.col("lo") + F.col("start_fraction") * span).alias("lo"), (F.col("lo") + F.col("end_fraction") * span).alias("hi"), F.col("point_id").alias(f"{suffix.lower()}_id"), *kept)
 
 
-def split_by_points(lines: DataFrame, points: DataFrame, *, suffix: str = "PS") -> DataFrame:
-    """``lines`` cut at ``points``, even into pieces of no length; each piece knows the points at its ends."""
-    on = points.join(lines, "line_id").withColumn("fraction", (F.col("at") - F.col("lo")) / (F.col("hi") - F.col("lo")))
-    cut = intervals.split_at_points(on.select("line_id", "fraction", "point_id"), "line_id", "point_id").join(lines, "line_id")
-    rest = lines.join(points.select("line_id").distinct(), "line_id", "left_anti").withColumns({"start_fraction": F.lit(0.0), "end_fraction": F.lit(1.0)})
-    both = cut.unionByName(rest, allowMissingColumns=True)
-    n = F.row_number().over(Window.partitionBy("line_id").orderBy("start_fraction", "end_fraction"))
-    span = F.col("hi") - F.col("lo")
+def _swept(lines: DataFrame, points: DataFrame, suffix: str) -> DataFrame:
+    """``lines`` cut at ``points``, rows of their line with ``at`` and ``point_id``.
+
+    A line's start and its points are sorted together, and each row reaches to
+    the next one; so lines are neither joined again nor told from those without points.
+    """
+    starts = lines.withColumns({"at": F.col("lo"), "point_id": F.lit(None).cast(points.schema["point_id"].dataType)})
+    keys = [c for c in ("blockface_id", "line_id") if c in lines.columns]
+    w = Window.partitionBy(*keys).orderBy("at", F.col("point_id").asc_nulls_first())
     kept = [c for c in lines.columns if c not in ("line_id", "lo", "hi")]
     s = suffix.lower()
-    return both.select(F.concat_ws(":", "line_id", F.concat(F.lit(suffix), n)).alias("line_id"), (F.col("lo") + F.col("start_fraction") * span).alias("lo"), (F.col("lo") + F.col("end_fraction") * span).alias("hi"), F.col("start_id").alias(f"{s}_start"), F.col("end_id").alias(f"{s}_end"), *kept)
+    line_id = F.concat_ws(":", "line_id", F.concat(F.lit(suffix), F.row_number().over(w)))
+    return points.unionByName(starts).select(line_id.alias("line_id"), F.col("at").alias("lo"), F.coalesce(F.lead("at").over(w), "hi").alias("hi"), F.col("point_id").alias(f"{s}_start"), F.lead("point_id").over(w).alias(f"{s}_end"), *kept)
+
+
+def split_by_points(lines: DataFrame, points: DataFrame, *, suffix: str = "PS") -> DataFrame:
+    """``lines`` cut at ``points``, even into pieces of no length; each piece knows the points at its ends."""
+    return _swept(lines, points.select("line_id", "at", "point_id").join(lines, "line_id"), suffix)
 
 
 def split_by_bus_stops(lines: DataFrame, stops: DataFrame, least_feet: float, *, suffix: str = "BS", multipliers: Mapping[str, float] = intervals.BUS_STOP_SIGNS) -> DataFrame:
@@ -144,53 +152,72 @@ def id_order(line_id: Column, stages: int = 4) -> Column:
     return F.transform(F.slice(F.split(line_id, ":"), -stages, stages), lambda x: F.regexp_extract(x, "([0-9]+)$", 1).try_cast("int"))
 
 
+def _placed(lines: DataFrame, assets: DataFrame) -> DataFrame:
+    """The columns of ``lines`` with at and point_id: assets (blockface_id, at, point_id) on the piece of their blockface that is nearest, of equals the first."""
+    gap = F.greatest(F.col("lo") - F.col("at"), F.col("at") - F.col("hi"), F.lit(0.0))
+    own = [c for c in lines.columns if c not in ("blockface_id", "line_id", "lo", "hi")]
+    # merged and not broadcast, so that rows stay where their blockface is
+    near = assets.select("blockface_id", "at", "point_id").join(lines.hint("merge"), "blockface_id")
+    best = near.groupBy("blockface_id", "point_id", "at").agg(F.min(F.struct(gap.alias("gap"), "lo", "hi", "line_id", *own)).alias("b"))
+    return best.select("blockface_id", *[F.col("b")[c].alias(c) for c in ("line_id", "lo", "hi", *own)], F.least(F.greatest("at", "b.lo"), F.col("b.hi")).alias("at"), "point_id")
+
+
 def place(lines: DataFrame, assets: DataFrame) -> DataFrame:
     """(line_id, at, point_id): assets (blockface_id, at, point_id) on the piece of their blockface that is nearest, of equals the first."""
-    gap = F.greatest(F.col("lo") - F.col("at"), F.col("at") - F.col("hi"), F.lit(0.0))
-    near = assets.join(lines.select("blockface_id", "line_id", "lo", "hi"), "blockface_id")
-    best = near.groupBy("point_id", "at", "blockface_id").agg(F.min(F.struct(gap.alias("gap"), "lo", "hi", "line_id")).alias("b"))
-    return best.select("b.line_id", F.least(F.greatest("at", "b.lo"), F.col("b.hi")).alias("at"), "point_id")
-
-
-def _pieces(lines: DataFrame, hydrants: DataFrame, signs: DataFrame, meters: DataFrame, stops: DataFrame | None, buffer_feet: float, least_feet: float) -> DataFrame:
-    """The pieces of curbs (blockface_id, line_id, lo, hi) after all four stages, in order, with the locations at their ends."""
-    if stops is None:
-        stops = hydrants.limit(0)
-    # a stage reads its pieces several times, so each is made once
-    lines = cut(split_by_bus_stops(lines, place(lines, stops), least_feet))
-    lines = cut(split_by_buffers(lines, place(lines, hydrants), buffer_feet, least_feet))
-    lines = cut(split_by_points(lines, place(lines, signs), suffix="PS"))
-    lines = cut(split_by_points(lines, place(lines, meters), suffix="PM"))
+    return _placed(lines.select("blockface_id", "line_id", "lo", "hi"), assets).select("line_id", "at", "point_id")
+
+
+def _pieces(lines: DataFrame, hydrants: DataFrame | None, signs: DataFrame | None, meters: DataFrame | None, stops: DataFrame | None, buffer_feet: float, least_feet: float) -> DataFrame:
+    """The pieces of curbs (blockface_id, line_id, lo, hi) after all four stages, in order, with the locations at their ends.
+
+    A kind that is None leaves all pieces whole, so they only get their number.
+    Signs and meters are dealt and sorted by blockface, as are the steps that
+    follow, so pieces are written down only where another stage reads them.
+    """
+    made = False
+    for suffix, assets in (("BS", stops), ("FH", hydrants), ("PS", signs), ("PM", meters)):
+        if assets is None:
+            lines = lines.withColumn("line_id", F.concat_ws(":", "line_id", F.lit(f"{suffix}1")))
+            continue
+        if made:
+            lines = cut(lines)  # read several times by a stage
+        if suffix == "BS":
+            lines = split_by_bus_stops(lines, place(lines, assets), least_feet)
+        elif suffix == "FH":
+            lines = split_by_buffers(lines, cut(place(lines, assets)), buffer_feet, least_feet)
+        else:
+            lines = _swept(lines, _placed(lines, assets), suffix)
+        made = True
     w = Window.partitionBy("blockface_id").orderBy(id_order(F.col("line_id")))
     seq = F.row_number().over(w) - 1
-    up, down = F.coalesce("pm_start", "ps_start"), F.coalesce("pm_end", "ps_end")
-    asset = F.when(up.isNotNull(), F.lit("S")).when(F.col("fh_id").isNotNull(), "FH").when(F.col("bs_id").isNotNull(), "BS")
-    at = lambda c: F.coalesce(c, "fh_id", "bs_id").cast("string")
-    return lines.select("blockface_id", F.col("line_id").alias("segment_id"), seq.alias("segment_seq"), (F.col("hi") - F.col("lo")).alias("seg_length"), at(up).alias("upstream_location"), at(down).alias("downstream_location"), asset.alias("upstream_asset"), "lo", "hi")
+    first = lambda *names: F.coalesce(F.lit(None), *[c for c in names if c in lines.columns]).cast("string")
+    asset = F.when(first("pm_start", "ps_start").isNotNull(), F.lit("S")).when(first("fh_id").isNotNull(), "FH").when(first("bs_id").isNotNull(), "BS")
+    return lines.select("blockface_id", F.col("line_id").alias("segment_id"), seq.alias("segment_seq"), (F.col("hi") - F.col("lo")).alias("seg_length"), first("pm_start", "ps_start", "fh_id", "bs_id").alias("upstream_location"), first("pm_end", "ps_end", "fh_id", "bs_id").alias("downstream_location"), asset.alias("upstream_asset"), "lo", "hi")
 
 
-def segment_curbs(curbs: DataFrame, hydrants: DataFrame, signs: DataFrame, meters: DataFrame, stops: DataFrame | None = None, *, buffer_feet: float = 10.0, least_feet: float = 0.5, tiny_feet: float = 3.0) -> DataFrame:
+def segment_curbs(curbs: DataFrame, hydrants: DataFrame | None, signs: DataFrame | None, meters: DataFrame | None, stops: DataFrame | None = None, *, buffer_feet: float = 10.0, least_feet: float = 0.5, tiny_feet: float = 3.0) -> DataFrame:
     """Curbs (blockface_id, lo, hi, in feet along them) cut at bus stops' zones, hydrants' buffers, signs and meters in turn; tiny pieces merged.
 
     Assets have (blockface_id, at, point_id), as :func:`spatial.snap` gives
-    them. Without assets of a kind its stage passes pieces through. A segment's
-    location is the first there is of its meter, sign, hydrant and bus stop.
+    them. Without assets of a kind its stage passes pieces through; None costs
+    no work. A segment's location is the first there is of its meter, sign,
+    hydrant and bus stop.
     """
     lines = curbs.select("blockface_id", F.col("blockface_id").cast("string").alias("line_id"), "lo", "hi")
-    table = cut(_pieces(lines, hydrants, signs, meters, stops, buffer_feet, least_feet))
-    merged = merge_tiny(fill_boundaries(table), tiny_feet)
-    extent = table.select("blockface_id", F.col("segment_seq").alias("part"), "lo", "hi")
-    parts = merged.select("blockface_id", "segment_id", F.explode("merged").alias("part")).join(extent, ["blockface_id", "part"]).groupBy("blockface_id", "segment_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    return merged.drop("merged").join(parts, ["blockface_id", "segment_id"])
+    table = _pieces(lines, hydrants, signs, meters, stops, buffer_feet, least_feet)
+    merged = merge_tiny(fill_boundaries(table), tiny_feet, keep=("lo", "hi"))
+    return merged.drop("merged").withColumns({"lo": F.array_min("lo"), "hi": F.array_max("hi")})
 
 
-def segment_lines(curbs: DataFrame, hydrants: DataFrame, signs: DataFrame, meters: DataFrame, stops: DataFrame | None = None, *, snap_feet: float = 30.0, buffer_feet: float = 10.0, least_feet: float = 0.5, tiny_feet: float = 3.0, degrees: Callable[[Column, Column], tuple[Column, Column]] = G.to_degrees, same: Sequence[str] = ()) -> DataFrame:
+def segment_lines(curbs: DataFrame, hydrants: DataFrame | None, signs: DataFrame | None, meters: DataFrame | None, stops: DataFrame | None = None, *, snap_feet: float = 30.0, buffer_feet: float = 10.0, least_feet: float = 0.5, tiny_feet: float = 3.0, degrees: Callable[[Column, Column], tuple[Column, Column]] = G.to_degrees, same: Sequence[str] = (), once: bool = False) -> DataFrame:
     """Curb lines and the points near them as segments with lines: :func:`segment_curbs` from end to end.
 
     ``curbs``: blockface_id, line in feet, along the flow; assets: point_id, x,
     y. A point belongs to the nearest curb within ``snap_feet``, others are
     left out (:func:`spatial.unsnapped`); where curbs lie over each other, as
-    on several levels, ``same`` names columns of both that must be equal. All stages carry feet along the curb,
+    on several levels, ``same`` names columns of both that must be equal. ``once``
+    tells that no point_id is given twice, which spares a shuffle; of points with
+    one id the nearest counts. All stages carry feet along the curb,
     so no line is cut before the last one: then each piece gets its points, and
     its length in feet on the ellipsoid, rounded to two decimals, decides
     whether it is tiny. A merged segment keeps the ends of its pieces as points.
@@ -203,18 +230,13 @@ def segment_lines(curbs: DataFrame, hydrants: DataFrame, signs: DataFrame, meter
     whole = whole.select(F.col("line_id").alias("blockface_id"), "line_id", F.lit(0.0).alias("lo"), "hi")
 
     def on_curb(points: DataFrame) -> DataFrame:
-        snapped = spatial.snap(points.select("point_id", "x", "y", *same), edges, tolerance=snap_feet, same=same)
-        return cut(snapped.select(F.col("line_id").alias("blockface_id"), F.col("along").alias("at"), "point_id"))
+        snapped = spatial.snap(points.select("point_id", "x", "y", *same), edges, tolerance=snap_feet, same=same, keep=(), once=once)
+        return spread(snapped.select(F.col("line_id").alias("blockface_id"), F.col("along").alias("at"), "point_id"), "blockface_id")
 
     placed = [None if a is None else on_curb(a) for a in (hydrants, signs, meters, stops)]
-    pieces = cut(_pieces(whole, *placed, buffer_feet, least_feet))
-    lines = curb_lines.piece_lines(edges.drop(*same), pieces.select(F.col("blockface_id").alias("line_id"), "lo", "hi").distinct()).withColumnRenamed("line_id", "blockface_id")
-    lines = lines.withColumn("__degrees", G.map_points(F.col("line"), degrees)).withColumn("seg_length", G.geodesic_feet(F.col("__degrees"))).drop("__degrees")
-    table = cut(pieces.drop("seg_length").join(lines, ["blockface_id", "lo", "hi"]))
-    merged = merge_tiny(fill_boundaries(table), tiny_feet)
-    extent = table.select("blockface_id", F.col("segment_seq").alias("part"), "lo", "hi", "line")
-    rows = F.array_sort(F.collect_list(F.struct("part", "line")))
-    parts = merged.select("blockface_id", "segment_id", F.explode("merged").alias("part")).join(extent, ["blockface_id", "part"])
-    parts = parts.groupBy("blockface_id", "segment_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), rows.alias("rows"))
-    joined = F.flatten(F.transform("rows", lambda r, i: F.when(i == 0, r["line"]).otherwise(F.slice(r["line"], 2, F.size(r["line"])))))
-    return merged.drop("merged").join(parts.select("blockface_id", "segment_id", "lo", "hi", joined.alias("line")), ["blockface_id", "segment_id"])
+    pieces = _pieces(whole, *placed, buffer_feet, least_feet).drop("seg_length").withColumnRenamed("blockface_id", "line_id")
+    table = curb_lines.piece_lines(edges.drop(*same), pieces).withColumnRenamed("line_id", "blockface_id")
+    table = table.withColumn("__degrees", G.map_points(F.col("line"), degrees)).withColumn("seg_length", G.geodesic_feet(F.col("__degrees"))).drop("__degrees")
+    merged = merge_tiny(fill_boundaries(table), tiny_feet, keep=("lo", "hi", "line"))
+    joined = F.flatten(F.transform("line", lambda x, i: F.when(i == 0, x).otherwise(F.slice(x, 2, F.size(x)))))
+    return merged.drop("merged").withColumns({"lo": F.array_min("lo"), "hi": F.array_max("hi"), "line": joined})

@@ -35,26 +35,31 @@ def cells(x0: Column, y0: Column, x1: Column, y1: Column, cell: float, reach: fl
     return F.flatten(F.transform(xs, lambda cx: F.transform(ys, lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
 
 
-def snap(points: DataFrame, edges: DataFrame, *, tolerance: float, key: str = "point_id", cell: float | None = None, same: Sequence[str] = ()) -> DataFrame:
-    """``points`` (key, x, y) with the nearest line within ``tolerance``: line_id, distance, along, fraction, px, py.
+def snap(points: DataFrame, edges: DataFrame, *, tolerance: float, key: str = "point_id", cell: float | None = None, same: Sequence[str] = (), keep: Sequence[str] = ("fraction", "px", "py"), once: bool = False) -> DataFrame:
+    """``points`` (key, x, y) with the nearest line within ``tolerance``: line_id, distance, along, and ``keep`` of fraction, px, py.
 
     A point lies in one cell, and an edge in the cells of its widened box, so
     each pair near enough meets once for each point. Of equally near lines the
     smallest id wins. Points without a line are left out; find them with
     :func:`unsnapped`. A point meets only lines with equal ``same`` columns,
-    which both tables have.
+    which both tables have. With ``once`` the caller tells that no key is given
+    twice; then a point's lines are compared where they meet, and not dealt again.
     """
     size = cell or max(4 * tolerance, 1.0)
-    p = points.withColumns({"cx": F.floor(F.col("x") / size), "cy": F.floor(F.col("y") / size)})
-    e = edges.withColumn("c", F.explode(cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), size, tolerance))).select("*", "c.cx", "c.cy").drop("c")
+    at = {"__cx": F.floor(F.col("x") / size), "__cy": F.floor(F.col("y") / size)}
+    e = edges.withColumn("c", F.explode(cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), size, tolerance))).select("*", F.col("c.cx").alias("__cx"), F.col("c.cy").alias("__cy")).drop("c")
+    e = e.withColumnsRenamed({c: f"__{c}" for c in same})
+    # a point's cell is told by its place, so it takes no room where points are dealt;
     # the cells of edges are many more than the rows that they are made from tell, so they are never broadcast
-    near = p.join(e.hint("merge"), [*same, "cx", "cy"])
+    meet = [F.col(c) == F.col(f"__{c}") for c in same] + [own == F.col(c) for c, own in at.items()]
+    near = points.join(e.hint("merge"), meet)
     dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((F.col("x") - F.col("x0")) * dx + (F.col("y") - F.col("y0")) * dy) / (dx * dx + dy * dy)))
     near = near.withColumn("t", t).withColumns({"px": F.col("x0") + F.col("t") * dx, "py": F.col("y0") + F.col("t") * dy})
     near = near.withColumns({"distance": F.hypot(F.col("x") - F.col("px"), F.col("y") - F.col("py")), "along": F.col("cum") + F.col("t") * F.hypot(dx, dy)}).where(F.col("distance") <= tolerance)
-    best = near.groupBy(key).agg(F.min(F.struct("distance", "line_id", "along", "total", "px", "py")).alias("b"))
-    return best.select(key, "b.line_id", "b.distance", "b.along", (F.col("b.along") / F.col("b.total")).alias("fraction"), "b.px", "b.py")
+    best = near.groupBy(*[f"__{c}" for c in same], *at, key) if once else near.groupBy(key)
+    best = best.agg(F.min(F.struct("distance", "line_id", "along", *["total" if c == "fraction" else c for c in keep])).alias("b"))
+    return best.select(key, "b.line_id", "b.distance", "b.along", *[(F.col("b.along") / F.col("b.total")).alias(c) if c == "fraction" else f"b.{c}" for c in keep])
 
 
 def unsnapped(points: DataFrame, snapped: DataFrame, key: str = "point_id") -> DataFrame:

@@ -139,3 +139,45 @@ def test_curbs_over_each_other_keep_their_own_signs(spark):
     signs = spark.createDataFrame([("s", 1, 750040.0, 2950001.0)], "point_id string, level int, x double, y double")
     made = segments.segment_lines(curbs, signs.limit(0), signs, signs.limit(0), same=["level"])
     assert sorted((r["blockface_id"], round(r["lo"]), r["upstream_location"]) for r in made.collect()) == [("a", 0, None), ("b", 0, None), ("b", 40, "s")]
+
+
+def test_segments_take_little_disk(spark, tmp_path):
+    """The query deals its signs a few times and stores none of them: before, shuffles and checkpoints took seven times the room."""
+    import os
+
+    from kerbspark.plans import queries
+
+    spark.range(400).select(F.col("id").alias("p_partkey"), (F.col("id") % 50 + 1).cast("int").alias("p_size")).write.parquet(f"{tmp_path}/part.parquet")
+    signs = spark.range(20_000).select((F.col("id") % 400).alias("l_partkey"), (F.floor(F.col("id") / 400) + 1).cast("double").alias("l_quantity"))
+    signs.write.parquet(f"{tmp_path}/lineitem.parquet")
+
+    def used():
+        return sum(os.path.getsize(os.path.join(folder, name)) for folder, _, names in os.walk(spark.sparkContext.getConf().get("spark.local.dir")) for name in names)
+
+    before = used()
+    made = queries.QUERIES["curb_segments"](spark, str(tmp_path)).agg(F.count(F.lit(1)), F.sum("points")).first()
+    # signs stand two feet apart, so all pieces of a curb become one, which keeps their ends and the bend
+    assert tuple(made) == (400, 400 * 52) and used() - before < 120 * 20_000
+
+
+def test_kinds_that_are_absent_leave_pieces_whole(spark):
+    kind = "blockface_id string, at double, point_id string"
+    none = spark.createDataFrame([], kind)
+    face = spark.createDataFrame([("a", 0.0, 100.0), ("b", 0.0, 50.0)], "blockface_id string, lo double, hi double")
+    signs = spark.createDataFrame([("a", 40.0, "s"), ("a", 0.0, "t")], kind)
+    rows = lambda *assets: sorted(tuple(r) for r in segments.segment_curbs(face, *assets).collect())
+    assert rows(None, signs, None) == rows(none, signs, none, none) and len(rows(None, signs, None)) == 3
+    assert rows(None, None, None) == rows(none, none, none)
+    # a meter where a sign and the curb begin
+    meters = spark.createDataFrame([("a", 0.0, "m")], kind)
+    assert [(r["blockface_id"], r["lo"], r["hi"]) for r in segments.segment_curbs(face, None, signs, meters).orderBy("blockface_id", "lo").collect()] == [("a", 0.0, 40.0), ("a", 40.0, 100.0), ("b", 0.0, 50.0)]
+
+
+def test_a_point_given_twice_counts_where_it_is_nearest(spark):
+    from kerbspark.operators import spatial
+
+    edges = spatial.edge_table(spark.createDataFrame([("a", [(0.0, 0.0), (100.0, 0.0)]), ("b", [(0.0, 1000.0), (100.0, 1000.0)])], "id string, line array<struct<x:double,y:double>>"), "id", "line")
+    points = spark.createDataFrame([("p", 10.0, 9.0), ("p", 20.0, 1003.0), ("q", 30.0, 4.0)], "point_id string, x double, y double")
+    assert sorted((r["point_id"], r["line_id"], r["along"]) for r in spatial.snap(points, edges, tolerance=30.0).collect()) == [("p", "b", 20.0), ("q", "a", 30.0)]
+    got = spatial.snap(points.where("point_id = 'q'"), edges, tolerance=30.0, keep=(), once=True)
+    assert got.columns == ["point_id", "line_id", "distance", "along"] and [tuple(r) for r in got.collect()] == [("q", "a", 4.0, 30.0)]
