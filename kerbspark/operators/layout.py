@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str | Column) -> DataFrame:
     """``df`` dealt by ``keys`` to as many tasks as the session has shuffle partitions, also where these are small.
 
     Adaptive execution merges shuffle partitions up to a size in compressed

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .layout import spread
 from .lineage import cut
 
 
@@ -43,7 +44,8 @@ def snap(points: DataFrame, edges: DataFrame, *, tolerance: float, key: str = "p
     smallest id wins. Points without a line are left out; find them with
     :func:`unsnapped`. A point meets only lines with equal ``same`` columns,
     which both tables have. With ``once`` the caller tells that no key is given
-    twice; then a point's lines are compared where they meet, and not dealt again.
+    twice; then a point's lines are compared where they meet, in one of all
+    shuffle partitions, and not dealt again.
     """
     size = cell or max(4 * tolerance, 1.0)
     at = {"__cx": F.floor(F.col("x") / size), "__cy": F.floor(F.col("y") / size)}
@@ -52,7 +54,7 @@ def snap(points: DataFrame, edges: DataFrame, *, tolerance: float, key: str = "p
     # a point's cell is told by its place, so it takes no room where points are dealt;
     # the cells of edges are many more than the rows that they are made from tell, so they are never broadcast
     meet = [F.col(c) == F.col(f"__{c}") for c in same] + [own == F.col(c) for c, own in at.items()]
-    near = points.join(e.hint("merge"), meet)
+    near = (spread(points, *same, *at.values()) if once else points).join(e.hint("merge"), meet)
     dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((F.col("x") - F.col("x0")) * dx + (F.col("y") - F.col("y0")) * dy) / (dx * dx + dy * dy)))
     near = near.withColumn("t", t).withColumns({"px": F.col("x0") + F.col("t") * dx, "py": F.col("y0") + F.col("t") * dy})
